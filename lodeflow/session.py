@@ -8,6 +8,8 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Rows of an Arrow batch at most; whole texts make wide rows.
+BATCH_ROWS = 1000
 PACKAGE_ROOT = str(Path(__file__).resolve().parents[1])
 
 
@@ -21,6 +23,8 @@ def prepare(spark: SparkSession) -> SparkSession:
     path = sc.environment.get("PYTHONPATH", "")
     if PACKAGE_ROOT not in path.split(":"):
         sc.environment["PYTHONPATH"] = f"{PACKAGE_ROOT}:{path}" if path else PACKAGE_ROOT
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     if not sc._jsc.sc().getCheckpointDir().isDefined():
         sc.setCheckpointDir(checkpoint_dir(spark))
     return spark
