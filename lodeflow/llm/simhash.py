@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -17,9 +15,8 @@ BLOCK = 4096
 #: Groups up to this size are compared all at once, by shifted arrays.
 NARROW = 24
 
-_SPLIT = re.compile(r"[^\x20\x09-\x0D]+")
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
-_BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)  # bit k of each byte value
+_LOW_BITS = np.uint64(0x0101010101010101)
 
 
 def words(text: str | None) -> list[bytes]:
@@ -42,18 +39,25 @@ def shingle_hashes(toks: list[bytes], size: int = 3, seed: int = 42) -> np.ndarr
     return np.fromiter((digest(line[a:b], seed) for a, b in zip(start[: -size + 1].tolist() if size > 1 else start.tolist(), end[size - 1 :].tolist(), strict=True)), dtype=np.uint64, count=len(toks) - size + 1)
 
 
-def majority(hashes: np.ndarray) -> int:
-    """The 64 bits set in more than half of the hashes, unsigned; zero for none."""
-    n = len(hashes)
+def majorities(hashes: np.ndarray) -> list[int]:
+    """For each row of hashes, the 64 bits set in more than half of them, unsigned; zero for an empty row.
+
+    Eight bits at a time are spread over the bytes of a word and added, 255 words before a byte could run over.
+    """
+    m, n = hashes.shape
     if not n:
-        return 0
-    by = np.ascontiguousarray(hashes.astype("<u8")).view(np.uint8).reshape(n, 8)
-    if n >= 512:
-        sums = np.stack([np.bincount(by[:, k], minlength=256) @ _BITS for k in range(8)])
-    else:
-        sums = np.stack([_BITS[by[:, k]].sum(axis=0) for k in range(8)])
-    set_ = (2 * sums > n).reshape(64)
-    return int.from_bytes(np.packbits(set_, bitorder="little").tobytes(), "little")
+        return [0] * m
+    h = np.zeros((m, -(-n // 255) * 255), dtype=np.uint64)
+    h[:, :n] = hashes
+    h = h.reshape(m, -1, 255)
+    sums = np.empty((m, 8, 8), dtype=np.int64)  # row, byte, bit
+    for k in range(8):
+        sums[:, :, k] = ((h >> np.uint64(k)) & _LOW_BITS).sum(axis=2).view(np.uint8).reshape(m, -1, 8).sum(axis=1, dtype=np.int64)
+    return np.packbits((2 * sums > n).reshape(m, 64), axis=1, bitorder="little").view("<u8").ravel().tolist()
+
+
+def majority(hashes: np.ndarray) -> int:
+    return majorities(hashes[None, :])[0]
 
 
 def fingerprint(text: str | None, size: int = 3) -> int:
@@ -303,9 +307,9 @@ WIDE_DIFF = 84
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _scramble(x: np.ndarray, seed: int) -> np.ndarray:
-    """A 64-bit finaliser, so that each seed gives independent bits."""
-    x = (x + np.uint64((seed * 0x9E3779B97F4A7C15 + 0x632BE59BD9B4E019) & 0xFFFFFFFFFFFFFFFF)).astype(np.uint64)
+def _scramble(x: np.ndarray, seeds: tuple[int, ...]) -> np.ndarray:
+    """A 64-bit finaliser, so that each seed gives independent bits; a row for each seed."""
+    x = x[None, :] + np.array([(s * 0x9E3779B97F4A7C15 + 0x632BE59BD9B4E019) & 0xFFFFFFFFFFFFFFFF for s in seeds], dtype=np.uint64)[:, None]
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
@@ -321,10 +325,10 @@ def near_features(text: str | None, size: int = 5) -> list[int]:
     run = np.zeros(max(1, len(h) - size + 1), dtype=np.uint64)
     with np.errstate(over="ignore"):
         for k in range(min(size, len(h))):
-            run = run * _MIX + _scramble(h[k : k + len(run)], k + 1)
+            run = run * _MIX + _scramble(h[k : k + len(run)], (k + 1,))[0]
         run, single = np.unique(run), np.unique(h)
-        out = [majority(_scramble(single, s)) for s in CANDIDATE_SEEDS]
-        out += [majority(_scramble(run, 101 + k)) for k in range(n_wide)]
+        out = majorities(_scramble(single, CANDIDATE_SEEDS))
+        out += majorities(_scramble(run, tuple(range(101, 101 + n_wide))))
     return [signed(x) for x in out]
 
 
