@@ -58,13 +58,13 @@ def _fit(x: np.ndarray, n: int) -> np.ndarray:
 
 
 def scores(q: list, d: list) -> np.ndarray:
-    """Exact integer inner products; shorter vectors count as padded with zeros."""
+    """Exact integer inner products, over the shorter length of both, held within 64 bits."""
     a, b = _matrix(q), _matrix(d)
     n = min(a.shape[1], b.shape[1])
     a, b = a[:, :n], b[:, :n]
     if n * float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) < 2.0**53:
         return (a @ b.T).astype(np.int64)
-    return np.array([[sum(int(x) * int(y) for x, y in zip(u, w, strict=False)) for w in d] for u in q], dtype=np.int64)
+    return np.array([[max(-(2**63), min(2**63 - 1, sum(int(x) * int(y) for x, y in zip(u, w, strict=False)))) for w in d] for u in q], dtype=np.int64)
 
 
 def best(q_ids, q: list, d_ids, d: list, k: int) -> list[tuple[int, int, int]]:
@@ -100,7 +100,8 @@ def top_k(table: DataFrame, k: int = 5, every: int = 50, pivots: int = PIVOTS, d
     and local results meet in a grouped top-k per query.
     Defined results: null vectors, vectors with null or non-finite components (or beyond 2^62 after scaling), empty
     vectors and null ids take no part; equal rows count once; a query's own id is never its result; vectors of
-    unlike lengths are compared over the shorter length; fewer than k rows give fewer results; other
+    unlike lengths are compared over the shorter length; fewer than k rows give fewer results;
+    scores beyond 64 bits are held at their ends; other
     columns are not read.
     """
     spark = session(table)
