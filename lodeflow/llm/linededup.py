@@ -13,6 +13,8 @@ from lodeflow.llm.common import map_rows
 #: Lines that the rolling hash looks back over, and the mean number of short lines in a chunk.
 LOOK_BACK = 2
 MEAN_LINES = 3
+#: A boundary that would leave a shorter chunk of short lines is passed over.
+MIN_LINES = 2
 #: A line of so many words or more is a chunk of its own: a passage that is worth removing wherever it stands.
 LONG_LINE = 50
 _BASE = np.uint64(0x100000001B3)
@@ -23,7 +25,8 @@ def chunks(text: str | None, look_back: int = LOOK_BACK, mean: int = MEAN_LINES,
 
     A boundary follows a line if the rolling hash over it and the lines before it (``look_back`` in all) is zero
     modulo ``mean``, so boundaries depend on a few lines' content only and find themselves again after any shift.
-    Long lines stand alone. Eligible for removal are chunks of two lines or more with a word in them, and long lines.
+    A chunk has ``MIN_LINES`` short lines at least
+    where a long line or the end doesn't cut it off. Long lines stand alone. Eligible for removal are chunks of two lines or more with a word in them, and long lines.
     """
     if not text:
         return []
@@ -45,6 +48,8 @@ def chunks(text: str | None, look_back: int = LOOK_BACK, mean: int = MEAN_LINES,
     ends = (np.flatnonzero(cut) + 1).tolist()
     out, start = [], 0
     for e in ends:
+        if e - start < MIN_LINES and e < n and not long_[start] and not long_[e]:
+            continue
         out.append((start, e, bool(long_[start]) or (e - start >= 2 and any(x.strip() for x in lines[start:e]))))
         start = e
     return out
