@@ -63,6 +63,20 @@ class Transcript:
         self.utr5 = F.when(self.coding, exonic_before(self.exons, head, self.strand)).otherwise(zero)
         self.base3 = F.when(self.coding, exonic_before(self.exons, tail, self.strand)).otherwise(self.tx1 - self.tx0)
 
+    @classmethod
+    def attach(cls, df: DataFrame, prefix: str = "") -> tuple[DataFrame, Transcript]:
+        """Adds the exons and untranslated lengths as columns of their own, so that plans read them instead of repeating them."""
+        t = cls(prefix)
+        df = df.withColumn(f"{prefix}ex", t.exons)
+        t.exons = F.col(f"{prefix}ex")
+        minus, zero = t.strand < 0, F.lit(0).cast("bigint")
+        head, tail = F.when(minus, t.cds1).otherwise(t.cds0), F.when(minus, t.cds0).otherwise(t.cds1)
+        u5 = F.when(t.coding, exonic_before(t.exons, head, t.strand)).otherwise(zero)
+        b3 = F.when(t.coding, exonic_before(t.exons, tail, t.strand)).otherwise(t.tx1 - t.tx0)
+        df = df.withColumns({f"{prefix}u5": u5, f"{prefix}b3": b3})
+        t.utr5, t.base3 = F.col(f"{prefix}u5"), F.col(f"{prefix}b3")
+        return df, t
+
     def ordinal(self, pos: Column, utr3: Column) -> Column:
         """Number of a transcript position among exonic bases, from 1; zero or less lies upstream."""
         return F.when(utr3, pos + self.base3).when(pos < 0, pos + self.utr5 + 1).otherwise(pos + self.utr5)

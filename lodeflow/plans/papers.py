@@ -67,6 +67,11 @@ def assign_tables(cell_variants: DataFrame, cell_genes: DataFrame, captions: Dat
     return j.withColumn("gene_id", keyed.coalesce_chain(F.col("cell_gene"), F.col("caption_gene"), F.col("body_gene"), default=0)).drop("cell_gene", "caption_gene", "body_gene")
 
 
+def _transcripts(transcripts: DataFrame) -> tuple[DataFrame, coordinates.Transcript]:
+    tx = transcripts.select("gene_id", "chrom", F.col("name").alias("transcript"), *[F.col(c).alias(f"t_{c}") for c in ("strand", "tx_start", "tx_end", "cds_start", "cds_end", "exon_starts", "exon_ends")])
+    return coordinates.Transcript.attach(tx, "t_")
+
+
 def _place(t: coordinates.Transcript, p: Column) -> Column:
     return F.when(p["intron"].isNotNull(), t.intron(p["intron"], p["offset"])).otherwise(t.to_chromosome(p["pos"], p["offset"], p["utr3"]))
 
@@ -77,8 +82,7 @@ def coding_alleles(found: DataFrame, transcripts: DataFrame, chunks: DataFrame,
     fixed = coordinates.fix_variant(F.col("var.mut_type"), F.col("var.start"), F.col("var.end"), F.coalesce("var.wild_type", F.lit("")))
     plain = coordinates.plain_alleles(F.col("var.mut_type"), fixed["ref"], F.col("var.mutant"))
     v = v.select("*", V.parse_position(fixed["start"]).alias("__p"), V.parse_position(fixed["end"]).alias("__q"), plain["ref"].alias("__r"), plain["alt"].alias("__a"), plain["ok"].alias("__ok")).where("__ok and __p is not null and __q is not null")
-    t = coordinates.Transcript("t_")
-    tx = transcripts.select("gene_id", "chrom", F.col("name").alias("transcript"), *[F.col(c).alias(f"t_{c}") for c in ("strand", "tx_start", "tx_end", "cds_start", "cds_end", "exon_starts", "exon_ends")])
+    tx, t = _transcripts(transcripts)
     j = v.join(tx, "gene_id").withColumn("__s", _place(t, F.col("__p"))).withColumn("__e", _place(t, F.col("__q"))).where("__s is not null and __e is not null")
     j = j.withColumn("__lo", F.least("__s", "__e")).withColumn("__n", F.abs(F.col("__e") - F.col("__s")) + 1).where(F.col("__n") <= size)
     g = coordinates.genome_slice(j, chunks, size, "__lo", "__n")
@@ -89,8 +93,7 @@ def coding_alleles(found: DataFrame, transcripts: DataFrame, chunks: DataFrame,
 def protein_alleles(found: DataFrame, transcripts: DataFrame, chunks: DataFrame, size: int) -> DataFrame:
     """Protein substitutions to every codon change that makes them, where the reference codon gives the stated residue."""
     v = found.where(F.array_contains("var.seq_types", "p") & (F.col("var.mut_type") == "SUB")).withColumn("__i", F.col("var.start").try_cast("bigint")).where("__i is not null")
-    t = coordinates.Transcript("t_")
-    tx = transcripts.select("gene_id", "chrom", F.col("name").alias("transcript"), *[F.col(c).alias(f"t_{c}") for c in ("strand", "tx_start", "tx_end", "cds_start", "cds_end", "exon_starts", "exon_ends")])
+    tx, t = _transcripts(transcripts)
     zero, no = F.lit(0).cast("bigint"), F.lit(False)
     j = v.join(tx, "gene_id").withColumn("__s", t.to_chromosome((F.col("__i") - 1) * 3 + 1, zero, no)).withColumn("__e", t.to_chromosome(F.col("__i") * 3, zero, no))
     j = j.where(F.abs(F.col("__e") - F.col("__s")) == 2).withColumn("__lo", F.least("__s", "__e")).withColumn("__n", F.lit(3))
