@@ -3,7 +3,13 @@
 from __future__ import annotations
 
 import math
+import os
+import re
+import unicodedata
 import zlib
+from array import array
+from itertools import compress
+from operator import not_
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -12,61 +18,95 @@ from pyspark.sql import functions as F
 from lodeflow.llm.common import map_rows, session, settle, sized_join
 
 CAPACITY = 4096
-#: Chunks of text between white space whose ids a worker remembers.
-CACHE = 400_000
+#: Words whose ids a worker remembers.
+CACHE = 150_000
 #: Separators that the str.split of Python knows and the tokenizer's \\s doesn't.
 _ODD_SPACE = ("\x1c", "\x1d", "\x1e", "\x1f")
 END_ID = 1
 
 
+def _byte_letters() -> dict[int, str]:
+    """The printable letter that a byte-level model writes for each byte: itself where printable, else from 256 on, in order."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+def _word_pattern() -> re.Pattern:
+    """How the tokenizer cuts text of Latin-1 characters: short endings, letters, single digits, runs of others."""
+    chars = [chr(c) for c in range(256)]
+    letters = "".join(re.escape(c) for c in chars if unicodedata.category(c).startswith("L"))
+    digits = "".join(re.escape(c) for c in chars if unicodedata.category(c).startswith("N"))
+    return re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{digits}]|[^\s{letters}{digits}]+")
+
+
 class Tokens:
     """Ids of whole texts as little-endian bytes.
 
-    The tokenizer drops white space, and nothing it does looks across it, so a text's ids are those of its
-    chunks, one after the other; chunks repeat and are remembered.
+    The tokenizer folds case, drops white space and cuts text into words, each of which has ids of its own. Text of
+    Latin-1 characters is cut here, and only words that aren't remembered go to the tokenizer's model. Other text is
+    handled by chunks between white space, across which nothing looks: those with other characters go through the
+    tokenizer whole.
     """
 
     def __init__(self, path: str):
-        import os
-
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
-        self.cache: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def learn(self, chunks: list[str]) -> None:
-        fresh = list({c for c in chunks if c not in self.cache})
-        if len(self.cache) + len(fresh) > CACHE:
-            self.cache.clear()
-            fresh = list(set(chunks))
-        self.cache.update(zip(fresh, self._encode(fresh), strict=True))
+        self.model = self.tok.model
+        self.letters, self.find = _byte_letters(), _word_pattern().findall
+        self.words: dict[str, bytes] = {}
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tok.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def _latin(self, text: str) -> bytes:
+        words, known = self.find(text.lower()), self.words
+        got = list(map(known.get, words))
+        missing = set(compress(words, map(not_, got)))
+        if not missing:
+            return b"".join(got)
+        if len(known) + len(missing) > CACHE:
+            known.clear()
+            missing = set(words)
+        tokenize = self.model.tokenize
+        for w in missing:
+            seen = w if w.isascii() and "\x7f" not in w else w.encode().decode("latin-1").translate(self.letters)
+            known[w] = array("I", [t.id for t in tokenize(seen)]).tobytes()
+        return b"".join(map(known.__getitem__, words))
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text, without the end."""
-        out: list[bytes] = []
-        for t in texts:
-            if not t:
-                out.append(b"")
-            elif any(c in t for c in _ODD_SPACE):
-                out.append(self._encode([t])[0])
-            else:
-                chunks = t.split()
-                try:
-                    out.append(b"".join(map(self.cache.__getitem__, chunks)))
-                except KeyError:
-                    self.learn(chunks)
-                    out.append(b"".join(map(self.cache.__getitem__, chunks)))
-        return out
+        return [self.text(t) if t else b"" for t in texts]
+
+    def text(self, text: str) -> bytes:
+        if any(c in text for c in _ODD_SPACE):
+            return self._whole(text)
+        if _is_latin(text):
+            return self._latin(text)
+        return b"".join(self._latin(c) if _is_latin(c) else self._whole(c) for c in text.split())
+
+
+def _is_latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
 
 
 _tokens: dict[str, Tokens] = {}
 
 
+def tokens_of(path: str) -> Tokens:
+    """One tokenizer, with its memory of words, for each worker process."""
+    if path not in _tokens:
+        _tokens[path] = Tokens(path)
+    return _tokens[path]
+
+
 def pieces_of(ids: bytes, capacity: int = CAPACITY) -> list[tuple[int, int, int, int]]:
     """(piece, start, length, crc32) of a document's ids with the end id."""
     ids += END_ID.to_bytes(4, "little")
@@ -78,9 +118,7 @@ def tokenised(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame
     """(doc_id, piece, start, length, ids_crc32), a row for each piece."""
 
     def make():
-        if path not in _tokens:
-            _tokens[path] = Tokens(path)
-        tokens = _tokens[path]
+        tokens = tokens_of(path)
 
         def run(doc_ids, texts):
             out = [[] for _ in range(5)]
