@@ -121,6 +121,14 @@ class Counter:
 _counters: dict = {}
 
 
+def counter_of(key: int, vocab: list[tuple[str, float]]) -> Counter:
+    """One automaton, with its memory of chunks, for each worker process."""
+    if key not in _counters:
+        _counters.clear()
+        _counters[key] = Counter(vocab)
+    return _counters[key]
+
+
 def count_tokens(docs: DataFrame, vocab: list[tuple[str, float]], id_col: str = "doc_id") -> DataFrame:
     """(id_col, n_tokens, score) of every whole text, in one map over the scan.
 
@@ -132,10 +140,7 @@ def count_tokens(docs: DataFrame, vocab: list[tuple[str, float]], id_col: str =
     key = hash(tuple(vocab))
 
     def make():
-        if key not in _counters:
-            _counters.clear()
-            _counters[key] = Counter(sent.value)
-        counter = _counters[key]
+        counter = counter_of(key, sent.value)
 
         def run(ids, texts):
             got = [counter.text(t) for t in texts]
