@@ -14,9 +14,9 @@ def encode(pixels: DataFrame, by: list[str], order: str, value: str) -> DataFram
     """Counts of the runs of 0 and 1 in order, as (by, counts); a leading zero run of length 0 if the first pixel is set."""
     w = Window.partitionBy(*by).orderBy(order)
     change = pixels.withColumn("__c", F.when(F.coalesce(F.lag(value).over(w), F.lit(0)) != F.col(value), 1).otherwise(0))
-    runs = change.withColumn("__i", F.sum("__c").over(w.rowsBetween(Window.unboundedPreceding, 0))).groupBy(*by, "__i").agg(F.count("*").cast("int").alias("n"))
-    held = runs.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("__i", "n"))).alias("m"), F.max("__i").alias("top"))
-    return held.select(*by, F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("top")), lambda i: F.coalesce(F.try_element_at("m", i), F.lit(0))).alias("counts"))
+    runs = change.withColumn("__i", F.sum("__c").over(w.rowsBetween(Window.unboundedPreceding, 0))).groupBy(*by, "__i").agg(F.count("*").cast("int").alias("__n"))
+    held = runs.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("__i", "__n"))).alias("__m"), F.max("__i").alias("__top"))
+    return held.select(*by, F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("__top")), lambda i: F.coalesce(F.try_element_at("__m", i), F.lit(0))).alias("counts"))
 
 
 def decode(counts: Column) -> Column:

@@ -101,16 +101,17 @@ def resolve_names(mentions: DataFrame, names: DataFrame, gene_tokens: DataFrame,
     the article's tokens, a neighbour within ``gap`` characters. What stays ambiguous takes its smallest gene id.
     """
     keyed = mentions.withColumn("name_key", T.name_key(F.col("mention"))).withColumn("words", F.split(T.name_words(F.col("mention")), " +"))
-    uniq = keyed.select("name_key", "words").where("name_key is not null").dropDuplicates(["name_key"])
+    # each stage is settled: what later stages read is a table, not the plan of all stages before
+    uniq = keyed.select("name_key", "words").where("name_key is not null").dropDuplicates(["name_key"]).checkpoint()
     left, done, doubt = uniq, [], []
 
     def close(candidates: DataFrame, step: int):
         """Single candidates resolve, several are put by."""
         nonlocal left
-        n = candidates.distinct().withColumn("__n", F.count("*").over(Window.partitionBy("name_key")))
+        n = candidates.distinct().withColumn("__n", F.count("*").over(Window.partitionBy("name_key"))).checkpoint()
         done.append(n.where("__n = 1").select("name_key", "gene_id", F.lit(step).alias("step")))
         doubt.append(n.where("__n > 1").select("name_key", "gene_id", F.lit(step).alias("step")))
-        left = left.join(candidates.select("name_key").distinct(), "name_key", "left_anti")
+        left = left.join(n.select("name_key").distinct(), "name_key", "left_anti").checkpoint()
 
     symbol = names.where("kind = 'symbol'").groupBy("name_key").agg(F.max("gene_id").alias("gene_id"))
     direct = left.join(symbol, "name_key").select("name_key", "gene_id")
@@ -118,14 +119,14 @@ def resolve_names(mentions: DataFrame, names: DataFrame, gene_tokens: DataFrame,
     close(direct.unionByName(bare), 2)
     for kind, step in (("synonym", 3), ("other", 4)):
         close(left.join(names.where(F.col("kind") == kind), "name_key").select("name_key", "gene_id"), step)
-    bagged = bag_candidates(left, gene_tokens, "name_key", "words", "gene_id", "token")
-    named = name_winners(left, name_tokens, bagged, "name_key", "words", "gene_id", "name", "token")
+    bagged = bag_candidates(left, gene_tokens, "name_key", "words", "gene_id", "token").checkpoint()
+    named = name_winners(left, name_tokens, bagged, "name_key", "words", "gene_id", "name", "token").checkpoint()
     single = bagged.withColumn("__n", F.count("*").over(Window.partitionBy("name_key"))).where("__n = 1").select("name_key", "gene_id")
     rest = named.join(single, "name_key", "left_anti").withColumn("__n", F.count("*").over(Window.partitionBy("name_key")))
     done += [single.withColumn("step", F.lit(5)), rest.where("__n = 1").select("name_key", "gene_id", F.lit(6).alias("step"))]
     open_ = bagged.join(single, "name_key", "left_anti").join(rest.where("__n = 1").select("name_key"), "name_key", "left_anti")
     doubt.append(open_.select("name_key", "gene_id", F.lit(6).alias("step")))
-    sure, unsure = reduce(DataFrame.unionByName, done), reduce(DataFrame.unionByName, doubt)
+    sure, unsure = reduce(DataFrame.unionByName, done).checkpoint(), reduce(DataFrame.unionByName, doubt).checkpoint()
 
     spots = keyed.select("block", "start", "end", "mention", "name_key")
     found = spots.join(sure, "name_key")
@@ -136,7 +137,7 @@ def resolve_names(mentions: DataFrame, names: DataFrame, gene_tokens: DataFrame,
     common = open7.join(gene_tokens, "gene_id").join(articles.distinct(), ["block", "token"]).groupBy("block", "start", "end", "mention", "name_key", "gene_id").agg(F.countDistinct("token").alias("n"))
     best = common.withColumn("m", F.max("n").over(Window.partitionBy("block", "start", "end"))).where("n = m").withColumn("c", F.count("*").over(Window.partitionBy("block", "start", "end")))
     eight = best.where("c = 1").select("block", "start", "end", "mention", "name_key", "gene_id", F.lit(8).alias("step"))
-    resolved = found.unionByName(seven.select(found.columns)).unionByName(eight.select(found.columns))
+    resolved = found.unionByName(seven.select(found.columns)).unionByName(eight.select(found.columns)).checkpoint()
     spare = open7.groupBy("block", "start", "end").agg(F.min("gene_id").alias("__first"))
     order = Window.partitionBy("block").orderBy("start", "end")
     all_ = spots.join(resolved.select("block", "start", "end", "gene_id", "step"), ["block", "start", "end"], "left").join(spare, ["block", "start", "end"], "left")

@@ -11,9 +11,9 @@ from lodeflow.operators import keyed
 HUMAN = "9606"
 
 
-def _tsv(spark: SparkSession, path: str) -> DataFrame:
-    """Tab-separated, compressed or not; columns _c0, _c1, ..."""
-    return spark.read.option("sep", "\t").option("quote", "").csv(path)
+def _tsv(spark: SparkSession, path: str, columns: int = 16) -> DataFrame:
+    """Tab-separated, compressed or not; columns _c0, _c1, ..., null where a line has fewer."""
+    return spark.read.option("sep", "\t").option("quote", "").schema(", ".join(f"_c{i} string" for i in range(columns))).csv(path)
 
 
 def genes(spark: SparkSession, path: str, tax: str | None = None) -> DataFrame:
@@ -89,8 +89,7 @@ def name_dictionary(spark: SparkSession, path: str) -> dict[str, DataFrame]:
 def tree(spark: SparkSession, path: str) -> DataFrame:
     """path, token, gene_id of a prefix tree file (a byte-order mark in front doesn't count)."""
     raw = _tsv(spark, path)
-    gene = F.col("_c2") if "_c2" in raw.columns else F.lit(None).cast("string")
-    return raw.select(F.regexp_replace("_c0", "^﻿", "").alias("path"), F.col("_c1").alias("token"), gene.cast("int").alias("gene_id"))
+    return raw.select(F.regexp_replace("_c0", "^\ufeff", "").alias("path"), F.col("_c1").alias("token"), F.col("_c2").cast("int").alias("gene_id"))
 
 
 def line_list(spark: SparkSession, path: str) -> DataFrame:
