@@ -34,17 +34,38 @@ def ends(counts: Column) -> Column:
     return F.aggregate(counts, F.array().cast("array<bigint>"), lambda a, n: F.concat(a, F.array(F.coalesce(F.try_element_at(a, F.lit(-1)), F.lit(0)) + n)))
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def runs_on(counts: Column) -> Column:
+    """Runs of set pixels as structs of begin and end (exclusive), in one pass over the counts."""
+    zero = F.lit(0).cast("bigint")
+
+    def step(acc, n):
+        end = acc["at"] + n
+        run = F.array(F.struct(acc["at"].alias("a"), end.alias("b")))
+        return F.struct(end.alias("at"), (~acc["on"]).alias("on"), F.when(acc["on"] & (n > 0), F.concat(acc["out"], run)).otherwise(acc["out"]).alias("out"))
+
+    start = F.struct(zero.alias("at"), F.lit(False).alias("on"), F.array().cast("array<struct<a:bigint,b:bigint>>").alias("out"))
+    return F.aggregate(counts, start, step, lambda acc: acc["out"])
+
+
 def to_bbox(counts: Column, height: Column) -> Column:
     """Bounding box (x, y, w, h) of the set pixels, zeros if there are none."""
-    stops = ends(counts)
-    runs = F.filter(F.transform(counts, lambda n, i: F.struct(i.alias("i"), (F.element_at(stops, (i + 1).cast("int")) - n).alias("a"), (F.element_at(stops, (i + 1).cast("int")) - 1).alias("b"))), lambda r: (r["i"] % 2 == 1) & (r["b"] >= r["a"]))
-    x1 = F.array_min(F.transform(runs, lambda r: F.floor(r["a"] / height)))
-    x2 = F.array_max(F.transform(runs, lambda r: F.floor(r["b"] / height)))
-    full = lambda r: F.floor(r["a"] / height) != F.floor(r["b"] / height)
-    y1 = F.array_min(F.transform(runs, lambda r: F.when(full(r), F.lit(0).cast("bigint")).otherwise(r["a"] % height)))
-    y2 = F.array_max(F.transform(runs, lambda r: F.when(full(r), height.cast("bigint") - 1).otherwise(r["b"] % height)))
     zero = F.lit(0).cast("bigint")
-    return F.when(F.size(runs) > 0, F.struct(x1.alias("x"), y1.alias("y"), (x2 - x1 + 1).alias("w"), (y2 - y1 + 1).alias("h"))).otherwise(F.struct(zero.alias("x"), zero.alias("y"), zero.alias("w"), zero.alias("h")))
+
+    def box(runs):
+        first, last = (lambda r: F.floor(r["a"] / height)), (lambda r: F.floor((r["b"] - 1) / height))
+        full = lambda r: first(r) != last(r)
+        x1, x2 = F.array_min(F.transform(runs, first)), F.array_max(F.transform(runs, last))
+        y1 = F.array_min(F.transform(runs, lambda r: F.when(full(r), zero).otherwise(r["a"] % height)))
+        y2 = F.array_max(F.transform(runs, lambda r: F.when(full(r), height.cast("bigint") - 1).otherwise((r["b"] - 1) % height)))
+        none = F.struct(zero.alias("x"), zero.alias("y"), zero.alias("w"), zero.alias("h"))
+        return F.when(F.size(runs) > 0, F.struct(x1.alias("x"), y1.alias("y"), (x2 - x1 + 1).alias("w"), (y2 - y1 + 1).alias("h"))).otherwise(none)
+
+    return let(runs_on(counts), box)
 
 
 def _edges(masks: DataFrame, by: list[str], counts: str) -> DataFrame:
@@ -80,12 +101,6 @@ def iou(pairs: DataFrame, a: str, b: str, crowd: Column | None = None) -> DataFr
     return sized.withColumn("iou", F.coalesce(F.try_divide(F.col("__i"), under), F.lit(0.0))).drop("__ra", "__rb", "__i")
 
 
-def runs_on(counts: Column) -> Column:
-    """Runs of set pixels as structs of begin and end (exclusive)."""
-    stops = ends(counts)
-    return F.filter(F.transform(counts, lambda n, i: F.struct((F.element_at(stops, (i + 1).cast("int")) - n).alias("a"), F.when(i % 2 == 1, F.element_at(stops, (i + 1).cast("int"))).otherwise(F.lit(-1).cast("bigint")).alias("b"))), lambda r: r["b"] > r["a"])
-
-
 def from_bbox(x: Column, y: Column, w: Column, h: Column, height: Column, width: Column) -> Column:
     """Counts of a filled box with whole corners inside an image: one run for each of its columns."""
     x0, x1 = F.greatest(x, F.lit(0)), F.least(x + w, width)
