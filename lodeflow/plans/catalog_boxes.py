@@ -96,7 +96,14 @@ def n5_anchor_grid(spark, d):
     return g.agg(F.count("*").alias("n"), F.sum("gx").alias("sx"), F.max(F.when(F.col("anchor") == 0, F.col("x2"))).alias("mx"))
 
 
-@query("n6_nms")
+_KEPT = "struct_pack(id := rk.id, x1 := rk.x1, y1 := rk.y1, x2 := rk.x2, y2 := rk.y2)"
+
+
+@query("n6_nms", f"""with recursive {_BOX}, rk as materialized (select *, row_number() over (partition by img, cls order by score desc, id) as k from bx),
+r as (select img, cls, k, [{_KEPT}] as kept from rk where k = 1 union all
+  select rk.img, rk.cls, rk.k, case when len(list_filter(r.kept, lambda b: {_inter('b', 'rk')} / ({_area('b')} + {_area('rk')} - {_inter('b', 'rk')}) > 0.3)) = 0 then list_append(r.kept, {_KEPT}) else r.kept end
+  from r join rk on rk.img = r.img and rk.cls = r.cls and rk.k = r.k + 1)
+select img, cls, unnest(list_transform(kept, lambda b: b.id)) as id from (select img, cls, arg_max(kept, k) as kept from r group by 1, 2)""")
 def n6_nms(spark, d):
     return boxes.nms(base(spark, d).select("id", "img", "cls", "score", *boxes.SIDES), ["img", "cls"], "score", "id", 0.3).select("img", "cls", "id")
 

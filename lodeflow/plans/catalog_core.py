@@ -390,7 +390,8 @@ def k4_fanout_path(spark, d):
     return table(spark, d, "documents").select("doc_id", T.fanout_path(F.col("doc_id").cast("string")).alias("path"))
 
 
-@query("k5_lookup_report")
+@query("k5_lookup_report", """with h as (select distinct cast(user_id as varchar) as p, event_id, props from events where event_type = 'error')
+select 'G1' || chr(9) || 'V1' || chr(9) || count(distinct p) as line from h union all select p || chr(9) || string_agg(props, ', ' order by event_id) from h group by p""")
 def k5_lookup_report(spark, d):
     from lodeflow.sources import sinks
 

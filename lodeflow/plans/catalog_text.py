@@ -10,7 +10,7 @@ from lodeflow.registry import query
 from lodeflow.session import table
 
 
-@query("f2_variant_tokens")
+@query("f2_variant_tokens", "select p_partkey, 'c|.|' || p_partkey || '|A|>|G|A|rg|' || p_size || '|G|ln|fs' as tokens from part")
 def f2_variant_tokens(spark, d):
     t = F.concat(F.lit("c."), F.col("p_partkey").cast("string"), F.lit("A>G Arg"), F.col("p_size").cast("string"), F.lit("Glnfs"))
     return table(spark, d, "part").select("p_partkey", F.array_join(T.variant_tokens(t), "|").alias("tokens"))
