@@ -13,7 +13,7 @@ from lodeflow.llm.common import map_rows, session
 
 #: Words of a window.
 WINDOW = 8
-#: Distinct documents-to-be-broadcast bound: characters of windows in one automaton (about 50 bytes of trie each).
+#: Characters of the windows that one automaton, and one broadcast, holds at most (about 50 bytes of trie each).
 BLOCK_CHARS = 4_000_000
 
 #: Bytes of UTF-8 text: A-Z to lower case; digits, letters and all non-ASCII bytes stay; the rest separates words.
@@ -43,11 +43,13 @@ class Scanner:
         for key, items in found.items():
             # one character for each UTF-8 byte; spaces at both ends keep matches on word boundaries
             self.automaton.add_word(f" {key.decode('latin-1')} ", (key.count(b" ") + 1, len(key) + 1, items))
-        self.automaton.make_automaton()
+        if found:
+            self.automaton.make_automaton()
+        self.any = bool(found)
 
     def hits(self, toks: list[bytes]) -> tuple[list[tuple[int, int]], set[int]]:
         """Word spans (first, end) of matches and the items that they belong to."""
-        if not toks:
+        if not toks or not self.any:
             return [], set()
         line = f" {b' '.join(toks).decode('latin-1')} "
         spans, items, starts = [], set(), None
@@ -63,7 +65,7 @@ class Scanner:
 _cache: dict = {}
 
 
-def _scanner(block: tuple, key: str) -> Scanner:
+def _scanner(block: list, key: str) -> Scanner:
     """One automaton per worker process and block."""
     if key not in _cache:
         _cache.clear()
@@ -94,15 +96,6 @@ def window_blocks(benchmark: DataFrame, size: int = WINDOW, block_chars: int = B
     return blocks, list(names)
 
 
-def find_spans(toks: list[bytes], scanners: list[Scanner]) -> tuple[list[tuple[int, int]], set[int]]:
-    spans, items = [], set()
-    for s in scanners:
-        more, ids = s.hits(toks)
-        spans += more
-        items |= ids
-    return spans, items
-
-
 def covered(spans: list[tuple[int, int]], n: int) -> int:
     """Words inside any span."""
     if not spans:
@@ -138,61 +131,87 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, min
     Returns ``id_col, n_words, n_hit, n_items, items_sha256, contaminated, n_long_items, spans``; spans are
     code-point offsets into the original text, merged where they touch, and n_long_items counts the
     items hit by a window of full size. Each document is read once for
-    each block of the benchmark (one block up to ``block_chars``), in one map over the scan without a shuffle.
+    each block of the benchmark (one block up to ``block_chars``), in maps over the scan without a shuffle; what is
+    broadcast for a block is bounded by its size.
     Defined results: null and empty texts have no words and no hits; items with null id or no words are
     ignored; repeated items count once; repeated documents give a row each; other columns are not read.
     """
     spark = session(docs)
     blocks, names = window_blocks(benchmark, size, block_chars)
-    sent = spark.sparkContext.broadcast((blocks, [str(x) for x in names]))
-    key = hashlib.md5(repr((blocks, names)).encode()).hexdigest()
+    kind = dict(docs.dtypes)[id_col]
+    state = f"`{id_col}` {kind}, text string, spans array<struct<start:int,end:int>>, items array<string>, long_items array<string>"
+    out = docs.select(F.col(id_col), "text", F.array().cast("array<struct<start:int,end:int>>").alias("spans"), F.array().cast("array<string>").alias("items"), F.array().cast("array<string>").alias("long_items"))
+    final = f"`{id_col}` {kind}, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean, n_long_items bigint, spans array<struct<start:int,end:int>>"
+    for k, block in enumerate(blocks):
+        out = _scan_block(out, id_col, block, names, size, min_items, final if k == len(blocks) - 1 else state)
+    return out
+
+
+def _scan_block(df: DataFrame, id_col: str, block: list, names: list, size: int, min_items: int, schema: str) -> DataFrame:
+    """Adds the hits of one block of windows; with the final schema, also sums up."""
+    owners = sorted({i for _, ids in block for i in ids})
+    ids = {i: str(names[i]) for i in owners}
+    long_ = {ids[i] for w, own in block if w.count(b" ") + 1 >= size for i in own}
+    sent = df.sparkSession.sparkContext.broadcast((block, ids, long_))
+    key = hashlib.md5(repr((block, ids)).encode()).hexdigest()
+    last = "n_words" in schema
 
     def make():
-        blocks, ids = sent.value
-        long_item = set()
-        for b in blocks:
-            for w, owners in b:
-                if w.count(b" ") + 1 >= size:
-                    long_item.update(owners)
-        scanners = [_scanner(b, key) if len(blocks) == 1 else Scanner(dict(b)) for b in blocks if b]
-
-        def run(doc_ids, texts):
-            out = [[] for _ in range(8)]
-            for d, t in zip(doc_ids, texts, strict=True):
+        block, ids, long_ = sent.value
+        scanner = _scanner(block, key)
+
+        def run(doc_ids, texts, spans, items, longs):
+            out = [[] for _ in range(8 if last else 5)]
+            for d, t, s, i, ln in zip(doc_ids, texts, spans, items, longs, strict=True):
                 toks = words(t)
-                spans, items = find_spans(toks, scanners)
-                joined = ",".join(sorted(ids[i] for i in items))
-                row = (d, len(toks), covered(spans, len(toks)), len(items), hashlib.sha256(joined.encode()).hexdigest(), len(items) >= min_items, len(items & long_item), [{"start": a, "end": b} for a, b in original_offsets(t or "", spans)])
+                more, found = scanner.hits(toks)
+                own = {ids[x] for x in found}
+                s = [(x["start"], x["end"]) for x in s] + more
+                i, ln = {*i, *own}, {*ln, *(own & long_)}
+                if last:
+                    digest = hashlib.sha256(",".join(sorted(i)).encode()).hexdigest()
+                    row = (d, len(toks), covered(s, len(toks)), len(i), digest, len(i) >= min_items, len(ln), [{"start": a, "end": b} for a, b in original_offsets(t or "", s)])
+                else:
+                    row = (d, t, [{"start": a, "end": b} for a, b in s], sorted(i), sorted(ln))
                 for o, v in zip(out, row, strict=True):
                     o.append(v)
             return out
 
         return run
 
-    kind = dict(docs.dtypes)[id_col]
-    return map_rows(docs, [id_col, "text"], f"`{id_col}` {kind}, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean, n_long_items bigint, spans array<struct<start:int,end:int>>", make)
+    return map_rows(df, [id_col, "text", "spans", "items", "long_items"], schema, make)
 
 
-def contaminated_rows(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
+def contaminated_rows(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """``docs`` without the documents that hold a benchmark passage; columns unchanged, no shuffle.
 
     A document goes if it holds windows of two items, or of one item at least ``size`` words long:
-    a short item's few words may be ordinary prose, a full window is a quotation.
+    a short item's few words may be ordinary prose, a full window is a quotation. Blocks and edge rows as above.
     """
-    spark = session(docs)
-    blocks, names = window_blocks(benchmark, size)
-    sent = spark.sparkContext.broadcast(blocks)
-    key = hashlib.md5(repr((blocks, len(names))).encode()).hexdigest()
-
-    @F.pandas_udf("boolean")
-    def leaks(texts: pd.Series) -> pd.Series:
-        blocks = sent.value
-        scanners = [_scanner(b, key) if len(blocks) == 1 else Scanner(dict(b)) for b in blocks if b]
-        return pd.Series([_leaks(words(t), scanners, size) for t in texts], dtype=bool)
-
-    return docs.where(~leaks(F.col("text")))
-
-
-def _leaks(toks: list[bytes], scanners: list[Scanner], size: int) -> bool:
-    spans, items = find_spans(toks, scanners)
-    return len(items) >= 2 or any(b - a >= size for a, b in spans)
+    session(docs)
+    blocks, _ = window_blocks(benchmark, size, block_chars)
+    found = [_block_hits(docs, b, size)(F.col("text")) for b in blocks if b]
+    if not found:
+        return docs
+    full = found[0]["full"]
+    for f in found[1:]:
+        full = full | f["full"]
+    items = F.array_distinct(F.flatten(F.array(*[f["items"] for f in found])))
+    return docs.where(~(full | (F.size(items) >= 2)))
+
+
+def _block_hits(docs: DataFrame, block: list, size: int):
+    """Function of a text column: whether a full window of the block occurs, and two items of the block at most."""
+    sent = docs.sparkSession.sparkContext.broadcast(block)
+    key = hashlib.md5(repr(block).encode()).hexdigest()
+
+    @F.pandas_udf("struct<full:boolean,items:array<int>>")
+    def hits(texts: pd.Series) -> pd.DataFrame:
+        scanner = _scanner(sent.value, key)
+        rows = []
+        for t in texts:
+            spans, items = scanner.hits(words(t))
+            rows.append((any(b - a >= size for a, b in spans), sorted(items)[:2]))
+        return pd.DataFrame(rows, columns=["full", "items"])
+
+    return hits

@@ -94,6 +94,11 @@ def test_decontamination_blocks(spark):
     b = spark.createDataFrame(items, "item_id bigint, text string")
     a, c = (sorted(map(tuple, decontaminate.decontaminate(frame(spark, docs), b, block_chars=n).drop("spans").collect())) for n in (300, 10**6))
     assert a == c and all(r[3] == 1 for r in a)
+    kept = [decontaminate.contaminated_rows(frame(spark, [*docs, (99, "clean", "en")]), b, block_chars=n).count() for n in (300, 10**6)]
+    assert kept == [1, 1]
+    none = decontaminate.decontaminate(frame(spark, docs), b.limit(0)).collect()
+    assert len(none) == len(docs) and not any(r.n_hit or r.contaminated for r in none)
+    assert decontaminate.contaminated_rows(frame(spark, docs), b.limit(0)).count() == len(docs)
 
 
 @pytest.mark.parametrize("tau,n", [(3, 300), (5, 200), (6, 150)])
