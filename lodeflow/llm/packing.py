@@ -8,8 +8,7 @@ import re
 import unicodedata
 import zlib
 from array import array
-from itertools import compress
-from operator import not_
+from operator import attrgetter
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -19,10 +18,11 @@ from lodeflow.llm.common import map_rows, session, settle, sized_join
 
 CAPACITY = 4096
 #: Words whose ids a worker remembers.
-CACHE = 150_000
+CACHE = 300_000
 #: Separators that the str.split of Python knows and the tokenizer's \\s doesn't.
 _ODD_SPACE = ("\x1c", "\x1d", "\x1e", "\x1f")
 END_ID = 1
+_ID = attrgetter("id")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -37,7 +37,23 @@ def _word_pattern() -> re.Pattern:
     chars = [chr(c) for c in range(256)]
     letters = "".join(re.escape(c) for c in chars if unicodedata.category(c).startswith("L"))
     digits = "".join(re.escape(c) for c in chars if unicodedata.category(c).startswith("N"))
-    return re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{digits}]|[^\s{letters}{digits}]+")
+    return re.compile(rf"[{letters}]+|[{digits}]|'s|'t|'re|'ve|'m|'ll|'d|[^\s{letters}{digits}]+")
+
+
+class Words(dict):
+    """Ids of words, as bytes; a word that isn't there goes to the tokenizer's model and is remembered."""
+
+    def __init__(self, model):
+        super().__init__()
+        self.tokenize, self.letters = model.tokenize, _byte_letters()
+
+    def __missing__(self, word: str) -> bytes:
+        seen = word if word.isascii() and "\x7f" not in word else word.encode().decode("latin-1").translate(self.letters)
+        got = array("I", map(_ID, self.tokenize(seen))).tobytes()
+        if len(self) >= CACHE:
+            self.clear()
+        self[word] = got
+        return got
 
 
 class Tokens:
@@ -55,27 +71,14 @@ class Tokens:
 
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
-        self.model = self.tok.model
-        self.letters, self.find = _byte_letters(), _word_pattern().findall
-        self.words: dict[str, bytes] = {}
+        self.find = _word_pattern().findall
+        self.words = Words(self.tok.model)
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def _latin(self, text: str) -> bytes:
-        words, known = self.find(text.lower()), self.words
-        got = list(map(known.get, words))
-        missing = set(compress(words, map(not_, got)))
-        if not missing:
-            return b"".join(got)
-        if len(known) + len(missing) > CACHE:
-            known.clear()
-            missing = set(words)
-        tokenize = self.model.tokenize
-        for w in missing:
-            seen = w if w.isascii() and "\x7f" not in w else w.encode().decode("latin-1").translate(self.letters)
-            known[w] = array("I", [t.id for t in tokenize(seen)]).tobytes()
-        return b"".join(map(known.__getitem__, words))
+        return b"".join(map(self.words.__getitem__, self.find(text.lower())))
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text, without the end."""
