@@ -12,8 +12,9 @@ from lodeflow.operators import boxes
 
 def rank_flags(dets: DataFrame, truths: DataFrame, by: list[str], image: str, det: str, gt: str, score: str, size: float, threshold: float = 0.5) -> DataFrame:
     """Each detection with ``tp`` and ``fp``: its best truth must overlap above the threshold; the first detection of a truth
-    counts, later ones are false; a difficult truth makes neither. Windows only, no group leaves the JVM."""
-    pairs = boxes.overlap_join(dets, truths, [*by, image], size).withColumn("iou", boxes.iou_pixel("a_", "b_"))
+    counts, later ones are false; a difficult truth makes neither. Windows only, no group leaves the JVM. Pairs at or
+    below the threshold can't count and are dropped before the best one is sought."""
+    pairs = boxes.overlap_join(dets, truths, [*by, image], size).withColumn("iou", boxes.iou_pixel("a_", "b_")).where(F.col("iou") > threshold)
     best = pairs.groupBy(*by, image, F.col(f"a_{det}").alias(det)).agg(F.max(F.struct("iou", (-F.col(f"b_{gt}")).alias("__g"), F.col("b_difficult").alias("difficult"))).alias("m"))
     found = dets.join(best, [*by, image, det], "left").select(*by, image, det, score, (-F.col("m")["__g"]).alias(gt), F.coalesce(F.col("m")["iou"], F.lit(0.0)).alias("iou"), F.coalesce(F.col("m")["difficult"], F.lit(0)).alias("difficult"))
     hit = F.col("iou") > threshold
