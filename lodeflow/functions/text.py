@@ -138,16 +138,19 @@ def body_limit(body: Column, most: int = 100_000) -> Column:
     return F.substring(body, 1, most)
 
 
+_CAPTION = r"^\s*(?:Supp(?:\.|lemental|lementary)?\s*)?(?:[Tt]able|TABLE)\s*S?(VIII|VII|VI|IV|IX|III|II|I|V|X|[0-9]+|[A-L])(?![A-Za-z])"
+
+
 def caption_number(line: Column) -> Column:
-    """Label of a table caption (arabic, roman or a letter), or null: ``Table IV. ...``, ``TABLE 2: ...``."""
-    found = F.regexp_extract(line, r"^\s*(?:(?i)table|tab\.?)\s+([0-9]+|[IVXLC]+|[A-Z])(?:[.:\s]|$)", 1)
+    """Label of a table caption (arabic, roman or a letter), or null: ``Table IV. ...``, ``TABLE 2: ...``, ``Supplementary Table S1``."""
+    found = F.regexp_extract(line, _CAPTION, 1)
     return F.when(found != "", found)
 
 
 def is_caption(line: Column, flags: Column) -> Column:
     """A caption line counts if a colon follows the label, if it is set bold or italic, or if it is a single sentence."""
     styled = flags.bitwiseAND(F.lit(18)) != 0
-    colon = line.rlike(r"^\s*(?i:table|tab\.?)\s+\S+?:")
+    colon = line.rlike(_CAPTION + r"\s*:")
     return caption_number(line).isNotNull() & (colon | styled | (F.size(sentences(line)) == 1))
 
 

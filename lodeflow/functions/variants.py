@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 # Amino acids, three-letter and one-letter names; X and Ter mean stop.
 AMINO = {
     "Ala": "A", "Arg": "R", "Asn": "N", "Asp": "D", "Cys": "C", "Gln": "Q", "Glu": "E", "Gly": "G", "His": "H", "Ile": "I", "Leu": "L",
-    "Lys": "K", "Met": "M", "Phe": "F", "Pro": "P", "Ser": "S", "Thr": "T", "Trp": "W", "Tyr": "Y", "Val": "V", "Ter": "X", "Stop": "X", "*": "X",
+    "Lys": "K", "Met": "M", "Phe": "F", "Pro": "P", "Ser": "S", "Thr": "T", "Trp": "W", "Tyr": "Y", "Val": "V", "Asx": "B", "Glx": "Z", "Ter": "X", "Stop": "X", "*": "X",
 }
 #: Largest positions that a protein, a coding and a genomic position of a mention may have.
 MOST_CODING = 2_305_000
@@ -155,17 +155,19 @@ def parse_lookup(query: Column) -> Column:
     def seq(pattern, default):
         return F.when(g(pattern, 1) != "", g(pattern, 1)).otherwise(F.lit(default))
 
-    at = r"([0-9*+-]+)(?:_([0-9*+-]+))?"
-    protein = r"^(?:(p)\.)?([A-Z])([0-9]+)([A-Z*])$"
+    place = r"((?:(?:IVS|ivs|Intron|intron)[0-9]+(?:[-+][0-9]+)?|[-*]?[0-9]+(?:[+-][0-9]+)?))"
+    coding, span, tail = r"^(?:([cgmnr])\.)?", place + f"(?:_{place})?", r"(?:bp)?[\])]?;?$"
+    residue = f"({_AA3}|[ARNDBCEQZGHILKMFPSTWYVX*])"
     forms = [
         (r"^rs([0-9]+)$", lambda p: row("RSID", F.lit(None).cast("string"), g(p, 1), None, None)),
-        (protein, lambda p: row("SUB", F.lit("p"), g(p, 3), g(p, 2), g(p, 4))),
-        (r"^([cgmnr])\.([ACGT])([0-9*+-]+)([ACGT])$", lambda p: row("SUB", g(p, 1), g(p, 3), g(p, 2), g(p, 4))),
-        (r"^(?:([cgmnr])\.)?([0-9*+-]+)([ACGT])>([ACGT])$", lambda p: row("SUB", seq(p, "c"), g(p, 2), g(p, 3), g(p, 4))),
-        (rf"^(?:([cgmnr])\.)?{at}(?:delins|indel)([ACGT]+)$", lambda p: row("INDEL", seq(p, "c"), g(p, 2), None, g(p, 4), g(p, 3))),
-        (rf"^(?:([cgmnr])\.)?{at}del([ACGT]*)$", lambda p: row("DEL", seq(p, "c"), g(p, 2), g(p, 4), None, g(p, 3))),
-        (rf"^(?:([cgmnr])\.)?{at}dup([ACGT]*)$", lambda p: row("DUP", seq(p, "c"), g(p, 2), g(p, 4), None, g(p, 3))),
-        (rf"^(?:([cgmnr])\.)?{at}ins([ACGT]+)$", lambda p: row("INS", seq(p, "c"), g(p, 2), None, g(p, 4), g(p, 3))),
+        (rf"^(?:(p)\.)?{residue}([0-9]+){residue}$", lambda p: row("SUB", F.lit("p"), g(p, 3), one_letter(g(p, 2)), one_letter(g(p, 4)))),
+        (coding + r"([ACGT])([0-9]+)([ACGT])$", lambda p: row("SUB", seq(p, "c"), g(p, 3), g(p, 2), g(p, 4))),
+        (coding + span + r"([ACGT]+)[>/]([ACGT]+)$", lambda p: row("SUB", seq(p, "c"), g(p, 2), g(p, 4), g(p, 5), g(p, 3))),
+        (rf"^(?:(p)\.)?([0-9]+){residue}[>/]{residue}[\])]?;?$", lambda p: row("SUB", F.lit("p"), g(p, 2), one_letter(g(p, 3)), one_letter(g(p, 4)))),
+        (coding + span + r"del([ACGT0-9]*)" + tail, lambda p: row("DEL", seq(p, "c"), g(p, 2), g(p, 4), None, g(p, 3))),
+        (coding + span + r"dup([ACGT0-9]*)" + tail, lambda p: row("DUP", seq(p, "c"), g(p, 2), g(p, 4), None, g(p, 3))),
+        (coding + span + r"ins([ACGT]*)" + tail, lambda p: row("INS", seq(p, "c"), g(p, 2), None, g(p, 4), g(p, 3))),
+        (coding + span + r"(?:del([ACGT0-9]*)ins|indel)([ACGT]*)$", lambda p: row("INDEL", seq(p, "c"), g(p, 2), g(p, 4), g(p, 5), g(p, 3))),
     ]
     out = None
     for pattern, make in forms:

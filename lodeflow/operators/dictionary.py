@@ -11,7 +11,7 @@ from lodeflow.functions import text as T
 
 #: Words that don't count as tokens of a name in the first and the second bag.
 STOP_FIRST = ["", "of", "the"]
-STOP_SECOND = ["", "of", "the", "gene", "protein", "human", "and", "type"]
+STOP_SECOND = ["", "of", "an", "the", "and", "gene", "pseudogene", "protein", "receptor"]
 
 
 def word_tokens(text: Column) -> Column:
@@ -134,7 +134,7 @@ def resolve_names(mentions: DataFrame, names: DataFrame, gene_tokens: DataFrame,
     in_block = found.select("block", "gene_id").distinct()
     seven = options.join(in_block, ["block", "gene_id"]).groupBy("block", "start", "end", "mention", "name_key").agg(F.min("gene_id").alias("gene_id"), F.lit(7).alias("step"))
     open7 = options.join(seven.select("block", "start", "end"), ["block", "start", "end"], "left_anti")
-    common = open7.join(gene_tokens, "gene_id").join(articles.distinct(), ["block", "token"]).groupBy("block", "start", "end", "mention", "name_key", "gene_id").agg(F.countDistinct("token").alias("n"))
+    common = open7.join(gene_tokens, "gene_id").join(articles.where(~F.col("token").isin(STOP_FIRST)).distinct(), ["block", "token"]).groupBy("block", "start", "end", "mention", "name_key", "gene_id").agg(F.countDistinct("token").alias("n"))
     best = common.withColumn("m", F.max("n").over(Window.partitionBy("block", "start", "end"))).where("n = m").withColumn("c", F.count("*").over(Window.partitionBy("block", "start", "end")))
     eight = best.where("c = 1").select("block", "start", "end", "mention", "name_key", "gene_id", F.lit(8).alias("step"))
     resolved = found.unionByName(seven.select(found.columns)).unionByName(eight.select(found.columns)).checkpoint()

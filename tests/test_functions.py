@@ -45,12 +45,13 @@ def test_sentences_and_captions(spark):
     assert one(spark, T.sentences(F.col("t")), t="See Fig. 2 for it. Then stop! 3 more? no") == ["See Fig. 2 for it.", "Then stop!", "3 more? no"]
     assert [len(x) for x in one(spark, T.chop(F.col("t")), t="x" * 4001)] == [2000, 2000, 1]
     assert one(spark, T.caption_number(F.col("t")), t="Table IV. Results") == "IV" and one(spark, T.caption_number(F.col("t")), t="Tables are here") is None
+    assert one(spark, T.caption_number(F.col("t")), t="Supplementary Table S12: x") == "12"
     assert one(spark, T.is_caption(F.col("t"), F.lit(0)), t="Table 2: a b. C d.") and not one(spark, T.is_caption(F.col("t"), F.lit(0)), t="Table 2 shows that. It is so.")
 
 
 LOOKUPS = {
     "p.M34T": ("SUB", "p", "34", "M", "T"), "A34T": ("SUB", "p", "34", "A", "T"), "c.A34T": ("SUB", "c", "34", "A", "T"), "c.123C>A": ("SUB", "c", "123", "C", "A"), "c.35delG": ("DEL", "c", "35", "G", None),
-    "c.35dupG": ("DUP", "c", "35", "G", None), "c.35insG": ("INS", "c", "35", None, "G"), "c.35delinsG": ("INDEL", "c", "35", None, "G"), "rs123": ("RSID", None, "123", None, None), "nonsense": None,
+    "c.35dupG": ("DUP", "c", "35", "G", None), "c.35insG": ("INS", "c", "35", None, "G"), "c.35delinsG": ("INDEL", "c", "35", None, "G"), "rs123": ("RSID", None, "123", None, None), "p.Met34Thr": ("SUB", "p", "34", "M", "T"), "c.12+3A/G": ("SUB", "c", "12+3", "A", "G"), "c.5_7del3bp;": ("DEL", "c", "5", "3", None), "34M>T": ("SUB", "p", "34", "M", "T"), "nonsense": None,
 }
 
 
