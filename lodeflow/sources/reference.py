@@ -107,14 +107,13 @@ def coco(spark: SparkSession, path: str) -> dict[str, DataFrame]:
 
 
 def coco_results(spark: SparkSession, path: str, images: DataFrame) -> DataFrame:
-    """Detections of a result file, numbered; an image that isn't in the set is an error."""
+    """Detections of a result file with unique ids; an image that isn't in the set is an error."""
     raw = spark.read.option("multiLine", "true").json(path)
     extra = raw.select(F.col("image_id").alias("id")).distinct().join(images.select("id"), "id", "left_anti").limit(1).collect()
     if extra:
         raise ValueError(f"results name an unknown image: {extra[0][0]}")
     b = F.col("bbox")
-    order = Window.orderBy("image_id", "category_id", F.desc("score"), F.to_json("bbox"))
-    return raw.withColumn("id", F.row_number().over(order)).select("id", "image_id", "category_id", "score", b[0].alias("x1"), b[1].alias("y1"), (b[0] + b[2]).alias("x2"), (b[1] + b[3]).alias("y2"), (b[2] * b[3]).alias("area"))
+    return raw.withColumn("id", F.monotonically_increasing_id() + 1).select("id", "image_id", "category_id", "score", b[0].alias("x1"), b[1].alias("y1"), (b[0] + b[2]).alias("x2"), (b[1] + b[3]).alias("y2"), (b[2] * b[3]).alias("area"))
 
 
 def annotation_filter(anns: DataFrame, images: list | None = None, categories: list | None = None, area: tuple[float, float] | None = None, crowd: bool | None = None) -> DataFrame:
