@@ -301,7 +301,7 @@ CANDIDATE_DIFF = 6
 CANDIDATE_SEEDS = (11, 29)
 #: Bits of the fingerprint over five-word shingles, and how many may differ. Two sets of equal size with Jaccard 0.8
 #: have an angle of cosine 2 * 0.8 / 1.8, which is 0.151 of a half turn: 77.5 bits of 512, with a standard deviation of
-#: 8. The bound lies above that mean, so that pairs at 0.8 pass in nine cases of ten and pairs above 0.85 always.
+#: 8. The bound lies above that mean, so that four in five pairs at exactly 0.8 pass, and all but a few at 0.85 or above.
 WIDE_BITS = 512
 WIDE_DIFF = 84
 _MIX = np.uint64(0x9E3779B97F4A7C15)
