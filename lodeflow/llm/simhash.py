@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from bisect import bisect_right
+
 import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -294,16 +296,12 @@ def components(docs: DataFrame, size: int = 3, tau: int = 3) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------------------------------------------
-# Near-duplicate stage: five-word shingles, resemblance of 0.8 or more.
-
-#: Bits that candidate fingerprints (over the set of words) may differ by, and how many of them there are.
-CANDIDATE_DIFF = 6
-CANDIDATE_SEEDS = (11, 29)
-#: Bits of the fingerprint over five-word shingles, and how many may differ. Two sets of equal size with Jaccard 0.8
-#: have an angle of cosine 2 * 0.8 / 1.8, which is 0.151 of a half turn: 77.5 bits of 512, with a standard deviation of
-#: 8. The bound lies above that mean, so that four in five pairs at exactly 0.8 pass, and all but a few at 0.85 or above.
-WIDE_BITS = 512
-WIDE_DIFF = 84
+# Near-duplicate stage: sets of five-word shingles, resemblance (Jaccard) of 0.8 or more, exactly.
+
+#: Shingles of one block of a large candidate group; a task compares two blocks at most (and two texts at least).
+BLOCK_SHINGLES = 1 << 19
+#: Shingles in a part of a set, about.
+PART = 3
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -315,51 +313,151 @@ def _scramble(x: np.ndarray, seeds: tuple[int, ...]) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def near_features(text: str | None, size: int = 5) -> list[int]:
-    """Candidate fingerprints over the set of words, then the words of the wide fingerprint over the set of shingles."""
-    n_wide = WIDE_BITS // 64
+def shingle_set(text: str | None, size: int = 5) -> np.ndarray:
+    """Sorted 64-bit hashes of the set of runs of ``size`` words; of a shorter text its whole sequence."""
     toks = words(text)
     if not toks:
-        return [0] * (len(CANDIDATE_SEEDS) + n_wide)
+        return np.empty(0, dtype=np.uint64)
     h = np.fromiter(map(xxhash.xxh64_intdigest, toks), dtype=np.uint64, count=len(toks))
     run = np.zeros(max(1, len(h) - size + 1), dtype=np.uint64)
     with np.errstate(over="ignore"):
         for k in range(min(size, len(h))):
             run = run * _MIX + _scramble(h[k : k + len(run)], (k + 1,))[0]
-        run, single = np.unique(run), np.unique(h)
-        out = majorities(_scramble(single, CANDIDATE_SEEDS))
-        out += majorities(_scramble(run, tuple(range(101, 101 + n_wide))))
-    return [signed(x) for x in out]
+    return np.unique(run)
+
+
+def _bounds() -> list[int]:
+    """First sizes of the size classes, each a quarter above the last; sets of fewer than 4 resemble equal ones only."""
+    out = [4]
+    while out[-1] < 1 << 40:
+        out.append(max(out[-1] + 1, out[-1] * 5 // 4))
+    return out
+
+
+_SIZES = _bounds()
+
+
+def near_keys(h: np.ndarray) -> np.ndarray:
+    """Keys of a set; two unequal sets with a Jaccard index of 0.8 or more have one in common, always.
+
+    Let the smaller set have a elements. The sets differ in a // 4 elements at most, so of m parts, into which
+    elements are dealt by hash, m - d are equal for any d of at least a // 4. Order parts by their number of elements:
+    the last of the equal parts is among the last d + 1 in both sets, so those are the keys. m and d are set by the
+    size class of the smaller set; a set has keys for each class that a smaller partner may be in. Should a key be an
+    empty part, it is so in both sets; then the first n - ceil(0.8 n) + 1 elements are keys too (prefix filtering).
+    """
+    n = len(h)
+    if n < 4:
+        return np.empty(0, dtype=np.uint64)
+    out, bare = [], False
+    least = max(4, -(-4 * n // 5))
+    body = _scramble(h, (7,))[0]
+    with np.errstate(over="ignore"):
+        for c in range(bisect_right(_SIZES, least) - 1, bisect_right(_SIZES, n)):
+            top = _SIZES[c + 1] - 1
+            d = top // 4
+            m = max(d + 1, top // PART)
+            part = ((_scramble(h, (1000 + c,))[0] >> np.uint64(32)) * np.uint64(m)) >> np.uint64(32)
+            part = part.astype(np.int64)
+            count = np.bincount(part, minlength=m)
+            total = np.zeros(m, dtype=np.uint64)
+            np.add.at(total, part, body)
+            last = np.argsort(count, kind="stable")[m - d - 1 :]
+            full = last[count[last] > 0]
+            bare |= len(full) < len(last)
+            out.append(_scramble(total[full] + full.astype(np.uint64) * _MIX, (2000 + c,))[0])
+        if bare:
+            out.append(_scramble(h[: n - (-(-4 * n // 5)) + 1], (3,))[0])
+    return np.unique(np.concatenate(out))
+
+
+def set_links(sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Edges, as positions, that connect just those sets which pairs with a Jaccard index of 0.8 or more connect.
+
+    A search from set to set counts the elements that it shares with each set not yet reached.
+    """
+    size = np.array([len(s) for s in sets], dtype=np.int64)
+    owner = np.repeat(np.arange(len(sets)), size)
+    _, code = np.unique(np.concatenate(sets), return_inverse=True)
+    order = np.argsort(code, kind="stable")
+    held, start = owner[order], np.concatenate(([0], np.cumsum(np.bincount(code))))
+    first = np.concatenate(([0], np.cumsum(size)))
+    left, out = np.ones(len(sets), dtype=bool), []
+    for root in range(len(sets)):
+        if not left[root]:
+            continue
+        left[root], queue = False, [root]
+        while queue:
+            q = queue.pop()
+            own = code[first[q] : first[q + 1]]
+            n = start[own + 1] - start[own]
+            at = np.repeat(start[own] - np.cumsum(n) + n, n) + np.arange(n.sum())
+            both = np.bincount(held[at], minlength=len(sets))
+            hit = np.flatnonzero(left & (both > 0) & (5 * both >= 4 * (size + size[q] - both)))
+            left[hit] = False
+            out += [(q, int(x)) for x in hit]
+            queue += hit.tolist()
+    return out
+
+
+def _near_edges(size: int):
+    """Reads (group, p, q, id, text) with the rows of each (group, p, q) together, gives edges between their ids."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        def edges(ids, sets):
+            got = set_links(sets) if len(ids) > 1 else []
+            if got:
+                yield pa.RecordBatch.from_arrays([pa.array([ids[a] for a, _ in got], pa.int64()), pa.array([ids[b] for _, b in got], pa.int64())], names=["a", "b"])
+
+        name, ids, sets = None, [], []
+        for batch in batches:
+            for g, p, q, i, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (g, p, q) != name:
+                    yield from edges(ids, sets)
+                    name, ids, sets = (g, p, q), [], []
+                ids.append(i)
+                sets.append(shingle_set(text, size))
+        yield from edges(ids, sets)
+
+    return run
 
 
-def near_duplicates(docs: DataFrame, id_col: str, size: int = 5) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str, size: int = 5, block: int = BLOCK_SHINGLES) -> DataFrame:
     """(id_col, root): rows with the same root are near duplicates, directly or by a chain.
 
-    Two texts are linked if the fingerprints over the sets of their five-word shingles tell a resemblance of 0.8
-    or more. Candidates come from two shorter fingerprints over the sets of words, which a changed word moves far
-    less, each searched by pigeonring filtering within ``CANDIDATE_DIFF`` bits. Rows whose texts have the same
-    words are one point. ``id_col`` must be a unique long.
+    Two texts are linked if the Jaccard index of their sets of five-word shingles is 0.8 or more; none is missed and
+    none below is linked. Texts with the same set are one point. Points with a key in common are
+    tied to the least one of it, so a key gives no more ties than members; what ties connect is a candidate group,
+    and its members are compared by their whole sets. Groups of more than ``block`` shingles are cut into blocks, and
+    each pair of blocks is compared: nothing is capped. ``id_col`` must be a unique long, ``docs`` a repeatable plan.
     """
-    names = [f"c{k}" for k in range(len(CANDIDATE_SEEDS))]
-    wide = [f"w{k}" for k in range(WIDE_BITS // 64)]
 
     def make():
         def run(ids, texts):
-            got = [near_features(t, size) for t in texts]
-            return [ids, *([g[k] for g in got] for k in range(len(names) + len(wide)))]
+            sets = [shingle_set(t, size) for t in texts]
+            named = [xxhash.xxh3_128_intdigest(h.tobytes()) for h in sets]
+            return [ids, [signed(x >> 64) for x in named], [signed(x & ((1 << 64) - 1)) for x in named], list(map(len, sets)), [near_keys(h).view(np.int64) for h in sets]]
 
         return run
 
-    schema = f"`{id_col}` bigint, " + ", ".join(f"{n} bigint" for n in [*names, *wide])
-    rows = settle(map_rows(docs, [id_col, "text"], schema, make))
-    points = settle(rows.groupBy(*names, *wide).agg(F.min(id_col).alias("id")))
-    edges = None
-    for n in names:
-        more = hamming_links(points.select("id", F.col(n).alias("fp"), *wide), CANDIDATE_DIFF, wide, WIDE_DIFF)
-        edges = more if edges is None else edges.unionByName(more)
-    roots = connected_components(edges)
-    owner = points.join(roots, points.id == roots.node, "left").select(*names, *wide, F.coalesce("root", "id").alias("root"))
-    return rows.join(owner, [*names, *wide]).select(id_col, "root")
+    rows = settle(map_rows(docs, [id_col, "text"], "id bigint, s1 bigint, s2 bigint, n bigint, keys array<bigint>", make))
+    firsts = rows.groupBy("s1", "s2").agg(F.min("id").alias("point"))
+    named = settle(rows.select("id", "s1", "s2", "n").join(firsts, ["s1", "s2"]).select("id", "point", "n"))
+    copies = named.where("id <> point").select("id")
+    points = rows.join(F.broadcast(copies) if small(copies, 1_000_000) else copies, "id", "left_anti").select("id", F.explode("keys").alias("key"))
+    ties = points.selectExpr("id as a", "min(id) over (partition by key) as b").where("a <> b")
+    tied = connected_components(ties).select(F.col("node").alias("id"), F.col("root").alias("g"))
+    placed = tied.join(named.select("id", "n"), "id").selectExpr("id", "g", f"floor((sum(n) over (partition by g order by id) - n) / {block}) as k")
+    placed = settle(placed.selectExpr("id", "g", "k", "max(k) over (partition by g) as m"))
+    paired = placed.withColumn("o", F.explode(F.expr("sequence(0L, m)"))).where("not (o = k and m > 0)").selectExpr("id", "g", "least(k, o) as p", "greatest(k, o) as q")
+    texts = docs.select(F.col(id_col).alias("id"), "text")
+    held = texts.join(F.broadcast(paired) if small(paired, 1_000_000) else paired, "id")
+    dealt = held.select("g", "p", "q", "id", "text").repartition("g", "p", "q").sortWithinPartitions("g", "p", "q", "id")
+    roots = connected_components(dealt.mapInArrow(_near_edges(size), "a bigint, b bigint"))
+    owner = named.join(roots, named.point == roots.node, "left")
+    return owner.select(F.col("id").alias(id_col), F.coalesce("root", "point").alias("root"))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:

@@ -159,6 +159,26 @@ def test_near_duplicates(spark):
     assert frame(spark, []).columns == simhash.one_of_each(frame(spark, [])).columns
 
 
+def test_near_duplicates_block_edits(spark):
+    docs = []
+    for i in range(60):
+        w = words_of(1000 + i, 60 + 5 * i, 5000)
+        more = words_of(2000 + i, len(w) // 5 + i % 3 - 1, 5000)
+        k = (37 * i) % len(w)
+        docs += [(10 * i, " ".join(w), "en"), (10 * i + 1, " ".join(w + more), "en"), (10 * i + 2, " ".join(w[: -(len(w) // 6)]), "en"), (10 * i + 3, " ".join(w[:k] + more + w[k:]), "en")]
+    docs += [(7000 + i, f"a b c d e f g h{i} i j k l m n", "en") for i in range(5)]
+    sets = {d: set(zip(*(t.split()[k:] for k in range(5)))) for d, t, _ in docs}
+    near = [(a, b) for a, b in itertools.combinations(sets, 2) if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
+    assert len(near) > 100
+    want = groups(near, sets)
+    for block in (simhash.BLOCK_SHINGLES, 150):
+        rows = simhash.near_duplicates(spark.createDataFrame([(d, t) for d, t, _ in docs], "id bigint, text string"), "id", block=block).collect()
+        low = {}
+        for x in rows:
+            low[x.root] = min(low.get(x.root, x.id), x.id)
+        assert {x.id: low[x.root] for x in rows} == want
+
+
 def test_top_k(spark):
     r = np.random.default_rng(5)
     rows = [(i, r.normal(size=8).round(3).tolist()) for i in range(400)]
