@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodeflow.llm.common import map_rows
+from lodeflow.llm.common import map_rows, settle, small
+from lodeflow.llm.simhash import _scramble
 
 #: Lines that the rolling hash looks back over, and the mean number of short lines in a chunk.
 LOOK_BACK = 2
@@ -17,6 +20,12 @@ MEAN_LINES = 3
 MIN_LINES = 2
 #: A line of so many words or more is a chunk of its own: a passage that is worth removing wherever it stands.
 LONG_LINE = 50
+#: Words of a passage that goes wherever it stands, in a line or over parts of lines, if it occurred before.
+PASSAGE = 51
+#: Seeds are cut at the least hash of three words in each run of so many: a passage has two cuts of its own, always.
+SEED_RUN = (PASSAGE - 2) // 2
+#: Rows that may be broadcast.
+BROADCAST_ROWS = 100_000
 _BASE = np.uint64(0x100000001B3)
 
 
@@ -120,8 +129,111 @@ def strip(text: str | None, gone: list[int] | None) -> str | None:
     return "\n".join(x for k, (a, b, _) in enumerate(chunks(text)) if k not in dropped for x in lines[a:b])
 
 
+def _beside(*parts: np.ndarray) -> np.ndarray:
+    """Hash of neighbouring runs, from those of the runs."""
+    out = parts[0]
+    with np.errstate(over="ignore"):
+        for k, p in enumerate(parts[1:]):
+            out = _scramble(out, (60 + k,))[0] * _BASE + p
+    return out
+
+
+def _words(text: str | None) -> np.ndarray:
+    toks = text.split() if text else []
+    return np.fromiter((xxhash.xxh64_intdigest(x.encode("utf-8", "surrogatepass"), 7) for x in toks), dtype=np.uint64, count=len(toks))
+
+
+def seeds(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the seeds of a text's words, and for each run of ``PASSAGE`` words its first seed and the end of its seeds.
+
+    Cuts are the leftmost least hashes of three words in every run of ``SEED_RUN`` (winnowing), a seed goes from cut
+    to cut. A passage's first and last run of ``SEED_RUN`` give two cuts, and runs over its edges give none between
+    them; so wherever a passage stands, it has the same seeds between these two, one at least.
+    """
+    if len(h) < PASSAGE:
+        return np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+    g = _scramble(_beside(h[:-2], h[1:-1], h[2:]), (59,))[0]
+    least = np.lib.stride_tricks.sliding_window_view(g, SEED_RUN).argmin(axis=1)
+    least += np.arange(len(least))
+    cut, place = np.unique(least, return_inverse=True)
+    with np.errstate(over="ignore"):
+        total = np.add.reduceat(_scramble(g, (58,))[0], cut)[:-1]
+    n, last = len(h) - PASSAGE + 1, PASSAGE - 2 - SEED_RUN
+    return _scramble(_beside(total, g[cut[:-1]], g[cut[1:]]), (57,))[0], place[:n], place[last : last + n]
+
+
+def windows(h: np.ndarray, seed: int) -> np.ndarray:
+    """Hash of every run of ``PASSAGE`` words (51 = 32 + 16 + 2 + 1)."""
+    n = len(h) - PASSAGE + 1
+    run = {1: _scramble(h, (seed,))[0]}
+    for k in (1, 2, 4, 8, 16):
+        run[2 * k] = _beside(run[k][:-k], run[k][k:])
+    return _scramble(_beside(run[32][:n], run[16][32 : 32 + n], run[2][48 : 48 + n], run[1][50 : 50 + n]), (seed,))[0]
+
+
+def passages(rows: DataFrame, id_col: str, text: str = "text") -> DataFrame:
+    """(id_col, runs: array of word numbers): where ``PASSAGE`` words in a row occurred before, by order of ``id_col``, then place.
+
+    Only seeds are shuffled for all texts. Runs of words none of whose seeds is unique give their hashes (128
+    bits); the first place of a hash stays, as do runs that overlap their own first place.
+    """
+
+    def seed_rows():
+        return lambda ids, texts: [ids, [seeds(_words(t))[0].view(np.int64) for t in texts]]
+
+    def run_rows():
+        def run(ids, texts, wanted):
+            out = [[], [], [], []]
+            for i, t, ws in zip(ids, texts, wanted, strict=True):
+                h = _words(t)
+                key, start, end = seeds(h)
+                single = np.concatenate(([0], np.cumsum(~np.isin(key, np.array(ws, dtype=np.int64).view(np.uint64)))))
+                at = np.flatnonzero(single[start] == single[end])
+                if not len(at):
+                    continue
+                for o, v in zip(out, (np.full(len(at), i, dtype=np.int64), at, windows(h, 61)[at].view(np.int64), windows(h, 62)[at].view(np.int64)), strict=True):
+                    o.append(v)
+            return [np.concatenate(o) if o else [] for o in out]
+
+        return run
+
+    places = settle(map_rows(rows, [id_col, text], "id bigint, h array<bigint>", seed_rows)).select("id", F.explode("h").alias("h"))
+    again = places.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+    wanted = settle(places.join(again, "h").groupBy("id").agg(F.collect_set("h").alias("wanted")))
+    with_text = rows.select(F.col(id_col).alias("id"), F.col(text).alias("text")).join(F.broadcast(wanted) if small(wanted, BROADCAST_ROWS) else wanted, "id")
+    runs = map_rows(with_text, ["id", "text", "wanted"], "id bigint, at bigint, h1 bigint, h2 bigint", run_rows)
+    firsts = runs.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(F.struct("id", "at")).alias("first")).where("n > 1").select("h1", "h2", "first")
+    later = runs.join(firsts, ["h1", "h2"]).where(f"id <> first.id or at >= first.at + {PASSAGE}")
+    return later.groupBy("id").agg(F.sort_array(F.collect_list("at")).alias("runs")).withColumnRenamed("id", id_col)
+
+
+def strip_all(text: str | None, gone: list[int] | None, runs: list[int] | None) -> str | None:
+    """A text without the chunks of these numbers and the words of these runs; lines that lose all words go too."""
+    if text is None or not runs:
+        return strip(text, gone)
+    dropped = set(gone or [])
+    chunk_lines = {k for n, (a, b, _) in enumerate(chunks(text)) if n in dropped for k in range(a, b)}
+    ends = iter(sorted(runs))
+    out, word, at, until = [], 0, next(ends), 0
+    for k, line in enumerate(text.split("\n")):
+        kept, place, cut = [], 0, False
+        left = 0
+        for m in re.finditer(r"\S+", line):
+            while at is not None and at <= word:
+                until, at = max(until, at + PASSAGE), next(ends, None)
+            if word < until:
+                kept.append(line[place : m.start()])
+                place, cut = m.end(), True
+            else:
+                left += 1
+            word += 1
+        if k not in chunk_lines and (left or not cut):
+            out.append("".join([*kept, line[place:]]) if cut else line)
+    return "\n".join(out)
+
+
 def dedup_lines(docs: DataFrame) -> DataFrame:
-    """``docs`` with a text that lacks the chunks of lines which occurred before anywhere; other columns unchanged.
+    """``docs`` with a text that lacks the chunks of lines and the passages of over 50 words which occurred before anywhere; other columns unchanged.
 
     The first occurrence, by scan order and then by place in the text, stays; so do single short lines, however often
     repeated. ``n_chars`` follows the text where there is such a column. Defined results: null and empty texts stay as
@@ -134,14 +246,15 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
 
 def _stripped(docs: DataFrame) -> DataFrame:
     numbered = docs.withColumn("__row", F.monotonically_increasing_id())
-    gone = repeated(numbered.select("__row", "text"), "__row")
+    texts = numbered.select("__row", "text")
+    gone = settle(repeated(texts, "__row").join(passages(texts, "__row"), "__row", "full"))
 
     @F.pandas_udf("string")
-    def cut(text: pd.Series, gone: pd.Series) -> pd.Series:
-        return pd.Series([strip(t, None if g is None else list(g)) for t, g in zip(text, gone, strict=True)], dtype=object)
+    def cut(text: pd.Series, gone: pd.Series, runs: pd.Series) -> pd.Series:
+        return pd.Series([strip_all(t, None if g is None else list(g), None if r is None else list(r)) for t, g, r in zip(text, gone, runs, strict=True)], dtype=object)
 
     joined = numbered.join(gone, "__row", "left")
-    return joined.withColumn("__new", F.when(F.col("gone").isNull(), F.col("text")).otherwise(cut("text", "gone")))
+    return joined.withColumn("__new", F.when(F.col("gone").isNull() & F.col("runs").isNull(), F.col("text")).otherwise(cut("text", "gone", "runs")))
 
 
 def line_report(docs: DataFrame) -> DataFrame:

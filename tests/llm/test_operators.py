@@ -291,6 +291,30 @@ def test_line_dedup(spark):
     assert all(sum(b - a for a, b, _ in linededup.chunks(t)) == len(t.split("\n")) for _, t in rows)
 
 
+def test_passages_stand_anywhere(spark):
+    r = random.Random(12)
+    part = lambda n: words_of(r.random(), n, 4000)
+    docs = [(0, "word " * 300)]
+    for i in range(60):
+        shared = part(51 + i % 20)
+        for _ in range(2):
+            w = [*part(r.randrange(40)), *shared, *part(r.randrange(40))]
+            docs.append((len(docs), "".join(x + r.choice([" ", " ", " ", "\n"]) for x in w)))
+    docs += [(len(docs), " ".join(part(9) + docs[1][1].split()[:50])), (len(docs) + 1, " ".join((p := part(60)) + ["x"] + p))]
+    first, want = {}, {}
+    for d, t in docs:
+        w = t.split()
+        for k in range(len(w) - 50):
+            i, a = first.setdefault(tuple(w[k : k + 51]), (d, k))
+            if i != d or k >= a + 51:
+                want.setdefault(d, []).append(k)
+    got = {x.id: list(x.runs) for x in linededup.passages(spark.createDataFrame(docs, "id bigint, text string"), "id").collect()}
+    assert got == want and len(want) >= 62
+    for d, t in docs:
+        gone = {k for a in want.get(d, []) for k in range(a, a + 51)}
+        assert linededup.strip_all(t, None, want.get(d)).split() == [x for k, x in enumerate(t.split()) if k not in gone]
+
+
 def test_chunks_find_themselves_again():
     r = random.Random(4)
     lines = [text_of(r.random(), 5) for _ in range(300)]
