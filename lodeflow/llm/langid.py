@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodeflow.llm.common import map_rows, session, settle, small
@@ -16,7 +14,7 @@ FIT_ROWS = 400
 BUCKETS = 1 << 16
 #: Text evidence is tempered: neighbouring trigrams overlap, so at most this many count as independent.
 EFFECTIVE = 60.0
-#: Rows of the host table that may be broadcast.
+#: Rows of a table of counts that may be broadcast.
 HOST_ROWS = 20_000
 #: Strength (in pseudo-rows) of the domain prior in a host's prior, and of the global one in a domain's.
 KAPPA = 10.0
@@ -66,23 +64,14 @@ class TextModel:
 def sample(df: DataFrame, text: str, declared: str, rows: int) -> list[tuple[str, str]]:
     """At most ``rows`` whole texts of each declared language, the same ones at every run.
 
-    The languages are those declared on at least one row in a thousand. Rows are taken by a hash of the
-    whole row, so a text with very many copies weighs no more than its share.
+    Rows are taken by a hash of the whole row, so a text with very many copies weighs no more than its share.
     """
     base = df.where(F.col(declared).isNotNull() & (F.length(text) > 0))
-    counts = {r[0]: r[1] for r in base.groupBy(declared).count().orderBy(F.desc("count"), declared).limit(64).collect()}
-    total = sum(counts.values())
-    kept = {lang: min(1.0, 1.3 * rows / n) for lang, n in counts.items() if n >= max(2, total / 1000)}
-    if not kept:
-        return []
+    counts = base.groupBy(F.col(declared).alias("__lang")).agg(F.least(F.lit(1.0), F.lit(1.3 * rows) / F.count("*")).alias("share"))
     h = F.pmod(F.xxhash64(*df.columns), F.lit(1 << 30))
-    share = F.coalesce(*[F.when(F.col(declared) == lang, F.lit(math.ceil(x * (1 << 30)))) for lang, x in kept.items()], F.lit(-1))
-    got = base.where(h < share).select(declared, text, h.alias("h")).limit(2 * rows * len(kept)).collect()
-    out: list[tuple[str, str]] = []
-    for lang in sorted(kept):
-        own = sorted((r for r in got if r[0] == lang), key=lambda r: (r[2], r[1]))
-        out += [(lang, r[1]) for r in own[:rows]]
-    return out
+    some = base.select(F.col(declared).alias("__lang"), F.col(text).alias("t"), h.alias("h")).join(F.broadcast(counts) if small(counts, HOST_ROWS) else counts, "__lang").where(F.col("h") < F.ceil(F.col("share") * (1 << 30)))
+    got = some.withColumn("r", F.row_number().over(Window.partitionBy("__lang").orderBy("h", "t"))).where(F.col("r") <= rows).select("__lang", "t", "r").collect()
+    return [(r[0], r[1]) for r in sorted(got, key=lambda r: (r[0], r[2]))]
 
 
 def site(url: Column) -> tuple[Column, Column, Column]:
@@ -108,12 +97,13 @@ def identify(df: DataFrame, keys: list[str], text: str, declared: str | None = N
     """Language of every row: ``keys, lang, posterior, text_lang, n_evidence, accepted``.
 
     log posterior = tempered text likelihood + log P(declared | language) + log P(suffix | language)
-    + log prior(host). The reliabilities of declared language and suffix, and the priors, are learnt by
-    grouped aggregation over all rows from what the text alone says: counts by (declared, language),
+    + log prior(host), where P(value | language) is read as P(language | value) / P(language), so that a rare
+    value is weak evidence for any language. The reliabilities of declared language and suffix, and the priors, are learnt by
+    grouped aggregation over all rows and values from what the text alone says: counts by (declared, language),
     (suffix, language) and (host, language); a host's prior is smoothed towards its domain's, and that
-    towards the global one (each with ``KAPPA`` pseudo-rows), and leaves out the row itself.
-    What the groups send to the driver or to every executor is bounded: 64 declared values and 64 suffixes;
-    the host table is broadcast only if counted to be small, else joined by a shuffle of the scores alone.
+    towards the global one (each with ``KAPPA`` pseudo-rows); all counts leave out the row itself.
+    Every declared language with a text is fitted. The tables of counts are broadcast only if counted to be small,
+    else joined by a shuffle of the scores alone.
     Defined results: a row without letters has no text evidence and is not accepted; null declared, host or
     suffix give no evidence; repeated rows give a row each; an empty table gives no rows; without any labelled
     row the language is null. Ties go to the alphabetically first language.
@@ -141,47 +131,38 @@ def identify(df: DataFrame, keys: list[str], text: str, declared: str | None = N
     scored = settle(map_rows(picked, [*key_cols, "t", *parts], schema, make))
     n = max(1, len(langs))
 
-    def table(column: str, rows: int = 64) -> tuple[list[str], np.ndarray]:
-        """P(value | language), smoothed; the last row stands for any other value."""
-        got = scored.where(F.col(column).isNotNull() & F.col("best").isNotNull()).groupBy(column, "best").count().groupBy(column).agg(F.sum("count").alias("n"), F.map_from_entries(F.collect_list(F.struct("best", "count"))).alias("by")).orderBy(F.desc("n"), column).limit(rows).collect()
-        counts = np.full((len(got) + 1, n), 0.5)
-        for i, r in enumerate(got):
-            for k, c in r["by"].items():
-                counts[i, k] += c
-        return [r[0] for r in got], np.log(counts / counts.sum(axis=0, keepdims=True))
-
-    tables = {c: table(c) for c in ("declared", "suffix") if parts[c]}
     total = np.full(n, 1.0)
     for r in scored.where("best is not null").groupBy("best").count().collect():
         total[r["best"]] += r["count"]
     prior = total / total.sum()
-    joined = _with_priors(scored, prior, bool(host), bool(domain), n)
-    consts = spark.sparkContext.broadcast((langs, tables, prior))
+    joined = _with_counts(scored, {c: bool(parts[c]) for c in parts}, n)
+    consts = spark.sparkContext.broadcast((langs, prior))
     out_schema = ", ".join(f"k{i} {kinds[k]}" for i, k in enumerate(keys)) + ", lang string, posterior double, text_lang string, n_evidence int, accepted boolean"
 
     def fuse():
-        langs, tables, prior = consts.value
-        rows_of = {c: ({v: k for k, v in enumerate(values)}, logp) for c, (values, logp) in tables.items()}
+        langs, prior = consts.value
 
-        def one(declared, suffix, ev, best, host_n, domain_n):
+        def smoothed(counts, best, p):
+            c = np.array(counts, dtype=float)
+            if best is not None:
+                c[best] = max(0.0, c[best] - 1)
+            return (c + KAPPA * p) / (c.sum() + KAPPA)
+
+        def one(ev, best, host_n, domain_n, declared_n, suffix_n):
             if not langs:
                 return None, None, None, 0, False
             p, used = prior, 0
             for counts in (domain_n, host_n):
                 if counts is not None:
-                    c = np.array(counts, dtype=float)
-                    if best is not None:
-                        c[best] = max(0.0, c[best] - 1)
-                    p = (c + KAPPA * p) / (c.sum() + KAPPA)
+                    p = smoothed(counts, best, p)
                     used += 1
             score = np.log(p)
             if ev is not None:
                 score = score + np.array(ev)
                 used += 1
-            for name, value in (("declared", declared), ("suffix", suffix)):
-                if name in rows_of and value is not None:
-                    index, logp = rows_of[name]
-                    score = score + logp[index.get(value, -1)]
+            for counts in (declared_n, suffix_n):
+                if counts is not None:
+                    score = score + np.log(smoothed(counts, best, prior) / prior)
                     used += 1
             post = np.exp(score - score.max())
             post /= post.sum()
@@ -195,14 +176,14 @@ def identify(df: DataFrame, keys: list[str], text: str, declared: str | None = N
 
         return run
 
-    out = map_rows(joined, [*key_cols, "declared", "suffix", "ev", "best", "host_n", "domain_n"], out_schema, fuse)
+    out = map_rows(joined, [*key_cols, "ev", "best", "host_n", "domain_n", "declared_n", "suffix_n"], out_schema, fuse)
     return out.toDF(*keys, "lang", "posterior", "text_lang", "n_evidence", "accepted")
 
 
-def _with_priors(scored: DataFrame, prior: np.ndarray, host: bool, domain: bool, n: int) -> DataFrame:
-    """Adds the language counts of a row's host and domain, as arrays."""
+def _with_counts(scored: DataFrame, parts: dict[str, bool], n: int) -> DataFrame:
+    """Adds the language counts of a row's host, domain, declared language and suffix, as arrays."""
     out = scored
-    for name, there in (("host", host), ("domain", domain)):
+    for name, there in parts.items():
         if there:
             counts = scored.where(F.col(name).isNotNull() & F.col("best").isNotNull()).groupBy(name).agg(F.array(*[F.sum(F.when(F.col("best") == k, 1).otherwise(0)).cast("double") for k in range(n)]).alias(f"{name}_n"))
             # counts are partly summed before their shuffle; the join moves scores, never texts

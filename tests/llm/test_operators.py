@@ -406,6 +406,22 @@ def test_language(spark):
     assert langid.identify_documents(frame(spark, [])).count() == 0
 
 
+def test_language_rare(spark):
+    r = random.Random(16)
+    name = lambda k: f"{chr(97 + k // 26)}{chr(97 + k % 26)}x"
+    vocab = [[f"{''.join(r.choice('abcdefghijklmnopqrstuvwxyz') for _ in range(6))}" for _ in range(15)] for _ in range(70)]
+    docs = [(i, " ".join(r.choice(vocab[0]) for _ in range(30)), name(0)) for i in range(3000)]
+    docs += [(10_000 + 10 * k + j, " ".join(r.choice(vocab[k]) for _ in range(30)), name(k)) for k in range(1, 70) for j in range(3 if k < 69 else 2)]
+    got = {g.doc_id: g for g in langid.identify_documents(frame(spark, docs)).collect()}
+    assert np.mean([got[d].lang == lang for d, _, lang in docs if d >= 10_000]) > 0.97
+    assert np.mean([got[d].lang == name(0) for d in range(3000)]) > 0.99
+    # a value beyond the most frequent ones is no evidence for the rarer language
+    texts = [(i, "the of and to in is was that", "en", f"s{i}") for i in range(2000)] + [(5000 + i, "der die und in den von zu mit", "de", "s") for i in range(20)] + [(9000, "in", "en", "s1")]
+    df = spark.createDataFrame(texts, "doc_id bigint, text string, lang string, tld string")
+    got = {g.doc_id: g for g in langid.identify(df, ["doc_id"], "text", suffix="tld").collect()}
+    assert got[9000].lang == "en"
+
+
 def test_language_of_pages(spark):
     words = {"en": "the of and to in is was that", "de": "der die und in den von zu mit", "fr": "le la les et de un une est"}
     r = random.Random(8)
