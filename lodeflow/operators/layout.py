@@ -107,11 +107,11 @@ def common_box(df: DataFrame, by: list[str]) -> DataFrame:
     return df.groupBy(*by).agg(F.max("x1").alias("x1"), F.max("y1").alias("y1"), F.min("x2").alias("x2"), F.min("y2").alias("y2"))
 
 
-def merged_boxes(boxes_: DataFrame, by: list[str], key: str, size: float, ratio: float = 0.0, rounds: int = 30) -> DataFrame:
+def merged_boxes(boxes_: DataFrame, by: list[str], key: str, size: float, ratio: float = 0.0) -> DataFrame:
     """Boxes that overlap, directly or by a chain, become one: by, key (the smallest), box. Labels spread until none changes."""
     pairs = boxes.overlap_join(boxes_, boxes_, by, size).where(boxes.over_min_area("a_", "b_") > ratio).select(*by, F.col(f"a_{key}").alias(key), F.col(f"b_{key}").alias("__o")).checkpoint()
     labels = boxes_.select(*by, key, F.col(key).alias("label"))
-    for _ in range(rounds):
+    while True:
         heard = pairs.join(labels.select(*by, F.col(key).alias("__o"), "label"), [*by, "__o"]).groupBy(*by, key).agg(F.min("label").alias("__l"))
         fresh = labels.join(heard, [*by, key], "left").select(*by, key, F.least("label", F.coalesce("__l", "label")).alias("label"), (F.coalesce("__l", "label") < F.col("label")).alias("__c")).checkpoint()
         changed = fresh.where("__c").limit(1).count()
@@ -121,10 +121,10 @@ def merged_boxes(boxes_: DataFrame, by: list[str], key: str, size: float, ratio:
     return union_box(boxes_.join(labels, [*by, key]).drop(key).withColumnRenamed("label", key), [*by, key])
 
 
-def adjust_tables(tables: DataFrame, lines: DataFrame, by: list[str], key: str, size: float, share: float = 0.3, rounds: int = 10) -> DataFrame:
+def adjust_tables(tables: DataFrame, lines: DataFrame, by: list[str], key: str, size: float, share: float = 0.3) -> DataFrame:
     """Table boxes grown to hold the text lines that they cover by at least ``share``, until nothing changes."""
     now = tables.select(*by, key, *boxes.SIDES)
-    for _ in range(rounds):
+    while True:
         pairs = boxes.overlap_join(now, lines, by, size).where(boxes.intersection("a_", "b_") / boxes.area("b_") >= share)
         grown = pairs.select(*by, F.col(f"a_{key}").alias(key), *[F.col(f"b_{s}").alias(s) for s in boxes.SIDES])
         fresh = union_box(now.unionByName(grown), [*by, key]).checkpoint()

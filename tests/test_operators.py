@@ -111,3 +111,11 @@ def test_layout(spark):
     assert got == {1: ("Table 1", False), 2: ("Table 1", True)}
     b = spark.createDataFrame([("d", 1, 0.0, 0.0, 10.0, 10.0), ("d", 2, 5.0, 5.0, 20.0, 20.0), ("d", 3, 18.0, 18.0, 30.0, 30.0), ("d", 4, 90.0, 90.0, 95.0, 95.0)], f"doc string, id int, {side}")
     assert {r.id for r in layout.merged_boxes(b, ["doc"], "id", 16.0).collect()} == {1, 4}
+
+
+def test_layout_fixpoints_have_no_cap(spark):
+    chain = spark.createDataFrame([(1, i, 10.0 * i, 0.0, 10.0 * i + 12, 10.0) for i in range(36)], "page int, box int, x1 double, y1 double, x2 double, y2 double")
+    assert [tuple(r) for r in layout.merged_boxes(chain, ["page"], "box", 500.0).collect()] == [(1, 0, 0.0, 0.0, 362.0, 10.0)]
+    lines = spark.createDataFrame([(1, i, 0.0, 10.0 * i - 10, 50.0, 10.0 * i + 5) for i in range(1, 15)], "page int, line int, x1 double, y1 double, x2 double, y2 double")
+    table = spark.createDataFrame([(1, 7, 0.0, 0.0, 50.0, 10.0)], "page int, table int, x1 double, y1 double, x2 double, y2 double")
+    assert [tuple(r) for r in layout.adjust_tables(table, lines, ["page"], "table", 500.0).collect()] == [(1, 7, 0.0, 0.0, 50.0, 145.0)]
