@@ -1,263 +1,291 @@
-"""Line dedup by content-defined chunks of lines."""
+"""Line dedup by content-defined chunks of lines, and by passages wherever they stand."""
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodeflow.llm.common import map_rows, settle, small
-from lodeflow.llm.simhash import _scramble
+from lodeflow.llm.rolling import Words, scramble
 
-#: Lines that the rolling hash looks back over, and the mean number of short lines in a chunk.
+#: Lines that the rolling hash looks back over, and the mean number of lines in a chunk.
 LOOK_BACK = 2
 MEAN_LINES = 3
-#: A boundary that would leave a shorter chunk of short lines is passed over.
-MIN_LINES = 2
-#: A line of so many words or more is a chunk of its own: a passage that is worth removing wherever it stands.
-LONG_LINE = 50
 #: Words of a passage that goes wherever it stands, in a line or over parts of lines, if it occurred before.
 PASSAGE = 51
 #: Seeds are cut at the least hash of three words in each run of so many: a passage has two cuts of its own, always.
 SEED_RUN = (PASSAGE - 2) // 2
 #: Rows that may be broadcast.
-BROADCAST_ROWS = 100_000
-_BASE = np.uint64(0x100000001B3)
+BROADCAST_ROWS = 200_000
+#: Characters of texts that are hashed together; a longer text is handled alone.
+TOGETHER = 1 << 21
+_BASE, _MIX, _MASK = 0x100000001B3, 0xBF58476D1CE4E5B9, (1 << 64) - 1
 
 
-def chunks(text: str | None, look_back: int = LOOK_BACK, mean: int = MEAN_LINES, long_line: int = LONG_LINE) -> list[tuple[int, int, bool]]:
+def chunks(text: str | None, look_back: int = LOOK_BACK, mean: int = MEAN_LINES) -> list[tuple[int, int, bool]]:
     """(first line, end line, eligible) of the chunks of a text's lines.
 
     A boundary follows a line if the rolling hash over it and the lines before it (``look_back`` in all) is zero
     modulo ``mean``, so boundaries depend on a few lines' content only and find themselves again after any shift.
-    A chunk has ``MIN_LINES`` short lines at least
-    where a long line or the end doesn't cut it off. Long lines stand alone. Eligible for removal are chunks of two lines or more with a word in them, and long lines.
+    Eligible for removal are chunks of two lines or more with a word in them.
     """
     if not text:
         return []
     lines = text.split("\n")
-    n = len(lines)
-    h = np.fromiter((xxhash.xxh64_intdigest(x.encode("utf-8", "surrogatepass"), 7) for x in lines), dtype=np.uint64, count=n)
-    roll = np.zeros(n, dtype=np.uint64)
-    with np.errstate(over="ignore"):
-        power = np.uint64(1)
-        for k in range(look_back):
-            roll[k:] += h[: n - k] * power
-            power *= _BASE
-        roll = (roll ^ (roll >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    cut = (roll >> np.uint64(32)) % np.uint64(mean) == 0
-    long_ = np.fromiter((x.count(" ") + 1 >= long_line and len(x.split()) >= long_line for x in lines), dtype=bool, count=n)
-    cut |= long_
-    cut[:-1] |= long_[1:]
-    cut[-1] = True
-    ends = (np.flatnonzero(cut) + 1).tolist()
-    out, start = [], 0
-    for e in ends:
-        if e - start < MIN_LINES and e < n and not long_[start] and not long_[e]:
-            continue
-        out.append((start, e, bool(long_[start]) or (e - start >= 2 and any(x.strip() for x in lines[start:e]))))
-        start = e
+    hashes = [xxhash.xxh64_intdigest(x.encode("utf-8", "surrogatepass"), 7) for x in lines]
+    out, start, last = [], 0, len(lines) - 1
+    for i in range(len(lines)):
+        roll = 0
+        for h in hashes[max(0, i - look_back + 1) : i + 1]:
+            roll = (roll * _BASE + h) & _MASK
+        roll = ((roll ^ (roll >> 29)) * _MIX) & _MASK
+        if i == last or (roll >> 32) % mean == 0:
+            out.append((start, i + 1, i > start and any(x.strip() for x in lines[start : i + 1])))
+            start = i + 1
     return out
 
 
+def _bodies(text: str | None) -> list[tuple[int, bytes]]:
+    """(number, bytes) of the chunks that may go."""
+    if not text or "\n" not in text:
+        return []
+    lines = text.split("\n")
+    return [(k, "\n".join(lines[a:b]).encode("utf-8", "surrogatepass")) for k, (a, b, ok) in enumerate(chunks(text)) if ok]
+
+
 def _hash(body: bytes) -> tuple[int, int]:
     d = xxhash.xxh3_128_intdigest(body)
-    return _signed(d >> 64), _signed(d & ((1 << 64) - 1))
+    return _signed(d >> 64), _signed(d & _MASK)
 
 
 def _signed(x: int) -> int:
     return x - (1 << 64) if x >= 1 << 63 else x
 
 
-def repeated(rows: DataFrame, id_col: str, text: str = "text") -> DataFrame:
-    """(id_col, gone: array of chunk numbers): chunks whose bytes occurred before, by order of ``id_col``, then number.
+class Seeds:
+    """Seeds of the words of several texts: the stretches between neighbouring cuts of one text.
 
-    First only 128-bit hashes are shuffled, counted (with partial sums) and joined, and just the repeated chunks'
-    texts travel for the comparison of bytes with the first occurrence. A chunk that a third of all documents hold
-    is one row in the counts; adaptive execution splits its side of the joins. ``id_col`` must be a unique long.
+    Cuts are the leftmost least hashes of three words in every run of ``SEED_RUN`` (winnowing), a seed goes from cut
+    to cut. A passage's first and last run of ``SEED_RUN`` give two cuts, and runs over its edges give none between
+    them; so wherever a passage stands, it has the same seeds between these two, one at least.
     """
 
+    def __init__(self, words: Words):
+        self.words = words
+        n = len(words.start)
+        text = np.repeat(np.arange(len(words.count)), words.count)
+        left = np.repeat(words.first[1:], words.count) - np.arange(n)
+        if n < PASSAGE:
+            self.place = self.cut = np.empty(0, dtype=np.int64)
+            self.hash, self.text = np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64)
+            self.passages = np.empty(0, dtype=np.int64)
+            return
+        least = np.lib.stride_tricks.sliding_window_view(words.runs(3), SEED_RUN).argmin(axis=1)
+        least += np.arange(len(least))
+        long_ = np.repeat(words.count >= PASSAGE, words.count)
+        inside = np.flatnonzero((left[: len(least)] >= SEED_RUN + 2) & long_[: len(least)])
+        #: For each word from which a run of words starts, the number of its cut.
+        self.place = np.full(len(least), -1)
+        self.cut, self.place[inside] = np.unique(least[inside], return_inverse=True)
+        a, b = self.cut[:-1], self.cut[1:]
+        self.hash = scramble(words.span(a, b + 2), 57)
+        #: Text of each seed; -1 where two cuts are of unlike texts.
+        self.text = np.where(text[a] == text[b], text[a], -1)
+        #: First words of all runs of PASSAGE words within a text.
+        self.passages = np.flatnonzero(left >= PASSAGE)
+
+    def of_texts(self) -> list[np.ndarray]:
+        """Hashes of each text's seeds, each at most twice."""
+        there = self.text >= 0
+        h, t = self.hash[there], self.text[there]
+        order = np.lexsort((h, t))
+        h, t = h[order], t[order]
+        keep = np.ones(len(h), dtype=bool)
+        keep[2:] = (h[2:] != h[:-2]) | (t[2:] != t[:-2])
+        h, t = h[keep], t[keep]
+        return np.split(h.view(np.int64), np.searchsorted(t, np.arange(1, len(self.words.count))))
+
+    def candidates(self, wanted: np.ndarray) -> np.ndarray:
+        """First words of the runs of PASSAGE words whose seeds are all wanted."""
+        if not len(self.passages) or not len(self.hash):
+            return np.empty(0, dtype=np.int64)
+        missing = np.concatenate(([0], np.cumsum(~np.isin(self.hash, wanted))))
+        p = self.passages
+        return p[missing[self.place[p]] == missing[self.place[p + PASSAGE - 2 - SEED_RUN]]]
+
+
+def _together(texts: list[str | None]) -> Iterator[tuple[int, int]]:
+    """Ranges of texts that are hashed together."""
+    start, size = 0, 0
+    for i, t in enumerate(texts):
+        n = len(t) if t else 0
+        if size and size + n > TOGETHER:
+            yield start, i
+            start, size = i, 0
+        size += n
+    if start < len(texts):
+        yield start, len(texts)
+
+
+def repeats(rows: DataFrame, id_col: str, text: str = "text", order: str | None = None) -> DataFrame:
+    """(id_col, gone: array of chunk numbers, runs: array of word numbers, copy): what occurred before.
+
+    ``gone`` are chunks of lines whose bytes occurred before, ``runs`` first words of runs of ``PASSAGE`` words that
+    did, by the order of ``order``, then ``id_col``, then the place in the text. Rows whose whole text equals an
+    earlier one's (128 bits and length) have only ``copy``. ``id_col`` must be a unique long.
+
+    One pass over the texts gives hashes of whole texts, of chunks and of seeds; they alone are shuffled, with partial
+    counts. A second pass over those texts that hold a repeated hash gives the chunks' bytes, for the comparison, and
+    the runs of words all of whose seeds are repeated, with 128 bits each. A chunk or passage that a third of all
+    texts hold is one row in the counts, and adaptive execution splits its side of the joins. What is broadcast is counted first.
+    """
+    kind = dict(rows.select(F.col(order) if order else F.lit(0).alias("o")).dtypes)[order or "o"]
+    source = rows.select(F.col(id_col).alias("id"), (F.col(order) if order else F.lit(0)).alias("o"), F.col(text).alias("text"))
+
     def hashes():
-        def run(ids, texts):
-            out = [[], [], [], []]
-            for i, t in zip(ids, texts, strict=True):
-                found = chunks(t)
-                lines = t.split("\n") if found else []
-                for k, (a, b, ok) in enumerate(found):
-                    if ok:
-                        for o, v in zip(out, (i, k, *_hash("\n".join(lines[a:b]).encode("utf-8", "surrogatepass"))), strict=True):
-                            o.append(v)
-            return out
+        def run(ids, o, texts):
+            t1, t2, units = [], [], []
+            for t in texts:
+                a, b = _hash(t.encode("utf-8", "surrogatepass")) if t else (None, None)
+                t1.append(a)
+                t2.append(b)
+            for a, b in _together(texts):
+                for t, found in zip(texts[a:b], Seeds(Words(texts[a:b])).of_texts(), strict=True):
+                    own = [_signed(xxhash.xxh3_64_intdigest(x)) for _, x in _bodies(t)]
+                    units.append(np.concatenate((found, np.array(own, dtype=np.int64))) if own else found)
+            return [ids, o, t1, t2, [len(t) if t else 0 for t in texts], units]
 
         return run
 
-    places = map_rows(rows, [id_col, text], "id bigint, chunk int, h1 bigint, h2 bigint", hashes)
-    firsts = places.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(F.struct("id", "chunk")).alias("first")).where("n > 1").select("h1", "h2", "first")
-    again = places.join(firsts, ["h1", "h2"])
-    wanted = again.groupBy("id").agg(F.collect_list(F.struct("chunk", "h1", "h2", F.expr("first = struct(id, chunk)").alias("is_first"))).alias("wanted"))
-    with_text = rows.select(F.col(id_col).alias("id"), F.col(text).alias("text")).join(wanted, "id")
-
-    def bodies():
-        def run(ids, texts, wanted):
-            out = [[] for _ in range(6)]
-            for i, t, ws in zip(ids, texts, wanted, strict=True):
-                found, lines = chunks(t), t.split("\n")
-                for w in ws:
-                    a, b, _ = found[w["chunk"]]
-                    for o, v in zip(out, (i, w["chunk"], w["h1"], w["h2"], w["is_first"], "\n".join(lines[a:b])), strict=True):
-                        o.append(v)
+    def places():
+        def run(ids, o, texts, wanted):
+            out = [[] for _ in range(7)]
+            for a, b in _together(texts):
+                want = np.unique(np.concatenate([np.array(w, dtype=np.int64) for w in wanted[a:b]]))
+                known = set(want.tolist())
+                for i in range(a, b):
+                    for k, body in _bodies(texts[i]):
+                        if _signed(xxhash.xxh3_64_intdigest(body)) in known:
+                            for x, v in zip(out, (ids[i], o[i], 0, *_hash(body), k, body.decode("utf-8", "surrogatepass")), strict=True):
+                                x.append(v)
+                words = Words(texts[a:b])
+                at = Seeds(words).candidates(want.view(np.uint64))
+                if len(at):
+                    owner = np.searchsorted(words.first, at, side="right") - 1
+                    last = at + PASSAGE - 1
+                    rows = (np.array(ids[a:b])[owner].tolist(), [o[a + i] for i in owner.tolist()], [1] * len(at), words.span(at, last).view(np.int64).tolist(), words.span(at, last, 1).view(np.int64).tolist(), (at - words.first[owner]).tolist(), [None] * len(at))
+                    for x, v in zip(out, rows, strict=True):
+                        x.extend(v)
             return out
 
         return run
 
-    texts = map_rows(with_text, ["id", "text", "wanted"], "id bigint, chunk int, h1 bigint, h2 bigint, is_first boolean, body string", bodies)
-    # both roles come from one pass over one shuffle: the first of a hash is brought beside its repeats
-    first = texts.where("is_first").select("h1", "h2", F.col("body").alias("first_body"))
-    same = texts.where("not is_first").join(first, ["h1", "h2"]).where(F.col("body") == F.col("first_body"))
-    return same.groupBy("id").agg(F.sort_array(F.collect_list("chunk")).alias("gone")).withColumnRenamed("id", id_col)
+    hashed = settle(map_rows(source, ["id", "o", "text"], f"id bigint, o {kind}, t1 bigint, t2 bigint, n bigint, units array<bigint>", hashes).where("size(units) > 0"))
+    whole = ["t1", "t2", "n"]
+    firsts = hashed.groupBy(*whole).agg(F.count("*").alias("c"), F.min(F.struct("o", "id")).alias("first")).where("c > 1").select(*whole, F.col("first.id").alias("first"))
+    copies = settle(_join(hashed.select("id", *whole), firsts, whole).where("id <> first").select("id"))
+    units = _join(hashed.select("id", "units"), copies, ["id"], "left_anti").select("id", F.explode("units").alias("h"))
+    again = settle(units.groupBy("h").agg(F.count("*").alias("c")).where("c > 1").select("h"))
+    wanted = settle(_join(units, again, ["h"]).groupBy("id").agg(F.collect_set("h").alias("wanted")))
+    found = settle(map_rows(_join(source, wanted, ["id"]), ["id", "o", "text", "wanted"], f"id bigint, o {kind}, kind int, h1 bigint, h2 bigint, at bigint, body string", places))
+    key = ["kind", "h1", "h2"]
+    first = found.groupBy(*key).agg(F.count("*").alias("c"), F.min(F.struct("o", "id", "at", "body")).alias("first")).where("c > 1").select(*key, "first")
+    chunk = (F.col("kind") == 0) & (F.col("body") == F.col("first.body")) & ((F.col("id") != F.col("first.id")) | (F.col("at") != F.col("first.at")))
+    passage = (F.col("kind") == 1) & ((F.col("id") != F.col("first.id")) | (F.col("at") >= F.col("first.at") + PASSAGE))
+    later = _join(found, first, key).where(chunk | passage)
+    gone = later.groupBy("id").agg(*[F.sort_array(F.collect_list(F.when(F.col("kind") == k, F.col("at")))).alias(c) for k, c in enumerate(("gone", "runs"))])
+    return gone.withColumn("copy", F.lit(False)).unionByName(copies.withColumn("copy", F.lit(True)), allowMissingColumns=True).withColumnRenamed("id", id_col)
 
 
-def strip(text: str | None, gone: list[int] | None) -> str | None:
-    """A text without the chunks of these numbers."""
-    if text is None or not gone:
-        return text
-    lines, dropped = text.split("\n"), set(gone)
-    return "\n".join(x for k, (a, b, _) in enumerate(chunks(text)) if k not in dropped for x in lines[a:b])
-
-
-def _beside(*parts: np.ndarray) -> np.ndarray:
-    """Hash of neighbouring runs, from those of the runs."""
-    out = parts[0]
-    with np.errstate(over="ignore"):
-        for k, p in enumerate(parts[1:]):
-            out = _scramble(out, (60 + k,))[0] * _BASE + p
-    return out
+def _join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Join that broadcasts ``right`` only if counted to be small."""
+    return left.join(F.broadcast(right) if small(right, BROADCAST_ROWS) else right, on, how)
 
 
-def _words(text: str | None) -> np.ndarray:
-    toks = text.split() if text else []
-    return np.fromiter((xxhash.xxh64_intdigest(x.encode("utf-8", "surrogatepass"), 7) for x in toks), dtype=np.uint64, count=len(toks))
+def strip(text: str | None, gone: list[int] | None, runs: list[int] | None, copy: bool = False) -> str | None:
+    """A text without the chunks of these numbers and the words of these runs; lines that lose all words go too.
 
-
-def seeds(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of the seeds of a text's words, and for each run of ``PASSAGE`` words its first seed and the end of its seeds.
-
-    Cuts are the leftmost least hashes of three words in every run of ``SEED_RUN`` (winnowing), a seed goes from cut
-    to cut. A passage's first and last run of ``SEED_RUN`` give two cuts, and runs over its edges give none between
-    them; so wherever a passage stands, it has the same seeds between these two, one at least.
-    """
-    if len(h) < PASSAGE:
-        return np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
-    g = _scramble(_beside(h[:-2], h[1:-1], h[2:]), (59,))[0]
-    least = np.lib.stride_tricks.sliding_window_view(g, SEED_RUN).argmin(axis=1)
-    least += np.arange(len(least))
-    cut, place = np.unique(least, return_inverse=True)
-    with np.errstate(over="ignore"):
-        total = np.add.reduceat(_scramble(g, (58,))[0], cut)[:-1]
-    n, last = len(h) - PASSAGE + 1, PASSAGE - 2 - SEED_RUN
-    return _scramble(_beside(total, g[cut[:-1]], g[cut[1:]]), (57,))[0], place[:n], place[last : last + n]
-
-
-def windows(h: np.ndarray, seed: int) -> np.ndarray:
-    """Hash of every run of ``PASSAGE`` words (51 = 32 + 16 + 2 + 1)."""
-    n = len(h) - PASSAGE + 1
-    run = {1: _scramble(h, (seed,))[0]}
-    for k in (1, 2, 4, 8, 16):
-        run[2 * k] = _beside(run[k][:-k], run[k][k:])
-    return _scramble(_beside(run[32][:n], run[16][32 : 32 + n], run[2][48 : 48 + n], run[1][50 : 50 + n]), (seed,))[0]
-
-
-def passages(rows: DataFrame, id_col: str, text: str = "text") -> DataFrame:
-    """(id_col, runs: array of word numbers): where ``PASSAGE`` words in a row occurred before, by order of ``id_col``, then place.
-
-    Only seeds are shuffled for all texts. Runs of words none of whose seeds is unique give their hashes (128
-    bits); the first place of a hash stays, as do runs that overlap their own first place.
+    Of a copy, all chunks that may go are gone, and all runs.
     """
+    if not text:
+        return text
+    if copy:
+        gone = [k for k, x in enumerate(chunks(text)) if x[2]]
+        n = len(text.split())
+        if n >= PASSAGE:
+            return "\n".join(x for x in _without(text, set(gone), iter([0]), n) if x is not None)
+        runs = []
+    if not gone and not runs:
+        return text
+    return "\n".join(x for x in _without(text, set(gone or []), iter(sorted(runs or [])), PASSAGE) if x is not None)
 
-    def seed_rows():
-        return lambda ids, texts: [ids, [seeds(_words(t))[0].view(np.int64) for t in texts]]
-
-    def run_rows():
-        def run(ids, texts, wanted):
-            out = [[], [], [], []]
-            for i, t, ws in zip(ids, texts, wanted, strict=True):
-                h = _words(t)
-                key, start, end = seeds(h)
-                single = np.concatenate(([0], np.cumsum(~np.isin(key, np.array(ws, dtype=np.int64).view(np.uint64)))))
-                at = np.flatnonzero(single[start] == single[end])
-                if not len(at):
-                    continue
-                for o, v in zip(out, (np.full(len(at), i, dtype=np.int64), at, windows(h, 61)[at].view(np.int64), windows(h, 62)[at].view(np.int64)), strict=True):
-                    o.append(v)
-            return [np.concatenate(o) if o else [] for o in out]
-
-        return run
 
-    places = settle(map_rows(rows, [id_col, text], "id bigint, h array<bigint>", seed_rows)).select("id", F.explode("h").alias("h"))
-    again = places.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-    wanted = settle(places.join(again, "h").groupBy("id").agg(F.collect_set("h").alias("wanted")))
-    with_text = rows.select(F.col(id_col).alias("id"), F.col(text).alias("text")).join(F.broadcast(wanted) if small(wanted, BROADCAST_ROWS) else wanted, "id")
-    runs = map_rows(with_text, ["id", "text", "wanted"], "id bigint, at bigint, h1 bigint, h2 bigint", run_rows)
-    firsts = runs.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(F.struct("id", "at")).alias("first")).where("n > 1").select("h1", "h2", "first")
-    later = runs.join(firsts, ["h1", "h2"]).where(f"id <> first.id or at >= first.at + {PASSAGE}")
-    return later.groupBy("id").agg(F.sort_array(F.collect_list("at")).alias("runs")).withColumnRenamed("id", id_col)
-
-
-def strip_all(text: str | None, gone: list[int] | None, runs: list[int] | None) -> str | None:
-    """A text without the chunks of these numbers and the words of these runs; lines that lose all words go too."""
-    if text is None or not runs:
-        return strip(text, gone)
-    dropped = set(gone or [])
-    chunk_lines = {k for n, (a, b, _) in enumerate(chunks(text)) if n in dropped for k in range(a, b)}
-    ends = iter(sorted(runs))
-    out, word, at, until = [], 0, next(ends), 0
+def _without(text: str, gone: set[int], starts: Iterator[int], size: int) -> Iterator[str | None]:
+    """Lines of a text without chunks and runs of ``size`` words; None for those that go."""
+    dropped = {k for n, (a, b, _) in enumerate(chunks(text)) if n in gone for k in range(a, b)} if gone else set()
+    word, at, until = 0, next(starts, None), 0
     for k, line in enumerate(text.split("\n")):
-        kept, place, cut = [], 0, False
-        left = 0
+        n = len(line.split())
+        if until <= word and (at is None or at >= word + n):
+            word += n
+            yield None if k in dropped else line
+            continue
+        kept, place, left, cut = [], 0, 0, False
         for m in re.finditer(r"\S+", line):
             while at is not None and at <= word:
-                until, at = max(until, at + PASSAGE), next(ends, None)
+                until, at = max(until, at + size), next(starts, None)
             if word < until:
                 kept.append(line[place : m.start()])
                 place, cut = m.end(), True
             else:
                 left += 1
             word += 1
-        if k not in chunk_lines and (left or not cut):
-            out.append("".join([*kept, line[place:]]) if cut else line)
-    return "\n".join(out)
+        if k in dropped or (cut and not left):
+            yield None
+        else:
+            yield "".join([*kept, line[place:]]) if cut else line
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """``docs`` with a text that lacks the chunks of lines and the passages of over 50 words which occurred before anywhere; other columns unchanged.
 
-    The first occurrence, by scan order and then by place in the text, stays; so do single short lines, however often
-    repeated. ``n_chars`` follows the text where there is such a column. Defined results: null and empty texts stay as
-    they are; an exact copy of an earlier text keeps only its single short lines; a document may end up empty but no
-    row is dropped. Rows are told apart by a row number of the scan, so null or repeated ids do no harm; ``docs`` must
-    be a repeatable plan such as a Parquet read.
+    The first occurrence, by ``doc_id`` (nulls first, then the scan's order) and then by place in the text, stays; so do single lines and
+    shorter passages, however often repeated. ``n_chars`` follows the text where there is such a column. Defined
+    results: null and empty texts stay as they are; an exact copy of an earlier text keeps only lines and runs of
+    words that are too short to go; a document may end up empty but no row is dropped. Rows are told apart by a row
+    number of the scan, so null or repeated ids do no harm; ``docs`` must be a repeatable plan such as a Parquet
+    read. An empty table gives no rows.
     """
     return _stripped(docs).select(*[F.length("__new").cast(dict(docs.dtypes)[c]).alias(c) if c == "n_chars" else F.col("__new").alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns])
 
 
 def _stripped(docs: DataFrame) -> DataFrame:
     numbered = docs.withColumn("__row", F.monotonically_increasing_id())
-    texts = numbered.select("__row", "text")
-    gone = settle(repeated(texts, "__row").join(passages(texts, "__row"), "__row", "full"))
+    order = "doc_id" if "doc_id" in docs.columns else None
+    gone = settle(repeats(numbered.select("__row", "text", *([order] if order else [])), "__row", order=order))
 
     @F.pandas_udf("string")
-    def cut(text: pd.Series, gone: pd.Series, runs: pd.Series) -> pd.Series:
-        return pd.Series([strip_all(t, None if g is None else list(g), None if r is None else list(r)) for t, g, r in zip(text, gone, runs, strict=True)], dtype=object)
+    def cut(text: pd.Series, gone: pd.Series, runs: pd.Series, copy: pd.Series) -> pd.Series:
+        listed = lambda x: None if x is None else list(x)
+        return pd.Series([strip(t, listed(g), listed(r), bool(c)) for t, g, r, c in zip(text, gone, runs, copy, strict=True)], dtype=object)
 
-    joined = numbered.join(gone, "__row", "left")
-    return joined.withColumn("__new", F.when(F.col("gone").isNull() & F.col("runs").isNull(), F.col("text")).otherwise(cut("text", "gone", "runs")))
+    joined = numbered.join(F.broadcast(gone) if small(gone, BROADCAST_ROWS) else gone, "__row", "left")
+    none: Column = F.col("copy").isNull()
+    return joined.withColumn("__new", F.when(none, F.col("text")).otherwise(cut("text", "gone", "runs", "copy")))
 
 
 def line_report(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_lines, n_removed_chunks, text`` of every document after the removal."""
+    """``doc_id, n_lines, n_removed_chunks, n_removed_runs, is_copy, text`` of every document, the text after the removal.
+
+    ``n_lines`` counts the lines before it; a copy of an earlier text has no counts of its own (0). Null texts have
+    null lines; null ids stay; repeated rows give a row each; an empty table gives no rows; other columns are not read.
+    """
     base = _stripped(docs.select("doc_id", "text"))
-    return base.select("doc_id", F.size(F.split("text", "\n")).alias("n_lines"), F.coalesce(F.size("gone"), F.lit(0)).alias("n_removed_chunks"), F.col("__new").alias("text"))
+    size = lambda c: F.greatest(F.size(c), F.lit(0))
+    return base.select("doc_id", F.size(F.split("text", "\n")).alias("n_lines"), F.coalesce(size("gone"), F.lit(0)).alias("n_removed_chunks"), F.coalesce(size("runs"), F.lit(0)).alias("n_removed_runs"), F.coalesce("copy", F.lit(False)).alias("is_copy"), F.col("__new").alias("text"))

@@ -265,54 +265,93 @@ def test_token_counts(spark):
             assert counter.text(t)[0] == len(tok.encode(t).ids), t
 
 
+def slow_chunks(text):
+    """(lines, eligible) by the definition: a line ends a chunk if the hash over it and the line before is divisible by three."""
+    out, now, before = [], [], None
+    lines = text.split("\n") if text else []
+    for i, x in enumerate(lines):
+        h = xxhash.xxh64_intdigest(x.encode(), 7)
+        roll = h if before is None else (before * 0x100000001B3 + h) % 2**64
+        roll = ((roll ^ (roll >> 29)) * 0xBF58476D1CE4E5B9) % 2**64
+        before = h
+        now.append(x)
+        if (roll >> 32) % 3 == 0 or i == len(lines) - 1:
+            out.append((now, len(now) > 1 and any(y.strip() for y in now)))
+            now = []
+    return out
+
+
+def slow_line_dedup(docs):
+    """Texts after the removal of repeated chunks and passages, by plain loops over all documents in order of doc_id."""
+    out, chunks, runs = {}, {}, {}
+    for at, (d, t, _) in sorted(enumerate(docs), key=lambda x: (x[1][0] is not None, x[1][0] or 0, x[0])):
+        if not t:
+            out[at] = t
+            continue
+        gone, word = [], 0
+        for k, (ls, ok) in enumerate(slow_chunks(t)):
+            own = chunks.setdefault("\n".join(ls), (at, k)) == (at, k) if ok else True
+            gone += [not own] * len(ls)
+        w = t.split()
+        drop = set()
+        for k in range(len(w) - 50):
+            i, a = runs.setdefault(tuple(w[k : k + 51]), (at, k))
+            if i != at or k >= a + 51:
+                drop |= set(range(k, k + 51))
+        keep = []
+        for x, g in zip(t.split("\n"), gone, strict=True):
+            n = len(x.split())
+            cut = drop & set(range(word, word + n))
+            if not g and len(cut) < max(n, 1):
+                keep.append("".join(y for j, m in enumerate(re.finditer(r"\s*\S+|\s+$", x)) for y in [m[0]] if word + j not in cut) if cut else x)
+            word += n
+        out[at] = "\n".join(keep)
+    return out
+
+
 def test_line_dedup(spark):
     r = random.Random(9)
     line = lambda n: text_of(r.random(), n)
-    shared = [line(6) for _ in range(30)]
-    passage = line(60)
-    docs = [(1, "\n".join([line(5), *shared, line(4)]), "en"), (2, "\n".join([line(5), line(7), *shared[:20], line(4)]), "en"), (3, line(8) + "\n" + passage, "en"), (4, passage + "\n" + line(3), "en"), (5, "one\nline", "en"), (6, shared[0], "en")]
-    out = {r.doc_id: r.text for r in linededup.dedup_lines(frame(spark, edges(docs))).collect()}
-    assert out[1] == docs[0][1] and out[3] == docs[2][1] and out[5] == docs[4][1] and out[6] == shared[0]
-    assert passage not in out[4] and out[4] == docs[3][1].split("\n")[1]
-    gone = sum(s in out[2].split("\n") for s in shared[:20])
-    assert gone < 8 and docs[1][1].split("\n")[0] in out[2]
-    assert out[1001] is None and out[1002] == ""
-    # brute force over the same chunks: the first of equal bytes stays
-    rows = [(i, t) for i, (_, t, _) in enumerate(docs)]
-    seen, want = set(), {}
-    for i, t in rows:
-        for k, (a, b, ok) in enumerate(linededup.chunks(t)):
-            body = "\n".join(t.split("\n")[a:b])
-            if ok and body in seen:
-                want.setdefault(i, []).append(k)
-            seen.add(body) if ok else None
-    got = {r.id: list(r.gone) for r in linededup.repeated(spark.createDataFrame(rows, "id bigint, text string"), "id").collect()}
-    assert got == want
-    assert all(sum(b - a for a, b, _ in linededup.chunks(t)) == len(t.split("\n")) for _, t in rows)
+    shared, long_ = [line(6) for _ in range(30)], line(60)
+    docs = [(1, "\n".join([line(5), *shared, line(4)]), "en"), (2, "\n".join([line(5), line(7), *shared[:20], line(4)]), "en"), (3, line(8) + "\n" + long_, "en"), (4, long_ + "\n" + line(3), "en"), (5, "one\nline", "en"), (6, shared[0], "en"), (7, "\n\n \n\n", "en")]
+    docs += [(8 + i, "\n".join([line(4), *shared[i % 25 : i % 25 + r.randrange(12)], line(r.randrange(9))]), "en") for i in range(60)]
+    docs += [(90 + i, docs[i][1], "en") for i in range(8)] + [(0, shared[3] + "\n" + docs[1][1], "en"), (None, docs[0][1], "en")]
+    docs = edges(docs)
+    got = spark.createDataFrame([(d, t, i) for i, (d, t, _) in enumerate(docs)], "doc_id bigint, text string, at bigint").coalesce(3)
+    out = {x.at: x.text for x in linededup.dedup_lines(got).collect()}
+    want = slow_line_dedup(docs)
+    for i, (_, t, _) in enumerate(docs):
+        assert (out[i] or "").split() == (want[i] or "").split() and (out[i] is None) == (t is None), i
+        assert (out[i] or "").count("\n") == (want[i] or "").count("\n"), i
+    assert sum(out[i] != t for i, (_, t, _) in enumerate(docs)) > 10
+    assert linededup.dedup_lines(frame(spark, [])).count() == 0 and linededup.line_report(frame(spark, docs)).count() == len(docs)
 
 
 def test_passages_stand_anywhere(spark):
     r = random.Random(12)
     part = lambda n: words_of(r.random(), n, 4000)
-    docs = [(0, "word " * 300)]
+    docs = [(0, "word " * 300, "en")]
     for i in range(60):
         shared = part(51 + i % 20)
         for _ in range(2):
             w = [*part(r.randrange(40)), *shared, *part(r.randrange(40))]
-            docs.append((len(docs), "".join(x + r.choice([" ", " ", " ", "\n"]) for x in w)))
-    docs += [(len(docs), " ".join(part(9) + docs[1][1].split()[:50])), (len(docs) + 1, " ".join((p := part(60)) + ["x"] + p))]
-    first, want = {}, {}
-    for d, t in docs:
-        w = t.split()
-        for k in range(len(w) - 50):
-            i, a = first.setdefault(tuple(w[k : k + 51]), (d, k))
-            if i != d or k >= a + 51:
-                want.setdefault(d, []).append(k)
-    got = {x.id: list(x.runs) for x in linededup.passages(spark.createDataFrame(docs, "id bigint, text string"), "id").collect()}
-    assert got == want and len(want) >= 62
-    for d, t in docs:
-        gone = {k for a in want.get(d, []) for k in range(a, a + 51)}
-        assert linededup.strip_all(t, None, want.get(d)).split() == [x for k, x in enumerate(t.split()) if k not in gone]
+            docs.append((len(docs), "".join(x + r.choice([" ", " ", "  ", "\t", "\n"]) for x in w), "en"))
+    docs += [(len(docs), " ".join(part(9) + docs[1][1].split()[:50]), "en"), (len(docs) + 1, " ".join((p := part(60)) + ["x"] + p), "en")]
+    out = {x.doc_id: x.text.split() for x in linededup.dedup_lines(frame(spark, docs)).collect()}
+    want = slow_line_dedup(docs)
+    assert out == {d: want[i].split() for i, (d, _, _) in enumerate(docs)}
+    assert sum(len(out[d]) < len(t.split()) for d, t, _ in docs) >= 62
+
+
+def test_rolling_spans():
+    from lodeflow.llm.rolling import Words
+
+    texts = ["a b c d a b c", None, " é  日本 \n a b c\t" + "z " * 70_000 + "a b c", ""]
+    w = Words(texts)
+    for family in (0, 1):
+        h = w.runs(3, family)
+        assert h[0] == h[4] == h[9] == h[-1] and len({*h[:4].tolist(), int(h[7])}) == 5
+    assert w.count.tolist() == [7, 0, 70_008, 0]
 
 
 def test_chunks_find_themselves_again():
@@ -322,6 +361,8 @@ def test_chunks_find_themselves_again():
         return {"\n".join(ls[a:b]) for a, b, _ in linededup.chunks("\n".join(ls))}
     shifted = ["new first line", *lines[:150], "inserted", *lines[150:]]
     assert len(bodies(lines) - bodies(shifted)) <= 4
+    for ls in (lines, shifted):
+        assert [(["\n".join(ls[a:b])], ok) for a, b, ok in linededup.chunks("\n".join(ls))] == [(["\n".join(x)], ok) for x, ok in slow_chunks("\n".join(ls))]
 
 
 def test_packing(spark):
