@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -12,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodeflow.llm.common import map_rows, settle, small
-from lodeflow.llm.rolling import Words, scramble
+from lodeflow.llm.rolling import Words, least_places, scramble
 
 #: Lines that the rolling hash looks back over, and the mean number of lines in a chunk.
 LOOK_BACK = 2
@@ -21,8 +22,8 @@ MEAN_LINES = 3
 PASSAGE = 51
 #: Seeds are cut at the least hash of three words in each run of so many: a passage has two cuts of its own, always.
 SEED_RUN = (PASSAGE - 2) // 2
-#: Rows that may be broadcast.
-BROADCAST_ROWS = 200_000
+#: Rows of one or a few longs each that may be broadcast.
+BROADCAST_ROWS = 2_000_000
 #: Characters of texts that are hashed together; a longer text is handled alone.
 TOGETHER = 1 << 21
 _BASE, _MIX, _MASK = 0x100000001B3, 0xBF58476D1CE4E5B9, (1 << 64) - 1
@@ -86,13 +87,14 @@ class Seeds:
             self.hash, self.text = np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64)
             self.passages = np.empty(0, dtype=np.int64)
             return
-        least = np.lib.stride_tricks.sliding_window_view(words.runs(3), SEED_RUN).argmin(axis=1)
-        least += np.arange(len(least))
+        least = least_places(words.runs(3), SEED_RUN)
         long_ = np.repeat(words.count >= PASSAGE, words.count)
         inside = np.flatnonzero((left[: len(least)] >= SEED_RUN + 2) & long_[: len(least)])
         #: For each word from which a run of words starts, the number of its cut.
         self.place = np.full(len(least), -1)
-        self.cut, self.place[inside] = np.unique(least[inside], return_inverse=True)
+        least = least[inside]  # never falls
+        new = np.concatenate(([True], least[1:] != least[:-1])) if len(least) else np.empty(0, dtype=bool)
+        self.cut, self.place[inside] = least[new], np.cumsum(new) - 1
         a, b = self.cut[:-1], self.cut[1:]
         self.hash = scramble(words.span(a, b + 2), 57)
         #: Text of each seed; -1 where two cuts are of unlike texts.
@@ -134,9 +136,9 @@ def _together(texts: list[str | None]) -> Iterator[tuple[int, int]]:
 
 
 def repeats(rows: DataFrame, id_col: str, text: str = "text", order: str | None = None) -> DataFrame:
-    """(id_col, gone: array of chunk numbers, runs: array of word numbers, copy): what occurred before.
+    """(id_col, gone: array of chunk numbers, runs: array of word ranges, copy): what occurred before.
 
-    ``gone`` are chunks of lines whose bytes occurred before, ``runs`` first words of runs of ``PASSAGE`` words that
+    ``gone`` are chunks of lines whose bytes occurred before, ``runs`` the words (a to b - 1) inside any run of ``PASSAGE`` words that
     did, by the order of ``order``, then ``id_col``, then the place in the text. Rows whose whole text equals an
     earlier one's (128 bits and length) have only ``copy``. ``id_col`` must be a unique long.
 
@@ -145,11 +147,11 @@ def repeats(rows: DataFrame, id_col: str, text: str = "text", order: str | None
     the runs of words all of whose seeds are repeated, with 128 bits each. A chunk or passage that a third of all
     texts hold is one row in the counts, and adaptive execution splits its side of the joins. What is broadcast is counted first.
     """
-    kind = dict(rows.select(F.col(order) if order else F.lit(0).alias("o")).dtypes)[order or "o"]
-    source = rows.select(F.col(id_col).alias("id"), (F.col(order) if order else F.lit(0)).alias("o"), F.col(text).alias("text"))
+    source = rows.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
+    kinds = "r bigint, runs struct<h1:array<bigint>,h2:array<bigint>,at:array<int>,own:array<int>>, chunks array<struct<h1:bigint,h2:bigint,at:int,own:boolean,body:string>>"
 
     def hashes():
-        def run(ids, o, texts):
+        def run(ids, texts):
             t1, t2, units = [], [], []
             for t in texts:
                 a, b = _hash(t.encode("utf-8", "surrogatepass")) if t else (None, None)
@@ -159,97 +161,136 @@ def repeats(rows: DataFrame, id_col: str, text: str = "text", order: str | None
                 for t, found in zip(texts[a:b], Seeds(Words(texts[a:b])).of_texts(), strict=True):
                     own = [_signed(xxhash.xxh3_64_intdigest(x)) for _, x in _bodies(t)]
                     units.append(np.concatenate((found, np.array(own, dtype=np.int64))) if own else found)
-            return [ids, o, t1, t2, [len(t) if t else 0 for t in texts], units]
+            return [ids, t1, t2, [len(t) if t else 0 for t in texts], units]
 
         return run
 
     def places():
-        def run(ids, o, texts, wanted):
-            out = [[] for _ in range(7)]
+        def run(ranks, texts, wanted):
+            runs, found = [], []
             for a, b in _together(texts):
                 want = np.unique(np.concatenate([np.array(w, dtype=np.int64) for w in wanted[a:b]]))
                 known = set(want.tolist())
-                for i in range(a, b):
-                    for k, body in _bodies(texts[i]):
-                        if _signed(xxhash.xxh3_64_intdigest(body)) in known:
-                            for x, v in zip(out, (ids[i], o[i], 0, *_hash(body), k, body.decode("utf-8", "surrogatepass")), strict=True):
-                                x.append(v)
-                words = Words(texts[a:b])
-                at = Seeds(words).candidates(want.view(np.uint64))
-                if len(at):
-                    owner = np.searchsorted(words.first, at, side="right") - 1
-                    last = at + PASSAGE - 1
-                    rows = (np.array(ids[a:b])[owner].tolist(), [o[a + i] for i in owner.tolist()], [1] * len(at), words.span(at, last).view(np.int64).tolist(), words.span(at, last, 1).view(np.int64).tolist(), (at - words.first[owner]).tolist(), [None] * len(at))
-                    for x, v in zip(out, rows, strict=True):
-                        x.extend(v)
-            return out
+                found += [_known_chunks(t, known) for t in texts[a:b]]
+                runs += _known_runs(texts[a:b], want.view(np.uint64))
+            return [ranks, runs, found]
 
         return run
 
-    hashed = settle(map_rows(source, ["id", "o", "text"], f"id bigint, o {kind}, t1 bigint, t2 bigint, n bigint, units array<bigint>", hashes).where("size(units) > 0"))
+    hashed = settle(map_rows(source, ["id", "text"], "id bigint, t1 bigint, t2 bigint, n bigint, units array<bigint>", hashes).where("size(units) > 0"))
+    ranks = _ranks(rows, id_col, order)
     whole = ["t1", "t2", "n"]
-    firsts = hashed.groupBy(*whole).agg(F.count("*").alias("c"), F.min(F.struct("o", "id")).alias("first")).where("c > 1").select(*whole, F.col("first.id").alias("first"))
-    copies = settle(_join(hashed.select("id", *whole), firsts, whole).where("id <> first").select("id"))
+    equal = hashed.select("id", *whole)
+    doubled = settle(equal.groupBy(*whole).agg(F.count("*").alias("c")).where("c > 1").select(*whole))
+    members = settle(_join(equal, doubled, whole).join(ranks, "id").select("id", "r", *whole))
+    copies = settle(members.join(members.groupBy(*whole).agg(F.min("r").alias("m")), whole).where("r > m").select("id"))
     units = _join(hashed.select("id", "units"), copies, ["id"], "left_anti").select("id", F.explode("units").alias("h"))
     again = settle(units.groupBy("h").agg(F.count("*").alias("c")).where("c > 1").select("h"))
-    wanted = settle(_join(units, again, ["h"]).groupBy("id").agg(F.collect_set("h").alias("wanted")))
-    found = settle(map_rows(_join(source, wanted, ["id"]), ["id", "o", "text", "wanted"], f"id bigint, o {kind}, kind int, h1 bigint, h2 bigint, at bigint, body string", places))
-    key = ["kind", "h1", "h2"]
-    first = found.groupBy(*key).agg(F.count("*").alias("c"), F.min(F.struct("o", "id", "at", "body")).alias("first")).where("c > 1").select(*key, "first")
-    chunk = (F.col("kind") == 0) & (F.col("body") == F.col("first.body")) & ((F.col("id") != F.col("first.id")) | (F.col("at") != F.col("first.at")))
-    passage = (F.col("kind") == 1) & ((F.col("id") != F.col("first.id")) | (F.col("at") >= F.col("first.at") + PASSAGE))
-    later = _join(found, first, key).where(chunk | passage)
-    gone = later.groupBy("id").agg(*[F.sort_array(F.collect_list(F.when(F.col("kind") == k, F.col("at")))).alias(c) for k, c in enumerate(("gone", "runs"))])
-    return gone.withColumn("copy", F.lit(False)).unionByName(copies.withColumn("copy", F.lit(True)), allowMissingColumns=True).withColumnRenamed("id", id_col)
+    wanted = settle(_join(units, again, ["h"]).groupBy("id").agg(F.collect_set("h").alias("wanted")).join(ranks, "id"))
+    held = _join(source, wanted.select("id"), ["id"], "left_semi").join(wanted, "id")
+    found = settle(map_rows(held, ["r", "text", "wanted"], kinds, places))
+    key = ["h1", "h2"]
+
+    def repeated(own: DataFrame) -> DataFrame:
+        """Rows whose hash several texts have, with the first one's rank."""
+        first = own.groupBy(*key).agg(F.min("r").alias("m"), F.max("r").alias("x")).where("m < x").select(*key, "m")
+        return own.join(first, key)
+
+    chunk = found.select("r", F.explode("chunks").alias("c")).select("r", "c.*")
+    again = repeated(chunk.where("not own").drop("own"))
+    bodies = again.where("r = m").select(*key, F.col("body").alias("first_body"))
+    run = found.select("r", F.explode(F.arrays_zip("runs.h1", "runs.h2", "runs.at")).alias("c")).select("r", "c.*")
+    later = [(again.where("r > m").join(bodies, key).where("body = first_body"), 0), (chunk.where("own"), 0), (repeated(run).where("r > m"), 1), (found.select("r", F.explode("runs.own").alias("at")), 1)]
+    spots = reduce(DataFrame.unionByName, [x.select("r", F.lit(k).alias("kind"), "at") for x, k in later])
+    gone = spots.groupBy("r").agg(*[F.array_sort(F.collect_list(F.when(F.col("kind") == k, F.col("at")))).alias(c) for k, c in enumerate(("gone", "at"))])
+    starts = F.expr(f"filter(at, (x, i) -> i = 0 or x > at[i - 1] + {PASSAGE})")
+    ends = F.expr(f"transform(filter(at, (x, i) -> i = size(at) - 1 or at[i + 1] > x + {PASSAGE}), x -> x + {PASSAGE})")
+    gone = gone.select("r", "gone", starts.alias("a"), ends.alias("b")).select("r", "gone", F.arrays_zip("a", "b").alias("runs"))
+    named = gone.join(wanted.select("id", "r"), "r").select(F.col("id").alias(id_col), "gone", "runs", F.lit(False).alias("copy"))
+    return named.unionByName(copies.select(F.col("id").alias(id_col), F.lit(True).alias("copy")), allowMissingColumns=True)
+
+
+def _ranks(rows: DataFrame, id_col: str, order: str | None) -> DataFrame:
+    """(id, r): unique longs that rise with ``order``, then ``id_col``. Only these two columns are sorted, by ranges."""
+    ids = rows.select(F.col(id_col).alias("id"), *([F.col(order).alias("o")] if order else []))
+    if not order:
+        return ids.withColumn("r", F.col("id"))
+    return settle(ids.repartitionByRange("o", "id").sortWithinPartitions("o", "id").select("id", F.monotonically_increasing_id().alias("r")))
+
+
+def _known_chunks(text: str, known: set[int]) -> list[dict]:
+    """Chunks with a known hash; ``own``: one of equal bytes stands before it in the text."""
+    out, seen = [], set()
+    for k, body in _bodies(text):
+        if _signed(xxhash.xxh3_64_intdigest(body)) in known:
+            own = body in seen
+            seen.add(body)
+            out.append(dict(zip(("h1", "h2", "at", "own", "body"), (*_hash(body), k, own, None if own else body.decode("utf-8", "surrogatepass")), strict=True)))
+    return out
+
+
+def _known_runs(texts: list[str], wanted: np.ndarray) -> list[dict]:
+    """Of each text, the runs of words whose seeds are all wanted; ``own``: those that stand before in the text, without overlap."""
+    words = Words(texts)
+    at = Seeds(words).candidates(wanted)
+    last = at + PASSAGE - 1
+    h1, h2 = words.span(at, last).view(np.int64), words.span(at, last, 1).view(np.int64)
+    owner = np.searchsorted(words.first, at, side="right") - 1
+    order = np.lexsort((at, h1, owner))
+    h1, h2, at, owner = h1[order], h2[order], at[order], owner[order]
+    new = np.ones(len(at), dtype=bool)
+    new[1:] = (owner[1:] != owner[:-1]) | (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
+    own = at >= at[np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))] + PASSAGE
+    place = at - words.first[owner]
+    out = []
+    for a, b in zip((cut := np.searchsorted(owner, np.arange(len(texts) + 1))), cut[1:], strict=False):
+        free = ~own[a:b]
+        out.append({"h1": h1[a:b][free], "h2": h2[a:b][free], "at": place[a:b][free], "own": place[a:b][own[a:b]]})
+    return out
 
 
 def _join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
-    """Join that broadcasts ``right`` only if counted to be small."""
+    """Join with a settled table of narrow rows, which is broadcast only if counted to be small."""
     return left.join(F.broadcast(right) if small(right, BROADCAST_ROWS) else right, on, how)
 
 
-def strip(text: str | None, gone: list[int] | None, runs: list[int] | None, copy: bool = False) -> str | None:
-    """A text without the chunks of these numbers and the words of these runs; lines that lose all words go too.
+def strip(text: str | None, gone: list[int] | None, runs: list[tuple[int, int]] | None, copy: bool = False) -> str | None:
+    """A text without the chunks of these numbers and the words of these ranges; lines that lose all words go too.
 
-    Of a copy, all chunks that may go are gone, and all runs.
+    Of a copy, all chunks that may go are gone, and all words if they are enough for a passage.
     """
     if not text:
         return text
     if copy:
-        gone = [k for k, x in enumerate(chunks(text)) if x[2]]
-        n = len(text.split())
-        if n >= PASSAGE:
-            return "\n".join(x for x in _without(text, set(gone), iter([0]), n) if x is not None)
-        runs = []
+        gone, n = [k for k, x in enumerate(chunks(text)) if x[2]], len(text.split())
+        runs = [(0, n)] if n >= PASSAGE else []
     if not gone and not runs:
         return text
-    return "\n".join(x for x in _without(text, set(gone or []), iter(sorted(runs or [])), PASSAGE) if x is not None)
+    return "\n".join(_without(text, set(gone or []), runs or []))
 
 
-def _without(text: str, gone: set[int], starts: Iterator[int], size: int) -> Iterator[str | None]:
-    """Lines of a text without chunks and runs of ``size`` words; None for those that go."""
+def _without(text: str, gone: set[int], runs: list[tuple[int, int]]) -> Iterator[str]:
+    """The lines of a text that stay, without the words of the ranges."""
     dropped = {k for n, (a, b, _) in enumerate(chunks(text)) if n in gone for k in range(a, b)} if gone else set()
-    word, at, until = 0, next(starts, None), 0
+    word, at = 0, 0
     for k, line in enumerate(text.split("\n")):
         n = len(line.split())
-        if until <= word and (at is None or at >= word + n):
-            word += n
-            yield None if k in dropped else line
-            continue
-        kept, place, left, cut = [], 0, 0, False
-        for m in re.finditer(r"\S+", line):
-            while at is not None and at <= word:
-                until, at = max(until, at + size), next(starts, None)
-            if word < until:
-                kept.append(line[place : m.start()])
-                place, cut = m.end(), True
-            else:
-                left += 1
-            word += 1
-        if k in dropped or (cut and not left):
-            yield None
-        else:
-            yield "".join([*kept, line[place:]]) if cut else line
+        while at < len(runs) and runs[at][1] <= word:
+            at += 1
+        if k not in dropped:
+            if at == len(runs) or runs[at][0] >= word + n:
+                yield line
+            elif not (runs[at][0] <= word and runs[at][1] >= word + n):
+                kept, place, i = [], 0, at
+                for j, m in enumerate(re.finditer(r"\S+", line), word):
+                    while i < len(runs) and runs[i][1] <= j:
+                        i += 1
+                    if i < len(runs) and runs[i][0] <= j:
+                        kept.append(line[place : m.start()])
+                        place = m.end()
+                if len("".join([*kept, line[place:]]).split()):
+                    yield "".join([*kept, line[place:]])
+        word += n
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
@@ -272,20 +313,19 @@ def _stripped(docs: DataFrame) -> DataFrame:
 
     @F.pandas_udf("string")
     def cut(text: pd.Series, gone: pd.Series, runs: pd.Series, copy: pd.Series) -> pd.Series:
-        listed = lambda x: None if x is None else list(x)
-        return pd.Series([strip(t, listed(g), listed(r), bool(c)) for t, g, r, c in zip(text, gone, runs, copy, strict=True)], dtype=object)
+        return pd.Series([strip(t, None if g is None else list(g), None if r is None else [(x["a"], x["b"]) for x in r], bool(c)) for t, g, r, c in zip(text, gone, runs, copy, strict=True)], dtype=object)
 
-    joined = numbered.join(F.broadcast(gone) if small(gone, BROADCAST_ROWS) else gone, "__row", "left")
+    joined = numbered.join(F.broadcast(gone) if small(gone, BROADCAST_ROWS // 10) else gone, "__row", "left")
     none: Column = F.col("copy").isNull()
-    return joined.withColumn("__new", F.when(none, F.col("text")).otherwise(cut("text", "gone", "runs", "copy")))
+    return joined.withColumn("__new", F.when(none, F.col("text")).otherwise(cut(F.when(~none, F.col("text")), "gone", "runs", "copy")))
 
 
 def line_report(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_lines, n_removed_chunks, n_removed_runs, is_copy, text`` of every document, the text after the removal.
+    """``doc_id, n_lines, n_removed_chunks, n_removed_words, is_copy, text`` of every document, the text after the removal.
 
     ``n_lines`` counts the lines before it; a copy of an earlier text has no counts of its own (0). Null texts have
     null lines; null ids stay; repeated rows give a row each; an empty table gives no rows; other columns are not read.
     """
     base = _stripped(docs.select("doc_id", "text"))
-    size = lambda c: F.greatest(F.size(c), F.lit(0))
-    return base.select("doc_id", F.size(F.split("text", "\n")).alias("n_lines"), F.coalesce(size("gone"), F.lit(0)).alias("n_removed_chunks"), F.coalesce(size("runs"), F.lit(0)).alias("n_removed_runs"), F.coalesce("copy", F.lit(False)).alias("is_copy"), F.col("__new").alias("text"))
+    words = F.aggregate("runs", F.lit(0), lambda n, x: n + x["b"] - x["a"])
+    return base.select("doc_id", F.size(F.split("text", "\n")).alias("n_lines"), F.coalesce(F.greatest(F.size("gone"), F.lit(0)), F.lit(0)).alias("n_removed_chunks"), F.coalesce(words, F.lit(0)).alias("n_removed_words"), F.coalesce("copy", F.lit(False)).alias("is_copy"), F.col("__new").alias("text"))

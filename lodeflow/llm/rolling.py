@@ -79,19 +79,38 @@ class Words:
         raw = np.frombuffer(" ".join(" ".join(x) for x in lists if x).encode("utf-8", "surrogatepass"), dtype=np.uint8)
         space = np.flatnonzero(raw == 32)
         n = int(self.first[-1])
-        self.start = np.concatenate(([0], space + 1))[:n]
-        end = np.concatenate((space, [len(raw)]))[:n]
-        with np.errstate(over="ignore"):
-            self.at_start = [f.prefixes(raw, self.start) for f in _FAMILIES]
-            self.at_end = [f.prefixes(raw, end) for f in _FAMILIES]
-            self.back = [f.back(self.start) for f in _FAMILIES]
+        self.raw, self.start, self.end = raw, np.concatenate(([0], space + 1))[:n], np.concatenate((space, [len(raw)]))[:n]
+        self._sums: dict[int, tuple] = {}
+
+    def _family(self, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        if k not in self._sums:
+            f = _FAMILIES[k]
+            with np.errstate(over="ignore"):
+                self._sums[k] = f.prefixes(self.raw, self.start), f.prefixes(self.raw, self.end), f.back(self.start)
+        return self._sums[k]
 
     def span(self, a: np.ndarray | slice, last: np.ndarray | slice, family: int = 0) -> np.ndarray:
         """Hash of the words a to last (both included), as they stand with one space between."""
+        at_start, at_end, back = self._family(family)
         with np.errstate(over="ignore"):
-            return scramble((self.at_end[family][last] - self.at_start[family][a]) * self.back[family][a], 77)
+            return scramble((at_end[last] - at_start[a]) * back[a], 77)
 
     def runs(self, size: int, family: int = 0) -> np.ndarray:
         """Hash of the ``size`` words from each word on; runs over the end of a text are there too, but of no use."""
         n = max(0, len(self.start) - size + 1)
         return self.span(slice(0, n), slice(size - 1, size - 1 + n), family)
+
+
+def least_places(x: np.ndarray, size: int) -> np.ndarray:
+    """Place of the leftmost least element of every run of ``size`` elements; elements count by their upper 40 bits."""
+    n = len(x) - size + 1
+    if n <= 0:
+        return np.empty(0, dtype=np.int64)
+    low = np.uint64((1 << 24) - 1)
+    if len(x) > int(low):
+        half = len(x) // 2
+        return np.concatenate((least_places(x[: half + size - 1], size), least_places(x[half:], size) + half))
+    now, width = (x & ~low) | np.arange(len(x), dtype=np.uint64), 1
+    while 2 * width <= size:
+        now, width = np.minimum(now[:-width], now[width:]), 2 * width
+    return (np.minimum(now[:n], now[size - width : size - width + n]) & low).astype(np.int64)
