@@ -9,6 +9,7 @@ import unicodedata
 import zlib
 from array import array
 from operator import attrgetter
+from pathlib import Path
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -62,15 +63,15 @@ class Tokens:
     The tokenizer folds case, drops white space and cuts text into words, each of which has ids of its own. Text of
     Latin-1 characters is cut here, and only words that aren't remembered go to the tokenizer's model. Other text is
     handled by chunks between white space, across which nothing looks: those with other characters go through the
-    tokenizer whole.
+    tokenizer whole, and so do texts that hold one of its added tokens, which is one id there.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, definition: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
+        self.tok = Tokenizer.from_str(definition)
+        self.added = [x.content.lower() for x in self.tok.get_added_tokens_decoder().values()]
         self.find = _word_pattern().findall
         self.words = Words(self.tok.model)
 
@@ -85,7 +86,7 @@ class Tokens:
         return [self.text(t) if t else b"" for t in texts]
 
     def text(self, text: str) -> bytes:
-        if any(c in text for c in _ODD_SPACE):
+        if any(c in text for c in _ODD_SPACE) or any(x in low for low in [text.lower()] for x in self.added):
             return self._whole(text)
         if _is_latin(text):
             return self._latin(text)
@@ -100,14 +101,15 @@ def _is_latin(text: str) -> bool:
     return True
 
 
-_tokens: dict[str, Tokens] = {}
+_tokens: dict[int, Tokens] = {}
 
 
-def tokens_of(path: str) -> Tokens:
+def tokens_of(definition: str) -> Tokens:
     """One tokenizer, with its memory of words, for each worker process."""
-    if path not in _tokens:
-        _tokens[path] = Tokens(path)
-    return _tokens[path]
+    key = zlib.crc32(definition.encode())
+    if key not in _tokens:
+        _tokens[key] = Tokens(definition)
+    return _tokens[key]
 
 
 def pieces_of(ids: bytes, capacity: int = CAPACITY) -> list[tuple[int, int, int, int]]:
@@ -118,10 +120,15 @@ def pieces_of(ids: bytes, capacity: int = CAPACITY) -> list[tuple[int, int, int,
 
 
 def tokenised(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
-    """(doc_id, piece, start, length, ids_crc32), a row for each piece."""
+    """(doc_id, piece, start, length, ids_crc32), a row for each piece.
+
+    The tokenizer's file is read on the driver and broadcast: executors need no such path. Null and empty texts are
+    the end id alone; null ids stay; repeated rows give rows each.
+    """
+    sent = session(docs).sparkContext.broadcast(Path(path).read_text())
 
     def make():
-        tokens = tokens_of(path)
+        tokens = tokens_of(sent.value)
 
         def run(doc_ids, texts):
             out = [[] for _ in range(5)]

@@ -11,6 +11,8 @@ KINDS = (*BASE, "iban")
 
 #: Marks that stand in for characters of a match's inside, and around matches; never left in a text.
 _IN, _AROUND = "\x01", "\x02"
+#: What these become if a text holds them: characters that no pattern knows either.
+_OTHERS = "\x03\x04"
 #: Elements of a block in prefix sums.
 _STEP = 128
 #: Code points on both sides of a span that are searched for context words.
@@ -33,9 +35,9 @@ _IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9]
 #: Score of a span by its form alone, what context adds, and the words that count as context.
 SCORES = {
     "email": (0.80, 0.15, r"mail|contact|kontakt|correo|courriel|@"),
-    "ip": (0.50, 0.30, r"\bip\b|address|adresse|host|server|login"),
+    "ip": (0.50, 0.30, r"(^|[^a-z0-9_])ip([^a-z0-9_]|$)|address|adresse|host|server|login"),
     "card": (0.75, 0.20, r"card|visa|master|amex|karte|tarjeta|carte|credit|cvv|expir"),
-    "phone": (0.60, 0.30, r"phone|tel\b|tel\.|call|mobile|fax|telefon|llama|appel"),
+    "phone": (0.60, 0.30, r"phone|tel([^a-z0-9_]|$)|call|mobile|fax|telefon|llama|appel"),
     "iban": (0.85, 0.10, r"iban|bank|konto|account|compte|cuenta|bic|swift"),
 }
 
@@ -113,7 +115,7 @@ def find(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     Offsets come from the lengths of what lies between matches. Defined results: null and empty texts have no spans;
     repeated rows give a row each; null ids stay; other columns are not read.
     """
-    t = F.translate(F.coalesce(F.col("text"), F.lit("")), _IN + _AROUND, "  ")
+    t = F.translate(F.coalesce(F.col("text"), F.lit("")), _IN + _AROUND, _OTHERS)
     base = docs.select(F.col(id_col).alias("id"), t.alias("t"))
     dotted = F.regexp_replace("t", r"\.(?![A-Za-z0-9-])", _IN)
     joined = F.regexp_replace("t", r"(?<=[0-9])[\x20-](?=[0-9])", _IN)
@@ -145,11 +147,14 @@ def _scored(kind: str) -> Column:
 
 
 def digest(found: DataFrame) -> DataFrame:
-    """``doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans`` from the spans of documents."""
+    """``doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, scores`` from the spans of documents.
+
+    ``scores``: of each span in order, in hundredths, comma-joined.
+    """
 
     def joined(spans):
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
     base = F.filter("spans", lambda s: s["kind"].isin(*BASE))
     counts = [F.size(F.filter("spans", _is(k))).cast("long").alias(f"n_{k}") for k in BASE]
-    return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+    return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"), F.array_join(F.transform("spans", lambda s: F.round(s["score"] * 100).cast("int").cast("string")), ",").alias("scores"))

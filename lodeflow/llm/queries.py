@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lodeflow.llm import decontaminate, knn, langid, linededup, packing, pii, quality, secrets, simhash, tokencount
 from lodeflow.session import prepare, table
@@ -19,7 +20,8 @@ def tokenizer_file(name: str) -> str:
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+    spans = F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["start"], s["end"])), ",")
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", spans.alias("spans"))
 
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,18 +82,24 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 _SQL_WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
 _OP1 = f"""
-with d as materialized (select doc_id, row_number() over () as r, {_SQL_WORDS} as w from documents),
+with d as materialized (select doc_id, row_number() over () as r, text, {_SQL_WORDS} as w from documents),
 b as (select item_id, {_SQL_WORDS} as w from benchmark where item_id is not null),
 win as materialized (select distinct item_id, least(8, len(w)) as n, array_to_string(w[i : i + least(8, len(w)) - 1], ' ') as s
         from (select item_id, w, unnest(range(1, greatest(len(w) - 7, 1) + 1)) as i from b where len(w) > 0)),
 sizes as (select distinct n from win),
 dw as materialized (select r, w, i, n from (select r, w, unnest(range(1, len(w) + 1)) as i from d where len(w) > 0), sizes where i + n - 1 <= len(w)),
 hit as materialized (select dw.r, dw.i, dw.n, win.item_id from dw join win on win.n = dw.n and win.s = array_to_string(dw.w[dw.i : dw.i + dw.n - 1], ' ')),
-pos as (select r, count(distinct p) as n_hit from (select distinct r, unnest(range(i, i + n)) as p from hit) group by r),
+spot as materialized (select distinct r, unnest(range(i, i + n)) as p from hit),
+pos as (select r, count(*) as n_hit from spot group by r),
+piece as (select r, i, body, sum(len(body)) over (partition by r order by i) as e from (select r, unnest(p) as body, unnest(range(len(p))) as i from
+  (select r, string_split(regexp_replace(translate(text, chr(2), chr(3)), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+', chr(2) || '\\0' || chr(2), 'g'), chr(2)) as p from d where r in (select r from spot)))),
+word as (select r, (i + 1) // 2 as p, e - len(body) as s, e from piece where i % 2 = 1),
+span as (select r, min(s) as s, max(e) as e from (select r, s, e, p - row_number() over (partition by r order by p) as g from spot join word using (r, p)) group by r, g),
+spans as (select r, string_agg(s || ':' || e, ',' order by s) as spans from span group by r),
 items as (select r, count(*) as n_items, string_agg(id, ',' order by id) as ids from (select distinct r, cast(item_id as varchar) as id from hit) group by r)
 select d.doc_id, cast(len(d.w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
-       sha256(coalesce(ids, '')) as items_sha256, coalesce(n_items, 0) >= 2 as contaminated
-from d left join pos using (r) left join items using (r)
+       sha256(coalesce(ids, '')) as items_sha256, coalesce(n_items, 0) >= 2 as contaminated, coalesce(spans, '') as spans
+from d left join pos using (r) left join items using (r) left join spans using (r)
 """
 
 _OP4 = """
@@ -107,11 +115,14 @@ select query_id, rank, vec_id, score from r where rank <= 5
 
 def _sql_spans(kind: str, pattern: str, valid: str, text: str = "t") -> str:
     """Spans of one kind: matches are put between marks, and offsets are sums of the lengths of what lies before."""
-    return f"""select r, '{kind}' as kind, pos as s, pos + len(body) as e from (
+    alone, more, context = pii.SCORES[kind]
+    return f"""select r, '{kind}' as kind, pos as s, pos + len(body) as e,
+      {round(alone * 100)} + case when regexp_matches(lower(substr(t, cast(greatest(pos + 1 - {pii.CONTEXT}, 1) as bigint), cast(least(pos, {pii.CONTEXT}) as bigint)) || ' ' || substr(t, cast(pos + len(body) + 1 as bigint), {pii.CONTEXT})), '{context}') then {round(more * 100)} else 0 end as score from (
+      select m.*, d.t from (
       select r, body, i, sum(len(body)) over (partition by r order by i) - len(body) as pos from (
         select r, unnest(p) as body, unnest(range(len(p))) as i from (
-          select r, string_split(regexp_replace({text}, '{pattern}', chr(2) || '\\0' || chr(2), 'g'), chr(2)) as p from d)))
-    where i % 2 = 1 and ({valid})"""
+          select r, string_split(regexp_replace({text}, '{pattern}', chr(2) || '\\0' || chr(2), 'g'), chr(2)) as p from d))) m
+      join d using (r) where i % 2 = 1 and ({valid}))"""
 
 
 _DIGITS = "regexp_replace(body, '[^0-9]', '', 'g')"
@@ -119,8 +130,9 @@ _LUHN = f"list_sum(list_transform(range(len({_DIGITS})), lambda k: list_extract(
 _TURNED = "regexp_replace(substr(replace(body, ' ', ''), 5) || substr(replace(body, ' ', ''), 1, 4), ' ', '', 'g')"
 _MOD97 = f"len(replace(body, ' ', '')) <= 34 and list_reduce(list_prepend(0, list_transform(string_split({_TURNED}, ''), lambda c: case when c between '0' and '9' then ord(c) - 48 else ord(c) - 55 end)), lambda a, v: case when v < 10 then (a * 10 + v) % 97 else (a * 100 + v) % 97 end) = 1"
 
+#: chr(2) marks matches; in a text it becomes chr(3), which no pattern knows either.
 _OP10 = f"""
-with d as materialized (select doc_id, row_number() over () as r, translate(coalesce(text, ''), chr(1) || chr(2), '  ') as t from documents),
+with d as materialized (select doc_id, row_number() over () as r, translate(coalesce(text, ''), chr(2), chr(3)) as t from documents),
 spans as materialized (
   {_sql_spans("email", "[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\\.[A-Za-z0-9-]+)+", "true")} union all
   {_sql_spans("ip", "[0-9]+(?:\\.[0-9]+)(?:\\.[0-9]+)(?:\\.[0-9]+)", "list_max(list_transform(string_split(body, '.'), lambda x: cast(x as hugeint))) <= 255")} union all
@@ -130,10 +142,11 @@ spans as materialized (
 g as (select r, count(*) filter (where kind = 'email') as n_email, count(*) filter (where kind = 'ip') as n_ip,
        count(*) filter (where kind = 'card') as n_card, count(*) filter (where kind = 'phone') as n_phone,
        string_agg(kind || ':' || s || ':' || e, ',' order by list_position(['email','ip','card','phone','iban'], kind), s) filter (where kind <> 'iban') as base,
-       string_agg(kind || ':' || s || ':' || e, ',' order by list_position(['email','ip','card','phone','iban'], kind), s) as spans
+       string_agg(kind || ':' || s || ':' || e, ',' order by list_position(['email','ip','card','phone','iban'], kind), s) as spans,
+       string_agg(score, ',' order by list_position(['email','ip','card','phone','iban'], kind), s) as scores
       from spans group by r)
 select doc_id, coalesce(n_email, 0) as n_email, coalesce(n_ip, 0) as n_ip, coalesce(n_card, 0) as n_card, coalesce(n_phone, 0) as n_phone,
-       sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans
+       sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans, coalesce(scores, '') as scores
 from d left join g using (r)
 """
 

@@ -23,7 +23,7 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 _HEX = re.compile(r"[0-9a-f]{32,}")
 # weak parts: each alone is ordinary text
 _SECRET = re.compile(r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/]*[0-9])(?=[a-z0-9+/]*[A-Z])(?=[A-Z0-9+/]*[a-z])[A-Za-z0-9+/]{24,}+={0,2}(?![A-Za-z0-9+/_-])", re.A)
-_IDENTIFIER = re.compile(r"""(?:client_?id|access_?key_?id|account_?id|user_?name|user|login)["']?\x20{0,8}[:=]\x20{0,8}["']?[A-Za-z0-9._@-]{3,128}""", re.I | re.A)
+_IDENTIFIER = re.compile(r"""(?:client_?id|access_?key_?id|account_?id|user_?name|user|login)["']?\x20*[:=]\x20*["']?[A-Za-z0-9._@-]{3,}""", re.I | re.A)
 _ENDPOINT = re.compile(r"""(?:https?|ssh|sftp|ftp|jdbc:[a-z]+|postgres|mysql|mongodb|redis|amqp|s3)://[^\s"'<>]+""", re.A)
 
 

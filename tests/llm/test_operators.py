@@ -372,9 +372,8 @@ def test_packing(spark):
 
     path = tokenizer_file("word_bpe_49k.json")
     tok = Tokenizer.from_file(path)
-    tok.encode_special_tokens = True
     r = random.Random(3)
-    docs = edges([(i, text_of(i, r.choice([0, 1, 3, 20, 300, 1500, 9000])), "en") for i in range(80)] + [(500, "日本語 İ ß\x1c a\x7fb don't'S ²½", "en")])
+    docs = edges([(i, text_of(i, r.choice([0, 1, 3, 20, 300, 1500, 9000])), "en") for i in range(80)] + [(500, "日本語 İ ß\x1c a\x7fb don't'S ²½", "en"), (501, "a <|endoftext|> b", "en"), (502, "x<|startoftext|>", "en"), (503, "<|EndOfText|> 日本 <|endoftext|>", "en")])
     got = packing.pack(frame(spark, docs), path, 512).collect()
     ids = Counter()
     for d, t, _ in docs:
@@ -406,6 +405,7 @@ def test_packing(spark):
 PII_TEXTS = [
     "a@b.c_x@y.z foo@bar.com, q@r.s.t. @no no@dot", "x 1.2.3.4.5.6.7.8 256.1.1.1 001.02.3.255 1..2.3.4.5", "4111 1111 1111 1111 and 4111-1111-1111-1112 or 41111111111111111111 5500005555555559",
     "call +1 (555) 123-4567 or +49 30 1234 or +12345678 x+1-", "IBAN DE89 3704 0044 0532 0130 00. GB82WEST12345698765432 DE00370400440532013000", "é😀 z@z.zz +33 1 23 45 67 89", "1 2 3 4 5 6 7 8 9 0 1 2 3 4 5 6  7", "a" * 5000 + "@b.c" + ".d" * 6000, "9" * 30000, "+" * 3000 + "1" * 3000,
+    "4111\x011111\x011111\x011111 4111 1111 1111 1111", "+1\x015551234567 +1\x025551234567 +1 5551234567", "a\x01b@c.de\x02f 1.2\x01.3.4 \x02\x03\x04 1.2.3.4",
 ]
 
 
