@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 #: Rows of an Arrow batch at most; whole texts make wide rows.
 BATCH_ROWS = 1000
+_shipped: set[str] = set()
 PACKAGE_ROOT = str(Path(__file__).resolve().parents[1])
 
 
@@ -20,9 +24,7 @@ def prepare(spark: SparkSession) -> SparkSession:
     session without the setting (a bare local test) gets a temporary folder.
     """
     sc = spark.sparkContext
-    path = sc.environment.get("PYTHONPATH", "")
-    if PACKAGE_ROOT not in path.split(":"):
-        sc.environment["PYTHONPATH"] = f"{PACKAGE_ROOT}:{path}" if path else PACKAGE_ROOT
+    _ship(sc)
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     if not sc._jsc.sc().getCheckpointDir().isDefined():
@@ -30,10 +32,30 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def _ship(sc) -> None:
+    """Send the package's source to the executors, once a session; on a local master its own folder is enough."""
+    if sc.applicationId in _shipped:
+        return
+    if sc.master.startswith("local") and not sc.master.startswith("local-cluster"):
+        path = sc.environment.get("PYTHONPATH", "")
+        sc.environment["PYTHONPATH"] = f"{PACKAGE_ROOT}:{path}" if path else PACKAGE_ROOT
+    else:
+        folder = tempfile.mkdtemp(prefix="lodeflow-")  # the driver's own; executors fetch the file from the driver
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        target = f"{folder}/lodeflow.zip"
+        with zipfile.ZipFile(target, "w") as z:
+            for f in sorted(Path(PACKAGE_ROOT, "lodeflow").rglob("*.py")):
+                z.write(f, f.relative_to(PACKAGE_ROOT))
+        sc.addPyFile(target)
+    _shipped.add(sc.applicationId)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder of ``spark.checkpoint.dir``, or a temporary one where it is unset."""
+    """The shared folder of ``spark.checkpoint.dir``; a temporary one where it is unset and the master is local."""
     found = spark.conf.get("spark.checkpoint.dir", "")
     if not found:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = tempfile.mkdtemp(prefix="lodeflow-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found
