@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -115,50 +113,39 @@ def from_bbox(x: Column, y: Column, w: Column, h: Column, height: Column, width:
     return F.when(~some, F.array((height * width).cast("int"))).when(tall == height, solid).otherwise(F.concat(F.array(first), inner, tail))
 
 
+#: Fixed value: a polygon's corners and edges are rounded to a grid so many times finer than pixels.
+_FINE = 5
+
+
 def polygon_counts(xy: list[float], h: int, w: int) -> list[int]:
-    """Counts of a filled polygon given as x, y, x, y, ...: its boundary is walked on a grid five times finer."""
-    pts = np.floor(np.array(xy, dtype=float).reshape(-1, 2) * 5 + 0.5).astype(int)
-    us, vs = [], []
-    for (xs, ys), (xe, ye) in zip(pts, np.roll(pts, -1, axis=0), strict=True):
-        dx, dy = abs(xe - xs), abs(ye - ys)
-        flip = (dx >= dy and xs > xe) or (dx < dy and ys > ye)
-        if flip:
-            xs, xe, ys, ye = xe, xs, ye, ys
-        slope = (ye - ys) / dx if dx >= dy and dx else (xe - xs) / dy if dy else 0.0
-        t = np.arange(max(dx, dy) + 1)
-        t = t[::-1] if flip else t
-        if dx >= dy:
-            us.append(t + xs)
-            vs.append(np.floor(ys + slope * t + 0.5).astype(int))
-        else:
-            vs.append(t + ys)
-            us.append(np.floor(xs + slope * t + 0.5).astype(int))
-    u, v = np.concatenate(us), np.concatenate(vs)
-    marks = []
-    for j in range(1, len(u)):
-        if u[j] == u[j - 1]:
-            continue
-        x = (u[j] if u[j] < u[j - 1] else u[j] - 1 + 0.0)
-        x = (x + 0.5) / 5 - 0.5
-        if math.floor(x) != x or x < 0 or x > w - 1:
+    """Counts of a filled polygon given as x, y, x, y, ...: each column of pixels is switched where an edge crosses it.
+
+    A column's middle lies between two neighbouring places of the finer grid; an edge crosses it at the smaller y
+    that it has at these two, rounded to the grid along its longer side. Crossings in one place cancel out.
+    """
+    corner = np.trunc(np.array(xy, dtype=float).reshape(-1, 2) * _FINE + 0.5).astype(np.int64)
+    column = np.arange(w, dtype=np.int64)
+    middle = _FINE * column + _FINE // 2
+    switches = [np.empty(0, dtype=np.int64)]
+    for p, q in zip(corner, np.roll(corner, -1, axis=0), strict=True):
+        span = np.abs(q - p)
+        a, b = (p, q) if p[0 if span[0] >= span[1] else 1] <= q[0 if span[0] >= span[1] else 1] else (q, p)
+        hit = (middle >= min(p[0], q[0])) & (middle < max(p[0], q[0]))
+        at = middle[hit]
+        if not len(at):
             continue
-        y = v[j] if v[j] < v[j - 1] else v[j - 1]
-        y = min(max((y + 0.5) / 5 - 0.5, 0), h)
-        marks.append(int(x) * h + math.ceil(y))
-    marks = sorted([*marks, h * w])
-    runs, p = [], 0
-    for m in marks:
-        runs.append(m - p)
-        p = m
-    out, i = [runs[0]], 1
-    while i < len(runs):
-        if runs[i] > 0:
-            out.append(runs[i])
-        elif i + 1 < len(runs):
-            out[-1] += runs[i + 1]
-            i += 1
-        i += 1
-    return out
+        if span[0] >= span[1]:
+            slope = (b[1] - a[1]) / span[0]
+            y = np.minimum(*(np.trunc(a[1] + slope * (at + k - a[0]) + 0.5) for k in (0, 1)))
+        else:
+            x = np.trunc(a[0] + (b[0] - a[0]) / span[1] * np.arange(span[1] + 1) + 0.5)
+            sign = 1 if b[0] > a[0] else -1
+            y = a[1] + np.searchsorted(sign * x, sign * (at + (sign < 0)), side="right") - 1
+        row = np.ceil(np.clip((y + 0.5) / _FINE - 0.5, 0, h)).astype(np.int64)
+        switches.append(column[hit] * h + row)
+    place, times = np.unique(np.concatenate(switches), return_counts=True)
+    place = place[(times % 2 == 1) & (place < h * w)]
+    return np.diff(np.concatenate(([0], place, [h * w]))).tolist()
 
 
 def to_text(counts: list[int]) -> str:

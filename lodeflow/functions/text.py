@@ -181,3 +181,64 @@ def fanout_path(name: Column) -> Column:
     """Two-level folder from a hash of a name."""
     h = F.upper(F.md5(name))
     return F.concat_ws("/", F.substring(h, 1, 2), F.substring(h, 3, 2), name)
+
+
+#: Kinds of tokens in the order that they are tried, each with the pattern of the token. Patterns match from
+#: the front; "next" kinds look at the token behind, "fold" ones at the token in lower case.
+TOKEN_TYPES = [
+    ("-Type_cytochrome-", "^(ytochrome|cytochrome)$", ""),
+    ("-Type_target-", "^.*target$", ""),
+    ("-Type_ExperimentNoun-", "^.*(irradiation|hybrid|fusion|experiment|gst|est|gap|antigen)$", ""),
+    ("-Type_Disease-", "^.*(disease|disorder|dystrophy|deficiency|syndrome|dysgenesis|cancer|injury|neoplasm|diabetes|diabete)$", ""),
+    ("-Type_DomainMotif-", "^.*(motif|domain|omain|binding|site|region|sequence|frameshift|finger|box).*$", ""),
+    ("-Type_DomainMotif-", "^-$", "^.*(motif|domain|omain|binding|site|region|sequence|frameshift|finger|box).*$"),
+    ("-Type_DomainMotif-", "^[rmc]$", "^(DNA|RNA)$"),
+    ("-Type_Family-", "^.*(famil|complex|cluster|proteins|genes|factors|transporter|proteinase|membrane|ligand|enzyme|channels|tors|ase|ases)$", ""),
+    ("-Type_Marker-", "fold:^marker", ""),
+    ("-Type_Cell-", "^(T|B|monocytic|cancer|tumor|myeloma|epithelial|crypt)$", "^cell$"),
+    ("-Type_ChromosomeStrain-", "^[pq]$", "^[0-9]+$"),
+    ("-Type_ChromosomeStrain-", "^[pq]$", "before:^[0-9]+$"),
+    ("-Type_relation-", "^.*(related|regulated|associated|correlated|reactive).*$", ""),
+    ("-Type_VariationTerms-", "fold:^.*(polymorphism|mutation|deletion|insertion|duplication|genotype|genotypes).*$", ""),
+    ("-Type_suffix-", "^.*(oxidase|transferase|transferases|kinase|kinese|subunit|unit|receptor|adrenoceptor|transporter|regulator|transcription|antigen|protein|gene|factor|member|molecule|channel|deaminase|spectrin).*", ""),
+    ("-Type_strain-", "^[-_(]$", "fold:^.*(alpha|beta|gamma|delta|theta|kappa|zeta|sigma|omega|i|ii|iii|iv|v|vi|[abcdefgyr])$"),
+    ("-Type_strain-", "^(alpha|beta|gamma|delta|theta|kappa|zeta|sigma|omega|i|ii|iii|iv|v|vi|[abcdefgyr])$", ""),
+]
+#: Fixed value: what features without a value are.
+NO_FEATURE = "__nil__"
+#: What is put before and behind a line that is searched, and the part of speech that all tokens get.
+PAD, PAD_BEHIND, PART_OF_SPEECH = "blablabla, ", ", blablabla, ", "NN"
+
+
+def token_type(token: Column, before: Column, behind: Column) -> Column:
+    """Kind of a token, from itself and its neighbours (null where there is none); the first of ``TOKEN_TYPES`` that fits."""
+    def fits(pattern: str, at: Column) -> Column:
+        way, _, body = pattern.rpartition(":")
+        subject = before if way == "before" else at
+        return F.coalesce((F.lower(subject) if way == "fold" else subject).rlike(body), F.lit(False))
+
+    out = F.lit(NO_FEATURE)
+    for name, own, other in reversed(TOKEN_TYPES):
+        out = F.when(fits(own, token) & fits(other, behind) if other else fits(own, token), name).otherwise(out)
+    return out
+
+
+def token_types(tokens: Column) -> Column:
+    """Kinds of all tokens of an array."""
+    return F.transform(tokens, lambda t, i: token_type(t, F.when(i > 0, F.get(tokens, i - 1)), F.get(tokens, i + 1)))
+
+
+def constant_features(tokens: Column) -> Column:
+    """Features that no token has a value of: abbreviation state, and part of speech."""
+    return F.transform(tokens, lambda t: F.struct(F.lit(NO_FEATURE).alias("abbreviation"), F.lit(PART_OF_SPEECH).alias("pos")))
+
+
+def padded(line: Column) -> Column:
+    """A line as it is searched: between paddings, so that matches at its ends have neighbours."""
+    return F.concat(F.lit(PAD), line, F.lit(PAD_BEHIND))
+
+
+def unpadded(span: Column, line_start: Column) -> Column:
+    """A span (struct of start, end) found in a padded line, as one of the text whose line begins at ``line_start``."""
+    shift = line_start - F.lit(len(PAD))
+    return F.struct((span["start"] + shift).alias("start"), (span["end"] + shift).alias("end"))

@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lodeflow.operators import windows
+
 SIDES = ("x1", "y1", "x2", "y2")
 
 
@@ -192,13 +194,94 @@ def example_weights(labelled: DataFrame, by: list[str], label: str = "label") ->
     return labelled.withColumn("inside", F.when(F.col(label) == 1, 1.0).otherwise(0.0)).withColumn("outside", F.when(F.col(label) >= 0, 1.0 / n).otherwise(0.0))
 
 
+def with_truths(rois: DataFrame, truths: DataFrame) -> DataFrame:
+    """Candidates and the truths themselves, which are candidates too."""
+    return rois.unionByName(truths, allowMissingColumns=True)
+
+
 def sample_rois(rois: DataFrame, by: list[str], key: str, overlap: str, size: int = 128, foreground: float = 0.25, fg: float = 0.5, bg_high: float = 0.5, bg_low: float = 0.0) -> DataFrame:
-    """Foreground and background regions by quota, chosen by a hash; ``kind`` tells which."""
+    """``size`` regions of each group: foreground by quota without repeats, and background drawn with repeats for all the rest.
+
+    Where one kind is missing, the other is drawn ``size`` times with repeats; groups without either give nothing.
+    Draws come from hashes, so they are the same at every run. ``kind`` tells the kinds, ``draw`` numbers the draws.
+    """
     kind = F.when(F.col(overlap) >= fg, "fg").when((F.col(overlap) < bg_high) & (F.col(overlap) >= bg_low), "bg")
     cast = rois.withColumn("kind", kind).where(F.col("kind").isNotNull())
-    ranked = cast.withColumn("__r", F.row_number().over(Window.partitionBy(*by, "kind").orderBy(F.xxhash64(*by, key), key)))
-    quota = F.when(F.col("kind") == "fg", F.lit(round(size * foreground))).otherwise(F.lit(size - round(size * foreground)))
-    return ranked.where(F.col("__r") <= quota).drop("__r")
+    ranked = cast.withColumn("__r", F.row_number().over(Window.partitionBy(*by, "kind").orderBy(F.xxhash64(*by, key), key)) - 1)
+    n = cast.groupBy(*by).agg(F.count_if(F.col("kind") == "fg").alias("__fg"), F.count_if(F.col("kind") == "bg").alias("__bg"))
+    quota = F.when(F.col("__bg") == 0, F.lit(0)).otherwise(F.least("__fg", F.lit(round(size * foreground))))
+    drawn = n.withColumn("__q", quota).select(*by, "__q", F.when(F.col("__bg") > 0, "bg").otherwise("fg").alias("kind"), F.greatest("__fg", F.lit(1)).alias("__fg"), F.greatest("__bg", F.lit(1)).alias("__bg"), F.explode(F.sequence(F.col("__q"), F.lit(size - 1).cast("bigint"))).alias("draw"))
+    pick = F.pmod(F.xxhash64(*by, "draw"), F.when(F.col("kind") == "bg", F.col("__bg")).otherwise(F.col("__fg")))
+    repeats = drawn.select(*by, "kind", "draw", pick.alias("__r")).join(ranked, [*by, "kind", "__r"])
+    firsts = ranked.where("kind = 'fg'").join(n.select(*by, quota.alias("__q")), by).where("__r < __q").withColumn("draw", F.col("__r").cast("bigint")).drop("__q")
+    return firsts.unionByName(repeats.select(*firsts.columns)).drop("__r")
+
+
+#: Means and deviations that regression targets are normalised by.
+TARGET_MEANS, TARGET_STDS = (0.0, 0.0, 0.0, 0.0), (0.1, 0.1, 0.2, 0.2)
+DELTAS = ("dx", "dy", "dw", "dh")
+
+
+def normalised_targets(deltas: dict[str, Column]) -> dict[str, Column]:
+    return {n: (deltas[n] - m) / s for n, m, s in zip(DELTAS, TARGET_MEANS, TARGET_STDS, strict=True)}
+
+
+def raw_targets(p: str = "") -> list[Column]:
+    """Deltas from normalised ones."""
+    return [F.col(p + n) * s + m for n, m, s in zip(DELTAS, TARGET_MEANS, TARGET_STDS, strict=True)]
+
+
+def detections(raw: DataFrame, by: list[str], key: str, least: float = 0.7, threshold: float = 0.3) -> DataFrame:
+    """What a detector's head gives, as boxes of the page: by, key, score, box.
+
+    ``raw``: proposals (box) of a scaled image with normalised deltas, the class's score, and the image's width,
+    height and scale. Low scores go first, then boxes are moved, held inside the image, scaled back and suppressed.
+    """
+    high = raw.where(F.col("score") > least)
+    moved = high.withColumns(from_deltas("", *raw_targets()))
+    held = moved.withColumns(clip(F.col("width"), F.col("height"))).withColumns({s: F.col(s) / F.col("scale") for s in SIDES})
+    return nms(held.select(*by, key, "score", *SIDES), by, "score", key, threshold)
+
+
+def minibatch_truths(truths: DataFrame, scale: Column, all_truths: bool = True) -> DataFrame:
+    """Truths of a class (not background), without crowds unless all count, in the scaled image's coordinates."""
+    kept = truths.where("class <> 0") if all_truths else truths.where("class <> 0 and not crowd")
+    return kept.withColumns({s: F.col(s) * scale for s in SIDES})
+
+
+def crop_start(low: Column, high: Column, length: Column, window: Column, draw: Column) -> Column:
+    """Where a window of a long side begins so that it holds the truths from ``low`` to ``high``, or else part of them.
+
+    Truths at the front put it there. If they fit, any start that holds them will do, else any in the first half of what
+    sticks out; ``draw`` (a whole number, such as a hash) chooses.
+    """
+    spread = high - low + 1
+    first, last = F.greatest(high - window, F.lit(0)), F.least(low, length - window)
+    out = F.floor((spread - window) / 2)
+    fits = F.when(last > first, first + F.pmod(draw, last - first)).otherwise(first)
+    part = F.when(out > 0, low + F.pmod(draw, F.greatest(out, F.lit(1)))).otherwise(low)
+    return F.when(low == 0, F.lit(0)).when(spread < window, fits).otherwise(part).cast("bigint")
+
+
+def cropped(df: DataFrame, by: list[str], axis: str, length: str, window: str) -> DataFrame:
+    """Boxes of each image moved into a window of one axis and held inside it; ``crop`` is where the window begins."""
+    w = Window.partitionBy(*by)
+    size = F.least(F.col(window), F.col(length))
+    low, high = F.min(f"{axis}1").over(w), F.max(f"{axis}2").over(w)
+    at = df.withColumn("crop", crop_start(F.floor(low), F.floor(high), F.col(length), size, F.xxhash64(*by)))
+    return at.withColumns({f"{axis}{k}": F.least(F.greatest(F.col(f"{axis}{k}") - F.col("crop"), F.lit(0.0)), size - 1) for k in "12"})
+
+
+def proposals_with_truth(proposals: DataFrame, truths: DataFrame, by: list[str], key: str, size: float) -> DataFrame:
+    """Proposals with the class of the truth that they overlap most and by how much; class 0 and 0.0 where none does."""
+    pairs = overlap_join(proposals.select(*by, key, *SIDES), truths.select(*by, "class", F.col(key).alias("truth"), *SIDES), by, size).withColumn("overlap", iou_pixel("a_", "b_")).where("overlap > 0")
+    best = pairs.groupBy(*by, F.col(f"a_{key}").alias(key)).agg(F.max_by("b_class", F.struct("overlap", -F.col("b_truth"))).alias("class"), F.max("overlap").alias("overlap"))
+    return proposals.join(best, [*by, key], "left").withColumns({"class": F.coalesce("class", F.lit(0)), "overlap": F.coalesce("overlap", F.lit(0.0))})
+
+
+def with_boxes(images: DataFrame, boxes_: DataFrame, by: list[str]) -> DataFrame:
+    """Images that have a box."""
+    return images.join(boxes_.select(*by).distinct(), by, "left_semi")
 
 
 def smooth_l1(pred: Column, target: Column, inside: Column, outside: Column, sigma: float = 1.0) -> Column:
@@ -214,10 +297,12 @@ def unique_boxes(df: DataFrame, by: list[str], order: str, scale: float = 1.0) -
 
 
 def ratio_rank(df: DataFrame, width: str, height: str, key: str) -> DataFrame:
-    """Aspect ratio held between 0.5 and 2, whether it was cropped, and the rank by it."""
+    """Aspect ratio held between 0.5 and 2, whether it was cropped, and the rank by it (by ranges, so no task sees all rows)."""
     r = F.col(width) / F.col(height)
     held = df.select("*", F.least(F.greatest(r, F.lit(0.5)), F.lit(2.0)).alias("ratio"), ((r > 2) | (r < 0.5)).alias("need_crop"))
-    return held.withColumn("rank", F.row_number().over(Window.orderBy("ratio", key)))
+    order = [F.col("ratio"), F.col(key)]
+    parts = windows.ranged(held, [], order)
+    return windows.running(parts, [], order, {"rank": F.lit(1)}).drop("__range")
 
 
 def scale_factor(height: Column, width: Column, short: int = 600, long: int = 1000) -> Column:

@@ -118,6 +118,11 @@ class Transcript:
         pos = F.when(ordinal > self.base3, ordinal - self.base3).when(ordinal <= self.utr5, ordinal - self.utr5 - 1).otherwise(ordinal - self.utr5)
         return F.struct(pos.alias("pos"), offset.alias("offset"), (ordinal > self.base3).alias("utr3"))
 
+    def shifted(self, pos: Column, offset: Column, utr3: Column, length: Column) -> Column:
+        """Transcript position (pos, offset, utr3) that lies ``length`` bases further along the transcript's direction; null off it."""
+        at = self.to_chromosome(pos, offset, utr3)
+        return F.when(at.isNotNull(), self.from_chromosome(at + self.strand * length))
+
     def intron(self, number: Column, offset: Column) -> Column:
         """Chromosome position at an offset from intron ``number``: from its upstream exon if positive, else from the downstream one."""
         minus = self.strand < 0
@@ -167,6 +172,13 @@ def to_alleles(kind: Column, strand: Column, start: Column, end: Column, ref: Co
     return {"pos": F.when(kind == "INS", lo + 1).otherwise(lo), "ref": filled, "alt": F.when(kind == "DUP", F.concat(filled, filled)).when(kind == "DEL", F.lit("")).otherwise(a), "ok": (r == "") | (kind == "INS") | (r == genome)}
 
 
+def mitochondrial_alleles(kind: Column, start: Column, end: Column, ref: Column, alt: Column, genome: Column, copies: Column | None = None) -> dict[str, Column]:
+    """Alleles of a variant told on the mitochondrial sequence itself; ``genome`` is that from ``start`` to ``end``
+    (for an insertion the base at its end). A reference that isn't the sequence's drops it; a duplication inserts the rest of its ``copies`` (2)."""
+    more = F.repeat(genome, (F.lit(2) if copies is None else copies) - 1)
+    return {"pos": F.when(kind == "INS", end).otherwise(start), "ref": F.when(kind.isin("DEL", "INDEL"), genome).when(kind == "DUP", "").otherwise(ref), "alt": F.when(kind == "DUP", more).otherwise(alt), "ok": (ref == "") | (ref == genome)}
+
+
 def synonymous(aa: Column) -> Column:
     """Codons of an amino acid."""
     return F.coalesce(F.try_element_at(codons_of(), aa), F.array().cast("array<string>"))

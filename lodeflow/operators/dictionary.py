@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodeflow.functions import text as T
+from lodeflow.operators import asof
 
 #: Words that don't count as tokens of a name in the first and the second bag.
 STOP_FIRST = ["", "of", "the"]
@@ -19,15 +20,18 @@ def word_tokens(text: Column) -> Column:
     return F.filter(F.transform(T.gene_tokens(text), F.lower), lambda t: ~t.rlike(r"[^a-z0-9_]"))
 
 
-def longest_matches(docs: DataFrame, dictionary: DataFrame, id_col: str, tokens: str, key: str, value: str, most: int = 8, compat: bool = False) -> DataFrame:
+def longest_matches(docs: DataFrame, dictionary: DataFrame, id_col: str, tokens: str, key: str, value: str, compat: bool = False) -> DataFrame:
     """Greedy left-to-right dictionary matches of token arrays: (id_col, first, last, key, value).
 
-    Runs of 1 to ``most`` tokens are joined with the dictionary's keys (tokens joined by a space); each start keeps its
-    longest; then a sweep takes matches from left to right without overlap. Only starts that match are swept.
+    Runs of as many tokens as any of the dictionary's keys has are joined with the keys (tokens joined by a space),
+    whatever their length; each start keeps its longest; then a sweep takes matches from left to right without overlap. Only starts that match are swept.
     ``dictionary`` has one value for a key. ``compat`` leaves out one-token matches at the first token.
     """
     n = F.size(tokens)
-    grams = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(most)), lambda k: F.when(n >= k, F.transform(F.sequence(F.lit(0), n - k), lambda i: F.struct(i.alias("first"), (i + k - 1).alias("last"), F.array_join(F.slice(tokens, i + 1, k), " ").alias("key")))).otherwise(F.array().cast("array<struct<first:int,last:int,key:string>>"))))
+    sizes = sorted(r[0] for r in dictionary.select(F.size(F.split(F.col(key), " "))).distinct().collect())
+    if not sizes:
+        return docs.limit(0).select(id_col, F.lit(0).alias("first"), F.lit(0).alias("last"), F.lit("").alias(key)).join(dictionary.select(key, value).limit(0), key).select(id_col, "first", "last", key, value)
+    grams = F.flatten(F.transform(F.array(*[F.lit(k) for k in sizes]), lambda k: F.when(n >= k, F.transform(F.sequence(F.lit(0), n - k), lambda i: F.struct(i.alias("first"), (i + k - 1).alias("last"), F.array_join(F.slice(tokens, i + 1, k), " ").alias("key")))).otherwise(F.array().cast("array<struct<first:int,last:int,key:string>>"))))
     rows = docs.where(n > 0).select(F.col(id_col).alias("__id"), F.explode(grams).alias("g")).select("__id", "g.*")
     hit = rows.join(dictionary.select(F.col(key).alias("key"), F.col(value).alias("value")), "key")
     if compat:
@@ -44,13 +48,15 @@ def longest_matches(docs: DataFrame, dictionary: DataFrame, id_col: str, tokens:
     return kept.select(F.col("__id").alias(id_col), "m.first", "m.last", F.col("m.key").alias(key), F.col("m.value").alias(value))
 
 
-def prefix_paths(nodes: DataFrame, most: int = 8) -> DataFrame:
-    """(key, gene_id) of a tree given as rows (path, token, gene_id), path being dash-separated ordinals; one join a level."""
-    level = nodes.where(~F.col("path").contains("-")).select("path", F.col("token").alias("key"), "gene_id")
+def prefix_paths(nodes: DataFrame) -> DataFrame:
+    """(key, gene_id) of a tree given as rows (path, token, gene_id), path being dash-separated ordinals; one join a level, as deep as it goes."""
+    level = nodes.where(~F.col("path").contains("-")).select("path", F.col("token").alias("key"), "gene_id").checkpoint()
     out = [level]
     rest = nodes.where(F.col("path").contains("-")).withColumn("parent", F.regexp_replace("path", r"-[^-]*$", ""))
-    for _ in range(most - 1):
-        level = rest.join(level.select(F.col("path").alias("parent"), F.col("key").alias("__k")), "parent").select("path", F.concat_ws(" ", "__k", "token").alias("key"), "gene_id")
+    while True:
+        level = rest.join(level.select(F.col("path").alias("parent"), F.col("key").alias("__k")), "parent").select("path", F.concat_ws(" ", "__k", "token").alias("key"), "gene_id").checkpoint()
+        if not level.limit(1).count():
+            break
         out.append(level)
     return reduce(DataFrame.unionByName, out).where("gene_id is not null").select(F.lower("key").alias("key"), "gene_id")
 
@@ -92,13 +98,15 @@ def name_winners(queries: DataFrame, names: DataFrame, candidates: DataFrame, qu
 
 
 def resolve_names(mentions: DataFrame, names: DataFrame, gene_tokens: DataFrame, name_tokens: DataFrame, articles: DataFrame, gap: int = 5) -> DataFrame:
-    """The cascade that gives each mention of a block its gene: (block, start, end, mention, gene_id, step).
+    """The cascade that gives each mention of a block its gene: (block, start, end, mention, gene_id, step, options).
 
     ``mentions``: block, start, end, mention. ``names``: kind (symbol, synonym, other), name_key, gene_id.
     ``gene_tokens``: gene_id, token; ``name_tokens``: gene_id, name, token. ``articles``: block, token.
-    Stages, each for what the ones before left: symbol (also without a leading h), synonym, other name (a single
-    hit resolves, several are kept as ambiguous), token bag, best single name, genes already found in the block, overlap with
-    the article's tokens, a neighbour within ``gap`` characters. What stays ambiguous takes its smallest gene id.
+    Stages, each for what the ones before left: symbol, synonym, other name (each also without a leading h; a single
+    hit resolves, several are kept in doubt), token bag, best single name. Of what is in doubt, the options that were
+    found for other mentions of the block stay, if there are any; else those that share most tokens with the article. One resolves;
+    several, and mentions without any option, take the gene of a neighbour nearer than ``gap`` characters;
+    else several options stay (``options``, ``gene_id`` the smallest) and none gives null.
     """
     keyed = mentions.withColumn("name_key", T.name_key(F.col("mention"))).withColumn("words", F.split(T.name_words(F.col("mention")), " +"))
     # each stage is settled: what later stages read is a table, not the plan of all stages before
@@ -113,12 +121,15 @@ def resolve_names(mentions: DataFrame, names: DataFrame, gene_tokens: DataFrame,
         doubt.append(n.where("__n > 1").select("name_key", "gene_id", F.lit(step).alias("step")))
         left = left.join(n.select("name_key").distinct(), "name_key", "left_anti").checkpoint()
 
-    symbol = names.where("kind = 'symbol'").groupBy("name_key").agg(F.max("gene_id").alias("gene_id"))
-    direct = left.join(symbol, "name_key").select("name_key", "gene_id")
-    bare = left.join(direct, "name_key", "left_anti").withColumn("__h", T.without_h(F.col("name_key"))).join(symbol.withColumnRenamed("name_key", "__h"), "__h").select("name_key", "gene_id")
-    close(direct.unionByName(bare), 2)
+    def found_in(own: DataFrame) -> DataFrame:
+        """Entries under the whole name, or where there is none under the name without a leading h."""
+        direct = left.select("name_key").join(own, "name_key")
+        bare = left.join(direct, "name_key", "left_anti").select("name_key", T.without_h(F.col("name_key")).alias("__h")).join(own.withColumnRenamed("name_key", "__h"), "__h")
+        return direct.select("name_key", "gene_id").unionByName(bare.select("name_key", "gene_id"))
+
+    close(found_in(names.where("kind = 'symbol'").groupBy("name_key").agg(F.max("gene_id").alias("gene_id"))), 2)
     for kind, step in (("synonym", 3), ("other", 4)):
-        close(left.join(names.where(F.col("kind") == kind), "name_key").select("name_key", "gene_id"), step)
+        close(found_in(names.where(F.col("kind") == kind).select("name_key", "gene_id")), step)
     bagged = bag_candidates(left, gene_tokens, "name_key", "words", "gene_id", "token").checkpoint()
     named = name_winners(left, name_tokens, bagged, "name_key", "words", "gene_id", "name", "token").checkpoint()
     single = bagged.withColumn("__n", F.count("*").over(Window.partitionBy("name_key"))).where("__n = 1").select("name_key", "gene_id")
@@ -128,21 +139,22 @@ def resolve_names(mentions: DataFrame, names: DataFrame, gene_tokens: DataFrame,
     doubt.append(open_.select("name_key", "gene_id", F.lit(6).alias("step")))
     sure, unsure = reduce(DataFrame.unionByName, done).checkpoint(), reduce(DataFrame.unionByName, doubt).checkpoint()
 
-    spots = keyed.select("block", "start", "end", "mention", "name_key")
+    place = ["block", "start", "end"]
+    spots = keyed.select(*place, "mention", "name_key")
     found = spots.join(sure, "name_key")
     options = spots.join(unsure.select("name_key", "gene_id"), "name_key")
     in_block = found.select("block", "gene_id").distinct()
-    seven = options.join(in_block, ["block", "gene_id"]).groupBy("block", "start", "end", "mention", "name_key").agg(F.min("gene_id").alias("gene_id"), F.lit(7).alias("step"))
-    open7 = options.join(seven.select("block", "start", "end"), ["block", "start", "end"], "left_anti")
-    common = open7.join(gene_tokens, "gene_id").join(articles.where(~F.col("token").isin(STOP_FIRST)).distinct(), ["block", "token"]).groupBy("block", "start", "end", "mention", "name_key", "gene_id").agg(F.countDistinct("token").alias("n"))
-    best = common.withColumn("m", F.max("n").over(Window.partitionBy("block", "start", "end"))).where("n = m").withColumn("c", F.count("*").over(Window.partitionBy("block", "start", "end")))
-    eight = best.where("c = 1").select("block", "start", "end", "mention", "name_key", "gene_id", F.lit(8).alias("step"))
-    resolved = found.unionByName(seven.select(found.columns)).unionByName(eight.select(found.columns)).checkpoint()
-    spare = open7.groupBy("block", "start", "end").agg(F.min("gene_id").alias("__first"))
-    order = Window.partitionBy("block").orderBy("start", "end")
-    all_ = spots.join(resolved.select("block", "start", "end", "gene_id", "step"), ["block", "start", "end"], "left").join(spare, ["block", "start", "end"], "left")
-    before = F.when(F.col("start") - F.lag("end").over(order) <= gap, F.lag("gene_id").over(order))
-    after = F.when(F.lead("start").over(order) - F.col("end") <= gap, F.lead("gene_id").over(order))
-    near = all_.withColumn("__near", F.coalesce(before, after))
-    step = F.coalesce("step", F.when(F.col("__first").isNotNull(), F.lit(9)).when(F.col("__near").isNotNull(), F.lit(10)))
-    return near.select("block", "start", "end", "mention", F.coalesce("gene_id", "__near", "__first").alias("gene_id"), step.alias("step"))
+    seven = options.join(in_block, ["block", "gene_id"]).withColumn("step", F.lit(7))
+    open7 = options.join(seven.select(*place).distinct(), place, "left_anti")
+    common = open7.join(gene_tokens.distinct(), "gene_id").join(articles.where(~F.col("token").isin(STOP_FIRST)).distinct(), ["block", "token"]).groupBy(*place, "mention", "name_key", "gene_id").agg(F.countDistinct("token").alias("n"))
+    eight = common.withColumn("m", F.max("n").over(Window.partitionBy(*place))).where("n = m").withColumn("step", F.lit(8))
+    kept = seven.select(found.columns).unionByName(eight.select(found.columns)).groupBy(*place, "mention", "name_key", "step").agg(F.array_sort(F.collect_set("gene_id")).alias("options")).checkpoint()
+    one = kept.where("size(options) = 1").select("name_key", *place, "mention", F.col("options")[0].alias("gene_id"), "step")
+    resolved = found.unionByName(one.select(found.columns)).groupBy("block", "name_key").agg(F.min("gene_id").alias("gene_id"), F.min("step").alias("step"))
+    # a name that was resolved in one place of a block is so in all of it
+    base = spots.join(kept.where("size(options) > 1").select(*place, "options"), place, "left").join(resolved, ["block", "name_key"], "left").join(options.select(*place).distinct().withColumn("doubtful", F.lit(True)), place, "left")
+    near = asof.neighbour_within(base, ["block"], "start", "end", "gene_id", gap)
+    several, none = F.col("options").isNotNull(), F.col("options").isNull() & F.col("doubtful").isNull()
+    gene = F.coalesce("gene_id", F.when(several | none, F.col("near")), F.col("options")[0])
+    step = F.coalesce("step", F.when(several, 9).when(none & F.col("near").isNotNull(), 10))
+    return near.select(*place, "mention", gene.alias("gene_id"), step.alias("step"), "options")

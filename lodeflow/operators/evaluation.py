@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodeflow.operators import boxes
+from lodeflow.operators import boxes, windows
 
 
 def rank_flags(dets: DataFrame, truths: DataFrame, by: list[str], image: str, det: str, gt: str, score: str, size: float, threshold: float = 0.5) -> DataFrame:
@@ -24,21 +24,19 @@ def rank_flags(dets: DataFrame, truths: DataFrame, by: list[str], image: str, de
 
 
 def curve(flags: DataFrame, truths: DataFrame, by: list[str], score: str, det: list[str]) -> DataFrame:
-    """Recall, precision and its envelope at each rank."""
+    """Recall, precision and its envelope at each rank. Detections are dealt out by ranges of their score: a class may hold most of them."""
     n = truths.where("difficult = 0").groupBy(*by).agg(F.count("*").alias("npos"))
-    order = [F.desc(score), *det]
-    w = Window.partitionBy(*by).orderBy(*order)
-    upto = w.rowsBetween(Window.unboundedPreceding, 0)
-    run = flags.join(n, by).select("*", F.row_number().over(w).alias("rank"), F.sum("tp").over(upto).alias("ctp"), F.sum("fp").over(upto).alias("cfp"))
+    order = [F.desc(score), *[F.col(c) for c in det]]
+    parts = windows.ranged(flags.join(n, by), by, order)
+    run = windows.running(parts, by, order, {"rank": F.lit(1), "ctp": F.col("tp"), "cfp": F.col("fp")})
     pr = run.select("*", (F.col("ctp") / F.col("npos")).alias("recall"), F.coalesce(F.try_divide(F.col("ctp"), F.col("ctp") + F.col("cfp")), F.lit(0.0)).alias("precision"))
-    ahead = Window.partitionBy(*by).orderBy("rank").rowsBetween(0, Window.unboundedFollowing)
-    return pr.withColumn("envelope", F.max("precision").over(ahead))
+    return windows.highest_ahead(pr, by, [F.desc("rank")], "precision", "envelope").drop("__range")
 
 
 def average_precision(points: DataFrame, by: list[str]) -> DataFrame:
     """Area under the envelope, and the mean of its values at eleven recalls."""
-    w = Window.partitionBy(*by).orderBy("rank")
-    step = points.withColumn("dr", F.col("recall") - F.coalesce(F.lag("recall").over(w), F.lit(0.0)))
+    # the recall before a row is what its own true positive has not yet added
+    step = points.withColumn("dr", F.col("tp") / F.col("npos"))
     eleven = sum((F.coalesce(F.max(F.when(F.col("recall") >= F.lit(t / 10.0), F.col("precision"))), F.lit(0.0)) for t in range(11)), F.lit(0.0)) / 11.0
     return step.groupBy(*by).agg(F.sum(F.col("dr") * F.col("envelope")).alias("ap"), eleven.alias("ap11"))
 
@@ -62,24 +60,30 @@ MAX_DETS = [1, 10, 100]
 AREAS = {"all": (0.0, 1e10), "small": (0.0, 32.0**2), "medium": (32.0**2, 96.0**2), "large": (96.0**2, 1e10)}
 
 
-def _match(det: np.ndarray, score: np.ndarray, gt: np.ndarray, crowd: np.ndarray, ignore: np.ndarray, t: float) -> tuple[np.ndarray, np.ndarray]:
-    """For detections in order, the number of the matched truth (-1 for none) and whether that one is ignored."""
-    order = np.argsort(ignore, kind="stable")
-    out, skipped = np.full(len(det), -1), np.zeros(len(det), dtype=bool)
-    taken: set[int] = set()
-    for i in range(len(det)):
-        best, at = min(t, 1 - 1e-10), -1
-        for k in order:
-            if k in taken and not crowd[k]:
-                continue
-            if at >= 0 and not ignore[at] and ignore[k]:
-                break
-            if det[i, k] >= best:
-                best, at = det[i, k], k
-        if at >= 0:
-            out[i], skipped[i] = at, ignore[at]
-            taken.add(at)
-    return out, skipped
+def matched_truths(iou: np.ndarray, crowd: np.ndarray, ignore: np.ndarray, limits: list[float]) -> np.ndarray:
+    """(limit, detection): the number of the truth that each detection gets, in their order; -1 for none.
+
+    A truth is taken once unless it is a crowd. A detection gets the free truth of the highest overlap at or above
+    the limit, an ignored one only where no other reaches it; of equal overlaps the later truth.
+    All limits are worked out side by side: one step a detection over a (limit, truth) table.
+    """
+    n_det, n_truth = iou.shape
+    out = np.full((len(limits), n_det), -1)
+    if not n_truth:
+        return out
+    rank = np.lexsort((np.arange(n_truth), ignore))[::-1]  # reversed, so that the first maximum is the later truth
+    iou, crowd, ignore = iou[:, rank], crowd[rank], ignore[rank]
+    least = np.minimum(np.array(limits), 1 - 1e-10)[:, None]
+    free = np.ones((len(limits), n_truth), dtype=bool)
+    for d in range(n_det):
+        worth = np.where(free & (iou[d] >= least), iou[d], -1.0)
+        plain = np.where(ignore, -1.0, worth)
+        chosen = np.where(plain.max(axis=1, keepdims=True) >= 0, plain, worth)
+        at = chosen.argmax(axis=1)
+        got = np.flatnonzero(chosen.max(axis=1) >= 0)
+        out[got, d] = rank[at[got]]
+        free[got, at[got]] = crowd[at[got]]
+    return out
 
 
 def match_images(dets: DataFrame, truths: DataFrame, image: str, category: str, score: str, ious: list[float] = IOUS, areas: dict | None = None, most: int = 100) -> DataFrame:
@@ -100,18 +104,17 @@ def match_images(dets: DataFrame, truths: DataFrame, image: str, category: str,
         inter = np.maximum(w, 0) * np.maximum(h, 0)
         over = np.where(crowd[None, :], size_a[:, None], size_a[:, None] + size_b[None, :] - inter)
         iou = np.divide(inter, over, out=np.zeros_like(inter), where=over > 0)
-        rows = []
+        frames, score_of = [], dt["score"].to_numpy()
         for name, (lo, hi) in areas.items():
             ignore = crowd | (size_b < lo) | (size_b > hi)
             outside = (size_a < lo) | (size_a > hi)
-            for t in ious:
-                rows.append((name, t, 0, 0.0, 0, 0, int((~ignore).sum())))
-                at, skipped = _match(iou, dt["score"].to_numpy(), b, crowd, ignore, t)
-                for i in range(len(a)):
-                    if skipped[i] or (at[i] < 0 and outside[i]):
-                        continue
-                    rows.append((name, t, i + 1, float(dt["score"].iloc[i]), int(at[i] >= 0), int(at[i] < 0), 0))
-        out = pd.DataFrame(rows, columns=["area", "iou", "rank", "score", "tp", "fp", "npos"])
+            at = matched_truths(iou, crowd, ignore, ious)
+            counts = np.where(at >= 0, ~np.append(ignore, False)[at], ~outside[None, :])
+            t, i = np.nonzero(counts)
+            hit = at[t, i] >= 0
+            frames.append(pd.DataFrame({"area": name, "iou": np.array(ious)[t], "rank": i + 1, "score": score_of[i], "tp": hit.astype(int), "fp": (~hit).astype(int), "npos": 0}))
+            frames.append(pd.DataFrame({"area": name, "iou": ious, "rank": 0, "score": 0.0, "tp": 0, "fp": 0, "npos": int((~ignore).sum())}))
+        out = pd.concat(frames, ignore_index=True)[["area", "iou", "rank", "score", "tp", "fp", "npos"]]
         out.insert(0, category, g[category].iloc[0])
         out.insert(0, image, g[image].iloc[0])
         return out
@@ -122,14 +125,15 @@ def match_images(dets: DataFrame, truths: DataFrame, image: str, category: str,
 
 def accumulate(matched: DataFrame, category: str, image: str, most: list[int] = MAX_DETS) -> DataFrame:
     """Mean precision at 101 recalls and highest recall, per category, area, IoU and most detections; -1 without truths."""
-    spark = matched.sparkSession
+    spark, matched = matched.sparkSession, matched.checkpoint()
     key = [category, "area", "iou", "max_det"]
     wide = matched.withColumn("max_det", F.explode(F.array(*[F.lit(m) for m in most]))).where(F.col("rank") <= F.col("max_det"))
     npos = wide.groupBy(*key).agg(F.sum("npos").alias("npos"))
-    w = Window.partitionBy(*key).orderBy(F.desc("score"), image, "rank")
-    upto = w.rowsBetween(Window.unboundedPreceding, 0)
-    run = wide.where("rank > 0").drop("npos").join(npos, key).where("npos > 0").select(*key, "npos", F.row_number().over(w).alias("r"), F.sum("tp").over(upto).alias("ctp"), F.sum("fp").over(upto).alias("cfp"))
-    pts = run.select(*key, "r", (F.col("ctp") / F.col("npos")).alias("recall"), (F.col("ctp") / (F.col("ctp") + F.col("cfp"))).alias("p")).withColumn("env", F.max("p").over(Window.partitionBy(*key).orderBy("r").rowsBetween(0, Window.unboundedFollowing)))
+    order = [F.desc("score"), F.col(image), F.col("rank")]
+    parts = windows.ranged(wide.where("rank > 0").drop("npos").join(npos, key).where("npos > 0").select(*key, "npos", "score", image, "rank", "tp", "fp"), key, order)
+    run = windows.running(parts, key, order, {"r": F.lit(1), "ctp": F.col("tp"), "cfp": F.col("fp")})
+    scored = run.select(*key, "__range", "r", (F.col("ctp") / F.col("npos")).alias("recall"), (F.col("ctp") / (F.col("ctp") + F.col("cfp"))).alias("p"))
+    pts = windows.highest_ahead(scored, key, [F.desc("r")], "p", "env")
     at = spark.createDataFrame([(r,) for r in RECALLS], "t double")
     first = pts.join(F.broadcast(at), pts.recall >= at.t - 1e-12).groupBy(*key, "t").agg(F.max("env").alias("env"))
     prec = first.groupBy(*key).agg((F.sum("env") / len(RECALLS)).alias("precision"))
@@ -155,27 +159,46 @@ def summary(acc: DataFrame) -> DataFrame:
     return one.select(F.explode(F.array(*[F.struct(F.lit(i).alias("no"), F.lit(n).alias("metric"), F.col(n).alias("value")) for i, (n, _) in enumerate(numbers)])).alias("s")).select("s.*")
 
 
-def proposal_recall(dets: DataFrame, truths: DataFrame, image: str, thresholds: list[float], limit: int | None = None, key: str = "box_id") -> DataFrame:
-    """Recall at each threshold by greedy cover: the truth with the best cover takes its proposal, again and again."""
+#: Areas of truths that proposal recall is told for, with the most that one covers.
+PROPOSAL_AREAS = {"all": (0.0, 1e10), "small": (0.0, 32.0**2), "medium": (32.0**2, 96.0**2), "large": (96.0**2, 1e10), "96-128": (96.0**2, 128.0**2), "128-256": (128.0**2, 256.0**2), "256-512": (256.0**2, 512.0**2), "512-inf": (512.0**2, 1e10)}
+
+
+def proposal_recall(dets: DataFrame, truths: DataFrame, image: str, thresholds: list[float], limit: int | None = None, key: str = "box_id", areas: dict | None = None) -> DataFrame:
+    """(area, threshold, recall, average_recall): recall by greedy cover, and its mean over the thresholds.
+
+    In each image the truth with the best cover takes its proposal, again and again. Truths that are crowds, and those
+    whose area isn't in the range, don't count; an area without truths has null recall. ``limit`` keeps the highest
+    scores of each image. An image's boxes are one group, which the source bounds. ``truths`` may have a ``crowd`` column.
+    """
+    areas = areas or PROPOSAL_AREAS
     if limit is not None:
         dets = dets.withColumn("__r", F.row_number().over(Window.partitionBy(image).orderBy(F.desc("score"), key))).where(F.col("__r") <= limit)
-    cols = [image, *boxes.SIDES]
-    both = dets.select(*cols, F.lit(False).alias("is_gt")).unionByName(truths.select(*cols, F.lit(True).alias("is_gt")))
+    cols = [image, *[F.col(s).cast("double").alias(s) for s in boxes.SIDES]]
+    real = truths.where("coalesce(crowd, 0) = 0") if "crowd" in truths.columns else truths
+    both = dets.select(*cols, F.lit(False).alias("is_gt")).unionByName(real.select(*cols, F.lit(True).alias("is_gt")))
 
     def run(g: pd.DataFrame) -> pd.DataFrame:
-        b, a = g[g["is_gt"]][list(boxes.SIDES)].to_numpy(dtype=float), g[~g["is_gt"]][list(boxes.SIDES)].to_numpy(dtype=float)
-        w = np.minimum(a[:, None, 2], b[None, :, 2]) - np.maximum(a[:, None, 0], b[None, :, 0]) + 1
-        h = np.minimum(a[:, None, 3], b[None, :, 3]) - np.maximum(a[:, None, 1], b[None, :, 1]) + 1
-        i = np.maximum(w, 0) * np.maximum(h, 0)
+        box = g[list(boxes.SIDES)].to_numpy(dtype=float)
+        truth, given = box[g["is_gt"].to_numpy()], box[~g["is_gt"].to_numpy()]
         size = lambda x: (x[:, 2] - x[:, 0] + 1) * (x[:, 3] - x[:, 1] + 1)
-        iou = i / (size(a)[:, None] + size(b)[None, :] - i) if i.size else i
-        got = []
-        for _ in range(min(iou.shape)):
-            p, q = np.unravel_index(np.argmax(iou), iou.shape)
-            got.append(max(0.0, float(iou[p, q])))
-            iou[p, :], iou[:, q] = -1, -1
-        got += [0.0] * (len(b) - len(got))
-        return pd.DataFrame({"cover": got})
-
-    cover = both.groupBy(image).applyInPandas(run, "cover double")
-    return cover.agg(*[F.avg(F.when(F.col("cover") >= t, 1.0).otherwise(0.0)).alias(f"r{i}") for i, t in enumerate(thresholds)]).select(F.explode(F.array(*[F.struct(F.lit(t).alias("threshold"), F.col(f"r{i}").alias("recall")) for i, t in enumerate(thresholds)])).alias("s")).select("s.*")
+        low, high = np.maximum(given[:, None, :2], truth[None, :, :2]), np.minimum(given[:, None, 2:], truth[None, :, 2:])
+        inter = np.maximum(high - low + 1, 0).prod(axis=2)
+        iou = inter / (size(given)[:, None] + size(truth)[None, :] - inter)
+        names, cover = [], []
+        for name, (lo, hi) in areas.items():
+            own = iou[:, (size(truth) >= lo) & (size(truth) <= hi)].copy()
+            got = np.zeros(own.shape[1])
+            for k in range(min(own.shape)):
+                p, q = divmod(int(own.argmax()), own.shape[1])
+                got[k] = max(0.0, own[p, q])
+                own[p, :], own[:, q] = -1, -1
+            names += [name] * len(got)
+            cover += got.tolist()
+        return pd.DataFrame({"area": names, "cover": cover})
+
+    cover = both.groupBy(image).applyInPandas(run, "area string, cover double")
+    at = [F.avg(F.when(F.col("cover") >= t, 1.0).otherwise(0.0)) for t in thresholds]
+    every = truths.sparkSession.createDataFrame([(a,) for a in areas], "area string")
+    told = every.join(cover.groupBy("area").agg(*[c.alias(f"r{i}") for i, c in enumerate(at)]), "area", "left")
+    mean = sum((F.col(f"r{i}") for i in range(len(thresholds))), F.lit(0.0)) / len(thresholds)
+    return told.select("area", mean.alias("average_recall"), F.explode(F.array(*[F.struct(F.lit(float(t)).alias("threshold"), F.col(f"r{i}").alias("recall")) for i, t in enumerate(thresholds)])).alias("s")).select("area", "s.threshold", "s.recall", "average_recall")

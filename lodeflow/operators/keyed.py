@@ -60,3 +60,8 @@ def coalesce_chain(*columns: Column, default) -> Column:
 def in_all(df: DataFrame, item: str, group: str, groups: list) -> DataFrame:
     """Items that occur in every one of the groups."""
     return df.where(F.col(group).isin(groups)).groupBy(item).agg(F.countDistinct(group).alias("__n")).where(F.col("__n") == len(set(groups))).select(item)
+
+
+def first_n(df: DataFrame, order: list[Column], n: int) -> DataFrame:
+    """The first n rows of a table; each task keeps n at most."""
+    return df.orderBy(*order).limit(n)

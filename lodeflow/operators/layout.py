@@ -35,18 +35,20 @@ def v_overlap_ratio(a: str, b: str) -> Column:
 
 
 def lines_of(spans: list[dict]) -> list[list[dict]]:
-    """Spans by (top, left) dealt to lines: one joins the line whose reference strip it overlaps; the strip shrinks to the common part."""
-    lines: list[list] = []
+    """Spans by (top, left) dealt to lines: one joins the running line if it overlaps the line's strip by a tenth of the lower
+    height; the strip shrinks to the common part. Earlier lines are not looked at again."""
+    lines: list[list[dict]] = []
+    top = bottom = 0.0
     for s in sorted(spans, key=lambda s: (s["y1"], s["x1"])):
-        for ln in lines:
-            lo, hi = max(ln[0], s["y1"]), min(ln[1], s["y2"])
-            if hi - lo > 0.5 * min(ln[1] - ln[0], s["y2"] - s["y1"]):
-                ln[0], ln[1] = lo, hi
-                ln[2].append(s)
-                break
+        low, high = max(top, s["y1"]), min(bottom, s["y2"])
+        least = min(bottom - top, s["y2"] - s["y1"])
+        if lines and least != 0 and max(high - low, 0.0) / least >= 0.1:
+            lines[-1].append(s)
+            top, bottom = low, high
         else:
-            lines.append([s["y1"], s["y2"], [s]])
-    return [sorted(x[2], key=lambda s: s["x1"]) for x in sorted(lines, key=lambda x: x[0])]
+            lines.append([s])
+            top, bottom = s["y1"], s["y2"]
+    return lines
 
 
 def row_bottoms(lines: list[list[dict]]) -> list[float]:
@@ -54,46 +56,53 @@ def row_bottoms(lines: list[list[dict]]) -> list[float]:
 
 
 def column_edges(lines: list[list[dict]], share: float = 0.8) -> list[float]:
-    """Right edges of columns: gaps that most lines keep free, at the upper quartile of the edges before them."""
-    spans = [s for ln in lines for s in ln]
-    if not spans:
-        return []
-    need, out, left = share * len(lines), [], min(s["x1"] for s in spans)
-    rights = sorted({s["x2"] for s in spans})
-    for x in rights[:-1]:
-        free = sum(not any(s["x1"] < x + 0.5 < s["x2"] for s in ln) for ln in lines)
-        after = any(s["x1"] >= x for s in spans)
-        group = sorted(s["x2"] for s in spans if left <= s["x1"] and s["x2"] <= x)
-        crossing = any(s["x1"] < x < s["x2"] for s in spans)
-        if free >= need and after and group and not crossing and any(s["x1"] > x for s in spans):
-            nxt = min(s["x1"] for s in spans if s["x1"] >= x)
-            if not any(x < s["x2"] < nxt for s in spans):
-                out.append(group[min(len(group) - 1, len(group) // 4 * 3)])
-                left = x
-    return [*out, rights[-1]]
+    """Right edges of columns: of each batch of spans from the left, as many as ``share`` of the lines, the upper quartile of right edges.
+
+    The next batch begins behind the last span whose middle lies left of that edge: a batch that took in spans of the
+    next column gives them back.
+    """
+    spans = sorted((s for ln in lines for s in ln), key=lambda s: s["x1"])
+    middle = np.array([(s["x1"] + s["x2"]) / 2 for s in spans])
+    size, at, out = int(np.ceil(len(lines) * share)), 0, []
+    while at < len(spans):
+        rights = sorted(s["x2"] for s in spans[at : at + size])
+        at += len(rights)
+        edge = rights[len(rights) // 4 * 3]
+        out.append(edge)
+        if at < len(spans):
+            if middle[at] > edge:
+                at = int(np.flatnonzero(middle[:at] <= edge).max(initial=0))
+            right = np.flatnonzero(middle[at:] >= edge)
+            at = at + int(right[0]) if len(right) else len(spans)
+    return out
 
 
 def cell_of(span: dict, rows: list[float], columns: list[float]) -> tuple[int, int]:
-    """First row whose bottom isn't above the span's, and the column with the largest horizontal overlap."""
-    r = int(np.searchsorted(rows, span["y2"]))
-    edges = [-1e18, *columns]
-    over = [min(span["x2"], b) - max(span["x1"], a) for a, b in zip(edges, edges[1:], strict=False)]
-    return min(r, len(rows) - 1), int(np.argmax(over)) if over else 0
+    """First row whose bottom isn't above the span's (else the last), and the column with the largest horizontal overlap (else the first)."""
+    edges = np.array([0.0, *columns])
+    over = np.minimum(span["x2"], edges[1:]) - np.maximum(span["x1"], edges[:-1])
+    return min(int(np.searchsorted(rows, span["y2"])), len(rows) - 1), int(over.argmax()) if over.max(initial=0.0) > 0 else 0
 
 
 def grids(spans: DataFrame, by: list[str]) -> DataFrame:
-    """Cells of each table from its spans: by, row, col, text, and the box around them. A table is a small group."""
+    """Cells of each table from its spans: by, row, col, text (spans from the left), and the box around them. A table is a small group.
+
+    Cells without spans have an empty text and a box of zeros.
+    """
     kinds = dict(spans.dtypes)
 
     def run(g: pd.DataFrame) -> pd.DataFrame:
-        items = g[["x1", "y1", "x2", "y2", "text"]].to_dict("records")
-        lines = lines_of(items)
+        lines = lines_of(g[["x1", "y1", "x2", "y2", "text"]].to_dict("records"))
         rows, cols = row_bottoms(lines), column_edges(lines)
-        cells: dict[tuple[int, int], list[dict]] = {}
+        cells: dict[tuple[int, int], list[dict]] = {(r, c): [] for r in range(len(rows)) for c in range(len(cols))}
         for ln in lines:
             for s in ln:
-                cells.setdefault(cell_of(s, rows, cols), []).append(s)
-        out = [{**{k: g[k].iloc[0] for k in by}, "row": r, "col": c, "text": " ".join(s["text"] for s in sorted(ss, key=lambda s: (s["y1"], s["x1"]))), "x1": min(s["x1"] for s in ss), "y1": min(s["y1"] for s in ss), "x2": max(s["x2"] for s in ss), "y2": max(s["y2"] for s in ss)} for (r, c), ss in sorted(cells.items())]
+                cells[cell_of(s, rows, cols)].append(s)
+        out = []
+        for (r, c), ss in cells.items():
+            ss.sort(key=lambda s: s["x1"])
+            box = {k: f((s[k] for s in ss), default=0.0) for k, f in (("x1", min), ("y1", min), ("x2", max), ("y2", max))}
+            out.append({**{k: g[k].iloc[0] for k in by}, "row": r, "col": c, "text": " ".join(s["text"] for s in ss), **box})
         return pd.DataFrame(out)
 
     return spans.groupBy(*by).applyInPandas(run, ", ".join(f"`{k}` {kinds[k]}" for k in by) + ", row int, col int, text string, x1 double, y1 double, x2 double, y2 double")
@@ -107,9 +116,14 @@ def common_box(df: DataFrame, by: list[str]) -> DataFrame:
     return df.groupBy(*by).agg(F.max("x1").alias("x1"), F.max("y1").alias("y1"), F.min("x2").alias("x2"), F.min("y2").alias("y2"))
 
 
-def merged_boxes(boxes_: DataFrame, by: list[str], key: str, size: float, ratio: float = 0.0) -> DataFrame:
-    """Boxes that overlap, directly or by a chain, become one: by, key (the smallest), box. Labels spread until none changes."""
-    pairs = boxes.overlap_join(boxes_, boxes_, by, size).where(boxes.over_min_area("a_", "b_") > ratio).select(*by, F.col(f"a_{key}").alias(key), F.col(f"b_{key}").alias("__o")).checkpoint()
+def merged_boxes(boxes_: DataFrame, by: list[str], key: str, size: float, extend: float = 20.0, ratio: float = 0.01) -> DataFrame:
+    """Boxes that overlap, directly or by a chain, become one: by, key (the smallest), box. Labels spread until none changes.
+
+    Both sides of an overlap are longer by ``extend``; it counts from ``ratio`` of the smaller area on.
+    """
+    wide = boxes_.select(*by, key, *boxes.SIDES, *[F.col(s).alias(f"o_{s}") for s in boxes.SIDES]).withColumns({s: F.col(s) + (extend / 2 if s[1] == "2" else -extend / 2) for s in boxes.SIDES})
+    near = boxes.overlap_join(wide, wide, by, size)
+    pairs = near.where(overlap_ratio("a_o_", "b_o_", extend) >= ratio).select(*by, F.col(f"a_{key}").alias(key), F.col(f"b_{key}").alias("__o")).checkpoint()
     labels = boxes_.select(*by, key, F.col(key).alias("label"))
     while True:
         heard = pairs.join(labels.select(*by, F.col(key).alias("__o"), "label"), [*by, "__o"]).groupBy(*by, key).agg(F.min("label").alias("__l"))
@@ -121,18 +135,83 @@ def merged_boxes(boxes_: DataFrame, by: list[str], key: str, size: float, ratio:
     return union_box(boxes_.join(labels, [*by, key]).drop(key).withColumnRenamed("label", key), [*by, key])
 
 
-def adjust_tables(tables: DataFrame, lines: DataFrame, by: list[str], key: str, size: float, share: float = 0.3) -> DataFrame:
-    """Table boxes grown to hold the text lines that they cover by at least ``share``, until nothing changes."""
-    now = tables.select(*by, key, *boxes.SIDES)
-    while True:
-        pairs = boxes.overlap_join(now, lines, by, size).where(boxes.intersection("a_", "b_") / boxes.area("b_") >= share)
-        grown = pairs.select(*by, F.col(f"a_{key}").alias(key), *[F.col(f"b_{s}").alias(s) for s in boxes.SIDES])
-        fresh = union_box(now.unionByName(grown), [*by, key]).checkpoint()
-        same = fresh.join(now, [*by, key, *boxes.SIDES], "left_anti").limit(1).count() == 0
-        now = fresh
-        if same:
+def overlap_ratio(a: str, b: str, extend: float = 0.0) -> Column:
+    """Overlap, both of its sides longer by ``extend``, over the smaller area; 0 if either has none."""
+    def side(axis):
+        return F.greatest(F.least(F.col(f"{a}{axis}2"), F.col(f"{b}{axis}2")) - F.greatest(F.col(f"{a}{axis}1"), F.col(f"{b}{axis}1")) + extend, F.lit(0.0))
+
+    small = F.least(boxes.area(a), boxes.area(b))
+    return F.when(small > 0, side("x") * side("y") / small).otherwise(0.0)
+
+
+def _ratios(a: np.ndarray, b: np.ndarray, extend: float = 0.0) -> np.ndarray:
+    """The same for all of two lists of boxes."""
+    side = np.maximum(np.minimum(a[:, None, 2:], b[None, :, 2:]) - np.maximum(a[:, None, :2], b[None, :, :2]) + extend, 0)
+    small = np.minimum((a[:, 2:] - a[:, :2]).prod(axis=1)[:, None], (b[:, 2:] - b[:, :2]).prod(axis=1)[None, :])
+    return np.where(small > 0, side.prod(axis=2) / np.where(small > 0, small, 1), 0.0)
+
+
+def _hull(box: np.ndarray) -> np.ndarray:
+    return np.concatenate((box[:, :2].min(axis=0), box[:, 2:].max(axis=0)))
+
+
+def _united(box: np.ndarray, tied: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hulls of boxes tied directly or by a chain, by their first one, and the number of the first for each box."""
+    label = np.arange(len(box))
+    while len(box):
+        low = np.where(tied | tied.T | np.eye(len(box), dtype=bool), label[None, :], len(box)).min(axis=1)
+        if (low == label).all():
             break
-    return now
+        label = low
+    first = np.unique(label)
+    return np.array([_hull(box[label == k]) for k in first]).reshape(-1, 4), label
+
+
+def page_tables(table: np.ndarray, line: np.ndarray, direction: np.ndarray, width: float, share: float = 0.3) -> np.ndarray:
+    """Tables of one page fitted to its text lines, in reading order.
+
+    A table becomes the hull of the lines that overlap it by ``share``; one without lines goes. Tables that meet within
+    20 points become one (before and after); lines of one direction that meet within 5 become one until none do, and
+    tables are fitted to these until nothing changes.
+    """
+    def fitted(table):
+        over = _ratios(table, line) >= share
+        return np.array([_hull(line[o]) for o in over if o.any()]).reshape(-1, 4)
+
+    def joined(table):
+        return _united(table, _ratios(table, table, 20.0) >= 0.01)[0]
+
+    table, before = joined(fitted(table)), -1
+    while before != len(line):
+        before = len(line)
+        line, label = _united(line, (_ratios(line, line, 5.0) > 0) & (direction[:, None] == direction[None, :]))
+        direction = direction[np.unique(label)]
+    seen = None
+    while seen is None or not np.array_equal(seen, table):
+        seen, table = table, fitted(table)
+    table = joined(table)
+    order = np.lexsort((table[:, 0], table[:, 1], table[:, 0] >= width / 2.5))
+    return table[order]
+
+
+def adjust_tables(tables: DataFrame, lines: DataFrame, by: list[str], width: str = "width", share: float = 0.3) -> DataFrame:
+    """(by, table_idx, box): tables of each page fitted to its text lines (see ``page_tables``).
+
+    ``tables``: by, box. ``lines``: by, box, ``dir`` (any value that tells directions apart), the page's ``width``.
+    A page is one small group on both sides; a page without lines has no tables.
+    """
+    kinds = dict(tables.dtypes)
+
+    def run(key: tuple, t: pd.DataFrame, ln: pd.DataFrame) -> pd.DataFrame:
+        if t.empty or ln.empty:
+            got = np.empty((0, 4))
+        else:
+            sides = list(boxes.SIDES)
+            got = page_tables(t[sides].to_numpy(float), ln[sides].to_numpy(float), ln["dir"].to_numpy(), float(ln[width].iloc[0]), share)
+        return pd.DataFrame({**{k: [v] * len(got) for k, v in zip(by, key, strict=True)}, "table_idx": range(len(got)), **dict(zip(boxes.SIDES, got.T, strict=True))})
+
+    schema = ", ".join(f"`{k}` {kinds[k]}" for k in by) + ", table_idx int, x1 double, y1 double, x2 double, y2 double"
+    return tables.select(*by, *boxes.SIDES).groupBy(*by).cogroup(lines.select(*by, *boxes.SIDES, "dir", width).groupBy(*by)).applyInPandas(run, schema)
 
 
 def route_blocks(blocks: DataFrame, tables: DataFrame, by: list[str], block: str, table: str, size: float, least: float = 0.5) -> DataFrame:
@@ -147,10 +226,18 @@ def box_order(width: Column) -> list[Column]:
     return [(F.col("x1") >= width / 2.5), F.col("y1"), F.col("x1")]
 
 
-def caption_distance(a: str, b: str) -> Column:
-    """Squared distance between two boxes' nearest points."""
-    dx = F.greatest(F.col(f"{a}x1") - F.col(f"{b}x2"), F.col(f"{b}x1") - F.col(f"{a}x2"), F.lit(0.0))
-    dy = F.greatest(F.col(f"{a}y1") - F.col(f"{b}y2"), F.col(f"{b}y1") - F.col(f"{a}y2"), F.lit(0.0))
+def caption_distance(table: str, caption: str, upward: Column | None = None) -> Column:
+    """Squared distance of a caption's middle from a table's width, and of its bottom below the table's top.
+
+    Where ``upward`` is true the caption's text runs up the page and both boxes are turned first.
+    """
+    def turned(p):
+        plain, up = [F.col(f"{p}{s}") for s in boxes.SIDES], [-F.col(f"{p}y2"), F.col(f"{p}x1"), -F.col(f"{p}y1"), F.col(f"{p}x2")]
+        return plain if upward is None else [F.when(upward, u).otherwise(x) for u, x in zip(up, plain, strict=True)]
+
+    (left, top, right, _), (c_left, _, c_right, c_bottom) = turned(table), turned(caption)
+    middle = (c_left + c_right) / 2
+    dx, dy = F.greatest(left - middle, middle - right, F.lit(0.0)), F.greatest(c_bottom - top, F.lit(0.0))
     return dx * dx + dy * dy
 
 
@@ -172,14 +259,18 @@ def greedy_pairs(pairs: DataFrame, by: list[str], left: str, right: str, cost: s
 
 
 def caption_tables(tables: DataFrame, captions: DataFrame, by: list[str], page: str) -> DataFrame:
-    """Tables with their caption: the nearest free one on the page; a table without one continues the last caption before it."""
+    """Tables with their caption: the nearest free one on the page; a table without one continues the last caption before it.
+
+    Tables before any caption go. ``captions`` may have a boolean column ``upward`` (text that runs up the page).
+    """
     t = tables.select(*by, page, F.col("table_idx"), *[F.col(s).alias(f"t_{s}") for s in boxes.SIDES])
-    c = captions.select(*by, page, F.col("caption_idx"), F.col("text").alias("caption"), *[F.col(s).alias(f"c_{s}") for s in boxes.SIDES])
-    pairs = t.join(c, [*by, page]).withColumn("cost", caption_distance("t_", "c_"))
+    upward = F.col("upward") if "upward" in captions.columns else F.lit(False)
+    c = captions.select(*by, page, F.col("caption_idx"), upward.alias("__up"), *[F.col(s).alias(f"c_{s}") for s in boxes.SIDES])
+    pairs = t.join(c, [*by, page]).withColumn("cost", caption_distance("t_", "c_", F.col("__up")))
     chosen = greedy_pairs(pairs, [*by, page], "table_idx", "caption_idx", "cost")
     named = tables.join(chosen.select(*by, page, "table_idx", "caption_idx"), [*by, page, "table_idx"], "left").join(captions.select(*by, page, "caption_idx", F.col("text").alias("__c")), [*by, page, "caption_idx"], "left")
     order = Window.partitionBy(*by).orderBy(page, "table_idx").rowsBetween(Window.unboundedPreceding, 0)
-    return named.select(*[F.col(x) for x in tables.columns], F.last("__c", True).over(order).alias("caption"), F.col("__c").isNull().alias("continued"))
+    return named.select(*[F.col(x) for x in tables.columns], F.last("__c", True).over(order).alias("caption"), F.col("__c").isNull().alias("continued")).where("caption is not null")
 
 
 def union_all(parts: list[DataFrame]) -> DataFrame:

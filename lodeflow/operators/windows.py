@@ -45,7 +45,7 @@ def bio_spans(tokens: DataFrame, by: list[str], order: str, tag: str, begin: str
 
 def precision_envelope(precision: Column, by: list[str], rank: str) -> Column:
     """Highest precision at this rank or any later one."""
-    return F.max(precision).over(Window.partitionBy(*by).orderBy(rank).rowsBetween(0, Window.unboundedFollowing))
+    return F.max(precision).over(Window.partitionBy(*by).orderBy(F.desc(rank)).rowsBetween(Window.unboundedPreceding, 0))
 
 
 def cumulative(value: Column, by: list[str], *order) -> Column:
@@ -58,3 +58,33 @@ def batch_ratio(df: DataFrame, ratio: str, size: int, rank: str, out: str = "tar
     whole = Window.partitionBy(batch).orderBy(rank).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     first, last = F.first(ratio).over(whole), F.last(ratio).over(whole)
     return df.select("*", batch.cast("long").alias("batch"), F.when(last < 1, first).when(first > 1, last).otherwise(F.lit(1.0)).alias(out))
+
+
+def ranged(df: DataFrame, by: list[str], order: list[Column]) -> DataFrame:
+    """``df`` dealt out by ranges of (by, order), settled, with the number of the range as ``__range``.
+
+    A group as large as the table is so spread over all tasks; ``running`` then works range by range.
+    """
+    return df.repartitionByRange(*[F.col(c) for c in by], *order).withColumn("__range", F.spark_partition_id()).checkpoint()
+
+
+def running(parts: DataFrame, by: list[str], order: list[Column], values: dict[str, Column]) -> DataFrame:
+    """Running sums, in ``order`` within ``by``, of rows from ``ranged``: sums within each range, and those of the ranges before.
+
+    The sums of ranges are a small table, one row for each group and range, so no task sees a whole group.
+    """
+    here = Window.partitionBy(*by, "__range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy(*by).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    total = parts.groupBy(*by, "__range").agg(*[F.sum(v).alias(n) for n, v in values.items()])
+    carry = total.select(*by, "__range", *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"__c_{n}") for n in values])
+    own = parts.select("*", *[F.sum(v).over(here).alias(n) for n, v in values.items()]).join(carry, [*by, "__range"])
+    return own.select(*parts.columns, *[(F.col(n) + F.col(f"__c_{n}")).alias(n) for n in values])
+
+
+def highest_ahead(parts: DataFrame, by: list[str], order: list[Column], value: str, out: str) -> DataFrame:
+    """The highest ``value`` at a row or any later one; ``order`` is the opposite of the rows' own order."""
+    here = Window.partitionBy(*by, "__range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    after = Window.partitionBy(*by).orderBy(F.desc("__range")).rowsBetween(Window.unboundedPreceding, -1)
+    carry = parts.groupBy(*by, "__range").agg(F.max(value).alias("__m")).select(*by, "__range", F.max("__m").over(after).alias("__c"))
+    own = parts.withColumn(out, F.max(value).over(here)).join(carry, [*by, "__range"])
+    return own.select(*parts.columns, F.greatest(out, "__c").alias(out))

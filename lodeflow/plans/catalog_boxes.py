@@ -12,8 +12,8 @@ from lodeflow.session import table
 
 SIZE = 64.0
 
-_BOX = """bx as materialized (select l_orderkey * 10 + l_linenumber as id, min(l_suppkey) % 40 as img, min(l_returnflag) as cls, cast(min(l_partkey) % 300 as double) as x1, cast(min(l_orderkey) % 200 as double) as y1,
-  cast(min(l_partkey) % 300 + max(l_quantity) as double) as x2, cast(min(l_orderkey) % 200 + max(l_quantity) + 4 as double) as y2, round(min(l_discount) + l_orderkey % 977 / 1000.0, 4) as score, min(l_linenumber) % 2 as odd from lineitem where l_orderkey % 3 = 0 group by l_orderkey, l_linenumber)"""
+_BOX = """bx as materialized (select l_orderkey * 10 + l_linenumber as id, l_orderkey // 16 as img, min(l_returnflag) as cls, cast(min(l_partkey) % 300 as double) as x1, cast(min(l_orderkey) % 200 as double) as y1,
+  cast(min(l_partkey) % 300 + max(l_quantity) as double) as x2, cast(min(l_orderkey) % 200 + max(l_quantity) + 4 as double) as y2, round(min(l_discount) + l_orderkey % 977 / 1000.0, 4) as score, min(l_linenumber) % 2 as odd from lineitem group by l_orderkey, l_linenumber)"""
 _IOU = "greatest(least({a}.x2, {b}.x2) - greatest({a}.x1, {b}.x1) + {p}, 0) * greatest(least({a}.y2, {b}.y2) - greatest({a}.y1, {b}.y1) + {p}, 0)"
 
 
@@ -29,9 +29,10 @@ _IOU_SQL = f"{_inter()} / ({_area('a')} + {_area('b')} - {_inter()})"
 
 
 def base(spark, d) -> DataFrame:
-    x = table(spark, d, "lineitem").where("l_orderkey % 3 = 0").groupBy("l_orderkey", "l_linenumber")
-    return x.agg(F.min("l_partkey").alias("p"), F.min("l_suppkey").alias("s"), F.min("l_returnflag").alias("cls"), F.max("l_quantity").alias("q"), F.min("l_discount").alias("ds")).select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), (F.col("s") % 40).alias("img"), "cls", (F.col("p") % 300).cast("double").alias("x1"), (F.col("l_orderkey") % 200).cast("double").alias("y1"),
+    """A box a line of an order, sixteen orders an image: images stay small however many there are."""
+    x = table(spark, d, "lineitem").groupBy("l_orderkey", "l_linenumber")
+    return x.agg(F.min("l_partkey").alias("p"), F.min("l_returnflag").alias("cls"), F.max("l_quantity").alias("q"), F.min("l_discount").alias("ds")).select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), F.expr("l_orderkey div 16").alias("img"), "cls", (F.col("p") % 300).cast("double").alias("x1"), (F.col("l_orderkey") % 200).cast("double").alias("y1"),
         (F.col("p") % 300 + F.col("q")).cast("double").alias("x2"), (F.col("l_orderkey") % 200 + F.col("q") + 4).cast("double").alias("y2"), F.round(F.col("ds") + F.col("l_orderkey") % 977 / 1000.0, 4).alias("score"), (F.col("l_linenumber") % 2).alias("odd"))
 
 
@@ -116,11 +117,6 @@ def n7_anchor_labels(spark, d):
     return boxes.label_anchors(b.where("odd = 0").select("id", "img", *boxes.SIDES), b.where("odd = 1").select("id", "img", *boxes.SIDES), ["img"], "id", SIZE).select("id", "label")
 
 
-@query("n8_roi_sample")
-def n8_roi_sample(spark, d):
-    return boxes.sample_rois(base(spark, d).select("id", "img", F.col("score").alias("iou")), ["img"], "id", "iou", 32).select("id", "img", "kind")
-
-
 @query("n9_flip", f"with {_BOX} select id, 400 - x2 - 1 as fx1, 400 - x1 - 1 as fx2, x2 - x1 + 1 as w from bx")
 def n9_flip(spark, d):
     f = boxes.flipped(F.lit(400.0))
@@ -137,10 +133,9 @@ def n13_smooth_l1(spark, d):
     return base(spark, d).groupBy("cls").agg(F.round(F.avg(boxes.smooth_l1(F.col("score"), F.lit(0.5), F.lit(1.0), F.lit(1.0))), 6).alias("loss"))
 
 
-@query("p11_small_boxes", f"with {_BOX} select id from bx where x2 - x1 + 1 >= 12 and y2 - y1 + 1 > 16")
+@query("p11_small_boxes", f"with {_BOX} select id from bx where x2 - x1 + 1 >= 21 and y2 - y1 + 1 > 21")
 def p11_small_boxes(spark, d):
-    b = base(spark, d)
-    return b.where(boxes.large_enough(12) & (F.col("y2") - F.col("y1") + 1 > 16)).select("id")
+    return base(spark, d).where(boxes.large_enough(21)).select("id")
 
 
 @query("p12_both_sides", f"with {_BOX} select id from bx where x2 - x1 + 1 >= 20 and y2 - y1 + 1 >= 20")
@@ -179,12 +174,12 @@ def a11_union_box(spark, d):
     return layout.union_box(base(spark, d), ["img", "cls"])
 
 
-@query("a12_merged_boxes", f"""with recursive {_BOX}, s as (select * from bx where id % 5 = 0), e as (select a.img, a.id as a, b.id as b from s a join s b on a.img = b.img and {_inter(p='0')} / least({_area('a', '0')}, {_area('b', '0')}) > 0 ),
+@query("a12_merged_boxes", f"""with recursive {_BOX}, s as (select * from bx), e as (select a.img, a.id as a, b.id as b from s a join s b on a.img = b.img and {_inter(p='20')} / least({_area('a', '0')}, {_area('b', '0')}) >= 0.01 and least(a.x2, b.x2) - greatest(a.x1, b.x1) > -20 and least(a.y2, b.y2) - greatest(a.y1, b.y1) > -20),
 r as (select img, id, id as root from s union select r.img, r.id, e.b from r join e on r.img = e.img and r.root = e.a),
 l as (select img, id, min(root) as root from r group by 1, 2)
 select l.img, l.root as id, min(x1) as x1, min(y1) as y1, max(x2) as x2, max(y2) as y2 from l join s using (img, id) group by 1, 2""")
 def a12_merged_boxes(spark, d):
-    return layout.merged_boxes(base(spark, d).where("id % 5 = 0").select("img", "id", *boxes.SIDES), ["img"], "id", SIZE)
+    return layout.merged_boxes(base(spark, d).select("img", "id", *boxes.SIDES), ["img"], "id", SIZE)
 
 
 @query("a17_unique_boxes", f"with {_BOX} select min(id) as id from bx group by img, round(x1 / 20), round(y1 / 20), round(x2 / 20), round(y2 / 20)")
@@ -295,23 +290,25 @@ def r3_area(spark, d):
     return _masks(spark, d).select("img", rle.area(F.col("counts")).alias("area"))
 
 
-_MASK2 = _MASK_SQL + ", p2 as (select user_id % 10 as img, user_id % 30 // 10 as part, row_number() over (partition by user_id % 30 order by ts, event_id) as i, case when event_type in ('view', 'click') then 1 else 0 end as v from events), p3 as (select * from p2 where i <= 200)"
+_MASK2 = _MASK_SQL + ", p2 as (select user_id % 10 as img, user_id % 30 // 10 as part, row_number() over (partition by user_id % 30 order by ts, event_id) as i, case when event_type in ('view', 'click') then 1 else 0 end as v from events), p3 as (select * from p2)"
 
 
 def _mask_parts(spark, d) -> DataFrame:
+    """Masks of three parts of each image, padded with zeros to the longest part's size."""
     w = Window.partitionBy("img", "part").orderBy("ts", "event_id")
     e = table(spark, d, "events").select((F.col("user_id") % 10).alias("img"), F.expr("user_id % 30 div 10").alias("part"), "ts", "event_id", F.when(F.col("event_type").isin("view", "click"), 1).otherwise(0).alias("v"))
-    return rle.encode(e.withColumn("i", F.row_number().over(w)).where("i <= 200"), ["img", "part"], "i", "v").withColumn("size", F.lit(200))
+    m = rle.encode(e.withColumn("i", F.row_number().over(w)), ["img", "part"], "i", "v").withColumn("n", F.aggregate("counts", F.lit(0), lambda a, x: a + x))
+    return m.withColumn("size", F.max("n").over(Window.partitionBy("img"))).drop("n")
 
 
-@query("r4_merge", f"with {_MASK2} select img, sum(u) as area_union, sum(x) as area_common from (select img, i, max(v) as u, min(v) as x from p3 group by 1, 2) group by 1")
+@query("r4_merge", f"with {_MASK2} select img, sum(u) as area_union, sum(x) as area_common from (select p3.img, i, max(v) as u, case when count(*) = max(np) then min(v) else 0 end as x from p3 join (select img, count(distinct part) as np from p3 group by 1) n on n.img = p3.img group by 1, 2) group by 1")
 def r4_merge(spark, d):
     m = _mask_parts(spark, d)
     u, x = rle.merge(m, ["img"], "counts", "size", False), rle.merge(m, ["img"], "counts", "size", True)
     return u.select("img", rle.area(F.col("counts")).alias("area_union")).join(x.select("img", rle.area(F.col("counts")).alias("area_common")), "img")
 
 
-@query("r5_mask_iou", f"with {_MASK2} select a.img, round(sum(a.v * b.v) / sum(greatest(a.v, b.v)), 9) as iou from p3 a join p3 b on a.img = b.img and a.i = b.i and a.part = 0 and b.part = 1 group by 1")
+@query("r5_mask_iou", f"with {_MASK2} select coalesce(a.img, b.img) as img, round(sum(coalesce(a.v, 0) * coalesce(b.v, 0)) / sum(greatest(coalesce(a.v, 0), coalesce(b.v, 0))), 9) as iou from (select * from p3 where part = 0) a full join (select * from p3 where part = 1) b on a.img = b.img and a.i = b.i group by 1")
 def r5_mask_iou(spark, d):
     m = _mask_parts(spark, d)
     j = m.where("part = 0").select("img", F.col("counts").alias("a")).join(m.where("part = 1").select("img", F.col("counts").alias("b")), "img")
@@ -336,11 +333,11 @@ def r8_box_mask(spark, d):
     return b.select("id", rle.area(c).alias("area"))
 
 
-@query("k6_detection_lines", f"with {_BOX} select printf('%d %.3f %.1f %.1f %.1f %.1f', img, score, x1 + 1, y1 + 1, x2 + 1, y2 + 1) as line from bx where id % 17 = 0")
+@query("k6_detection_lines", f"with {_BOX} select printf('%d %.3f %.1f %.1f %.1f %.1f', img, score, x1 + 1, y1 + 1, x2 + 1, y2 + 1) as line from bx")
 def k6_detection_lines(spark, d):
     from lodeflow.sources import sinks
 
-    return sinks.detection_lines(base(spark, d).where("id % 17 = 0").withColumn("img", F.col("img").cast("string")), "img", "score")
+    return sinks.detection_lines(base(spark, d).withColumn("img", F.col("img").cast("string")), "img", "score")
 
 
 @query("l_reading_order", f"with {_BOX} select id, cast(row_number() over (partition by img order by x1 >= 400 / 2.5, y1, x1, id) as integer) as pos from bx")
@@ -351,19 +348,88 @@ def l_reading_order(spark, d):
 @query("l7_adjust_tables")
 def l7_adjust_tables(spark, d):
     b = base(spark, d).select("id", "img", "odd", *boxes.SIDES)
-    return layout.adjust_tables(b.where("id % 50 = 1").drop("odd"), b.where("id % 50 = 2").select("img", *boxes.SIDES), ["img"], "id", SIZE)
+    return layout.adjust_tables(b.where("odd = 0"), b.where("odd = 1").withColumns({"dir": F.lit("right"), "width": F.lit(400.0)}), ["img"])
 
 
 @query("l6_grids")
 def l6_grids(spark, d):
-    x = table(spark, d, "lineitem").where("l_orderkey % 50 = 0").groupBy("l_orderkey", "l_linenumber").agg(F.max("l_quantity").alias("q"))
-    s = x.select((F.col("l_orderkey") % 100).alias("tbl"), (F.col("l_linenumber") * 40.0).alias("x1"), (F.floor(F.col("l_orderkey") / 100) * 12.0).alias("y1"), (F.col("l_linenumber") * 40.0 + 30).alias("x2"), (F.floor(F.col("l_orderkey") / 100) * 12.0 + 10).alias("y2"), F.col("q").cast("string").alias("text"))
+    x = table(spark, d, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.max("l_quantity").alias("q"))
+    row = (F.col("l_orderkey") % 8) * 12.0
+    s = x.select(F.expr("l_orderkey div 8").alias("tbl"), (F.col("l_linenumber") * 40.0).alias("x1"), row.alias("y1"), (F.col("l_linenumber") * 40.0 + 30).alias("x2"), (row + 10).alias("y2"), F.col("q").cast("string").alias("text"))
     return layout.grids(s, ["tbl"]).select("tbl", "row", "col", "text")
 
 
+_COST = "pow(greatest(t.x1 - (c.x1 + c.x2) / 2, (c.x1 + c.x2) / 2 - t.x2, 0), 2) + pow(greatest(c.y2 - t.y1, 0), 2)"
+
+
 @query("j13_captions")
 def j13_captions(spark, d):
+    b = base(spark, d).withColumn("page", F.col("img") % 4).withColumn("doc", F.expr("img div 4"))
+    t = b.where("odd = 0").select("doc", "page", F.col("id").alias("table_idx"), *boxes.SIDES)
+    c = b.where("odd = 1").select("doc", "page", F.col("id").alias("caption_idx"), F.concat(F.lit("Table "), F.col("id").cast("string")).alias("text"), *boxes.SIDES)
+    return layout.caption_tables(t, c, ["doc"], "page").select("doc", "page", "table_idx", "caption", "continued")
+
+
+@query("j13_distance", f"with {_BOX} select t.id as t, c.id as c, {_COST} as cost from bx t join bx c on t.img = c.img and t.odd = 0 and c.odd = 1")
+def j13_distance(spark, d):
+    b = base(spark, d)
+    t = b.where("odd = 0").select("img", F.col("id").alias("t"), *[F.col(x).alias(f"t_{x}") for x in boxes.SIDES])
+    c = b.where("odd = 1").select("img", F.col("id").alias("c"), *[F.col(x).alias(f"c_{x}") for x in boxes.SIDES])
+    return t.join(c, "img").select("t", "c", layout.caption_distance("t_", "c_").alias("cost"))
+
+
+_ROI = "r as (select *, case when score >= 0.5 then 'fg' when score >= 0 then 'bg' end as kind from bx)"
+
+
+@query("n8_roi_counts", f"with {_BOX}, {_ROI}, n as (select img, count(*) filter (where kind = 'fg') as f, count(*) filter (where kind = 'bg') as b from r where kind is not null group by 1), q as (select *, case when b = 0 then 32 else least(f, 8) end as fg from n) select img, fg, 32 - fg as bg from q")
+def n8_roi_counts(spark, d):
+    s = boxes.sample_rois(base(spark, d).select("id", "img", F.col("score").alias("iou")), ["img"], "id", "iou", 32)
+    return s.groupBy("img").agg(F.count_if(F.col("kind") == "fg").alias("fg"), F.count_if(F.col("kind") == "bg").alias("bg"))
+
+
+@query("n14_detections", f"""with recursive {_BOX}, m as (select img, id, score, x1 + score * 0.1 * (x2 - x1 + 1) as mx, x2 - x1 + 1 as w, y1 + score * -0.1 * (y2 - y1 + 1) as my, y2 - y1 + 1 as h from bx where score > 0.5),
+k0 as (select img, id, score, greatest(least(mx, 299), 0) / 2 as x1, greatest(least(my, 199), 0) / 2 as y1, greatest(least(mx + w, 299), 0) / 2 as x2, greatest(least(my + h, 199), 0) / 2 as y2 from m),
+rk as materialized (select *, row_number() over (partition by img order by score desc, id) as k from k0),
+r as (select img, k, [{_KEPT}] as kept from rk where k = 1 union all
+  select rk.img, rk.k, case when len(list_filter(r.kept, lambda b: {_inter('b', 'rk')} / ({_area('b')} + {_area('rk')} - {_inter('b', 'rk')}) > 0.3)) = 0 then list_append(r.kept, {_KEPT}) else r.kept end
+  from r join rk on rk.img = r.img and rk.k = r.k + 1)
+select img, unnest(list_transform(kept, lambda b: b.id)) as id from (select img, arg_max(kept, k) as kept from r group by 1)""")
+def n14_detections(spark, d):
+    raw = base(spark, d).withColumns({"dx": F.col("score"), "dy": -F.col("score"), "dw": F.lit(0.0), "dh": F.lit(0.0), "width": F.lit(300.0), "height": F.lit(200.0), "scale": F.lit(2.0)})
+    return boxes.detections(raw, ["img"], "id", 0.5).select("img", "id")
+
+
+@query("n15_proposal_classes", f"with {_BOX}, j as (select a.id, b.id as gt, b.id % 3 + 1 as cl, {_IOU_SQL} as iou from bx a join bx b on a.img = b.img and a.odd = 0 and b.odd = 1 and a.x1 <= b.x2 and b.x1 <= a.x2 and a.y1 <= b.y2 and b.y1 <= a.y2), t as (select *, row_number() over (partition by id order by iou desc, gt) as r from j) select bx.id, cast(coalesce(cl, 0) as integer) as class, round(coalesce(iou, 0), 9) as overlap from bx left join t on t.id = bx.id and r = 1 where odd = 0")
+def n15_proposal_classes(spark, d):
+    b = base(spark, d)
+    p = boxes.proposals_with_truth(b.where("odd = 0").select("id", "img", *boxes.SIDES), b.where("odd = 1").select("id", "img", (F.col("id") % 3 + 1).cast("int").alias("class"), *boxes.SIDES), ["img"], "id", SIZE)
+    return p.select("id", F.col("class").cast("int").alias("class"), F.round("overlap", 9).alias("overlap"))
+
+
+@query("n11_minibatch_truths", f"with {_BOX} select id, x1 * 1.5 as x1, y2 * 1.5 as y2 from bx where id % 3 <> 0 and id % 5 <> 0")
+def n11_minibatch_truths(spark, d):
+    t = base(spark, d).withColumns({"class": F.col("id") % 3, "crowd": F.col("id") % 5 == 0})
+    return boxes.minibatch_truths(t, F.lit(1.5), False).select("id", "x1", "y2")
+
+
+@query("n12_cropped")
+def n12_cropped(spark, d):
+    b = base(spark, d).withColumns({"length": F.lit(360), "window": F.lit(200)})
+    return boxes.cropped(b, ["img"], "x", "length", "window").select("id", "crop", "x1", "x2")
+
+
+@query("u9_with_truths", f"with {_BOX} select id, x1 from bx where odd = 0 union all select id, x1 from bx where odd = 1")
+def u9_with_truths(spark, d):
     b = base(spark, d)
-    t = b.where("id % 10 = 1").select("img", F.lit(0).alias("page"), F.col("id").alias("table_idx"), *boxes.SIDES)
-    c = b.where("id % 10 = 2").select("img", F.lit(0).alias("page"), F.col("id").alias("caption_idx"), F.concat(F.lit("Table "), F.col("id").cast("string")).alias("text"), *boxes.SIDES)
-    return layout.caption_tables(t, c, ["img"], "page").select("img", "table_idx", "caption", "continued")
+    return boxes.with_truths(b.where("odd = 0"), b.where("odd = 1").drop("score")).select("id", "x1")
+
+
+@query("p14_with_boxes", f"with {_BOX} select distinct img from bx where odd = 1")
+def p14_with_boxes(spark, d):
+    b = base(spark, d)
+    return boxes.with_boxes(b.select("img").distinct(), b.where("odd = 1"), ["img"])
+
+
+@query("t8_first_n", f"with {_BOX} select id from bx order by id limit 1000")
+def t8_first_n(spark, d):
+    return keyed.first_n(base(spark, d).select("id"), [F.col("id")], 1000)

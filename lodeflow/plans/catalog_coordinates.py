@@ -9,13 +9,13 @@ from lodeflow.operators import coordinates as C
 from lodeflow.registry import query
 from lodeflow.session import table
 
-_TX = """ex as materialized (select l_orderkey as tx, l_linenumber as k, cast(max(l_quantity) as bigint) as len from lineitem where l_orderkey % 4 < 2 group by 1, 2),
+_TX = """ex as materialized (select l_orderkey as tx, l_linenumber as k, cast(max(l_quantity) as bigint) as len from lineitem group by 1, 2),
 ex2 as (select *, 1000 + coalesce(sum(len + 20) over (partition by tx order by k rows between unbounded preceding and 1 preceding), 0) as a from ex),
 exons as (select tx, case when tx % 2 = 0 then 1 else -1 end as strand, a, a + len as b, len, coalesce(sum(len) over (partition by tx order by case when tx % 2 = 0 then a else -a end rows between unbounded preceding and 1 preceding), 0) as before from ex2)"""
 
 
 def transcripts(spark, d) -> DataFrame:
-    x = table(spark, d, "lineitem").where("l_orderkey % 4 < 2").groupBy(F.col("l_orderkey").alias("tx"), F.col("l_linenumber").alias("k")).agg(F.max("l_quantity").cast("bigint").alias("len"))
+    x = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("tx"), F.col("l_linenumber").alias("k")).agg(F.max("l_quantity").cast("bigint").alias("len"))
     g = x.groupBy("tx").agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "len"))), lambda e: e["len"]).alias("lens"))
     starts = F.transform("lens", lambda n, i: 1000 + F.aggregate(F.slice("lens", F.lit(1), i), F.lit(0).cast("bigint"), lambda a, v: a + v + 20))
     s = g.withColumn("exon_starts", starts).withColumn("exon_ends", F.zip_with("exon_starts", "lens", lambda a, n: a + n))

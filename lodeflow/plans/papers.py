@@ -59,7 +59,8 @@ def assign_tables(cell_variants: DataFrame, cell_genes: DataFrame, captions: Dat
     spots = cell_variants.select(*at, "row", "col").unionByName(cell_genes.select(*at, "row", "col")).distinct()
     shape = spots.groupBy(*at).agg(F.max("row").alias("r"), F.max("col").alias("c"))
     grid = shape.select(*at, F.explode(F.sequence(F.lit(0), "r")).alias("row"), "c").select(*at, "row", F.explode(F.sequence(F.lit(0), "c")).alias("col"))
-    own = cell_genes.groupBy(*at, "row", "col").agg(F.min("gene_id").alias("gene_id"))
+    last = F.max_by("gene_id", F.struct("start", "gene_id")) if "start" in cell_genes.columns else F.max("gene_id")
+    own = cell_genes.groupBy(*at, "row", "col").agg(last.alias("gene_id"))  # of several in a cell the last one
     filled = windows.ffill_2d(grid.join(own, [*at, "row", "col"], "left"), at, "row", "col", "gene_id", "cell_gene")
     caption = keyed.only_one(captions, at, "gene_id").withColumnRenamed("gene_id", "caption_gene")
     major = keyed.majority(body_genes, by, "gene_id", "start", "gene").select(*by, F.col("gene_id").alias("body_gene"))
@@ -90,6 +91,28 @@ def coding_alleles(found: DataFrame, transcripts: DataFrame, chunks: DataFrame,
     return g.select(*found.columns, "transcript", "chrom", a["pos"].alias("pos"), a["ref"].alias("ref"), a["alt"].alias("alt"), a["ok"].alias("__ok")).where("__ok").drop("__ok")
 
 
+#: The chromosome of mitochondrial genes, that of their sequence, and what stands for a transcript.
+MT_GENES, MT_SEQUENCE, MT_TRANSCRIPT = "MT", "chrM", "Mitochondrial"
+
+
+def mitochondrial_alleles(found: DataFrame, chunks: DataFrame, size: int) -> DataFrame:
+    """Variants of mitochondrial genes to alleles, in the sequence's own coordinates: no transcript is looked up."""
+    v = found.where("var.mut_type in ('SUB','DEL','INS','DUP','INDEL')").where(~F.array_contains("var.seq_types", "p"))
+    fixed = coordinates.fix_variant(F.col("var.mut_type"), F.col("var.start"), F.col("var.end"), F.coalesce("var.wild_type", F.lit("")))
+    plain = coordinates.plain_alleles(F.col("var.mut_type"), fixed["ref"], F.col("var.mutant"))
+    v = v.select("*", V.parse_position(fixed["start"])["pos"].alias("__s"), V.parse_position(fixed["end"])["pos"].alias("__e"), plain["ref"].alias("__r"), plain["alt"].alias("__a"), plain["ok"].alias("__ok"), F.lit(MT_SEQUENCE).alias("chrom")).where("__ok and __s is not null")
+    v = v.withColumn("__e", F.coalesce("__e", "__s")).withColumn("__lo", F.when(F.col("var.mut_type") == "INS", F.col("__e")).otherwise(F.col("__s"))).withColumn("__n", F.col("__e") - F.col("__lo") + 1).where("__n > 0")
+    g = coordinates.genome_slice(v, chunks, size, "__lo", "__n")
+    a = coordinates.mitochondrial_alleles(F.col("var.mut_type"), F.col("__s"), F.col("__e"), F.col("__r"), F.col("__a"), F.upper("bases"))
+    return g.select(*found.columns, F.lit(MT_TRANSCRIPT).alias("transcript"), "chrom", a["pos"].alias("pos"), a["ref"].alias("ref"), a["alt"].alias("alt"), a["ok"].alias("__ok")).where("__ok").drop("__ok")
+
+
+def rna_alleles(found: DataFrame, genes: DataFrame, transcripts: DataFrame, chunks: DataFrame, size: int) -> DataFrame:
+    """Coding variants to alleles: those of mitochondrial genes (``genes``: gene_id, chrom) directly, the others through transcripts."""
+    mt = genes.where(F.col("chrom") == MT_GENES).select("gene_id").distinct()
+    return coding_alleles(found.join(mt, "gene_id", "left_anti").select(*found.columns), transcripts, chunks, size).unionByName(mitochondrial_alleles(found.join(mt, "gene_id", "left_semi").select(*found.columns), chunks, size))
+
+
 def protein_alleles(found: DataFrame, transcripts: DataFrame, chunks: DataFrame, size: int) -> DataFrame:
     """Protein substitutions to every codon change that makes them, where the reference codon gives the stated residue."""
     v = found.where(F.array_contains("var.seq_types", "p") & (F.col("var.mut_type") == "SUB")).withColumn("__i", F.col("var.start").try_cast("bigint")).where("__i is not null")

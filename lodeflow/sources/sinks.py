@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import io
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -61,3 +65,31 @@ def histogram(df: DataFrame, value: str, bins: int = 1000) -> DataFrame:
 
 def path_of(name: Column) -> Column:
     return T.fanout_path(name)
+
+
+def array_bytes(values: Column) -> Column:
+    """An array of numbers as the bytes of a compressed array file, as services exchange them."""
+    @F.pandas_udf("binary")
+    def run(a: pd.Series) -> pd.Series:
+        def one(x):
+            with io.BytesIO() as f:
+                np.savez_compressed(f, array=np.asarray(x, dtype=float))
+                return f.getvalue()
+
+        return a.map(lambda x: None if x is None else one(x))
+
+    return run(values)
+
+
+def bytes_array(data: Column) -> Column:
+    """The numbers in the bytes of an array file."""
+    @F.pandas_udf("array<double>")
+    def run(b: pd.Series) -> pd.Series:
+        return b.map(lambda x: None if x is None else np.load(io.BytesIO(bytes(x)), allow_pickle=False)["array"].ravel().tolist())
+
+    return run(data)
+
+
+def write_curves(points: DataFrame, path: str, by: list[str]) -> None:
+    """Precision and recall at each rank, sorted by group and rank."""
+    points.select(*by, "rank", "recall", "precision").repartitionByRange(*by, "rank").sortWithinPartitions(*by, "rank").write.mode("overwrite").parquet(path)

@@ -145,3 +145,17 @@ def test_rle_shapes(spark):
     box = spark.range(1).select(rle.from_bbox(F.lit(1), F.lit(1), F.lit(2), F.lit(2), F.lit(4), F.lit(5)).alias("c")).select("c", rle.to_bbox(F.col("c"), F.lit(4)).alias("b")).first()
     assert box.c == [5, 2, 2, 2, 9] and tuple(box.b) == (1, 1, 2, 2)
     assert rle.polygon_counts([1, 1, 3, 1, 3, 3, 1, 3], 4, 5) == [5, 2, 2, 2, 9]
+
+
+def test_token_types_and_padding(spark):
+    toks = ["cytochrome", "T", "cell", "q", "12", "p", "-", "alpha", "kinase", "r", "RNA", "Markers", "x"]
+    row = spark.createDataFrame([(toks,)], "t array<string>").select(T.token_types(F.col("t")).alias("k"), T.constant_features(F.col("t")).alias("c")).first()
+    assert row.k == ["-Type_cytochrome-", "-Type_Cell-", "__nil__", "-Type_ChromosomeStrain-", "__nil__", "-Type_ChromosomeStrain-", "-Type_strain-", "-Type_strain-", "-Type_Family-", "-Type_DomainMotif-", "__nil__", "-Type_Marker-", "__nil__"]
+    assert tuple(row.c[0]) == ("__nil__", "NN")
+    got = spark.createDataFrame([("abc",)], "t string").select(F.length(T.padded(F.col("t"))), T.unpadded(F.struct(F.lit(11).alias("start"), F.lit(14).alias("end")), F.lit(7))).first()
+    assert got[0] == 3 + 11 + 13 and tuple(got[1]) == (7, 10)
+
+
+def test_polygons_by_definition():
+    assert rle.polygon_counts([2, 1, 6, 1, 6, 4, 2, 4], 6, 8) == [13, 3, 3, 3, 3, 3, 3, 3, 14]
+    assert rle.polygon_counts([1, 1, 2, 2, 3, 3], 5, 5) == [25] and rle.polygon_counts([0, 0, 9, 0, 9, 9, 0, 9], 3, 3) == [0, 9]

@@ -24,7 +24,7 @@ def test_nearest(spark):
 
 def test_neighbour_and_spans(spark):
     x = spark.createDataFrame([(1, 0, 4, "a"), (1, 8, 10, "b"), (1, 40, 44, "c")], "k int, s int, e int, v string")
-    assert [r.near for r in asof.neighbour_within(x, ["k"], "s", "e", "v", 5).orderBy("s").collect()] == ["b", "a", None]
+    assert [r.near for r in asof.neighbour_within(x, ["k"], "s", "e", "v", 5).orderBy("s").collect()] == [None, "a", None]
     p = spark.createDataFrame([(1, 3), (1, 5), (1, 9)], "k int, at int")
     assert [r.inside for r in asof.inside_spans(p, x.select("k", "s", "e"), ["k"], "at", "s", "e").orderBy("at").collect()] == [True, False, True]
 
@@ -63,7 +63,7 @@ def test_cascade(spark):
     art = spark.createDataFrame([(1, "necrosis"), (3, "x")], "block int, token string")
     got = {(r.block, r.start): (r.gene_id, r.step) for r in dictionary.resolve_names(m, names, gt, nt, art).collect()}
     assert got[(1, 0)] == (1, 2) and got[(1, 100)] == (1, 2) and got[(1, 200)] == (5, 3)
-    assert got[(1, 300)] == (7, 8) and got[(1, 400)] == (3, 5) and got[(1, 500)] == (5, 10) and got[(2, 0)] == (7, 9)
+    assert got[(1, 300)] == (7, 8) and got[(1, 400)] == (3, 5) and got[(1, 500)] == (5, 10) and got[(2, 0)] == (None, None)
 
 
 def frame(spark, rows, cols="img int, cls string, id int, score double, x1 double, y1 double, x2 double, y2 double"):
@@ -96,7 +96,7 @@ def test_many_thresholds(spark):
     gt = frame(spark, [(1, "c", 1, 0.0, 0.0, 0.0, 100.0, 100.0), (1, "c", 2, 0.0, 200.0, 200.0, 300.0, 300.0)]).withColumn("crowd", F.lit(0))
     got = {r.metric: r.value for r in evaluation.summary(evaluation.accumulate(evaluation.match_images(det, gt, "img", "cls", "score"), "cls", "img")).collect()}
     assert abs(got["AP50"] - 51 / 101) < 1e-9 and abs(got["AR1"] - 0.5) < 1e-9 and got["AP_small"] == -1.0
-    rec = {r.threshold: r.recall for r in evaluation.proposal_recall(det.withColumnRenamed("id", "box_id"), gt, "img", [0.3, 0.5]).collect()}
+    rec = {r.threshold: r.recall for r in evaluation.proposal_recall(det.withColumnRenamed("id", "box_id"), gt, "img", [0.3, 0.5]).where("area = 'all'").collect()}
     assert rec == {0.3: 1.0, 0.5: 0.5}
 
 
@@ -116,6 +116,77 @@ def test_layout(spark):
 def test_layout_fixpoints_have_no_cap(spark):
     chain = spark.createDataFrame([(1, i, 10.0 * i, 0.0, 10.0 * i + 12, 10.0) for i in range(36)], "page int, box int, x1 double, y1 double, x2 double, y2 double")
     assert [tuple(r) for r in layout.merged_boxes(chain, ["page"], "box", 500.0).collect()] == [(1, 0, 0.0, 0.0, 362.0, 10.0)]
-    lines = spark.createDataFrame([(1, i, 0.0, 10.0 * i - 10, 50.0, 10.0 * i + 5) for i in range(1, 15)], "page int, line int, x1 double, y1 double, x2 double, y2 double")
-    table = spark.createDataFrame([(1, 7, 0.0, 0.0, 50.0, 10.0)], "page int, table int, x1 double, y1 double, x2 double, y2 double")
-    assert [tuple(r) for r in layout.adjust_tables(table, lines, ["page"], "table", 500.0).collect()] == [(1, 7, 0.0, 0.0, 50.0, 145.0)]
+    lines = spark.createDataFrame([(1, 0.0, 10.0 * i - 10, 50.0, 10.0 * i + 5, "r", 400.0) for i in range(1, 15)], "page int, x1 double, y1 double, x2 double, y2 double, dir string, width double")
+    table = spark.createDataFrame([(1, 0.0, 0.0, 50.0, 10.0), (1, 300.0, 0.0, 350.0, 10.0)], "page int, x1 double, y1 double, x2 double, y2 double")
+    assert [tuple(r) for r in layout.adjust_tables(table, lines, ["page"]).collect()] == [(1, 0, 0.0, 0.0, 50.0, 145.0)]
+
+
+def test_columns_of_ragged_lines():
+    def span(x1, x2, y, t="t"):
+        return {"x1": float(x1), "x2": float(x2), "y1": float(y), "y2": float(y) + 10, "text": t}
+
+    lines = layout.lines_of([span(50 * c, 50 * c + 30 + 3 * r, 12 * r) for r in range(5) for c in range(3)])
+    assert [len(x) for x in lines] == [5 - 2] * 5
+    assert layout.column_edges(lines) == [39.0, 89.0, 139.0]
+    assert layout.cell_of(span(60, 70, 30), [22.0, 40.0], [42.0, 92.0]) == (1, 1) and layout.cell_of(span(-9, -5, 90), [22.0, 40.0], [42.0, 92.0]) == (1, 0)
+
+
+def test_neighbours_like_plain_loops(spark):
+    import random
+
+    r = random.Random(4)
+    rows = [(k, s := r.randrange(200), s + r.randrange(1, 6), i) for i in range(150) for k in [r.randrange(3)]]
+
+    def slow(k, s, e):
+        before = max(((b, -a) for q, a, b, _ in rows if q == k and b < s), default=None)
+        after = min(((a, b) for q, a, b, _ in rows if q == k and a > e), default=None)
+        d, f = s - (before[0] if before else 0), (after[0] if after else 10_000) - e
+        return ("b", before and before[0]) if d < f and d < 5 else ("a", after and after[0]) if d >= f and f < 5 else None
+
+    df = spark.createDataFrame(rows, "k int, s int, e int, id int")
+    spots = {i: (a, b) for _, a, b, i in rows}
+    got = {x.id: x.near for x in asof.neighbour_within(df, ["k"], "s", "e", "id").collect()}
+    for k, s, e, i in rows:
+        want = slow(k, s, e)
+        near = got[i]
+        assert (near is None) == (want is None or want[1] is None), (i, near, want)
+        if near is not None:
+            assert spots[near][1 if want[0] == "b" else 0] == want[1]
+
+
+def test_running_values_of_large_groups(spark):
+    n = 3000
+    df = spark.range(n).selectExpr("id % 2 as k", "id * 7919 % 3001 as o", "id % 3 as v")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    parts = windows.ranged(df, ["k"], [F.col("o")])
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert parts.select("__range").distinct().count() > 1
+    got = windows.highest_ahead(windows.running(parts, ["k"], [F.col("o")], {"c": F.col("v")}), ["k"], [F.desc("o")], "v", "m").collect()
+    for k in (0, 1):
+        own = sorted((x.o, x.v, x.c, x.m) for x in got if x.k == k)
+        total = 0
+        for i, (_, v, c, m) in enumerate(own):
+            total += v
+            assert c == total and m == max(x[1] for x in own[i:])
+
+
+def test_samples_and_targets(spark):
+    rois = spark.createDataFrame([(1, i, i / 40) for i in range(40)] + [(2, i, 0.1) for i in range(3)] + [(3, 0, 0.9)], "img int, id int, iou double")
+    got = boxes.sample_rois(rois, ["img"], "id", "iou", 32).collect()
+    n = {(i, k): sum(x.img == i and x.kind == k for x in got) for i in (1, 2, 3) for k in ("fg", "bg")}
+    assert n == {(1, "fg"): 8, (1, "bg"): 24, (2, "fg"): 0, (2, "bg"): 32, (3, "fg"): 32, (3, "bg"): 0}
+    assert len({x.id for x in got if x.img == 1 and x.kind == "fg"}) == 8
+
+
+def test_options_and_lookup(spark):
+    import pytest
+
+    from lodeflow import cli, options
+
+    base = {"a": 1.0, "g": {"n": 2, "s": "x", "l": [1]}, "b": False}
+    assert options.with_settings(base, ["a=3", "g.s=hello", "g.l=(4, 5)"]) == {"a": 3.0, "g": {"n": 2, "s": "hello", "l": [4, 5]}, "b": False}
+    for bad, error in (("q=1", KeyError), ("g.n='t'", TypeError), ("b=1", TypeError)):
+        with pytest.raises(error):
+            options.with_settings(base, [bad])
+    index = spark.createDataFrame([("chr1", 5, "A", "G", "p1", 0, 3, "c.1A>G")], "chrom string, pos bigint, ref string, alt string, paper_id string, file_idx int, start int, mention string")
+    assert cli.answer(index, "chr1 5 A G", cli.OPTIONS | {"gene_label": "G1"}) == ["G1\tchr1 5 A G\t1", "p1\tc.1A>G"]
