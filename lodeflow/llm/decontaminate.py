@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodeflow.llm.common import map_rows, session
+from lodeflow.llm.common import map_rows, session, settle, small
 
 #: Words of a window.
 WINDOW = 8
@@ -36,7 +38,7 @@ def windows(item_words: list[bytes], size: int = WINDOW) -> list[bytes]:
 class Scanner:
     """Aho-Corasick automaton over windows; finds every occurrence, overlapping ones too, in one pass."""
 
-    def __init__(self, found: dict[bytes, list[int]]):
+    def __init__(self, found: dict[bytes, list[str]]):
         import ahocorasick
 
         self.automaton = ahocorasick.Automaton()
@@ -47,53 +49,64 @@ class Scanner:
             self.automaton.make_automaton()
         self.any = bool(found)
 
-    def hits(self, toks: list[bytes]) -> tuple[list[tuple[int, int]], set[int]]:
-        """Word spans (first, end) of matches and the items that they belong to."""
+    def hits(self, toks: list[bytes], size: int = WINDOW) -> tuple[list[tuple[int, int]], set[str], set[str]]:
+        """Word spans (first, end) of matches, the items that they belong to, and those with a match of ``size`` words."""
+        spans, items, long_, starts = [], set(), set(), None
         if not toks or not self.any:
-            return [], set()
+            return spans, items, long_
         line = f" {b' '.join(toks).decode('latin-1')} "
-        spans, items, starts = [], set(), None
         for end, (n, back, ids) in self.automaton.iter(line):
             if starts is None:
                 starts = np.flatnonzero(np.frombuffer(line.encode("latin-1"), dtype=np.uint8) == 32)
             first = int(np.searchsorted(starts, end - back))
             spans.append((first, first + n))
             items.update(ids)
-        return spans, items
+            if n >= size:
+                long_.update(ids)
+        return spans, items, long_
 
 
 _cache: dict = {}
 
 
 def _scanner(block: list, key: str) -> Scanner:
-    """One automaton per worker process and block."""
+    """One automaton per worker process: blocks are scanned one after the other, never by one task."""
     if key not in _cache:
         _cache.clear()
         _cache[key] = Scanner(dict(block))
     return _cache[key]
 
 
-def window_blocks(benchmark: DataFrame, size: int = WINDOW, block_chars: int = BLOCK_CHARS) -> tuple[list[list[tuple[bytes, list[int]]]], list]:
-    """Windows of all items, in blocks of bounded size, and the item ids that they refer to by number.
+def window_blocks(benchmark: DataFrame, size: int = WINDOW, block_chars: int = BLOCK_CHARS) -> Iterator[list[tuple[bytes, list[str]]]]:
+    """Windows of all items with the ids that have them, in blocks of bounded size; one empty block if there are none.
 
-    The benchmark is a stated query set; it is read block by block, so what is broadcast at once stays bounded.
+    The benchmark is a stated query set. Its windows are made, grouped and sorted by Spark and come to the driver
+    block by block, so neither it nor what is broadcast at once holds the whole.
     """
-    owners: dict[bytes, set[int]] = {}
-    names: dict = {}
-    for item, text in benchmark.select("item_id", "text").toLocalIterator():
-        if item is None:
-            continue
-        n = names.setdefault(item, len(names))
-        for w in windows(words(text), size):
-            owners.setdefault(w, set()).add(n)
-    blocks, chars = [[]], 0
-    for w in sorted(owners):
-        if chars + len(w) > block_chars and blocks[-1]:
-            blocks.append([])
-            chars = 0
-        blocks[-1].append((w, sorted(owners[w])))
-        chars += len(w)
-    return blocks, list(names)
+
+    def make():
+        def run(ids, texts):
+            out = [[], []]
+            for i, t in zip(ids, texts, strict=True):
+                for w in dict.fromkeys(windows(words(t), size)):
+                    out[0].append(w.decode("utf-8", "surrogatepass"))
+                    out[1].append(i)
+            return out
+
+        return run
+
+    items = benchmark.where("item_id is not null").select(F.col("item_id").cast("string").alias("item"), "text")
+    found = settle(map_rows(items, ["item", "text"], "w string, item string", make).groupBy("w").agg(F.array_sort(F.collect_set("item")).alias("own")))
+    block, chars, some = [], 0, False
+    for w, own in found.orderBy("w").toLocalIterator():
+        key = w.encode("utf-8", "surrogatepass")
+        if chars + len(key) > block_chars and block:
+            yield block
+            block, chars = [], 0
+        block.append((key, own))
+        chars, some = chars + len(key), True
+    if block or not some:
+        yield block
 
 
 def covered(spans: list[tuple[int, int]], n: int) -> int:
@@ -130,88 +143,107 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, min
 
     Returns ``id_col, n_words, n_hit, n_items, items_sha256, contaminated, n_long_items, spans``; spans are
     code-point offsets into the original text, merged where they touch, and n_long_items counts the
-    items hit by a window of full size. Each document is read once for
-    each block of the benchmark (one block up to ``block_chars``), in maps over the scan without a shuffle; what is
-    broadcast for a block is bounded by its size.
+    items hit by a window of full size. Benchmarks up to ``block_chars`` characters are one block, scanned for in
+    one map over the documents without a shuffle; larger ones are scanned for block by block, and the hits joined.
+    What is broadcast for a block is bounded by its size.
     Defined results: null and empty texts have no words and no hits; items with null id or no words are
     ignored; repeated items count once; repeated documents give a row each; other columns are not read.
     """
-    spark = session(docs)
-    blocks, names = window_blocks(benchmark, size, block_chars)
     kind = dict(docs.dtypes)[id_col]
-    state = f"`{id_col}` {kind}, text string, spans array<struct<start:int,end:int>>, items array<string>, long_items array<string>"
-    out = docs.select(F.col(id_col), "text", F.array().cast("array<struct<start:int,end:int>>").alias("spans"), F.array().cast("array<string>").alias("items"), F.array().cast("array<string>").alias("long_items"))
+    numbered = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col), "text")
+    hits, n = _all_hits(numbered.select("row", "text"), benchmark, size, block_chars)
     final = f"`{id_col}` {kind}, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean, n_long_items bigint, spans array<struct<start:int,end:int>>"
-    for k, block in enumerate(blocks):
-        out = _scan_block(out, id_col, block, names, size, min_items, final if k == len(blocks) - 1 else state)
-    return out
+    if n == 1:
+        block, sent, key = hits
+
+        def make():
+            scanner = _scanner(sent.value, key)
+
+            def run(ids, texts):
+                return _columns([_sums(i, t, toks, *scanner.hits(toks, size), min_items) for i, t in zip(ids, texts, strict=True) for toks in [words(t)]])
+
+            return run
+
+        return map_rows(docs, [id_col, "text"], final, make)
+
+    def total():
+        def run(ids, texts, spans, items, longs):
+            return _columns([_sums(i, t, words(t), [(x["start"], x["end"]) for x in s or []], set(own or []), set(ln or []), min_items) for i, t, s, own, ln in zip(ids, texts, spans, items, longs, strict=True)])
+
+        return run
+
+    return map_rows(numbered.join(hits, "row", "left"), [id_col, "text", "spans", "items", "longs"], final, total)
+
+
+def _columns(rows: list[tuple]) -> list[list]:
+    return [list(c) for c in zip(*rows, strict=True)] if rows else [[] for _ in range(8)]
+
+
+def _sums(doc_id, text: str | None, toks: list[bytes], spans: list, items: set[str], longs: set[str], min_items: int) -> tuple:
+    digest = hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()
+    return doc_id, len(toks), covered(spans, len(toks)), len(items), digest, len(items) >= min_items, len(longs), [{"start": a, "end": b} for a, b in original_offsets(text or "", spans)]
 
 
-def _scan_block(df: DataFrame, id_col: str, block: list, names: list, size: int, min_items: int, schema: str) -> DataFrame:
-    """Adds the hits of one block of windows; with the final schema, also sums up."""
-    owners = sorted({i for _, ids in block for i in ids})
-    ids = {i: str(names[i]) for i in owners}
-    long_ = {ids[i] for w, own in block if w.count(b" ") + 1 >= size for i in own}
-    sent = df.sparkSession.sparkContext.broadcast((block, ids, long_))
-    key = hashlib.md5(repr((block, ids)).encode()).hexdigest()
-    last = "n_words" in schema
+def _all_hits(rows: DataFrame, benchmark: DataFrame, size: int, block_chars: int):
+    """((block, its broadcast, its key), 1) where one block is all; else the rows' hits over all blocks, settled, and how many blocks.
+
+    Further blocks are scanned one after the other, and only rows with hits are kept of each scan.
+    """
+    spark, parts, n, last = session(rows), [], 0, None
+    for block in window_blocks(benchmark, size, block_chars):
+        key = hashlib.md5(repr(block).encode()).hexdigest()
+        if last is not None:
+            parts.append(_block_hits(rows, last, size))
+        last, n = (block, spark.sparkContext.broadcast(block), key), n + 1
+    if n == 1:
+        return last, 1
+    parts.append(_block_hits(rows, last, size))
+    every = reduce(DataFrame.unionByName, parts)
+    flat = [F.flatten(F.collect_list(c)).alias(c) for c in ("spans", "items", "longs")]
+    return settle(every.groupBy("row").agg(*flat)), n
+
+
+def _block_hits(rows: DataFrame, block: tuple, size: int) -> DataFrame:
+    _, sent, key = block
 
     def make():
-        block, ids, long_ = sent.value
-        scanner = _scanner(block, key)
-
-        def run(doc_ids, texts, spans, items, longs):
-            out = [[] for _ in range(8 if last else 5)]
-            for d, t, s, i, ln in zip(doc_ids, texts, spans, items, longs, strict=True):
-                toks = words(t)
-                more, found = scanner.hits(toks)
-                own = {ids[x] for x in found}
-                s = [(x["start"], x["end"]) for x in s] + more
-                i, ln = {*i, *own}, {*ln, *(own & long_)}
-                if last:
-                    digest = hashlib.sha256(",".join(sorted(i)).encode()).hexdigest()
-                    row = (d, len(toks), covered(s, len(toks)), len(i), digest, len(i) >= min_items, len(ln), [{"start": a, "end": b} for a, b in original_offsets(t or "", s)])
-                else:
-                    row = (d, t, [{"start": a, "end": b} for a, b in s], sorted(i), sorted(ln))
-                for o, v in zip(out, row, strict=True):
-                    o.append(v)
+        scanner = _scanner(sent.value, key)
+
+        def run(ids, texts):
+            out = [[] for _ in range(4)]
+            for i, t in zip(ids, texts, strict=True):
+                spans, items, longs = scanner.hits(words(t), size)
+                if spans:
+                    for o, v in zip(out, (i, [{"start": a, "end": b} for a, b in spans], sorted(items), sorted(longs)), strict=True):
+                        o.append(v)
             return out
 
         return run
 
-    return map_rows(df, [id_col, "text", "spans", "items", "long_items"], schema, make)
+    return settle(map_rows(rows, ["row", "text"], "row bigint, spans array<struct<start:int,end:int>>, items array<string>, longs array<string>", make))
 
 
 def contaminated_rows(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """``docs`` without the documents that hold a benchmark passage; columns unchanged, no shuffle.
+    """``docs`` without the documents that hold a benchmark passage; columns unchanged.
 
     A document goes if it holds windows of two items, or of one item at least ``size`` words long:
-    a short item's few words may be ordinary prose, a full window is a quotation. Blocks and edge rows as above.
+    a short item's few words may be ordinary prose, a full window is a quotation. One block is scanned in place,
+    without a shuffle; with several, the rows to go are joined. Edge rows as above: null and empty texts stay, and so
+    does everything if the benchmark is empty; ``docs`` must be a repeatable plan such as a Parquet read.
     """
-    session(docs)
-    blocks, _ = window_blocks(benchmark, size, block_chars)
-    found = [_block_hits(docs, b, size)(F.col("text")) for b in blocks if b]
-    if not found:
+    numbered = docs.withColumn("__row", F.monotonically_increasing_id())
+    hits, n = _all_hits(numbered.select(F.col("__row").alias("row"), "text"), benchmark, size, block_chars)
+    if n > 1:
+        gone = settle(hits.where("size(longs) > 0 or size(array_distinct(items)) >= 2").select(F.col("row").alias("__row")))
+        return numbered.join(F.broadcast(gone) if small(gone, 1_000_000) else gone, "__row", "left_anti").drop("__row")
+    block, sent, key = hits
+    if not block:
         return docs
-    full = found[0]["full"]
-    for f in found[1:]:
-        full = full | f["full"]
-    items = F.array_distinct(F.flatten(F.array(*[f["items"] for f in found])))
-    return docs.where(~(full | (F.size(items) >= 2)))
-
-
-def _block_hits(docs: DataFrame, block: list, size: int):
-    """Function of a text column: whether a full window of the block occurs, and two items of the block at most."""
-    sent = docs.sparkSession.sparkContext.broadcast(block)
-    key = hashlib.md5(repr(block).encode()).hexdigest()
 
-    @F.pandas_udf("struct<full:boolean,items:array<int>>")
-    def hits(texts: pd.Series) -> pd.DataFrame:
+    @F.pandas_udf("boolean")
+    def goes(texts: pd.Series) -> pd.Series:
         scanner = _scanner(sent.value, key)
-        rows = []
-        for t in texts:
-            spans, items = scanner.hits(words(t))
-            rows.append((any(b - a >= size for a, b in spans), sorted(items)[:2]))
-        return pd.DataFrame(rows, columns=["full", "items"])
+        found = (scanner.hits(words(t), size) for t in texts)
+        return pd.Series([bool(longs) or len(items) >= 2 for _, items, longs in found], dtype=bool)
 
-    return hits
+    return docs.where(~goes("text"))

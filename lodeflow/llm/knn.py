@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 from lodeflow.llm.common import map_rows, session, settle
 
-#: Pivots of the Voronoi cells; with the summaries of cells all that is held on the driver.
-PIVOTS = 48
-#: Data rows and queries that one local problem holds at most.
+#: Most pivots of the Voronoi cells (they grow with the root of the number of rows); with the cells' summaries all that is held on the driver.
+PIVOTS = 512
+#: Data rows and queries that one local problem holds, about.
 DATA_BLOCK = 8192
 QUERY_BLOCK = 4096
 
@@ -73,6 +73,8 @@ def best(q_ids, q: list, d_ids, d: list, k: int) -> list[tuple[int, int, int]]:
     d_ids = np.asarray(d_ids)[order]
     d = [d[i] for i in order]
     s = scores(q, d)
+    d_ids, first = np.unique(d_ids, return_index=True)
+    s = np.maximum.reduceat(s, first, axis=1)  # the best score of an id counts
     out = []
     for i, qid in enumerate(q_ids):
         row = s[i]
@@ -87,17 +89,19 @@ def best(q_ids, q: list, d_ids, d: list, k: int) -> list[tuple[int, int, int]]:
     return out
 
 
-def top_k(table: DataFrame, k: int = 5, every: int = 50, pivots: int = PIVOTS, data_block: int = DATA_BLOCK, query_block: int = QUERY_BLOCK) -> DataFrame:
+def top_k(table: DataFrame, k: int = 5, every: int = 50, pivots: int | None = None, data_block: int = DATA_BLOCK, query_block: int = QUERY_BLOCK, told: dict | None = None) -> DataFrame:
     """``query_id, rank, vec_id, score``: each query's k rows of highest integer inner product.
 
     Queries are the rows whose vec_id is divisible by ``every``. Rows and queries are grouped by their nearest
     pivot. A cell's summary (number, radius, largest distances of its k + 1 rows nearest to the pivot) bounds
     every score: q.c lies within |q| * distance(c, pivot) of q.pivot. So a query's k-th best score is at least the
     (k+1)-th largest lower bound, and only cells whose upper bound reaches it get the query: first judged for
-    a whole query cell by its own radius, then for the query itself. Data never move more than once:
-    queries are sent to the cells, each cell is cut into blocks of at most about ``data_block`` rows, and so are
-    its queries, so a vector that a third of the rows share is no larger problem; every block is solved locally,
-    and local results meet in a grouped top-k per query.
+    a whole query cell by its own radius, then for the query itself. Queries are sent to the cells that they need;
+    each cell is cut into blocks of about ``data_block`` rows, so a vector that a third of the rows share is no larger
+    problem, and the queries that reached it into blocks of about ``query_block``; a cell's rows are copied once for each
+    block of its own queries. Every pair of blocks is solved locally, and local results meet in a grouped top-k per query.
+    Where vectors point everywhere alike in many dimensions no bound can spare a cell, and this is a blocked comparison
+    of all queries with all rows; where they form clusters most cells are spared (``told`` gets the mean number of ``cells_per_query`` and that of ``cells``).
     Defined results: null vectors, vectors with null or non-finite components (or beyond 2^62 after scaling), empty
     vectors and null ids take no part; equal rows count once; a query's own id is never its result; vectors of
     unlike lengths are compared over the shorter length; fewer than k rows give fewer results;
@@ -106,6 +110,7 @@ def top_k(table: DataFrame, k: int = 5, every: int = 50, pivots: int = PIVOTS, d
     """
     spark = session(table)
     data = settle(quantised(table))
+    pivots = pivots or min(PIVOTS, max(16, math.isqrt(data.count())))
     picked = data.orderBy(F.xxhash64("v"), "vec_id").limit(pivots).collect()
     if not picked:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score bigint")
@@ -130,13 +135,12 @@ def top_k(table: DataFrame, k: int = 5, every: int = 50, pivots: int = PIVOTS, d
 
     celled = settle(map_rows(data, ["vec_id", "v"], "vec_id bigint, v array<bigint>, cell int, dist double", assign))
     summary = {r["cell"]: (r["n"], r["radius"]) for r in celled.groupBy("cell").agg(F.count("*").alias("n"), F.max("dist").alias("radius")).collect()}
-    closest = _closest(celled, k + 1)
-    blocks = {c: max(1, math.ceil(n / data_block)) for c, (n, _) in summary.items()}
+    # an id with several vectors counts once among the k best, so only the others' rows bound the k-th score
+    several = settle(data.groupBy("vec_id").count().where("count > 1").select("vec_id"))
+    closest = _closest(celled.join(several, "vec_id", "left_anti"), k + 1)
     is_query = F.col("vec_id") % every == 0
     queries = celled.where(is_query)
     q_summary = {r["cell"]: (r["n"], r["radius"]) for r in queries.groupBy("cell").agg(F.count("*").alias("n"), F.max("dist").alias("radius")).collect()}
-    n_queries = sum(n for n, _ in q_summary.values())
-    q_blocks = max(1, math.ceil(n_queries / query_block))
     plan = spark.sparkContext.broadcast((centre, summary, closest, q_summary, k))
 
     def route():
@@ -144,8 +148,8 @@ def top_k(table: DataFrame, k: int = 5, every: int = 50, pivots: int = PIVOTS, d
         cells = np.array(sorted(summary))
         radius = np.array([summary[i][1] for i in cells])
         pivot = c[cells]
-        near_d = np.concatenate([closest[i] for i in cells])
-        near_c = np.concatenate([np.full(len(closest[i]), j) for j, i in enumerate(cells)])
+        near_d = np.concatenate([closest.get(i, np.empty(0)) for i in cells])
+        near_c = np.concatenate([np.full(len(closest.get(i, ())), j) for j, i in enumerate(cells)])
         whole: dict[int, np.ndarray] = {}
 
         def cells_for(cell: int) -> np.ndarray:
@@ -174,10 +178,15 @@ def top_k(table: DataFrame, k: int = 5, every: int = 50, pivots: int = PIVOTS, d
 
         return run
 
-    routed = map_rows(queries, ["vec_id", "v", "cell"], "vec_id bigint, v array<bigint>, cells array<int>", route)
-    parts = F.coalesce(*[F.when(F.col("cell") == c, F.lit(b)) for c, b in blocks.items() if b > 1], F.lit(1)) if any(b > 1 for b in blocks.values()) else F.lit(1)
-    q_rows = routed.withColumn("cell", F.explode("cells")).withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).withColumn("qpart", F.pmod(F.xxhash64("vec_id"), F.lit(q_blocks)).cast("int")).select("cell", "part", "qpart", "vec_id", "v")
-    d_rows = celled.withColumn("part", F.pmod(F.xxhash64("vec_id", "v"), parts.cast("long")).cast("int")).withColumn("qpart", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1)))).select("cell", "part", "qpart", "vec_id", "v")
+    routed = settle(map_rows(queries, ["vec_id", "v", "cell"], "vec_id bigint, v array<bigint>, cells array<int>", route)).withColumn("cell", F.explode("cells"))
+    asked = {r["cell"]: r["count"] for r in routed.groupBy("cell").count().collect()}
+    if told is not None:
+        told.update(cells_per_query=sum(asked.values()) / max(1, sum(n for n, _ in q_summary.values())), cells=len(summary))
+    sizes = spark.createDataFrame([(c, max(1, math.ceil(n / data_block)), math.ceil(asked[c] / query_block)) for c, (n, _) in summary.items() if c in asked], "cell int, parts int, qparts int")
+    sizes = F.broadcast(sizes)  # one row a pivot
+    hash_ = lambda *c: F.xxhash64(*c)
+    q_rows = routed.join(sizes, "cell").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn("qpart", F.pmod(hash_("vec_id"), F.col("qparts")).cast("int")).select("cell", "part", "qpart", "vec_id", "v")
+    d_rows = celled.join(sizes, "cell").withColumn("part", F.pmod(hash_("vec_id", "v"), F.col("parts")).cast("int")).withColumn("qpart", F.explode(F.sequence(F.lit(0), F.col("qparts") - 1))).select("cell", "part", "qpart", "vec_id", "v")
 
     def solve(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:

@@ -62,14 +62,14 @@ class TextModel:
 
 
 def sample(df: DataFrame, text: str, declared: str, rows: int) -> list[tuple[str, str]]:
-    """At most ``rows`` whole texts of each declared language, the same ones at every run.
+    """At most ``rows`` different whole texts of each declared language, the same ones at every run and in every layout of the files.
 
-    Rows are taken by a hash of the whole row, so a text with very many copies weighs no more than its share.
+    Rows are taken by a hash of text and language; copies of a text count once.
     """
     base = df.where(F.col(declared).isNotNull() & (F.length(text) > 0))
-    counts = base.groupBy(F.col(declared).alias("__lang")).agg(F.least(F.lit(1.0), F.lit(1.3 * rows) / F.count("*")).alias("share"))
-    h = F.pmod(F.xxhash64(*df.columns), F.lit(1 << 30))
-    some = base.select(F.col(declared).alias("__lang"), F.col(text).alias("t"), h.alias("h")).join(F.broadcast(counts) if small(counts, HOST_ROWS) else counts, "__lang").where(F.col("h") < F.ceil(F.col("share") * (1 << 30)))
+    h = F.pmod(F.xxhash64(text, declared), F.lit(1 << 30))
+    counts = base.groupBy(F.col(declared).alias("__lang")).agg(F.least(F.lit(1.0), F.lit(1.5 * rows) / F.approx_count_distinct(h)).alias("share"))
+    some = base.select(F.col(declared).alias("__lang"), F.col(text).alias("t"), h.alias("h")).join(F.broadcast(counts) if small(counts, HOST_ROWS) else counts, "__lang").where(F.col("h") < F.ceil(F.col("share") * (1 << 30))).groupBy("__lang", "h").agg(F.min("t").alias("t"))
     got = some.withColumn("r", F.row_number().over(Window.partitionBy("__lang").orderBy("h", "t"))).where(F.col("r") <= rows).select("__lang", "t", "r").collect()
     return [(r[0], r[1]) for r in sorted(got, key=lambda r: (r[0], r[2]))]
 

@@ -13,12 +13,13 @@ from lodeflow.llm.common import map_rows, session
 
 #: Labelled rows of each class that the model is fitted on, at most (a documented bound of the sample).
 FIT_ROWS = 1200
-#: Bytes of one dictionary, and the most pieces of one text, spread over all of it, that its training takes.
+#: Labelled texts longer than so many characters are not fitted on (the same bound, of bytes); all texts are scored whole.
+FIT_CHARS = 100_000
+#: Bytes of one dictionary.
 DICT_BYTES = 48 * 1024
-TRAIN_PIECES = 4
 LEVEL = 3
 #: Texts are compressed in pieces of so many bytes, and sizes added: far copies within a text don't count.
-PIECE = 2048
+PIECE = 512
 #: Predicted good from this score on.
 THRESHOLD = 0.3
 
@@ -26,16 +27,17 @@ THRESHOLD = 0.3
 def fit_labels(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> list[tuple[int, str]]:
     """(quality, text) of at most ``rows`` labelled documents of each class outside the held-out fifth.
 
-    The ids are chosen first, by a hash, so only their texts are joined and sent: a bounded number.
-    A document with contradictory labels is left out.
+    The ids are chosen first, by a hash, so only their texts are joined and sent: a bounded number of bounded texts.
+    A document with contradictory labels is left out; of several texts with one id the least counts.
     """
     known = labels.where("doc_id is not null and quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("other")).where("quality = other and pmod(crc32(cast(doc_id as string)), 5) <> 0")
     picked = None
     for q in (0, 1):
         part = known.where(F.col("quality") == q).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).select("doc_id", "quality")
         picked = part if picked is None else picked.unionByName(part)
-    got = docs.select("doc_id", "text").where(F.length("text") > 0).join(F.broadcast(picked), "doc_id").select("doc_id", "quality", "text").limit(4 * rows).collect()
-    return [(r["quality"], r["text"]) for r in sorted(got, key=lambda r: (r["doc_id"], r["text"]))]
+    short = docs.select("doc_id", "text").where(F.length("text").between(1, FIT_CHARS))
+    got = short.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "quality").agg(F.min("text").alias("text")).collect()
+    return [(r["quality"], r["text"]) for r in sorted(got, key=lambda r: r["doc_id"])]
 
 
 class Model:
@@ -51,25 +53,20 @@ class Model:
     def __setstate__(self, state):
         self.__init__(*state)
 
-    def sizes(self, text: str | None) -> tuple[float, float, float]:
-        """(difference of the compressed sizes per byte, size with no dictionary per byte, log length)."""
+    def difference(self, text: str | None) -> float:
+        """How much smaller the text gets with the good dictionary than with the bad one, as a share of both sizes."""
         if self._tools is None:
-            self._tools = [zstd.ZstdCompressor(level=LEVEL, dict_data=zstd.ZstdCompressionDict(d) if d else None, write_checksum=False, write_content_size=False, write_dict_id=False) for d in (self.good, self.bad, b"")]
+            self._tools = [zstd.ZstdCompressor(level=LEVEL, dict_data=zstd.ZstdCompressionDict(d) if d else None, write_checksum=False, write_content_size=False, write_dict_id=False) for d in (self.good, self.bad)]
         raw = (text or "").encode("utf-8", "surrogatepass")
-        if not raw:
-            return 0.0, 1.0, 0.0
-        total = [0, 0]
+        good = bad = 0
         for i in range(0, len(raw), PIECE):
             piece = raw[i : i + PIECE]
-            for k in (0, 1):
-                total[k] += len(self._tools[k].compress(piece))
-        whole = len(self._tools[2].compress(raw))
-        return (total[1] - total[0]) / len(raw), whole / len(raw), math.log1p(len(raw))
+            good += len(self._tools[0].compress(piece))
+            bad += len(self._tools[1].compress(piece))
+        return (bad - good) / (bad + good) if raw else 0.0
 
     def features(self, text: str | None) -> np.ndarray:
-        diff, alone, size = self.sizes(text)
-        # a short text says little: its difference is a few bytes of headers
-        return np.array([1.0, diff, alone, diff * min(size, 8.0), max(0.0, alone - 0.55), min(size, 9.0) / 9.0])
+        return np.array([1.0, self.difference(text)])
 
     def score(self, text: str | None) -> float:
         z = float(self.features(text) @ np.array(self.weights))
@@ -97,14 +94,14 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1
 
 
 def train(rows: list[tuple[int, str]]) -> Model:
-    """Dictionaries from one half of each class and calibration on the other, then dictionaries from all of it.
+    """Dictionaries from all labelled texts; their differences are calibrated on halves, each scored by dictionaries from the other.
 
     With one class only, the score is that class's smoothed share for every text.
     """
     by = {q: [t for label, t in rows if label == q] for q in (0, 1)}
     if min(len(by[0]), len(by[1])) < 8:
         share = (len(by[1]) + 1) / (len(rows) + 2)
-        return Model(b"", b"", [math.log(share / (1 - share)), 0.0, 0.0, 0.0, 0.0, 0.0])
+        return Model(b"", b"", [math.log(share / (1 - share)), 0.0])
     x, y = [], []
     for fold in (0, 1):
         part = Model(_dictionary(by[1][fold::2]), _dictionary(by[0][fold::2]), [])
@@ -113,16 +110,12 @@ def train(rows: list[tuple[int, str]]) -> Model:
                 x.append(part.features(t))
                 y.append(q)
     y = np.array(y, dtype=float)
-    weights = _logistic(np.array(x), y, np.ones(len(y)))
-    # both dictionaries are trained on as many texts: their strength doesn't follow the share of the classes
-    return Model(_dictionary(by[1][0::2]), _dictionary(by[0][0::2]), weights)
+    return Model(_dictionary(by[1]), _dictionary(by[0]), _logistic(np.array(x), y, np.ones(len(y))))
 
 
 def _dictionary(texts: list[str]) -> bytes:
-    samples = []
-    for raw in (t.encode("utf-8", "surrogatepass") for t in texts):
-        pieces = range(0, len(raw), PIECE)
-        samples += [raw[i : i + PIECE] for i in pieces[:: max(1, -(-len(pieces) // TRAIN_PIECES))]]
+    raws = [t.encode("utf-8", "surrogatepass") for t in texts]
+    samples = [raw[i : i + PIECE] for raw in raws for i in range(0, len(raw), PIECE)]
     samples = [s for s in samples if len(s) >= 8]
     size = min(DICT_BYTES, max(1024, sum(map(len, samples)) // 8))
     try:
@@ -135,7 +128,7 @@ def classify(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, thres
     """``doc_id, held_out, score, predicted`` of every document.
 
     One map over the scan: each whole text is compressed with both dictionaries. The model (two dictionaries of
-    ``DICT_BYTES`` and six weights) is broadcast. Labels, language, source and ids are never inputs of a score.
+    ``DICT_BYTES`` and two weights) is broadcast. Labels, language, source and ids are never inputs of a score.
     Defined results: null and empty texts get the score of an empty text; null ids are not held out; repeated rows
     give a row each; without labels of both classes every score is the smoothed share; other columns are not read.
     """

@@ -189,6 +189,20 @@ def test_top_k(spark):
     for blocks in ({}, {"pivots": 5, "data_block": 40, "query_block": 3}):
         assert sorted(tuple(x) for x in knn.top_k(t, **blocks).collect()) == sorted(want)
     assert knn.top_k(t.limit(0)).count() == 0
+    clash = spark.createDataFrame([(50, [1.0, 0.0]), *[(1, [9.0, float(i)]) for i in range(9)], (2, [3.0, 0.0]), (3, [2.0, 0.0]), (4, [1.0, 0.0])], "vec_id bigint, embedding array<double>")
+    assert [x.vec_id for x in knn.top_k(clash, k=4).orderBy("rank").collect()] == [1, 2, 3, 4]
+
+
+def test_top_k_spares_cells(spark):
+    r = np.random.default_rng(6)
+    centre = r.normal(size=(40, 16)) * 10
+    rows = [(i, (centre[i % 40] + 0.1 * r.normal(size=16)).round(3).tolist()) for i in range(2000)]
+    told = {}
+    got = knn.top_k(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"), told=told)
+    quant = np.floor(256 * np.array([v for _, v in rows])).astype(int)
+    want = [(q, k + 1, c, s) for q in range(0, 2000, 50) for k, (s, c) in enumerate(sorted(((int(quant[q] @ quant[c]), c) for c in range(2000) if c != q), key=lambda x: (-x[0], x[1]))[:5])]
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+    assert told["cells_per_query"] < 0.5 * told["cells"]
     huge = spark.createDataFrame([(0, [1e12, 1.0]), (50, [3e12, 5.0]), (7, [2.0, 9.0])], "vec_id bigint, embedding array<double>")
     assert [x.score for x in knn.top_k(huge).where("query_id = 50 and vec_id = 7").collect()] == [256 * 3 * 10**12 * 512 + 1280 * 2304]
 
@@ -231,6 +245,25 @@ def test_secrets(spark):
     assert "identifier" in spans[7] and "endpoint" in spans[7]
 
 
+def test_linked_secrets_like_all_pairs():
+    r = random.Random(21)
+    bits = ["AKIA" + "A1B2" * 4, "user=admin", "client_id: 'someone@x.y'", "https://db.example.com/x", "redis://h:1", "token=abcdefgh1", "0f" * 20, "wJalrXUtnFEMIK7MDENGbPxRfiCYEXAMPLEKEY12", "login=" + "x" * 200]
+    for _ in range(150):
+        t = "".join(r.choice(bits) + " " * r.randrange(1, 160) for _ in range(r.randrange(1, 7)))
+        base = secrets.base_spans(t)
+        strong = [s for k in secrets.BASE for s in base[k]]
+        free = lambda s: not any(a < s[1] and s[0] < b for a, b in strong)
+        named, weak, points = ([m.span() for m in p.finditer(t)] for p in (secrets._IDENTIFIER, secrets._SECRET, secrets._ENDPOINT))
+        weak = [s for s in weak if free(s)]
+        near = lambda s, others: any(a <= s[1] + 200 and b >= s[0] - 200 for a, b in others)
+        ids, keys = base["access"] + named, base["assign"] + base["hex"] + weak
+        want = {("secret", *s) for s in weak if near(s, ids)}
+        want |= {("identifier", *s) for s in named if free(s) and near(s, keys) and near(s, points)}
+        want |= {("endpoint", *s) for s in points if near(s, ids) and near(s, keys)}
+        assert {x for x in secrets.scan_text(t)[1] if x[0] in secrets.LINKED} == want, t
+    assert ("identifier", 0, 206) in secrets.scan_text("login=" + "x" * 200 + " token=abcdefgh1 https://a.b/")[1]
+
+
 def test_weak_secrets_of_settings():
     key = "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY"
     for sep in ("=", " = ", ': "', "='"):
@@ -447,6 +480,34 @@ def test_language(spark):
     assert langid.identify_documents(frame(spark, [])).count() == 0
 
 
+def test_language_fusion_like_plain_loops(spark):
+    vocab = {"en": "the of and to in is was that with for".split(), "de": "der die und in den von zu mit sich auf".split()}
+    r = random.Random(3)
+    rows = [(i, " ".join(r.choice(vocab[r.choice(["en", "de"]) if i % 5 == 0 else lang]) for _ in range(r.randrange(0, 9))), lang if i % 7 else None, f"h{i % 4}") for i, lang in enumerate(["en", "de", "de"] * 25)]
+    got = {x.doc_id: x for x in langid.identify_documents(spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")).collect()}
+    model = langid.TextModel.fit(list(dict.fromkeys((lang, t) for _, t, lang, _ in rows if lang and t)))
+    ev = {i: model.evidence(t) for i, t, _, _ in rows}
+    best = {i: None if e is None else int(e.argmax()) for i, e in ev.items()}
+    counts = defaultdict(lambda: np.zeros(2))
+    for i, _, lang, host in rows:
+        if best[i] is not None:
+            for key in ("all", ("d", lang), ("h", host)):
+                counts[key][best[i]] += 1
+    prior = (counts["all"] + 1) / (counts["all"] + 1).sum()
+    for i, _, lang, host in rows:
+        def smooth(key, p, i=i):
+            c = counts[key].copy()
+            if best[i] is not None:
+                c[best[i]] -= 1
+            return (c + langid.KAPPA * p) / (c.sum() + langid.KAPPA)
+
+        score = np.log(smooth(("h", host), prior)) + (0 if ev[i] is None else ev[i])
+        if lang:
+            score = score + np.log(smooth(("d", lang), prior) / prior)
+        post = np.exp(score) / np.exp(score).sum()
+        assert got[i].lang == model.langs[int(post.argmax())] and abs(got[i].posterior - post.max()) < 1e-9, i
+
+
 def test_language_rare(spark):
     r = random.Random(16)
     name = lambda k: f"{chr(97 + k // 26)}{chr(97 + k % 26)}x"
