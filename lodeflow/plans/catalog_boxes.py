@@ -298,7 +298,9 @@ def _mask_parts(spark, d) -> DataFrame:
     w = Window.partitionBy("img", "part").orderBy("ts", "event_id")
     e = table(spark, d, "events").select((F.col("user_id") % 10).alias("img"), F.expr("user_id % 30 div 10").alias("part"), "ts", "event_id", F.when(F.col("event_type").isin("view", "click"), 1).otherwise(0).alias("v"))
     m = rle.encode(e.withColumn("i", F.row_number().over(w)), ["img", "part"], "i", "v").withColumn("n", F.aggregate("counts", F.lit(0), lambda a, x: a + x))
-    return m.withColumn("size", F.max("n").over(Window.partitionBy("img"))).drop("n")
+    sized = m.withColumn("size", F.max("n").over(Window.partitionBy("img"))).withColumn("more", (F.col("size") - F.col("n")).cast("int"))
+    longer = F.when(F.size("counts") % 2 == 0, F.concat("counts", F.array("more"))).otherwise(F.concat(F.expr("slice(counts, 1, size(counts) - 1)"), F.array(F.element_at("counts", -1) + F.col("more"))))
+    return sized.withColumn("counts", F.when(F.col("more") > 0, longer).otherwise(F.col("counts"))).drop("n", "more")
 
 
 @query("r4_merge", f"with {_MASK2} select img, sum(u) as area_union, sum(x) as area_common from (select p3.img, i, max(v) as u, case when count(*) = max(np) then min(v) else 0 end as x from p3 join (select img, count(distinct part) as np from p3 group by 1) n on n.img = p3.img group by 1, 2) group by 1")
