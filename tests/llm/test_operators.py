@@ -52,13 +52,14 @@ def groups(pairs, nodes):
     return {n: find(n) for n in nodes}
 
 
-def test_components(spark):
+@pytest.mark.parametrize("last", [cc.LAST_EDGES, 60, 0])
+def test_components(spark, last):
     r = random.Random(1)
     pairs = [(r.randrange(300), r.randrange(300)) for _ in range(160)] + [(i, i + 1) for i in range(400, 460)]
-    got = {x.node: x.root for x in cc.connected_components(spark.createDataFrame(pairs, "a bigint, b bigint")).collect()}
+    got = {x.node: x.root for x in cc.connected_components(spark.createDataFrame(pairs, "a bigint, b bigint"), last).collect()}
     want = groups(pairs, {x for p in pairs if p[0] != p[1] for x in p})
     assert got == want
-    assert cc.connected_components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+    assert cc.connected_components(spark.createDataFrame([], "a bigint, b bigint"), last).count() == 0
 
 
 def test_decontamination(spark):
