@@ -302,6 +302,12 @@ def components(docs: DataFrame, size: int = 3, tau: int = 3) -> DataFrame:
 BLOCK_SHINGLES = 1 << 19
 #: Shingles in a part of a set, about.
 PART = 3
+#: Shingles of the sets whose keys a task packs at once, and of those that make a bucket (about half as many keys).
+PACK_SHINGLES = 1 << 20
+BUCKET_SHINGLES = 1 << 20
+#: Members up to which those of a key are compared by sketches, and the places of a sketch.
+HOT = 1 << 16
+PLACES = 2048
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -344,12 +350,12 @@ def near_keys(h: np.ndarray) -> np.ndarray:
     elements are dealt by hash, m - d are equal for any d of at least a // 4. Order parts by their number of elements:
     the last of the equal parts is among the last d + 1 in both sets, so those are the keys. m and d are set by the
     size class of the smaller set; a set has keys for each class that a smaller partner may be in. Should a key be an
-    empty part, it is so in both sets; then the first n - ceil(0.8 n) + 1 elements are keys too (prefix filtering).
+    empty part, it is so in both sets; then the first n - ceil(0.8 n) + 1 elements are keys of the class too (prefix filtering).
     """
     n = len(h)
     if n < 4:
         return np.empty(0, dtype=np.uint64)
-    out, bare = [], False
+    out = []
     least = max(4, -(-4 * n // 5))
     body = _scramble(h, (7,))[0]
     with np.errstate(over="ignore"):
@@ -364,13 +370,134 @@ def near_keys(h: np.ndarray) -> np.ndarray:
             np.add.at(total, part, body)
             last = np.argsort(count, kind="stable")[m - d - 1 :]
             full = last[count[last] > 0]
-            bare |= len(full) < len(last)
             out.append(_scramble(total[full] + full.astype(np.uint64) * _MIX, (2000 + c,))[0])
-        if bare:
-            out.append(_scramble(h[: n - (-(-4 * n // 5)) + 1], (3,))[0])
+            if len(full) < len(last):
+                out.append(_scramble(h[: n - (-(-4 * n // 5)) + 1], (3000 + c,))[0])
     return np.unique(np.concatenate(out))
 
 
+def sketch(h: np.ndarray) -> np.ndarray:
+    """Parity of a set's elements in each place. Sketches differ in no more places than the sets in elements, so they lose no link."""
+    return np.packbits((np.bincount((_scramble(h, (11,))[0] % np.uint64(PLACES)).astype(np.int64), minlength=PLACES) & 1).astype(np.uint8)).view("<u8")
+
+
+def _pack(size: int, buckets: int):
+    """Reads (id, text), gives (bucket, base, ids, keys): many keys in a row, of 40 bits and mostly two bytes of an id each.
+
+    Of equal sets that a task meets at once, one gives keys.
+    """
+
+    def rows(met):
+        ids, found = list(met.values()), [near_keys(np.frombuffer(h, dtype=np.uint64)) for h in met]
+        key, own = np.concatenate(found), np.repeat(np.arange(len(found)), list(map(len, found)))
+        bucket = (((key >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        key, own, bucket = key[order], own[order], bucket[order]
+        base = min(ids)
+        span = max(ids) - base
+        off = np.array([i - base for i in ids], dtype=np.uint64).astype("<u2" if span < 1 << 16 else "<u4" if span < 1 << 32 else "<u8")[own]
+        low, high = key.astype("<u4"), (key >> np.uint64(32)).astype("<u1")
+        cut = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1], [True]))).tolist()
+        return [(int(bucket[a]), base, off[a:b].tobytes(), low[a:b].tobytes() + high[a:b].tobytes()) for a, b in zip(cut, cut[1:], strict=False)]
+
+    def run(batches):
+        import pyarrow as pa
+
+        schema = pa.schema([("bucket", pa.int64()), ("base", pa.int64()), ("ids", pa.binary()), ("keys", pa.binary())])
+        met: dict[bytes, int] = {}
+        held = 0
+        for batch in batches:
+            for i, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                h = shingle_set(text, size)
+                if len(h) >= 4 and met.setdefault(h.tobytes(), i) == i:
+                    held += len(h)
+                if held > PACK_SHINGLES:
+                    yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r, strict=True)) for r in rows(met)], schema=schema)
+                    met, held = {}, 0
+        if met:
+            yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r, strict=True)) for r in rows(met)], schema=schema)
+
+    return run
+
+
+def _meet(batches):
+    """Reads packed keys sorted by bucket, gives (g, id) for the ids of each key that several have; g is made of all its ids."""
+    import pyarrow as pa
+
+    def groups(parts):
+        key, ids = [], []
+        for base, off, keys in parts:
+            n = len(keys) // 5
+            key.append(np.frombuffer(keys, "<u4", n).astype(np.uint64) | np.frombuffer(keys, "<u1", n, 4 * n).astype(np.uint64) << np.uint64(32))
+            ids.append((np.frombuffer(off, f"<u{len(off) // n}").astype(np.uint64) + np.uint64(base & (1 << 64) - 1)).view(np.int64))
+        key, ids = np.concatenate(key), np.concatenate(ids)
+        order = np.argsort(key)
+        key, ids = key[order], ids[order]
+        cut = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1], [True])))
+        size = np.diff(cut)
+        g = np.add.reduceat(_scramble(ids.view(np.uint64), (13,))[0], cut[:-1])
+        some = np.flatnonzero(size > 1)
+        some = some[np.unique(g[some], return_index=True)[1]]
+        if len(some):
+            named = np.zeros(len(size), dtype=bool)
+            named[some] = True
+            here = np.repeat(named, size)
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(g[named], size[named]).view(np.int64)), pa.array(ids[here])], names=["g", "id"])
+
+    name, parts = None, []
+    for batch in batches:
+        for bucket, *part in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if bucket != name:
+                if parts:
+                    yield from groups(parts)
+                name, parts = bucket, []
+            parts.append(part)
+    if parts:
+        yield from groups(parts)
+
+
+def sketch_ties(size: np.ndarray, bits: np.ndarray) -> list[tuple[int, int]]:
+    """Edges, as positions, that connect what pairs connect whose sketches allow a Jaccard index of 0.8 or more.
+
+    Such sets differ in a ninth of the sum of their sizes at most.
+    """
+    left, out = np.arange(len(size)), []
+    while len(left):
+        root, left = left[0], left[1:]
+        queue = [root]
+        while queue and len(left):
+            q = queue.pop()
+            differ = np.maximum(np.bitwise_count(bits[left] ^ bits[q]).sum(axis=1, dtype=np.int64), np.abs(size[left] - size[q]))
+            hit = 9 * differ <= size[left] + size[q]
+            got, left = left[hit], left[~hit]
+            out += [(int(q), int(x)) for x in got]
+            queue += got.tolist()
+    return out
+
+
+def _tie(batches):
+    """Reads (g, id, n, bits) with the rows of each g together, gives ties between ids."""
+    import pyarrow as pa
+
+    def ties(ids, size, bits):
+        return [(ids[a], ids[b]) for a, b in sketch_ties(np.array(size, dtype=np.int64), np.frombuffer(b"".join(bits), dtype="<u8").reshape(len(ids), -1))]
+
+    def table(got):
+        return pa.RecordBatch.from_arrays([pa.array([x[k] for x in got], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    name, held = None, ([], [], [])
+    for batch in batches:
+        out = []
+        for g, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if g != name:
+                out += ties(*held) if len(held[0]) > 1 else []
+                name, held = g, ([], [], [])
+            for x, v in zip(held, row, strict=True):
+                x.append(v)
+        yield table(out)
+    yield table(ties(*held) if len(held[0]) > 1 else [])
+
+
 def set_links(sets: list[np.ndarray]) -> list[tuple[int, int]]:
     """Edges, as positions, that connect just those sets which pairs with a Jaccard index of 0.8 or more connect.
 
@@ -424,38 +551,103 @@ def _near_edges(size: int):
     return run
 
 
+def _star_edges(size: int):
+    """Reads (g, k, id, text) with the rows of each (g, k) together, that of id g first; gives (id, g) where the two are near."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        name, first, out = None, None, []
+        for batch in batches:
+            for g, k, i, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                h = shingle_set(text, size)
+                if (g, k) != name:
+                    assert i == g
+                    name, first = (g, k), h
+                elif set_links([first, h]):
+                    out.append((i, g))
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64())], names=["a", "b"])
+
+    return run
+
+
+def block_pairs(placed: DataFrame) -> DataFrame:
+    """(id, g, p, q) for each pair of blocks in which two texts may meet that aren't known to be connected.
+
+    ``placed``: id, g (candidate group), k (block), r (root of what is known). Two blocks within one root are spared, so
+    a group that is known but for a few members sends its texts once for each block of the few, not for each of its own.
+    """
+    blocks = placed.groupBy("g", "k").agg(F.min("r").alias("lo"), F.max("r").alias("hi"), F.max("m").alias("m"))
+    left, right = blocks.selectExpr("g", "k as p", "lo as lo1", "hi as hi1", "m"), blocks.selectExpr("g", "k as q", "lo as lo2", "hi as hi2")
+    met = left.join(right, "g").where("(p < q or m = 0) and not (lo1 = hi1 and lo2 = hi2 and lo1 = lo2)")
+    each = met.select("g", "p", "q", F.explode(F.array_distinct(F.array("p", "q"))).alias("k"))
+    return placed.join(each, ["g", "k"]).select("id", "g", "p", "q")
+
+
 def near_duplicates(docs: DataFrame, id_col: str, size: int = 5, block: int = BLOCK_SHINGLES) -> DataFrame:
     """(id_col, root): rows with the same root are near duplicates, directly or by a chain.
 
     Two texts are linked if the Jaccard index of their sets of five-word shingles is 0.8 or more; none is missed and
-    none below is linked. Texts with the same set are one point. Points with a key in common are
-    tied to the least one of it, so a key gives no more ties than members; what ties connect is a candidate group,
-    and its members are compared by their whole sets. Groups of more than ``block`` shingles are cut into blocks, and
-    each pair of blocks is compared: nothing is capped. ``id_col`` must be a unique long, ``docs`` a repeatable plan.
+    none below is linked. Texts with the same set are one point.
+
+    Sets meet by keys, packed into rows for buckets and sorted there. Those with a key in common are tied where their sketches
+    allow a link, so a key gives no more ties than members and a common phrase none between unlike texts; a key of more than
+    ``HOT`` members ties them all to the least.
+    One tie of each point is checked by whole sets first. What ties connect is a candidate group; in those that the first check
+    doesn't connect, all members are compared by their whole sets. Groups of more than ``block`` shingles are cut into blocks,
+    and each pair of blocks is compared unless it is connected already: nothing is capped. ``id_col`` must be a unique long,
+    ``docs`` a repeatable plan.
     """
 
     def make():
         def run(ids, texts):
             sets = [shingle_set(t, size) for t in texts]
             named = [xxhash.xxh3_128_intdigest(h.tobytes()) for h in sets]
-            return [ids, [signed(x >> 64) for x in named], [signed(x & ((1 << 64) - 1)) for x in named], list(map(len, sets)), [near_keys(h).view(np.int64) for h in sets]]
+            return [ids, [signed(x >> 64) for x in named], [signed(x & ((1 << 64) - 1)) for x in named], list(map(len, sets))]
 
         return run
 
-    rows = settle(map_rows(docs, [id_col, "text"], "id bigint, s1 bigint, s2 bigint, n bigint, keys array<bigint>", make))
+    rows = settle(map_rows(docs, [id_col, "text"], "id bigint, s1 bigint, s2 bigint, n bigint", make))
     firsts = rows.groupBy("s1", "s2").agg(F.min("id").alias("point"))
     named = settle(rows.select("id", "s1", "s2", "n").join(firsts, ["s1", "s2"]).select("id", "point", "n"))
-    copies = named.where("id <> point").select("id")
-    points = rows.join(F.broadcast(copies) if small(copies, 1_000_000) else copies, "id", "left_anti").select("id", F.explode("keys").alias("key"))
-    ties = points.selectExpr("id as a", "min(id) over (partition by key) as b").where("a <> b")
-    tied = connected_components(ties).select(F.col("node").alias("id"), F.col("root").alias("g"))
-    placed = tied.join(named.select("id", "n"), "id").selectExpr("id", "g", f"floor((sum(n) over (partition by g order by id) - n) / {block}) as k")
-    placed = settle(placed.selectExpr("id", "g", "k", "max(k) over (partition by g) as m"))
-    paired = placed.withColumn("o", F.explode(F.expr("sequence(0L, m)"))).where("not (o = k and m > 0)").selectExpr("id", "g", "least(k, o) as p", "greatest(k, o) as q")
     texts = docs.select(F.col(id_col).alias("id"), "text")
-    held = texts.join(F.broadcast(paired) if small(paired, 1_000_000) else paired, "id")
-    dealt = held.select("g", "p", "q", "id", "text").repartition("g", "p", "q").sortWithinPartitions("g", "p", "q", "id")
-    roots = connected_components(dealt.mapInArrow(_near_edges(size), "a bigint, b bigint"))
+    buckets = 1 + (named.agg(F.sum("n")).first()[0] or 0) // BUCKET_SHINGLES
+    packed = texts.mapInArrow(_pack(size, buckets), "bucket bigint, base bigint, ids binary, keys binary")
+    met = settle(packed.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(_meet, "g bigint, id bigint").distinct())
+    met = met.join(named.select("id", "point"), "id").select("g", F.col("point").alias("id")).distinct()
+    met = settle(met.selectExpr("g", "id", "count(*) over (partition by g) as c", "min(id) over (partition by g) as low").where("c > 1"))
+    few = settle(met.where(F.col("c") <= HOT).select("id").distinct())
+
+    def sketches():
+        def run(ids, texts):
+            sets = [shingle_set(t, size) for t in texts]
+            return [ids, list(map(len, sets)), [sketch(h).tobytes() for h in sets]]
+
+        return run
+
+    bits = settle(map_rows(texts.join(F.broadcast(few) if small(few, 1_000_000) else few, "id"), ["id", "text"], "id bigint, n bigint, bits binary", sketches))
+    cold = met.where(F.col("c") <= HOT).select("g", "id").join(bits, "id").select("g", "id", "n", "bits").repartition("g").sortWithinPartitions("g", "id")
+    ties = met.where((F.col("c") > HOT) & (F.col("id") > F.col("low"))).selectExpr("id as a", "low as b").unionByName(cold.mapInArrow(_tie, "a bigint, b bigint"))
+    ties = settle(ties.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct())
+    points = named.where("id = point").select("id", "n")
+
+    def meet(rows: DataFrame, cols: list[str]) -> DataFrame:
+        rows = settle(rows)
+        held = texts.join(F.broadcast(rows) if small(rows, 1_000_000) else rows, "id")
+        return held.select(*cols, "id", "text").repartition(*cols).sortWithinPartitions(*cols, "id")
+
+    star = ties.groupBy("a").agg(F.min("b").alias("g")).withColumnRenamed("a", "id").join(points, "id")
+    star = star.selectExpr("id", "g", f"floor((sum(n) over (partition by g order by id) - n) / {block}) as k")
+    star = star.unionByName(star.selectExpr("g as id", "g", "k").distinct())
+    known = settle(meet(star, ["g", "k"]).mapInArrow(_star_edges(size), "a bigint, b bigint"))
+    tied = connected_components(ties).select(F.col("node").alias("id"), F.col("root").alias("g")).join(points, "id")
+    tied = tied.join(connected_components(known).withColumnRenamed("node", "id"), "id", "left").select("id", "g", "n", F.coalesce("root", "id").alias("r"))
+    open_ = settle(tied.selectExpr("*", "min(r) over (partition by g) as lo", "max(r) over (partition by g) as hi").where("lo < hi"))
+    placed = open_.selectExpr("id", "g", "r", f"floor((sum(n) over (partition by g order by r, id) - n) / {block}) as k")
+    placed = settle(placed.selectExpr("*", "max(k) over (partition by g) as m"))
+    edges = known.unionByName(meet(block_pairs(placed), ["g", "p", "q"]).mapInArrow(_near_edges(size), "a bigint, b bigint"))
+    roots = connected_components(edges)
     owner = named.join(roots, named.point == roots.node, "left")
     return owner.select(F.col("id").alias(id_col), F.coalesce("root", "point").alias("root"))
 

@@ -180,6 +180,36 @@ def test_near_duplicates_block_edits(spark):
         assert {x.id: low[x.root] for x in rows} == want
 
 
+def test_near_duplicates_send_texts_seldom(spark, monkeypatch):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(make):
+        def outer(size):
+            inner = make(size)
+
+            def run(batches):
+                def count():
+                    for batch in batches:
+                        read.add(batch.num_rows)
+                        yield batch
+
+                yield from inner(count())
+
+            return run
+
+        return outer
+
+    for name in ("_near_edges", "_star_edges"):
+        if hasattr(simhash, name):
+            monkeypatch.setattr(simhash, name, counted(getattr(simhash, name)))
+    base, phrase = words_of(1, 300, 5000), words_of(2, 40, 5000)
+    docs = [(i, " ".join([*base[: 7 * i], f"z{i}", *base[7 * i + 1 :]])) for i in range(40)]  # near copies
+    docs += [(100 + i, " ".join([*words_of(50 + i, 30, 5000), *phrase, *words_of(150 + i, 30, 5000)])) for i in range(40)]  # a phrase in common
+    rows = simhash.near_duplicates(spark.createDataFrame(docs, "id bigint, text string"), "id", block=600).collect()
+    assert {r.id: r.root for r in rows} == {i: 0 if i < 40 else i for i, _ in docs}
+    assert 0 < read.value <= 3 * 40
+
+
 def test_top_k(spark):
     r = np.random.default_rng(5)
     rows = [(i, r.normal(size=8).round(3).tolist()) for i in range(400)]
