@@ -296,7 +296,7 @@ def components(docs: DataFrame, size: int = 3, tau: int = 3) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------------------------------------------
-# Near-duplicate stage: sets of five-word shingles, resemblance (Jaccard) of 0.8 or more, exactly.
+# Near-duplicate stage: the links of fingerprints above, and resemblance (Jaccard) of 0.8 or more of sets of five-word shingles, exactly.
 
 #: Shingles of one block of a large candidate group; a task compares two blocks at most (and two texts at least).
 BLOCK_SHINGLES = 1 << 19
@@ -585,11 +585,12 @@ def block_pairs(placed: DataFrame) -> DataFrame:
     return placed.join(each, ["g", "k"]).select("id", "g", "p", "q")
 
 
-def near_duplicates(docs: DataFrame, id_col: str, size: int = 5, block: int = BLOCK_SHINGLES) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str, size: int = 5, block: int = BLOCK_SHINGLES, tau: int | None = None) -> DataFrame:
     """(id_col, root): rows with the same root are near duplicates, directly or by a chain.
 
     Two texts are linked if the Jaccard index of their sets of five-word shingles is 0.8 or more; none is missed and
-    none below is linked. Texts with the same set are one point.
+    none below is linked. With ``tau`` texts are linked too whose fingerprints (of three-word shingles) differ in at most
+    that many bits, as in ``components``, by pigeonring. Texts with the same set are one point.
 
     Sets meet by keys, packed into rows for buckets and sorted there. Those with a key in common are tied where their sketches
     allow a link, so a key gives no more ties than members and a common phrase none between unlike texts; a key of more than
@@ -604,11 +605,12 @@ def near_duplicates(docs: DataFrame, id_col: str, size: int = 5, block: int = BL
         def run(ids, texts):
             sets = [shingle_set(t, size) for t in texts]
             named = [xxhash.xxh3_128_intdigest(h.tobytes()) for h in sets]
-            return [ids, [signed(x >> 64) for x in named], [signed(x & ((1 << 64) - 1)) for x in named], list(map(len, sets))]
+            fps = [signed(fingerprint(t)) if tau is not None else None for t in texts]
+            return [ids, [signed(x >> 64) for x in named], [signed(x & ((1 << 64) - 1)) for x in named], list(map(len, sets)), fps]
 
         return run
 
-    rows = settle(map_rows(docs, [id_col, "text"], "id bigint, s1 bigint, s2 bigint, n bigint", make))
+    rows = settle(map_rows(docs, [id_col, "text"], "id bigint, s1 bigint, s2 bigint, n bigint, fp bigint", make))
     firsts = rows.groupBy("s1", "s2").agg(F.min("id").alias("point"))
     named = settle(rows.select("id", "s1", "s2", "n").join(firsts, ["s1", "s2"]).select("id", "point", "n"))
     texts = docs.select(F.col(id_col).alias("id"), "text")
@@ -647,6 +649,11 @@ def near_duplicates(docs: DataFrame, id_col: str, size: int = 5, block: int = BL
     placed = open_.selectExpr("id", "g", "r", f"floor((sum(n) over (partition by g order by r, id) - n) / {block}) as k")
     placed = settle(placed.selectExpr("*", "max(k) over (partition by g) as m"))
     edges = known.unionByName(meet(block_pairs(placed), ["g", "p", "q"]).mapInArrow(_near_edges(size), "a bigint, b bigint"))
+    if tau is not None:
+        lows = settle(rows.join(named.select("id", "point"), "id").groupBy("fp").agg(F.min("point").alias("low")))
+        near = hamming_links(lows.select(F.col("low").alias("id"), "fp"), tau)
+        same = rows.select("id", "fp").join(points.select("id"), "id").join(lows, "fp").selectExpr("id as a", "low as b").where("a <> b")
+        edges = edges.unionByName(near).unionByName(same)
     roots = connected_components(edges)
     owner = named.join(roots, named.point == roots.node, "left")
     return owner.select(F.col("id").alias(id_col), F.coalesce("root", "point").alias("root"))
@@ -655,10 +662,11 @@ def near_duplicates(docs: DataFrame, id_col: str, size: int = 5, block: int = BL
 def one_of_each(docs: DataFrame) -> DataFrame:
     """``docs`` with one document of each group of near duplicates (the first by scan order); columns unchanged.
 
+    Linked are fingerprints at 3 or fewer differing bits, as in ``components``, and sets of shingles at 0.8 or more.
     Texts without words are one group. Rows are told apart by a row number of the scan, so null or repeated
     ids do no harm; ``docs`` must be a repeatable plan such as a Parquet read. An empty table gives no rows.
     """
     numbered = docs.withColumn("__row", F.monotonically_increasing_id())
-    groups = near_duplicates(numbered.select("__row", "text"), "__row")
+    groups = near_duplicates(numbered.select("__row", "text"), "__row", tau=3)
     gone = settle(groups.where("__row <> root").select("__row"))
     return numbered.join(F.broadcast(gone) if small(gone, 1_000_000) else gone, "__row", "left_anti").drop("__row")

@@ -210,6 +210,15 @@ def test_near_duplicates_send_texts_seldom(spark, monkeypatch):
     assert 0 < read.value <= 3 * 40
 
 
+def test_near_dedup_links_fingerprints(spark):
+    phrase = words_of(5, 11) * 30
+    docs = [(i, " ".join(phrase + words_of(900 + i, 10, 5000)), "en") for i in range(3)] + [(10, text_of(4, 100), "en")]
+    sets = [set(zip(*(t.split()[k:] for k in range(5)))) for _, t, _ in docs]
+    assert 5 * len(sets[0] & sets[1]) < 4 * len(sets[0] | sets[1])
+    assert len({r.component_id for r in simhash.components(frame(spark, docs)).collect()}) == 2
+    assert len(simhash.one_of_each(frame(spark, docs)).collect()) == 2
+
+
 def test_top_k(spark):
     r = np.random.default_rng(5)
     rows = [(i, r.normal(size=8).round(3).tolist()) for i in range(400)]
