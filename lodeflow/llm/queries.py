@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodeflow.llm import decontaminate, knn, langid, linededup, packing, pii, quality, secrets, simhash, tokencount
+from lodeflow.llm import decontaminate, fim, knn, langid, linededup, packing, pii, quality, secrets, simhash, tokencount
 from lodeflow.session import prepare, table
 
 
@@ -64,6 +64,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find(table(spark, sf_dir, "documents")))
 
 
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digest(fim.fill_in_middle(table(spark, sf_dir, "documents")))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -71,7 +75,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [op1_decontamination, op2_language_id, op3_simhash, op4_top_k, op5_quality, op6_secrets, op7_token_counts, op8_line_dedup, op9_packing, op10_pii, language_id_pages, pipeline]
+    named = [op1_decontamination, op2_language_id, op3_simhash, op4_top_k, op5_quality, op6_secrets, op7_token_counts, op8_line_dedup, op9_packing, op10_pii, op13_fill_in_middle, language_id_pages, pipeline]
 
     def prepared(f):
         return lambda spark, sf_dir: f(prepare(spark), sf_dir)
@@ -151,6 +155,22 @@ from d left join g using (r)
 """
 
 
+#: The pieces are found by lengths: a unit's end is the running sum of lengths, and a prefix is what lies before it.
+_OP13 = r"""
+with d as materialized (select doc_id, row_number() over () as r, coalesce(text, '') as t, sha256('42:' || coalesce(cast(doc_id as varchar), '')) as h from documents),
+u as materialized (select r, t, h, doc_id, list_transform(regexp_extract_all(t, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+'), lambda x: length(x)) as sizes from d),
+c as (select *, len(sizes) as n, list_transform([1, 9, 17, 25], lambda i: list_reduce(list_prepend(0, list_transform(string_split(substr(h, i, 8), ''), lambda x: position(x in '0123456789abcdef') - 1)), lambda a, x: a * 16 + x)) as g from u),
+f as (select *, g[1] % (n + 1) as one, g[2] % (n + 1) as two,
+        case when t = '' or regexp_matches(t, '<[PSM]>') or g[3] % 100 >= 50 then 'plain' when g[4] % 100 < 80 then 'spm' else 'psm' end as form from c),
+l as (select *, coalesce(list_sum(sizes[1 : least(one, two)]), 0) as p, coalesce(list_sum(sizes[1 : greatest(one, two)]), 0) as q from f),
+o as (select *, substr(t, 1, cast(p as bigint)) as prefix, substr(t, cast(p + 1 as bigint), cast(q - p as bigint)) as middle, substr(t, cast(q + 1 as bigint)) as suffix from l)
+select doc_id, cast(n as bigint) as n, form, case when form <> 'plain' then cast(p as bigint) end as prefix_chars, case when form <> 'plain' then cast(q - p as bigint) end as middle_chars,
+       sha256(case form when 'plain' then t when 'psm' then concat('<P>', prefix, '<S>', suffix, '<M>', middle) else concat('<S>', suffix, '<P>', prefix, '<M>', middle) end) as output_sha256,
+       sha256(t) as restored_sha256
+from o
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """The others (trained, hashed or sequential) are tested against brute force in tests/llm."""
-    return {"op1_decontamination": _OP1, "op4_top_k": _OP4, "op10_pii": _OP10}
+    return {"op1_decontamination": _OP1, "op4_top_k": _OP4, "op10_pii": _OP10, "op13_fill_in_middle": _OP13}
