@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodeflow.llm import decontaminate, fim, knn, langid, linededup, packing, pii, quality, secrets, simhash, tokencount
+from lodeflow.llm import decontaminate, fim, knn, langid, linededup, packing, pii, quality, secrets, simhash, spelling, tokencount
 from lodeflow.session import prepare, table
 
 
@@ -64,6 +64,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find(table(spark, sf_dir, "documents")))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim.digest(fim.fill_in_middle(table(spark, sf_dir, "documents")))
 
@@ -75,7 +79,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [op1_decontamination, op2_language_id, op3_simhash, op4_top_k, op5_quality, op6_secrets, op7_token_counts, op8_line_dedup, op9_packing, op10_pii, op13_fill_in_middle, language_id_pages, pipeline]
+    named = [op1_decontamination, op2_language_id, op3_simhash, op4_top_k, op5_quality, op6_secrets, op7_token_counts, op8_line_dedup, op9_packing, op10_pii, op11_spelling_variants, op13_fill_in_middle, language_id_pages, pipeline]
 
     def prepared(f):
         return lambda spark, sf_dir: f(prepare(spark), sf_dir)
@@ -155,6 +159,26 @@ from d left join g using (r)
 """
 
 
+#: Near words meet here on what is left when one character is deleted; crc32 is computed from bits, for each distinct document and run.
+_OP11 = r"""
+with recursive crc as materialized (select list(c order by i) as t from (select i, list_reduce(list_prepend(i, range(8)), lambda a, k: case when a % 2 = 1 then xor(a >> 1, 3988292384) else a >> 1 end) as c from range(256) r(i))),
+runs as materialized (select doc_id, run, count(*) as n from (select doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{C0}-\x{FF}]+')) as run from documents) where len(run) >= 5 group by all),
+hashed as (select run, n, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, len(h) + 1, 2), lambda i: (position(h[i] in '0123456789ABCDEF') - 1) * 16 + position(h[i + 1] in '0123456789ABCDEF') - 1)),
+             lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) as h from (select run, n, hex(encode(concat(coalesce(cast(doc_id as varchar), ''), ':', run))) as h from runs), crc),
+v as materialized (select row_number() over (order by word) as id, word, cast(sum(n) as bigint) as n from (select case when h % 97 = 0 then substr(run, 1, h % len(run)) || substr(run, h % len(run) + 2) else run end as word, n from hashed)
+       where len(word) >= 5 group by word having sum(n) >= 3),
+cut as materialized (select distinct id, word, i, substr(word, 1, i - 1) || substr(word, i + 1) as rest from (select id, word, unnest(range(1, len(word) + 1)) as i from v)),
+pair as (select distinct a.id as x, b.id as y from cut a join cut b on a.i = b.i and a.rest = b.rest and a.id <> b.id),
+short as (select distinct a.id as x, b.id as y from cut a join v b on a.rest = b.word),
+near as materialized (select x, y from pair union all select x, y from short union all select y, x from short),
+best as materialized (select x, count(*) as n_near, arg_max(y, struct_pack(n := b.n, id := -b.id)) as y, max(b.n) as m from near join v b on b.id = y group by x),
+form as materialized (select v.id, b.y from v join best b on b.x = v.id where b.m >= 2 * v.n),
+chain as (select id, y, 1 as d from form union all select c.id, f.y, d + 1 from chain c join form f on f.id = c.y),
+root as (select id, arg_max(y, d) as y from chain group by id)
+select v.word, f.word as form, coalesce(r.word, v.word) as root, v.n, cast(coalesce(b.n_near, 0) as bigint) as n_near, f.n as form_n
+from v left join best b on b.x = v.id left join form on form.id = v.id left join v f on f.id = form.y left join root on root.id = v.id left join v r on r.id = root.y
+"""
+
 #: The pieces are found by lengths: a unit's end is the running sum of lengths, and a prefix is what lies before it.
 _OP13 = r"""
 with d as materialized (select doc_id, row_number() over () as r, coalesce(text, '') as t, sha256('42:' || coalesce(cast(doc_id as varchar), '')) as h from documents),
@@ -173,4 +197,4 @@ from o
 
 def oracle_sql() -> dict[str, str]:
     """The others (trained, hashed or sequential) are tested against brute force in tests/llm."""
-    return {"op1_decontamination": _OP1, "op4_top_k": _OP4, "op10_pii": _OP10, "op13_fill_in_middle": _OP13}
+    return {"op1_decontamination": _OP1, "op4_top_k": _OP4, "op10_pii": _OP10, "op11_spelling_variants": _OP11, "op13_fill_in_middle": _OP13}
