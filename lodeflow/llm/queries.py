@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodeflow.llm import decontaminate, fim, knn, langid, linededup, packing, pii, quality, secrets, simhash, spelling, tokencount
+from lodeflow.llm import ann, decontaminate, fim, knn, langid, linededup, packing, pii, quality, secrets, simhash, spelling, tokencount
 from lodeflow.session import prepare, table
 
 
@@ -68,6 +68,10 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents"))
 
 
+def op12_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"))
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim.digest(fim.fill_in_middle(table(spark, sf_dir, "documents")))
 
@@ -79,7 +83,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [op1_decontamination, op2_language_id, op3_simhash, op4_top_k, op5_quality, op6_secrets, op7_token_counts, op8_line_dedup, op9_packing, op10_pii, op11_spelling_variants, op13_fill_in_middle, language_id_pages, pipeline]
+    named = [op1_decontamination, op2_language_id, op3_simhash, op4_top_k, op5_quality, op6_secrets, op7_token_counts, op8_line_dedup, op9_packing, op10_pii, op11_spelling_variants, op12_nearest_neighbours, op13_fill_in_middle, language_id_pages, pipeline]
 
     def prepared(f):
         return lambda spark, sf_dir: f(prepare(spark), sf_dir)
