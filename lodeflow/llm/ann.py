@@ -23,7 +23,7 @@ DEGREE = 10
 HIDDEN = 128
 #: Rows whose true neighbours among all rows set the number of partitions that a query is sent to, and the recall that they must have.
 TRIAL = 256
-TARGET = 0.95
+TARGET = 0.97
 #: Components on one side of a local problem, about.
 BLOCK_VALUES = 1 << 20
 

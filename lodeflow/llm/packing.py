@@ -49,7 +49,7 @@ class Words(dict):
         self.tokenize, self.letters = model.tokenize, _byte_letters()
 
     def __missing__(self, word: str) -> bytes:
-        seen = word if word.isascii() and "\x7f" not in word else word.encode().decode("latin-1").translate(self.letters)
+        seen = word if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(self.letters)
         got = array("I", map(_ID, self.tokenize(seen))).tobytes()
         if len(self) >= CACHE:
             self.clear()
