@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType
 
 # Greek letters and their spelled names, in alphabetical order of the script (capital and small).
 GREEK = [
@@ -45,9 +47,20 @@ def variant_tokens(text: Column) -> Column:
     return cut_long(F.filter(F.split(broken, r"\s+"), lambda t: t != ""))
 
 
+_GENE_TOKEN = r"[A-Za-z]+|[0-9]+|[^A-Za-z0-9\s]"
+
+
 def gene_tokens(text: Column) -> Column:
     """Runs of letters, runs of digits, single other characters; at most 50 characters each."""
-    return cut_long(F.regexp_extract_all(text, F.lit(r"[A-Za-z]+|[0-9]+|[^A-Za-z0-9\s]"), F.lit(0)))
+    return cut_long(F.regexp_extract_all(text, F.lit(_GENE_TOKEN), F.lit(0)))
+
+
+def gene_token_spans(text: Column, most: int = 50) -> Column:
+    """The tokens of ``gene_tokens`` as structs of token and start: the lengths between marks around the matches, added up."""
+    pieces = F.split(F.regexp_replace(F.translate(text, "\u0002", "\u0003"), _GENE_TOKEN, "\u0002$0\u0002"), "\u0002")
+    spans = F.filter(F.zip_with(pieces, prefix_sums(F.transform(pieces, lambda p: F.length(p))), lambda p, at: F.struct(p.alias("token"), at.alias("start"))), lambda s, i: i % 2 == 1)
+    cut = lambda s: F.transform(F.sequence(F.lit(0), F.floor((F.length(s["token"]) - 1) / most).cast("int")), lambda i: F.struct(F.substring(s["token"], i * most + 1, F.lit(most)).alias("token"), (s["start"] + i * most).alias("start")))
+    return F.flatten(F.transform(spans, cut))
 
 
 def cut_long(tokens: Column, most: int = 50) -> Column:
@@ -55,15 +68,31 @@ def cut_long(tokens: Column, most: int = 50) -> Column:
     return F.flatten(F.transform(tokens, lambda t: F.transform(F.sequence(F.lit(0), F.greatest(F.floor((F.length(t) - 1) / most), F.lit(0)).cast("int")), lambda i: F.substring(t, i * most + 1, F.lit(most)))))
 
 
-def token_offsets(text: Column, tokens: Column) -> Column:
-    """Start (from 0) of each token, found one after the other in the text."""
-    start = F.array().cast("array<int>")
+def prefix_sums(numbers: Column, step: int = 128) -> Column:
+    """For each number of an array the sum of those before it. Sums of blocks come first, so n numbers take about n * (n / step + step) / 2 additions and no array is copied for each."""
+    zero = F.lit(0)
+    add = lambda a: F.aggregate(a, zero, lambda s, x: s + x)
+    blocks = F.transform(F.sequence(zero, F.floor(F.size(numbers) / step).cast("int")), lambda b: add(F.slice(numbers, b * step + 1, F.lit(step))))
+
+    def before(held: Column) -> Column:
+        return F.transform(held["n"], lambda x, i: add(F.slice(held["b"], F.lit(1), F.floor(i / step).cast("int"))) + add(F.slice(held["n"], F.floor(i / step).cast("int") * step + 1, i % step)))
+
+    return F.transform(F.array(F.struct(numbers.alias("n"), blocks.alias("b"))), before)[0]
+
+
+@F.pandas_udf(ArrayType(IntegerType()))
+def token_offsets(text: pd.Series, tokens: pd.Series) -> pd.Series:
+    """Start (from 0) of each token, found one after the other in the text: one pass by Arrow batches, as a search from an offset starts anew at the text's begin in SQL."""
 
-    def step(acc, token):
-        at = F.locate_from(token, text, acc["pos"]) if hasattr(F, "locate_from") else F.call_function("locate", token, text, acc["pos"])
-        return F.struct((at + F.length(token)).alias("pos"), F.concat(acc["at"], F.array(at - 1)).alias("at"))
+    def find(t, parts):
+        at, out = 0, []
+        for p in parts:
+            i = t.find(p, at)
+            out.append(i)
+            at = i + len(p)
+        return out
 
-    return F.aggregate(tokens, F.struct(F.lit(1).alias("pos"), start.alias("at")), step, lambda acc: acc["at"])
+    return pd.Series([None if t is None or parts is None else find(t, parts) for t, parts in zip(text, tokens, strict=True)], dtype=object)
 
 
 def name_words(name: Column) -> Column:

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lodeflow.functions.once import once
+from lodeflow.functions.text import prefix_sums
+
 # Amino acids, three-letter and one-letter names; X and Ter mean stop.
 AMINO = {
     "Ala": "A", "Arg": "R", "Asn": "N", "Asp": "D", "Cys": "C", "Gln": "Q", "Glu": "E", "Gly": "G", "His": "H", "Ile": "I", "Leu": "L",
@@ -24,7 +27,7 @@ PATTERNS = [
     ("FS", r"(?:p\s?\.\s?)?\(?((?:" + _AA3 + r"|[ARNDCQEGHILKMFPSTWYV]))([0-9]+)(?:" + _AA3 + r"|[A-Z])?fs(?:\*|X|Ter)?([0-9]*)\)?"),
     ("DEL", _PREFIX + _POS + r"(?:_" + _POS + r")?\s?del([ACGTU]*)"),
     ("INS", _PREFIX + _POS + r"(?:_" + _POS + r")?\s?ins([ACGTU]+)"),
-    ("DUP", _PREFIX + _POS + r"(?:_" + _POS + r")?\s?dup([ACGTU]*)"),
+    ("DUP", _PREFIX + _POS + r"(?:_" + _POS + r")?\s?dup([ACGTU]*)([0-9]*)"),
     ("SUB_DNA", _PREFIX + _POS + r"\s?([ACGTU])\s?(?:>|→|/)\s?([ACGTU])\b"),
     ("SUB_PROT", r"(?:(p)\s?\.\s?)?\(?(" + _AA3 + r"|[ARNDCQEGHILKMFPSTWYV])\s?-?([0-9]+)\s?-?(" + _AA3 + r"|\*|[ARNDCQEGHILKMFPSTWYVX])\)?(?![A-Za-z0-9])"),
 ]
@@ -34,15 +37,9 @@ _MENTION = r"\brs[0-9]{2,}\b|\b[cgmnpr]\s?\.\s?\(?[A-Za-z0-9*+>_-]+\)?|\b(?:" +
 def mention_spans(text: Column) -> Column:
     """Candidate mentions of a text with their offsets, as structs of start, end and body."""
     pieces = F.split(F.regexp_replace(text, _MENTION, "\u0002$0\u0002"), "\u0002")
-    numbered = F.transform(pieces, lambda p, i: F.struct(i.alias("i"), p.alias("p")))
-
-    def step(acc, x):
-        end = acc["at"] + F.length(x["p"])
-        one = F.array(F.struct(acc["at"].alias("start"), end.alias("end"), x["p"].alias("body")))
-        return F.struct(end.alias("at"), F.when(x["i"] % 2 == 1, F.concat(acc["out"], one)).otherwise(acc["out"]).alias("out"))
-
-    kind = "array<struct<start:int,end:int,body:string>>"
-    return F.aggregate(numbered, F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out")), step, lambda acc: acc["out"])
+    before = prefix_sums(F.transform(pieces, lambda p: F.length(p)))
+    spans = F.zip_with(pieces, before, lambda p, at: F.struct(at.alias("start"), (at + F.length(p)).alias("end"), p.alias("body")))
+    return F.filter(spans, lambda s, i: i % 2 == 1)
 
 
 def one_letter(residue: Column) -> Column:
@@ -75,28 +72,53 @@ def sequence_types(text: Column) -> Column:
 
 
 def types_by_size(position: Column) -> Column:
-    """Sequence types that a position of this size may belong to."""
-    n = F.regexp_extract(position, r"([0-9]+)", 1).cast("bigint")
-    return F.when(n.isNull() | (n > MOST_CODING), F.array(F.lit("g"))).when(n > MOST_PROTEIN, F.array(F.lit("c"), F.lit("n"), F.lit("g"))).when(n > MOST_PROTEIN / 3, F.array(F.lit("c"), F.lit("n"), F.lit("g"), F.lit("p"))).otherwise(F.array(F.lit("c"), F.lit("n"), F.lit("p"), F.lit("g")))
+    """Sequence types that a position of this size may belong to: none without a number, coding ones in introns and behind the stop; limits by the leading number."""
+    kinds = lambda *k: F.array(*[F.lit(x) for x in k])
+    first = F.regexp_extract(position, r"^([*+-]?[0-9]+)", 1)
+    n = F.regexp_replace(first, r"^\+", "").try_cast("bigint")
+    return (
+        F.when(position.rlike(r"^(?i:IVS|INTRON)") | first.startswith("*"), kinds("c", "n")).when(first == "", F.array().cast("array<string>"))
+        .when(n.isNull() & ~first.startswith("-"), kinds("chr")).when(n > MOST_CODING, kinds("chr")).when(n > MOST_PROTEIN, kinds("g", "chr"))
+        .when(n > MOST_PROTEIN // 3, kinds("c", "n", "g", "chr")).otherwise(kinds("p", "c", "n", "g", "chr"))
+    )
+
+
+#: Sequence types in the order of preference; the first set that is allowed as a whole is taken.
+PREFERRED = [("c", "n"), ("c",), ("p",), ("n",), ("g",), ("chr",)]
+
 
+def possible_types(kind: Column, wild_type: Column, mutant: Column, start: Column, end: Column, protein_form: Column) -> Column:
+    """Types of a mention without an explicit one: those that its residues, its type and the sizes of both positions allow, by preference; a protein form settles it if allowed."""
+    kinds = lambda *k: F.array(*[F.lit(x) for x in k])
+    odd = lambda c: F.coalesce(c, F.lit("")).rlike("[^ACGT0-9]")
+    first = F.when(odd(wild_type) | odd(mutant) | (kind == "FS"), kinds("p")).otherwise(kinds("p", "c", "n", "g", "chr"))
+    size = lambda c: types_by_size(F.coalesce(c, F.lit("")))
+    allowed = F.array_intersect(F.array_intersect(first, size(start)), size(end))
+    none = F.array().cast("array<string>")
 
-def possible_types(explicit: Column, by_size: Column, by_form: Column) -> Column:
-    """Explicit types that size and form allow; without explicit ones, what size and form allow."""
-    allowed = F.array_intersect(by_size, by_form)
-    both = F.array_intersect(explicit, by_form)
-    return F.when(F.size(explicit) > 0, both).otherwise(allowed)
+    def pick(a: Column) -> Column:
+        out = F.when(protein_form & F.array_contains(a, "p"), kinds("p"))
+        for k in PREFERRED:
+            out = out.when(F.size(F.array_intersect(a, kinds(*k))) == len(k), kinds(*k))
+        return out.otherwise(none)
 
+    return F.transform(F.array(allowed), pick)[0]
 
-def _struct(kind, seq, start, end, wild, mutant, rsid=None, frame=None):
+
+def _struct(kind, seq, start, end, wild, mutant, rsid=None, frame=None, dup=None):
     none = F.lit(None).cast("string")
     return F.struct(
         F.lit(kind).alias("mut_type"), F.array_compact(F.array(F.when(seq != "", seq))).alias("seq_types"), F.when(wild != "", wild).alias("wild_type"), F.when(start != "", start).alias("start"),
         F.coalesce(F.when(end != "", end), F.when(start != "", start)).alias("end"), F.when(mutant != "", mutant).alias("mutant"), (none if frame is None else F.when(frame != "", frame)).alias("frameshift"), (none if rsid is None else rsid).alias("rsid"),
+        (none if dup is None else F.when(dup != "", dup)).alias("dup"),
     )
 
 
 def parse_mention(text: Column) -> Column:
-    """A mention as a struct of type, sequence types, residues and positions; null if no pattern fits. The first that fits counts."""
+    """A mention as a struct of type, sequence types, residues, positions and copies; null if no pattern fits. The first that fits counts.
+
+    Only explicit sequence types are filled in (see ``typed``). The expression holds every pattern, so it should be evaluated once, behind ``parsed``.
+    """
     none = F.lit("")
     out = None
     for name, pattern in PATTERNS:
@@ -114,7 +136,7 @@ def parse_mention(text: Column) -> Column:
         elif name == "DEL":
             got = _struct("DEL", g(1), g(2), g(3), g(4), none)
         elif name == "DUP":
-            got = _struct("DUP", g(1), g(2), g(3), g(4), none)
+            got = _struct("DUP", g(1), g(2), g(3), g(4), none, dup=g(5))
         else:
             got = _struct("INDEL" if name == "DELINS" else "INS", g(1), g(2), g(3), none, g(4))
         there = text.rlike(pattern)
@@ -122,11 +144,22 @@ def parse_mention(text: Column) -> Column:
     return out
 
 
+def typed(v: Column) -> Column:
+    """A parsed variant with sequence types: explicit ones stay, others follow from form and size; listed variations need none."""
+    kinds = possible_types(v["mut_type"], v["wild_type"], v["mutant"], v["start"], v["end"], F.lit(False))
+    return F.when(v.isNotNull(), v.withField("seq_types", F.when((v["mut_type"] == "RSID") | (F.size(v["seq_types"]) > 0), v["seq_types"]).otherwise(kinds)))
+
+
+def parsed(df: DataFrame, mention: str = "mention", out: str = "var") -> DataFrame:
+    """Adds the typed variant of a mention, or null; the patterns are tried once a row, whatever is read of it."""
+    return once(once(df, {"__parsed": parse_mention(F.col(mention))}), {out: typed(F.col("__parsed"))}).drop("__parsed")
+
+
 def valid_variant(v: Column) -> Column:
-    """Whether a parsed variant is complete: both residues of a substitution, a type and a start, a plain inserted sequence."""
+    """Whether a parsed variant is complete: both residues of a substitution, a sequence type and a start unless it is listed, a plain inserted sequence."""
     kind = v["mut_type"]
     sub = (kind != "SUB") | (v["wild_type"].isNotNull() & v["mutant"].isNotNull())
-    placed = (kind == "RSID") | v["start"].isNotNull()
+    placed = (kind == "RSID") | (v["start"].isNotNull() & (F.size(v["seq_types"]) > 0))
     inserted = ~kind.isin("INS", "INDEL") | F.coalesce(v["mutant"], F.lit("")).rlike("^[A-Z]*$")
     return v.isNotNull() & sub & placed & inserted
 

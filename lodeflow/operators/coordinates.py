@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lodeflow.session import settle
+
 #: Bases in the order of the codon table's rule.
 _BASES = "TCAG"
 #: Amino acids of the 64 codons, bases in the order T C A G, last base fastest; X is stop.
@@ -155,21 +159,21 @@ def fix_variant(kind: Column, start: Column, end: Column, ref: Column) -> dict[s
     return {"start": s, "end": e, "ref": F.when(digits.isNotNull(), F.lit("")).otherwise(ref)}
 
 
-def plain_alleles(kind: Column, ref: Column, alt: Column) -> dict[str, Column]:
-    """Cleaned alleles and whether the variant stays: an odd reference counts as unknown, an odd alternative or none for an insertion drops it."""
+def plain_alleles(kind: Column, ref: Column, alt: Column, copies: Column | None = None) -> dict[str, Column]:
+    """Cleaned alleles and whether the variant stays: an odd reference counts as unknown, an odd alternative or none for an insertion drops it; a duplication has the told copies or two."""
     r = F.when(F.coalesce(ref, F.lit("")).rlike("^[ACGT]*$"), F.coalesce(ref, F.lit(""))).otherwise("")
     a = F.coalesce(alt, F.lit(""))
-    return {"ref": r, "alt": a, "ok": a.rlike("^[ACGT]*$") & ~((kind == "INS") & (a == "")), "dup": F.when(kind == "DUP", F.lit(2))}
+    return {"ref": r, "alt": a, "ok": a.rlike("^[ACGT]*$") & ~((kind == "INS") & (a == "")), "dup": F.when(kind == "DUP", F.lit(2) if copies is None else F.coalesce(F.when(copies.rlike("^[0-9]{1,4}$"), copies.cast("int")), F.lit(2)))}
 
 
-def to_alleles(kind: Column, strand: Column, start: Column, end: Column, ref: Column, alt: Column, genome: Column) -> dict[str, Column]:
+def to_alleles(kind: Column, strand: Column, start: Column, end: Column, ref: Column, alt: Column, genome: Column, copies: Column | None = None) -> dict[str, Column]:
     """Chromosome alleles: complemented and swapped on the minus strand; a missing reference is filled from the genome
     (``genome`` is the sequence from the lower to the higher position); an insertion stands behind its start."""
     minus = strand < 0
     lo = F.when(minus, end).otherwise(start)
     r, a = F.when(minus, revcomp(ref)).otherwise(ref), F.when(minus, revcomp(alt)).otherwise(alt)
     filled = F.when(kind == "INS", F.lit("")).when(kind.isin("DEL", "INDEL") | (r == ""), genome).otherwise(r)
-    return {"pos": F.when(kind == "INS", lo + 1).otherwise(lo), "ref": filled, "alt": F.when(kind == "DUP", F.concat(filled, filled)).when(kind == "DEL", F.lit("")).otherwise(a), "ok": (r == "") | (kind == "INS") | (r == genome)}
+    return {"pos": F.when(kind == "INS", lo + 1).otherwise(lo), "ref": filled, "alt": F.when(kind == "DUP", F.repeat(filled, F.lit(2) if copies is None else copies)).when(kind == "DEL", F.lit("")).otherwise(a), "ok": (r == "") | (kind == "INS") | (r == genome)}
 
 
 def mitochondrial_alleles(kind: Column, start: Column, end: Column, ref: Column, alt: Column, genome: Column, copies: Column | None = None) -> dict[str, Column]:
@@ -198,51 +202,75 @@ def genome_chunks(lines: DataFrame, size: int) -> DataFrame:
 
 
 def genome_slice(points: DataFrame, chunks: DataFrame, size: int, start: str, length: str, out: str = "bases") -> DataFrame:
-    """Bases from ``start`` (1-based) over ``length``, at most one chunk long; by an equi-join on two chunk numbers, clamped at the ends."""
-    p = points.withColumn("__c", F.floor((F.col(start) - 1) / size))
-    a = chunks.select("chrom", F.col("chunk").alias("__c"), F.col("seq").alias("__s1"))
-    b = chunks.select("chrom", (F.col("chunk") - 1).alias("__c"), F.substring("seq", 1, size).alias("__s2"))
-    both = p.join(a, ["chrom", "__c"], "left").join(b, ["chrom", "__c"], "left")
-    window = F.concat(F.coalesce("__s1", F.lit("")), F.coalesce("__s2", F.lit("")))
-    return both.withColumn(out, F.substring(window, ((F.col(start) - 1) % size + 1).cast("int"), F.col(length).cast("int"))).drop("__c", "__s1", "__s2")
-
-
-def normalise(pos: int, ref: str, alt: str, base, size: int) -> tuple[int, str, str]:
-    """Leftmost, shortest form of alleles; ``base(i)`` gives the 1-based base i of a chromosome of length ``size``."""
-    if pos <= 0 or pos + len(ref) - 1 >= size:
-        return pos, ref, alt
-
-    def padded(p, r, a):
-        if r and a:
-            return p, r, a
-        if p > 1:
-            return p - 1, base(p - 1) + r, base(p - 1) + a
-        nxt = base(p + len(r))
-        return p, r + nxt, a + nxt
-
-    pos, ref, alt = padded(pos, ref, alt)
-    while ref[-1] == alt[-1] and not (len(ref) == 1 and len(alt) == 1) and set(ref + alt) != {"N"}:
-        if (len(ref) == 1 or len(alt) == 1) and pos <= 1:
+    """Adds the bases from ``start`` (1-based) over ``length``, through as many chunks as it takes, clamped at the chromosome's ends.
+
+    Distinct ranges are dealt out to their chunks, cut there and joined up again in order, so a range that many rows ask for is read once.
+    A range without bases, or on a chromosome that isn't there, gives an empty text; a null range gives null.
+    """
+    lo, hi = F.greatest(F.col("__s"), F.lit(1)), F.col("__s") + F.col("__n") - 1
+    want = points.select("chrom", F.col(start).cast("bigint").alias("__s"), F.col(length).cast("bigint").alias("__n")).where("__n > 0").distinct()
+    last = chunks.groupBy("chrom").agg(F.max("chunk").alias("__last"))
+    bound = want.join(last, "chrom").select("chrom", "__s", "__n", F.floor((lo - 1) / size).alias("__a"), F.least(F.floor((hi - 1) / size), "__last").alias("__b")).where("__b >= __a and __s + __n > 1")
+    cut = bound.select("chrom", "__s", "__n", F.explode(F.sequence("__a", "__b")).alias("chunk"))
+    begin = F.greatest(lo - F.col("chunk") * size, F.lit(1))
+    piece = F.substring("seq", begin.cast("int"), (F.least(hi - F.col("chunk") * size, F.lit(size)) - begin + 1).cast("int"))
+    pieces = cut.join(chunks.select("chrom", F.col("chunk").cast("bigint").alias("chunk"), "seq"), ["chrom", "chunk"]).select("chrom", "__s", "__n", F.struct("chunk", piece.alias("p")).alias("x"))
+    whole = pieces.groupBy("chrom", "__s", "__n").agg(F.array_join(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["p"]), "").alias("__bases"))
+    named = whole.select("chrom", F.col("__s").alias(start), F.col("__n").alias(length), "__bases")
+    got = points.drop(out).join(named, ["chrom", start, length], "left")
+    known = F.col(start).isNotNull() & F.col(length).isNotNull() & F.col("chrom").isNotNull()
+    return got.select(*[c for c in points.columns if c != out], F.when(known, F.coalesce("__bases", F.lit(""))).alias(out))
+
+
+def common_suffix(a: Column, b: Column, most: Column) -> Column:
+    """Length of the longest common suffix of two texts, ``most`` at the largest: twenty-odd comparisons of suffixes, each of half the step of the one before."""
+    steps = F.transform(F.sequence(F.lit(24), F.lit(0), F.lit(-1)), lambda i: F.pow(F.lit(2), i).cast("int"))
+    most = F.greatest(most.cast("int"), F.lit(0))
+    return F.aggregate(steps, F.lit(0), lambda k, s: F.when(k + s <= most, F.when(F.right(a, k + s) == F.right(b, k + s), k + s).otherwise(k)).otherwise(k))
+
+
+def common_prefix(a: Column, b: Column, most: Column) -> Column:
+    return common_suffix(F.reverse(a), F.reverse(b), most)
+
+
+def normalise_alleles(alleles: DataFrame, chunks: DataFrame, size: int, sizes: DataFrame, back: int = 256) -> DataFrame:
+    """Leftmost, shortest form of the alleles in ``chrom, pos, ref, alt`` on a genome of ``chunks``; ``sizes`` has chrom, chrom_size.
+
+    Common suffixes go first. Where that leaves one allele empty, it may lie anywhere in a repeat: it moves left as long as the bases before it
+    continue the repeat, which is the common suffix of what stands before it and the same text moved on by the allele's length.
+    A round reads ``back`` bases before each allele; only alleles that moved through all of them go on to a round with twice as many, so there is no
+    limit, and the rounds grow with the logarithm of the longest repeat. Equal alleles are worked on once, and all of it is column expressions.
+    Defined results: alleles off the chromosome (position zero or less, or up to its end) stay as they are, those made of N alone aren't shortened; chromosomes without a size go.
+    """
+    key = ["chrom", "pos", "ref", "alt"]
+    n = lambda c: F.length(c).cast("bigint")
+    d = alleles.select(*key).distinct().join(sizes.select("chrom", "chrom_size"), "chrom")
+    inside = (F.col("pos") > 0) & (F.col("pos") + n("ref") - 1 < F.col("chrom_size"))
+    fewest = F.least(n("ref"), n("alt"))
+    still = ((n("ref") == 1) & (n("alt") == 1)) | (F.concat("ref", "alt").rlike("^N+$") & (fewest > 0))
+    cut = F.when(still | (fewest == 0), F.lit(0)).otherwise(common_suffix(F.col("ref"), F.col("alt"), fewest - F.when(F.col("pos") > 1, 0).otherwise(1)))
+    d = settle(d.withColumn("__in", inside).withColumn("__c", cut).selectExpr(*key, "__in", "left(ref, length(ref) - __c) as __r", "left(alt, length(alt) - __c) as __a"))
+    open_ = F.col("__in") & ((F.col("__r") == "") | (F.col("__a") == ""))
+    ahead = common_prefix(F.col("__r"), F.col("__a"), F.least(n("__r"), n("__a")) - 1).cast("bigint")
+    shut = d.where(~open_).withColumn("__l", F.when(F.col("__in"), ahead).otherwise(F.lit(0)))
+    shut = shut.selectExpr(*key, "pos + __l as __pos", "case when __in then substring(__r, int(__l) + 1) else ref end as __ref", "case when __in then substring(__a, int(__l) + 1) else alt end as __alt")
+    # at the first base nothing stands before; the base behind is added instead
+    edge = genome_slice(d.where(open_ & (F.col("pos") == 1)).withColumn("__at", F.col("pos") + n("__r")).withColumn("__one", F.lit(1)), chunks, size, "__at", "__one", "__b")
+    edge = edge.selectExpr(*key, "pos as __pos", "concat(__r, upper(__b)) as __ref", "concat(__a, upper(__b)) as __alt")
+    done = [shut, edge]
+    state = d.where(open_ & (F.col("pos") > 1)).selectExpr(*key, "cast(pos as bigint) as __p", "concat(__r, __a) as __s", "__r <> '' as __gone")
+    while True:
+        w = state.withColumn("__w0", F.when(F.col("__p") - back <= 2, F.lit(1)).otherwise(F.col("__p") - back)).withColumn("__wn", F.col("__p") - F.col("__w0"))
+        g = genome_slice(w, chunks, size, "__w0", "__wn", "__w").withColumn("__x", F.concat(F.lpad(F.upper("__w"), F.col("__wn").cast("int"), F.lit("N")), "__s"))
+        most = F.col("__p") - F.greatest("__w0", F.lit(2))
+        moves = F.when((F.col("__s") == "") | F.col("__s").rlike("^N+$"), F.lit(0)).otherwise(common_suffix(F.left("__x", F.col("__wn").cast("int")), F.right("__x", F.col("__wn").cast("int")), most)).cast("bigint")
+        g = settle(g.withColumn("__k", moves).withColumn("__t", F.substring("__x", (F.col("__wn") - F.col("__k") + 1).cast("int"), F.length("__s"))).withColumn("__b", F.substring("__x", (F.col("__wn") - F.col("__k")).cast("int"), F.lit(1))))
+        more = (F.col("__k") == most) & (F.col("__w0") > 1)
+        done.append(g.where(~more).selectExpr(*key, "__p - 1 - __k as __pos", "if(__gone, concat(__b, __t), __b) as __ref", "if(__gone, __b, concat(__b, __t)) as __alt"))
+        state = g.where(more).selectExpr(*key, "__p - __k as __p", "__t as __s", "__gone")
+        if state.isEmpty():
             break
-        pos, ref, alt = padded(pos, ref[:-1], alt[:-1])
-    while len(ref) > 1 and len(alt) > 1 and ref[0] == alt[0]:
-        pos, ref, alt = pos + 1, ref[1:], alt[1:]
-    return pos, ref, alt
-
-
-def normalise_alleles(df: DataFrame, pos: str, ref: str, alt: str, window: str, window_start: str, chrom_size: str) -> DataFrame:
-    """Normalises alleles within a window of the reference: columns ``pos``, ``ref``, ``alt`` are replaced."""
-    import pandas as pd
-
-    def run(it):
-        for g in it:
-            got = []
-            for p, r, a, w, s, n in zip(g[pos], g[ref], g[alt], g[window], g[window_start], g[chrom_size], strict=True):
-                def base(i, w=w, s=s):
-                    return w[i - s] if 0 <= i - s < len(w) else "N"
-
-                got.append(normalise(int(p), r, a, base, int(n)))
-            fixed = pd.DataFrame(got, columns=[pos, ref, alt], index=g.index)
-            yield g.assign(**{c: fixed[c] for c in (pos, ref, alt)})
-
-    return df.mapInPandas(run, df.schema)
+        back *= 2
+    fixed = reduce(DataFrame.unionByName, done)
+    put = {"pos": F.col("__pos").cast(alleles.schema["pos"].dataType), "ref": F.col("__ref"), "alt": F.col("__alt")}
+    return alleles.join(fixed, key).select(*[put[c].alias(c) if c in put else F.col(c) for c in alleles.columns])

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from lodeflow.functions import text as T
 from lodeflow.operators import asof
@@ -20,31 +23,83 @@ def word_tokens(text: Column) -> Column:
     return F.filter(F.transform(T.gene_tokens(text), F.lower), lambda t: ~t.rlike(r"[^a-z0-9_]"))
 
 
-def longest_matches(docs: DataFrame, dictionary: DataFrame, id_col: str, tokens: str, key: str, value: str, compat: bool = False) -> DataFrame:
+#: Keys, and characters of keys, that are sent to every task as a tree at most (counted first).
+TREE_KEYS = 200_000
+TREE_CHARS = 8_000_000
+
+
+def token_tree(keys: list[str]) -> dict:
+    """Tree of keys by token; the entry under None is the number of the key that ends there."""
+    root: dict = {}
+    for i, key in enumerate(keys):
+        node = root
+        for token in key.split(" "):
+            node = node.setdefault(token, {})
+        node[None] = i
+    return root
+
+
+def walk(tree: dict, tokens: list[str], compat: bool = False) -> list[tuple[int, int, int]]:
+    """(first, last, key number) of the matches of one token array: from each start the longest, and on behind it."""
+    out, i, n = [], 0, len(tokens)
+    while i < n:
+        node, best = tree.get(tokens[i]), None
+        j = i
+        while node is not None:
+            if None in node and not (compat and i == 0 and j == 0):
+                best = (i, j, node[None])
+            j += 1
+            node = node.get(tokens[j]) if j < n else None
+        if best:
+            out.append(best)
+        i = best[1] + 1 if best else i + 1
+    return out
+
+
+def longest_matches(docs: DataFrame, dictionary: DataFrame, id_col: str, tokens: str, key: str, value: str, compat: bool = False, tree_keys: int = TREE_KEYS) -> DataFrame:
     """Greedy left-to-right dictionary matches of token arrays: (id_col, first, last, key, value).
 
-    Runs of as many tokens as any of the dictionary's keys has are joined with the keys (tokens joined by a space),
-    whatever their length; each start keeps its longest; then a sweep takes matches from left to right without overlap. Only starts that match are swept.
-    ``dictionary`` has one value for a key. ``compat`` leaves out one-token matches at the first token.
+    A start's longest match counts, and the next start lies behind it. ``dictionary`` has one value for a key (of several the greatest counts), a key being tokens joined by a space.
+    A dictionary of at most ``tree_keys`` keys goes to every task as a tree of tokens, and a document is read once, without a shuffle. A larger one stays a table: a
+    start meets the lengths of the keys that begin with its token, and only runs of those lengths are joined with the keys. ``compat`` leaves out one-token matches at the first token.
+    Null ids, arrays and tokens give no match; an empty dictionary or table gives no rows.
     """
-    n = F.size(tokens)
-    sizes = sorted(r[0] for r in dictionary.select(F.size(F.split(F.col(key), " "))).distinct().collect())
-    if not sizes:
-        return docs.limit(0).select(id_col, F.lit(0).alias("first"), F.lit(0).alias("last"), F.lit("").alias(key)).join(dictionary.select(key, value).limit(0), key).select(id_col, "first", "last", key, value)
-    grams = F.flatten(F.transform(F.array(*[F.lit(k) for k in sizes]), lambda k: F.when(n >= k, F.transform(F.sequence(F.lit(0), n - k), lambda i: F.struct(i.alias("first"), (i + k - 1).alias("last"), F.array_join(F.slice(tokens, i + 1, k), " ").alias("key")))).otherwise(F.array().cast("array<struct<first:int,last:int,key:string>>"))))
-    rows = docs.where(n > 0).select(F.col(id_col).alias("__id"), F.explode(grams).alias("g")).select("__id", "g.*")
-    hit = rows.join(dictionary.select(F.col(key).alias("key"), F.col(value).alias("value")), "key")
+    words = dictionary.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("key")).agg(F.max(value).alias("value"))
+    kind = StructType([StructField(id_col, docs.schema[id_col].dataType), StructField("first", IntegerType()), StructField("last", IntegerType()), StructField(key, StringType()), StructField(value, dictionary.schema[value].dataType)])
+    if words.limit(tree_keys + 1).agg((F.count("*") <= tree_keys) & (F.coalesce(F.sum(F.length("key")), F.lit(0)) <= TREE_CHARS)).first()[0]:
+        held = words.collect()
+        sent = docs.sparkSession.sparkContext.broadcast(([r["key"] for r in held], [r["value"] for r in held]))
+
+        def run(batches):
+            keys, values = sent.value
+            tree, fields = token_tree(keys), to_arrow_schema(kind)
+            for b in batches:
+                rows = [(row, *m) for row, ts in enumerate(b.column(1).to_pylist()) if ts for m in walk(tree, ts, compat)]
+                row, first, last, at = zip(*rows, strict=True) if rows else ((), (), (), ())
+                ids = b.column(0).take(pa.array(row, pa.int64()))
+                arrays = [ids.cast(fields.field(0).type), pa.array(first, pa.int32()), pa.array(last, pa.int32()), pa.array([keys[i] for i in at], pa.string()), pa.array([values[i] for i in at], fields.field(4).type)]
+                yield pa.RecordBatch.from_arrays(arrays, schema=fields)
+
+        return docs.select(id_col, tokens).mapInArrow(run, kind)
+    first = F.split_part("key", F.lit(" "), F.lit(1))
+    lengths = words.groupBy(first.alias("__t")).agg(F.collect_set(F.size(F.split("key", " "))).alias("__sizes"))
+    starts = docs.where(F.size(tokens) > 0).select(F.col(id_col).alias("__id"), F.col(tokens).alias("__all"))
+    spots = starts.select("__id", "__all", F.posexplode("__all").alias("first", "__t"))
+    most = words.agg(F.max(F.size(F.split("key", " ")))).first()[0] or 0
+    near = spots.select("__id", "first", "__t", F.slice("__all", F.col("first") + 1, F.lit(most)).alias("__run")).join(lengths, "__t")
+    runs = near.select("__id", "first", "__run", F.explode("__sizes").alias("n")).where(F.size("__run") >= F.col("n"))
+    hit = runs.select("__id", "first", (F.col("first") + F.col("n") - 1).alias("last"), F.array_join(F.slice("__run", F.lit(1), F.col("n")), " ").alias("key")).join(words, "key")
     if compat:
         hit = hit.where("not (first = 0 and last = 0)")
     longest = hit.groupBy("__id", "first").agg(F.max_by(F.struct("last", "key", "value"), "last").alias("m"))
     listed = longest.groupBy("__id").agg(F.array_sort(F.collect_list(F.struct("first", "m.last", "m.key", "m.value"))).alias("ms"))
-    kind = listed.schema["ms"].dataType
+    shape = listed.schema["ms"].dataType
 
     def step(acc, m):
         ok = m["first"] > acc["end"]
         return F.struct(F.when(ok, m["last"]).otherwise(acc["end"]).alias("end"), F.when(ok, F.concat(acc["out"], F.array(m))).otherwise(acc["out"]).alias("out"))
 
-    kept = listed.select("__id", F.explode(F.aggregate("ms", F.struct(F.lit(-1).alias("end"), F.array().cast(kind).alias("out")), step, lambda a: a["out"])).alias("m"))
+    kept = listed.select("__id", F.explode(F.aggregate("ms", F.struct(F.lit(-1).alias("end"), F.array().cast(shape).alias("out")), step, lambda a: a["out"])).alias("m"))
     return kept.select(F.col("__id").alias(id_col), "m.first", "m.last", F.col("m.key").alias(key), F.col("m.value").alias(value))
 
 

@@ -59,13 +59,13 @@ def column_edges(lines: list[list[dict]], share: float = 0.8) -> list[float]:
     """Right edges of columns: of each batch of spans from the left, as many as ``share`` of the lines, the upper quartile of right edges.
 
     The next batch begins behind the last span whose middle lies left of that edge: a batch that took in spans of the
-    next column gives them back.
+    next column gives them back. Each batch moves on by a span at least, also where spans have no width.
     """
     spans = sorted((s for ln in lines for s in ln), key=lambda s: s["x1"])
     middle = np.array([(s["x1"] + s["x2"]) / 2 for s in spans])
     size, at, out = int(np.ceil(len(lines) * share)), 0, []
     while at < len(spans):
-        rights = sorted(s["x2"] for s in spans[at : at + size])
+        start, rights = at, sorted(s["x2"] for s in spans[at : at + size])
         at += len(rights)
         edge = rights[len(rights) // 4 * 3]
         out.append(edge)
@@ -73,7 +73,7 @@ def column_edges(lines: list[list[dict]], share: float = 0.8) -> list[float]:
             if middle[at] > edge:
                 at = int(np.flatnonzero(middle[:at] <= edge).max(initial=0))
             right = np.flatnonzero(middle[at:] >= edge)
-            at = at + int(right[0]) if len(right) else len(spans)
+            at = max(at + int(right[0]), start + 1) if len(right) else len(spans)
     return out
 
 
@@ -172,7 +172,7 @@ def page_tables(table: np.ndarray, line: np.ndarray, direction: np.ndarray, widt
 
     A table becomes the hull of the lines that overlap it by ``share``; one without lines goes. Tables that meet within
     20 points become one (before and after); lines of one direction that meet within 5 become one until none do, and
-    tables are fitted to these until nothing changes.
+    tables are fitted to these until nothing changes: a table only ever gains lines, so that comes to an end.
     """
     def fitted(table):
         over = _ratios(table, line) >= share
@@ -186,9 +186,14 @@ def page_tables(table: np.ndarray, line: np.ndarray, direction: np.ndarray, widt
         before = len(line)
         line, label = _united(line, (_ratios(line, line, 5.0) > 0) & (direction[:, None] == direction[None, :]))
         direction = direction[np.unique(label)]
-    seen = None
-    while seen is None or not np.array_equal(seen, table):
-        seen, table = table, fitted(table)
+    over = _ratios(table, line) >= share
+    while True:
+        over = over[over.any(axis=1)]
+        table = np.array([_hull(line[o]) for o in over]).reshape(-1, 4)
+        more = over | (_ratios(table, line) >= share)
+        if (more == over).all():
+            break
+        over = more
     table = joined(table)
     order = np.lexsort((table[:, 0], table[:, 1], table[:, 0] >= width / 2.5))
     return table[order]

@@ -150,7 +150,9 @@ def p20_routes(spark, d):
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).groupBy("form").agg(F.count("*").alias("n"))
 
 
-@query("v14_normalise", "select p_partkey, cast(3 as integer) as pos, 'GCA' as ref, 'G' as alt from part")
+@query("v14_normalise", """select p_partkey, cast(3 as integer) as pos, 'GCA' as ref, 'G' as alt from part""")
 def v14_normalise(spark, d):
-    p = table(spark, d, "part").select("p_partkey", F.lit("GGGCACACACAGGG").alias("w"), F.lit(1).alias("w0"), F.lit(14).alias("n"), F.lit(8).alias("pos"), F.lit("CA").alias("ref"), F.lit("").alias("alt"))
-    return C.normalise_alleles(p, "pos", "ref", "alt", "w", "w0", "n").select("p_partkey", "pos", "ref", "alt")
+    """A deleted pair inside a repeat moves to the repeat's left end."""
+    p = table(spark, d, "part").select("p_partkey", F.lit("1").alias("chrom"), F.lit(8).alias("pos"), F.lit("CA").alias("ref"), F.lit("").alias("alt"))
+    chunks = C.genome_chunks(spark.createDataFrame([("1", 0, "GGGCACACACAGGG")], "chrom string, start0 bigint, line string"), 5)
+    return C.normalise_alleles(p, chunks, 5, spark.createDataFrame([("1", 14)], "chrom string, chrom_size bigint")).select("p_partkey", "pos", "ref", "alt")

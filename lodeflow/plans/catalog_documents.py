@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lodeflow.operators import coordinates
-from lodeflow.plans import papers
+from lodeflow.plans import papers, routes
 from lodeflow.registry import query
 from lodeflow.session import table
 from lodeflow.sources import documents
@@ -42,17 +42,14 @@ def m1_body_results(spark, d):
     return got.select(F.substring("paper_id", F.lit(2), F.length("paper_id")).cast("bigint").alias("p_partkey"), "gene_id", "mention", "gene_start")
 
 
-@query("m2_variant_index", """select p_partkey, cast(p_size + 1 as bigint) as pos from part""")
+@query("m2_variant_index", """select p_partkey, cast(p_size as bigint) as pos, 'TA' as ref, 'T' as alt from part where p_size % 4 = 0""")
 def m2_variant_index(spark, d):
-    """The same papers through transcripts and genome to index rows; deletions inside a repeat shift to its left end."""
+    """The same papers through transcripts and genome to index rows: a stated reference must be the genome's, and a deletion stands behind the base before it."""
     parsed = _papers(spark, d)
     names = spark.createDataFrame([(f"gen {i}", i + 1) for i in range(7)], "key string, gene_id int")
     got = papers.assign_body(papers.variant_mentions(parsed), papers.gene_mentions(parsed, names), papers.body_sentences(parsed))
     tx = spark.createDataFrame([(i + 1, f"T{i}", "1", 1, 0, 300, 0, 300, [0], [300]) for i in range(7)], "gene_id int, name string, chrom string, strand int, tx_start bigint, tx_end bigint, cds_start bigint, cds_end bigint, exon_starts array<bigint>, exon_ends array<bigint>")
     chunks = coordinates.genome_chunks(spark.createDataFrame([("1", 0, "ACGT" * 100)], "chrom string, start0 bigint, line string"), 200)
-    a = papers.coding_alleles(got, tx, chunks, 200)
-    n = papers.normalised(a.withColumn("p0", F.col("pos")), chunks, 200, spark.createDataFrame([("1", 400)], "chrom string, chrom_size bigint"), 50)
-    rest = got.join(a.select("paper_id", "start"), ["paper_id", "start"], "left_anti")
-    # a stated reference that the genome doesn't have gives no row; those mentions keep their own position here
-    kept = n.where("length(ref) = 2 and pos = p0 - 1").select("paper_id", (F.col("p0")).alias("pos")).unionByName(rest.select("paper_id", F.col("var.start").cast("bigint").alias("pos")))
-    return kept.select(F.substring("paper_id", F.lit(2), F.length("paper_id")).cast("bigint").alias("p_partkey"), "pos")
+    sizes = spark.createDataFrame([("1", 400)], "chrom string, chrom_size bigint")
+    index = papers.index_rows(coordinates.normalise_alleles(routes.coding_alleles(got, tx, chunks, 200), chunks, 200, sizes))
+    return index.select(F.substring("paper_id", F.lit(2), F.length("paper_id")).cast("bigint").alias("p_partkey"), "pos", "ref", "alt")

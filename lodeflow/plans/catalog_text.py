@@ -116,13 +116,14 @@ def mention_column():
 @query("f15_mention_types", f"""select l_orderkey, l_linenumber, {_MENTION} as mention, case l_partkey % 7 when 0 then 'SUB' when 1 then 'SUB' when 2 then 'DEL' when 3 then 'RSID' when 4 then 'INS' when 5 then 'DUP' end as kind,
 case when l_partkey % 7 in (0, 1, 2, 4, 5) then cast(l_partkey as varchar) end as start, case l_partkey % 7 when 0 then 'A' when 1 then 'R' when 5 then 'T' end as wild, case l_partkey % 7 when 0 then 'G' when 1 then 'Q' when 4 then 'ACG' end as mutant from lineitem""")
 def f15_mention_types(spark, d):
-    x = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", mention_column().alias("mention")).withColumn("v", V.parse_mention(F.col("mention")))
+    x = V.parsed(table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", mention_column().alias("mention")), out="v")
     return x.select("l_orderkey", "l_linenumber", "mention", F.col("v.mut_type").alias("kind"), F.col("v.start").alias("start"), F.col("v.wild_type").alias("wild"), F.col("v.mutant").alias("mutant"))
 
 
 @query("p1_valid_variants", "select l_orderkey, l_linenumber from lineitem where l_partkey % 7 <> 6")
 def p1_valid_variants(spark, d):
-    return table(spark, d, "lineitem").withColumn("v", V.parse_mention(mention_column())).where(V.valid_variant(F.col("v"))).select("l_orderkey", "l_linenumber")
+    x = V.parsed(table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", mention_column().alias("mention")), out="v")
+    return x.where(V.valid_variant(F.col("v"))).select("l_orderkey", "l_linenumber")
 
 
 @query("f13_mention_spans", f"select l_orderkey, l_linenumber, cast(case when l_partkey % 7 = 6 then 0 else 1 end as integer) as n, case when l_partkey % 7 <> 6 then 5 end as start from lineitem")
@@ -137,9 +138,19 @@ def f18_residues(spark, d):
     return table(spark, d, "part").select("p_partkey", V.one_letter(r).alias("one"))
 
 
-@query("f17_types_by_size", "select p_partkey, case when p_partkey * 1000 > 2305000 then 'g' when p_partkey * 1000 > 109224 then 'c,n,g' when p_partkey * 1000 > 109224 / 3.0 then 'c,n,g,p' else 'c,n,p,g' end as types from part")
+@query("f17_types_by_size", "select p_partkey, case when p_size % 9 = 0 then 'c,n' when p_partkey * 2000 > 2305000 then 'chr' when p_partkey * 2000 > 109224 then 'g,chr' when p_partkey * 2000 > 36408 then 'c,n,g,chr' else 'p,c,n,g,chr' end as types from part")
 def f17_types_by_size(spark, d):
-    return table(spark, d, "part").select("p_partkey", F.array_join(V.types_by_size((F.col("p_partkey") * 1000).cast("string")), ",").alias("types"))
+    return table(spark, d, "part").select("p_partkey", F.array_join(V.types_by_size(F.concat(F.when(F.col("p_size") % 9 == 0, "*").otherwise(""), (F.col("p_partkey") * 2000).cast("string"))), ",").alias("types"))
+
+
+@query("u6_sequence_types", f"""select l_orderkey, l_linenumber, case l_partkey % 7 when 1 then 'p' when 3 then '' when 6 then null when 5 then 'c' else case when pos > 2305000 then 'chr' when pos > 109224 then 'g' else 'c,n' end end as types
+from (select *, l_partkey * 2000 as pos from lineitem)""")
+def u6_sequence_types(spark, d):
+    """Mentions without an explicit coding prefix take the types that size and form allow."""
+    k = (F.col("l_partkey") * 2000).cast("string")
+    forms = [F.concat(k, F.lit("A>G")), F.concat(F.lit("Arg"), F.col("l_partkey").cast("string"), F.lit("Gln")), F.concat(k, F.lit("_"), (F.col("l_partkey") * 2000 + 2).cast("string"), F.lit("del")), F.lit("rs77"), F.concat(k, F.lit("insACG")), F.concat(F.lit("c."), k, F.lit("dupT")), F.lit("none here")]
+    x = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.element_at(F.array(*forms), (F.col("l_partkey") % 7 + 1).cast("int")).alias("mention"))
+    return V.parsed(x).select("l_orderkey", "l_linenumber", F.array_join("var.seq_types", ",").alias("types"))
 
 
 @query("f19_lookup_forms", """select p_partkey, case p_partkey % 5 when 0 then 'SUB' when 1 then 'SUB' when 2 then 'INDEL' when 3 then 'RSID' end as kind, case p_partkey % 5 when 0 then 'p' when 1 then 'c' when 2 then 'c' end as seq,

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodeflow.functions import text as T
 from lodeflow.functions import variants as V
-from lodeflow.operators import asof, coordinates, dictionary, keyed, windows
+from lodeflow.functions.once import once
+from lodeflow.operators import asof, dictionary, keyed, windows
+from lodeflow.plans import routes
 
 #: Alleles longer than this stay out of the index.
 MOST_ALLELE = 200
@@ -23,14 +25,14 @@ def body_sentences(parsed: DataFrame) -> DataFrame:
 def variant_mentions(parsed: DataFrame) -> DataFrame:
     """Mentions in bodies with offsets and the parsed variant; incomplete ones go."""
     m = parsed.select("paper_id", "file_idx", F.explode(V.mention_spans(F.col("body"))).alias("m")).select("paper_id", "file_idx", "m.start", "m.end", F.col("m.body").alias("mention"))
-    got = m.withColumn("var", V.parse_mention(F.col("mention")))
-    return got.where(V.valid_variant(F.col("var")))
+    return V.parsed(m).where(V.valid_variant(F.col("var")))
 
 
 def gene_mentions(parsed: DataFrame, names: DataFrame) -> DataFrame:
     """Longest dictionary matches in bodies: ``names`` has key (lower-case tokens by spaces) and gene_id."""
-    raw = parsed.select(F.struct("paper_id", "file_idx").alias("id"), "body", T.gene_tokens(F.col("body")).alias("all")).withColumn("at", T.token_offsets(F.col("body"), F.col("all")))
-    kept = raw.withColumn("pairs", F.filter(F.zip_with("all", "at", lambda t, a: F.struct(F.lower(t).alias("t"), a.alias("a"), F.length(t).alias("n"))), lambda p: ~p["t"].rlike(r"[^a-z0-9_]")))
+    raw = once(parsed.select(F.struct("paper_id", "file_idx").alias("id"), "body"), {"spans": T.gene_token_spans(F.col("body"))})
+    plain = F.filter(F.transform("spans", lambda s: F.struct(F.lower(s["token"]).alias("t"), s["start"].alias("a"), F.length(s["token"]).alias("n"))), lambda p: ~p["t"].rlike(r"[^a-z0-9_]"))
+    kept = raw.withColumn("pairs", plain)
     toks = kept.select("id", "pairs", F.transform("pairs", lambda p: p["t"]).alias("tokens"), "body")
     hits = dictionary.longest_matches(toks, names, "id", "tokens", "key", "gene_id")
     spot = hits.join(toks.select("id", "pairs", "body"), "id")
@@ -68,80 +70,6 @@ def assign_tables(cell_variants: DataFrame, cell_genes: DataFrame, captions: Dat
     return j.withColumn("gene_id", keyed.coalesce_chain(F.col("cell_gene"), F.col("caption_gene"), F.col("body_gene"), default=0)).drop("cell_gene", "caption_gene", "body_gene")
 
 
-def _transcripts(transcripts: DataFrame) -> tuple[DataFrame, coordinates.Transcript]:
-    tx = transcripts.select("gene_id", "chrom", F.col("name").alias("transcript"), *[F.col(c).alias(f"t_{c}") for c in ("strand", "tx_start", "tx_end", "cds_start", "cds_end", "exon_starts", "exon_ends")])
-    return coordinates.Transcript.attach(tx, "t_")
-
-
-def _place(t: coordinates.Transcript, p: Column) -> Column:
-    return F.when(p["intron"].isNotNull(), t.intron(p["intron"], p["offset"])).otherwise(t.to_chromosome(p["pos"], p["offset"], p["utr3"]))
-
-
-def coding_alleles(found: DataFrame, transcripts: DataFrame, chunks: DataFrame, size: int) -> DataFrame:
-    """Coding variants through each transcript of their gene to chromosome alleles (not yet normalised): adds transcript, chrom, pos, ref, alt."""
-    v = found.where("var.mut_type in ('SUB','DEL','INS','DUP','INDEL')").where(~F.array_contains("var.seq_types", "p"))
-    fixed = coordinates.fix_variant(F.col("var.mut_type"), F.col("var.start"), F.col("var.end"), F.coalesce("var.wild_type", F.lit("")))
-    plain = coordinates.plain_alleles(F.col("var.mut_type"), fixed["ref"], F.col("var.mutant"))
-    v = v.select("*", V.parse_position(fixed["start"]).alias("__p"), V.parse_position(fixed["end"]).alias("__q"), plain["ref"].alias("__r"), plain["alt"].alias("__a"), plain["ok"].alias("__ok")).where("__ok and __p is not null and __q is not null")
-    tx, t = _transcripts(transcripts)
-    j = v.join(tx, "gene_id").withColumn("__s", _place(t, F.col("__p"))).withColumn("__e", _place(t, F.col("__q"))).where("__s is not null and __e is not null")
-    j = j.withColumn("__lo", F.least("__s", "__e")).withColumn("__n", F.abs(F.col("__e") - F.col("__s")) + 1).where(F.col("__n") <= size)
-    g = coordinates.genome_slice(j, chunks, size, "__lo", "__n")
-    a = coordinates.to_alleles(F.col("var.mut_type"), F.col("t_strand"), F.col("__s"), F.col("__e"), F.col("__r"), F.col("__a"), F.col("bases"))
-    return g.select(*found.columns, "transcript", "chrom", a["pos"].alias("pos"), a["ref"].alias("ref"), a["alt"].alias("alt"), a["ok"].alias("__ok")).where("__ok").drop("__ok")
-
-
-#: The chromosome of mitochondrial genes, that of their sequence, and what stands for a transcript.
-MT_GENES, MT_SEQUENCE, MT_TRANSCRIPT = "MT", "chrM", "Mitochondrial"
-
-
-def mitochondrial_alleles(found: DataFrame, chunks: DataFrame, size: int) -> DataFrame:
-    """Variants of mitochondrial genes to alleles, in the sequence's own coordinates: no transcript is looked up."""
-    v = found.where("var.mut_type in ('SUB','DEL','INS','DUP','INDEL')").where(~F.array_contains("var.seq_types", "p"))
-    fixed = coordinates.fix_variant(F.col("var.mut_type"), F.col("var.start"), F.col("var.end"), F.coalesce("var.wild_type", F.lit("")))
-    plain = coordinates.plain_alleles(F.col("var.mut_type"), fixed["ref"], F.col("var.mutant"))
-    v = v.select("*", V.parse_position(fixed["start"])["pos"].alias("__s"), V.parse_position(fixed["end"])["pos"].alias("__e"), plain["ref"].alias("__r"), plain["alt"].alias("__a"), plain["ok"].alias("__ok"), F.lit(MT_SEQUENCE).alias("chrom")).where("__ok and __s is not null")
-    v = v.withColumn("__e", F.coalesce("__e", "__s")).withColumn("__lo", F.when(F.col("var.mut_type") == "INS", F.col("__e")).otherwise(F.col("__s"))).withColumn("__n", F.col("__e") - F.col("__lo") + 1).where("__n > 0")
-    g = coordinates.genome_slice(v, chunks, size, "__lo", "__n")
-    a = coordinates.mitochondrial_alleles(F.col("var.mut_type"), F.col("__s"), F.col("__e"), F.col("__r"), F.col("__a"), F.upper("bases"))
-    return g.select(*found.columns, F.lit(MT_TRANSCRIPT).alias("transcript"), "chrom", a["pos"].alias("pos"), a["ref"].alias("ref"), a["alt"].alias("alt"), a["ok"].alias("__ok")).where("__ok").drop("__ok")
-
-
-def rna_alleles(found: DataFrame, genes: DataFrame, transcripts: DataFrame, chunks: DataFrame, size: int) -> DataFrame:
-    """Coding variants to alleles: those of mitochondrial genes (``genes``: gene_id, chrom) directly, the others through transcripts."""
-    mt = genes.where(F.col("chrom") == MT_GENES).select("gene_id").distinct()
-    return coding_alleles(found.join(mt, "gene_id", "left_anti").select(*found.columns), transcripts, chunks, size).unionByName(mitochondrial_alleles(found.join(mt, "gene_id", "left_semi").select(*found.columns), chunks, size))
-
-
-def protein_alleles(found: DataFrame, transcripts: DataFrame, chunks: DataFrame, size: int) -> DataFrame:
-    """Protein substitutions to every codon change that makes them, where the reference codon gives the stated residue."""
-    v = found.where(F.array_contains("var.seq_types", "p") & (F.col("var.mut_type") == "SUB")).withColumn("__i", F.col("var.start").try_cast("bigint")).where("__i is not null")
-    tx, t = _transcripts(transcripts)
-    zero, no = F.lit(0).cast("bigint"), F.lit(False)
-    j = v.join(tx, "gene_id").withColumn("__s", t.to_chromosome((F.col("__i") - 1) * 3 + 1, zero, no)).withColumn("__e", t.to_chromosome(F.col("__i") * 3, zero, no))
-    j = j.where(F.abs(F.col("__e") - F.col("__s")) == 2).withColumn("__lo", F.least("__s", "__e")).withColumn("__n", F.lit(3))
-    g = coordinates.genome_slice(j, chunks, size, "__lo", "__n")
-    codon = F.when(F.col("t_strand") < 0, coordinates.revcomp(F.col("bases"))).otherwise(F.col("bases"))
-    ok = g.where(F.try_element_at(coordinates.codon_map(), codon) == F.col("var.wild_type"))
-    alts = ok.withColumn("__c", F.explode(coordinates.synonymous(F.col("var.mutant"))))
-    return alts.select(*found.columns, "transcript", "chrom", F.col("__lo").alias("pos"), F.col("bases").alias("ref"), F.when(F.col("t_strand") < 0, coordinates.revcomp(F.col("__c"))).otherwise(F.col("__c")).alias("alt"))
-
-
-def rsid_alleles(found: DataFrame, rsids: DataFrame, drop_reference: bool = False) -> DataFrame:
-    """Listed variations to each of their alleles."""
-    v = found.where("var.mut_type = 'RSID'").withColumn("name", F.col("var.rsid").try_cast("bigint"))
-    j = v.join(rsids.select("name", "chrom", F.col("start").alias("__s"), F.col("ref").alias("__ref"), "observed"), "name").withColumn("alt", F.explode(coordinates.observed_alleles(F.col("observed"))))
-    out = j.select(*found.columns, F.lit("").alias("transcript"), "chrom", (F.col("__s") + 1).alias("pos"), F.when(F.col("__ref") == "-", "").otherwise(F.col("__ref")).alias("ref"), "alt")
-    return out.where("ref <> alt") if drop_reference else out
-
-
-def normalised(alleles: DataFrame, chunks: DataFrame, size: int, sizes: DataFrame, back: int = 1000) -> DataFrame:
-    """Leftmost alleles; the reference is read in a window that begins up to ``back`` bases before (less than a chunk)."""
-    w = alleles.join(sizes, "chrom").withColumn("__w0", F.greatest(F.col("pos") - back, F.lit(1))).withColumn("__wn", F.col("pos") - F.col("__w0") + F.length("ref") + 2)
-    g = coordinates.genome_slice(w, chunks, size, "__w0", "__wn", "__win")
-    return coordinates.normalise_alleles(g, "pos", "ref", "alt", "__win", "__w0", "chrom_size").drop("__win", "__w0", "__wn", "chrom_size")
-
-
 def index_rows(alleles: DataFrame) -> DataFrame:
     """One row for each index key; of several transcripts the last by name stays."""
     short = alleles.where((F.length("ref") <= MOST_ALLELE) & (F.length("alt") <= MOST_ALLELE))
@@ -149,9 +77,10 @@ def index_rows(alleles: DataFrame) -> DataFrame:
 
 
 def unsupported(found: DataFrame) -> DataFrame:
-    """Mentions that have no alleles by rule: genomic positions, frameshifts, protein changes other than substitutions."""
-    p = F.array_contains("var.seq_types", "p")
-    return found.where((F.col("var.mut_type") == "FS") | F.array_contains("var.seq_types", "g") | (p & (F.col("var.mut_type") != "SUB")))
+    """Mentions that no route takes: genomic positions, frameshifts, protein changes other than substitutions, no sequence type."""
+    some = routes.is_type(found, "c", "n", "r", "m") & routes.kind(found).isin(*routes.KINDS)
+    protein = routes.is_type(found, "p") & (routes.kind(found) == "SUB")
+    return found.where(~(some | protein | routes.field(found, "mut_type").isin("RSID", "VCF")))
 
 
 def lookup(index: DataFrame, wanted: DataFrame) -> DataFrame:

@@ -11,8 +11,9 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Rows of an Arrow batch at most; whole texts make wide rows.
+#: Rows and bytes of an Arrow batch at most; whole texts and files make wide rows.
 BATCH_ROWS = 1000
+BATCH_BYTES = 64 << 20
 _shipped: set[str] = set()
 PACKAGE_ROOT = str(Path(__file__).resolve().parents[1])
 
@@ -27,11 +28,19 @@ def prepare(spark: SparkSession) -> SparkSession:
     _ship(sc)
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    if not 0 < _bytes(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= BATCH_BYTES:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     if not sc._jsc.sc().getCheckpointDir().isDefined():
         sc.setCheckpointDir(checkpoint_dir(spark))
     return spark
 
 
+def _bytes(size: str) -> int:
+    """Plain numbers of bytes; a size with a unit is someone's choice and counts as small enough."""
+    digits = size.lower().removesuffix("b")
+    return int(digits) if digits.lstrip("-").isdigit() else 1
+
+
 def _ship(sc) -> None:
     """Send the package's source to the executors, once a session; on a local master its own folder is enough."""
     if sc.applicationId in _shipped:
@@ -69,3 +78,9 @@ def shared_path(spark: SparkSession, name: str) -> str:
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver's Parquet tables."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Materialise in the shared checkpoint folder, which outlives a lost executor."""
+    prepare(df.sparkSession)
+    return df.checkpoint()

@@ -5,8 +5,10 @@ from __future__ import annotations
 import csv
 import io
 import re
+import signal
 import zipfile
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from html.parser import HTMLParser
 from xml.etree import ElementTree
 
@@ -16,7 +18,7 @@ from pyspark.sql import functions as F
 
 #: Schema of a parsed file: body text and tables with a caption and a grid of cell texts.
 PARSED = "status string, body string, tables array<struct<label:string,caption:string,cells:array<array<string>>>>"
-#: Characters of a body and of a sentence at most, seconds are left to the scheduler's own limits.
+#: Characters of a body at most.
 MOST_BODY = 100_000
 #: Nested archives are opened to this depth.
 ZIP_DEPTH = 4
@@ -227,24 +229,64 @@ READERS: dict[str, Callable[[bytes], dict]] = {"markup": read_markup, "docx": re
 _EXT = {"xml": "markup", "nxml": "markup", "html": "markup", "htm": "markup", "xhtml": "markup", "docx": "docx", "xlsx": "xlsx", "csv": "csv", "txt": "txt", "zip": "zip"}
 
 
-def members(name: str, content: bytes, depth: int = ZIP_DEPTH) -> Iterator[tuple[str, bytes]]:
-    """Files of an archive, nested ones too, named by their path in it."""
-    with zipfile.ZipFile(io.BytesIO(content)) as z:
-        for m in sorted(z.namelist()):
+#: Seconds that a reader may take for one file.
+READ_SECONDS = 180
+
+
+class OutOfTime(BaseException):
+    """A reader took too long; not an Exception, so that no reader catches it by chance."""
+
+
+@contextmanager
+def time_limit(seconds: float) -> Iterator[None]:
+    """Raises OutOfTime in the block after so many seconds, by a timer signal of this process; without effect outside the main thread, where there are no signals."""
+
+    def stop(*_):
+        raise OutOfTime
+
+    try:
+        before = signal.signal(signal.SIGALRM, stop)
+    except ValueError:
+        yield
+        return
+    signal.setitimer(signal.ITIMER_REAL, seconds)
+    try:
+        yield
+    finally:
+        signal.setitimer(signal.ITIMER_REAL, 0)
+        signal.signal(signal.SIGALRM, before)
+
+
+def members(name: str, content: bytes, depth: int = ZIP_DEPTH) -> Iterator[tuple[str, bytes, str | None]]:
+    """Files of an archive, nested ones too: their path in it, bytes, and what went wrong.
+
+    An encrypted or damaged member, or an archive that can't be opened, is told and costs no other member.
+    """
+    try:
+        z = zipfile.ZipFile(io.BytesIO(content))
+    except Exception as e:  # an archive that is none
+        yield name, b"", f"failed: {type(e).__name__}"
+        return
+    with z:
+        for m in sorted(set(z.namelist())):
             if m.endswith("/"):
                 continue
-            body = z.read(m)
+            try:
+                body = z.read(m)
+            except Exception as e:  # encrypted, an unknown method, a wrong checksum
+                yield f"{name}/{m}", b"", f"failed: {type(e).__name__}"
+                continue
             if m.lower().endswith(".zip") and depth:
                 yield from members(f"{name}/{m}", body, depth - 1)
             else:
-                yield f"{name}/{m}", body
+                yield f"{name}/{m}", body, None
 
 
-def parse(found: DataFrame, readers: dict[str, Callable[[bytes], dict]] | None = None) -> DataFrame:
+def parse(found: DataFrame, readers: dict[str, Callable[[bytes], dict]] | None = None, seconds: float = READ_SECONDS) -> DataFrame:
     """paper_id, file_idx, filename, status, body, tables of files; members of archives are files of their own.
 
-    A file that no reader takes, or that can't be read, keeps its row with an empty body and its status; the numbers of
-    files count them. Bodies are cut at ``MOST_BODY`` characters.
+    A file that no reader takes, that can't be read or that takes more than ``seconds`` (status ``timeout``) keeps its row with an empty body and
+    its status; the numbers of files count them. Bodies are cut at ``MOST_BODY`` characters. A file without contents (null) has no kind.
     """
     readers = READERS | (readers or {})
 
@@ -252,23 +294,27 @@ def parse(found: DataFrame, readers: dict[str, Callable[[bytes], dict]] | None =
         if kind not in readers:
             return {"status": "unsupported", "body": "", "tables": []}
         try:
-            got = readers[kind](content)
+            with time_limit(seconds):
+                got = readers[kind](content)
             return {"status": "ok", "body": got["body"][:MOST_BODY], "tables": got["tables"]}
+        except OutOfTime:
+            return {"status": "timeout", "body": "", "tables": []}
         except Exception as e:  # a broken file must not lose the paper
             return {"status": f"failed: {type(e).__name__}", "body": "", "tables": []}
 
+    def files(name, kind, content):
+        """(name, row) of a file, or of each member of an archive."""
+        if kind != "zip":
+            yield name, one(kind, content)
+            return
+        for n, body, wrong in members(name, content):
+            yield n, {"status": wrong, "body": "", "tables": []} if wrong else one(_EXT.get(n.rpartition(".")[2].lower()), body)
+
     def run(it):
         for g in it:
             out = []
             for paper, idx, name, kind, content in zip(g["paper_id"], g["file_idx"], g["filename"], g["kind"], g["content"], strict=True):
-                parts = [(name, kind, content)]
-                if kind == "zip":
-                    try:
-                        parts = [(n, _EXT.get(n.rpartition(".")[2].lower()), b) for n, b in members(name, content)]
-                    except zipfile.BadZipFile:
-                        parts = [(name, None, content)]
-                for n, k, body in parts:
-                    out.append({"paper_id": paper, "file_idx": idx, "filename": n, **one(k, body)})
+                out += [{"paper_id": paper, "file_idx": idx, "filename": n, **row} for n, row in files(name, kind, content or b"")]
             yield pd.DataFrame(out, columns=["paper_id", "file_idx", "filename", "status", "body", "tables"])
 
     base = found.select("paper_id", "file_idx", "filename", kind_of(F.col("filename"), F.col("content")).alias("kind"), "content")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 import pytest
 from hypothesis import given, settings
@@ -26,6 +27,11 @@ def test_tokens(spark):
     assert one(spark, T.gene_tokens(F.col("t")), t="MYO15A") == ["MYO", "15", "A"]
     assert [len(x) for x in one(spark, T.gene_tokens(F.col("t")), t="a" * 120)] == [50, 50, 20]
     assert one(spark, T.token_offsets(F.col("t"), T.gene_tokens(F.col("t"))), t="ab ab, c") == [0, 3, 5, 7]
+    long = "x" * 120 + " é\u00022a\u0301-\n" + "word 7" * 300
+    for text in ("ab ab, c", "", " ", long):
+        spans = one(spark, T.gene_token_spans(F.col("t")), t=text)
+        plain = [(m[0][i : i + 50].replace("\u0002", "\u0003"), m.start() + i) for m in re.finditer(r"[A-Za-z]+|[0-9]+|[^A-Za-z0-9\s]", text) for i in range(0, len(m[0]), 50)]
+        assert [tuple(s) for s in spans] == plain
 
 
 def test_names(spark):
@@ -112,23 +118,6 @@ def test_revcomp_text(s):
     assert s.translate(table)[::-1].translate(table)[::-1] == s
 
 
-def test_normalise():
-    seq = "GGGCACACACAGGG"
-    base = lambda i: seq[i - 1]
-    assert C.normalise(8, "CA", "", base, len(seq)) == (3, "GCA", "G")
-    r = random.Random(2)
-    for _ in range(300):
-        seq = "".join(r.choice("AC") for _ in range(20))
-        base = lambda i, s=seq: s[i - 1]
-        p, n = r.randrange(2, 15), r.randrange(0, 4)
-        ref, alt = seq[p - 1 : p - 1 + n], "".join(r.choice("AC") for _ in range(r.randrange(0, 4)))
-        if ref == alt:
-            continue
-        q, a, b = C.normalise(p, ref, alt, base, len(seq))
-        assert seq[: p - 1] + alt + seq[p - 1 + n :] == seq[: q - 1] + b + seq[q - 1 + len(a) :]
-        assert C.normalise(q, a, b, base, len(seq)) == (q, a, b)
-
-
 def test_rle(spark):
     for px, counts, n in (([0, 0, 1, 1, 1, 0, 1], [2, 3, 1, 1], 4), ([1, 1, 1, 1, 1, 1, 0], [0, 6, 1], 6)):
         df = spark.createDataFrame([(1, i, v) for i, v in enumerate(px)], "m int, i int, v int")

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import random
+
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from lodeflow.operators import asof, boxes, dictionary, evaluation, keyed, layout, windows
@@ -43,6 +47,26 @@ def test_last_write_and_majority(spark):
     assert [(r.g, r.n, r.m) for r in keyed.majority(m, ["p"], "g", "o", "m").collect()] == [(7, 2, "d")]
 
 
+@pytest.mark.parametrize("tree_keys", [0, 10**6])
+def test_longest_matches_against_every_run(spark, tree_keys):
+    rng = random.Random(9)
+    keys = {" ".join(rng.choices("abcd", k=rng.choice([1, 2, 2, 3, 5]))): i for i in range(60)}
+    docs = [(i, [rng.choice("abcde") for _ in range(rng.randint(0, 40))]) for i in range(60)] + [(60, None), (61, []), (None, ["a", "b"]), (62, ["a"] * 3000)]
+    want = []
+    for i, toks in docs:
+        at = 0
+        while at < len(toks or []):
+            n = max((n for n in range(1, 6) if at + n <= len(toks) and " ".join(toks[at : at + n]) in keys), default=0)
+            if n and i is not None:
+                want.append((i, at, at + n - 1, " ".join(toks[at : at + n]), keys[" ".join(toks[at : at + n])]))
+            at += max(n, 1)
+    df, words = spark.createDataFrame(docs, "id int, toks array<string>"), spark.createDataFrame(list(keys.items()), "key string, v int")
+    got = [tuple(r) for r in dictionary.longest_matches(df.where("id is not null"), words, "id", "toks", "key", "v", tree_keys=tree_keys).collect()]
+    assert sorted(got) == sorted(want)
+    assert dictionary.longest_matches(df, words.limit(0), "id", "toks", "key", "v", tree_keys=tree_keys).count() == 0
+    assert dictionary.longest_matches(df.limit(0), words, "id", "toks", "key", "v", tree_keys=tree_keys).count() == 0
+
+
 def test_longest_match(spark):
     words = spark.createDataFrame([("a b", 1), ("a", 2), ("b c", 3), ("c", 4)], "key string, v int")
     docs = spark.createDataFrame([(1, "a b c".split()), (2, "x b c a".split()), (3, [])], "id int, toks array<string>")
@@ -190,3 +214,17 @@ def test_options_and_lookup(spark):
             options.with_settings(base, [bad])
     index = spark.createDataFrame([("chr1", 5, "A", "G", "p1", 0, 3, "c.1A>G")], "chrom string, pos bigint, ref string, alt string, paper_id string, file_idx int, start int, mention string")
     assert cli.answer(index, "chr1 5 A G", cli.OPTIONS | {"gene_label": "G1"}) == ["G1\tchr1 5 A G\t1", "p1\tc.1A>G"]
+
+
+def test_layout_of_spans_without_width_ends():
+    rng = random.Random(3)
+    span = lambda a, b: {"x1": float(a), "x2": float(b), "y1": 0.0, "y2": 1.0, "text": ""}
+    assert layout.column_edges([[span(5, 5), span(20, 30)]]) == [5.0, 30.0]
+    for _ in range(3000):
+        lines = [[span(a, a + rng.choice([0, 0, 0, 3])) for a in rng.choices(range(8), k=rng.randint(1, 5))] for _ in range(rng.randint(1, 4))]
+        edges = layout.column_edges(lines)
+        assert len(edges) <= sum(map(len, lines))
+    box = lambda k: np.array([[x, y, x + rng.choice([0, 2, 5]), y + rng.choice([0, 2, 5])] for x, y in zip(rng.choices(range(40), k=k), rng.choices(range(40), k=k), strict=True)], dtype=float)
+    for _ in range(300):
+        k = rng.randint(1, 12)
+        assert layout.page_tables(box(rng.randint(1, 4)), box(k), np.array(rng.choices([0, 1], k=k)), 40.0).shape[1] == 4

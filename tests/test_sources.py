@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodeflow.operators import coordinates
-from lodeflow.plans import papers
+from lodeflow.plans import papers, routes
 from lodeflow.sources import documents, reference, sinks
 from lodeflow.streaming import ingest
 
@@ -120,16 +120,16 @@ def test_index_and_lookup(spark):
     tx = spark.createDataFrame([(1, "T1", "1", 1, 0, 30, 0, 30, [0], [30]), (1, "T2", "1", 1, 0, 30, 0, 30, [0], [30]), (2, "T3", "1", 1, 8, 30, 8, 30, [8], [30])], "gene_id int, name string, chrom string, strand int, tx_start bigint, tx_end bigint, cds_start bigint, cds_end bigint, exon_starts array<bigint>, exon_ends array<bigint>")
     seq = "GGGTCCCCATGAAACCCGGGTTTACGTACG"
     chunks = coordinates.genome_chunks(spark.createDataFrame([("1", 0, seq)], "chrom string, start0 bigint, line string"), 50)
-    coding, protein = papers.coding_alleles(got, tx, chunks, 50), papers.protein_alleles(got, tx, chunks, 50)
+    coding, protein = routes.coding_alleles(got, tx, chunks, 50), routes.protein_alleles(got, tx, chunks, 50)
     assert {(r.pos, r.ref, r.alt) for r in coding.collect()} == {(4, "T", "A")}
     assert {r.alt for r in protein.collect()} == {"TTA", "TTG", "CTT", "CTC", "CTA", "CTG"} and {r.pos for r in protein.collect()} == {9}
     sizes = spark.createDataFrame([("1", len(seq))], "chrom string, chrom_size bigint")
-    index = papers.index_rows(papers.normalised(coding.unionByName(protein), chunks, 50, sizes, 20))
+    index = papers.index_rows(coordinates.normalise_alleles(coding.unionByName(protein), chunks, 50, sizes, 20))
     rows = index.collect()
     assert len(rows) == 7 and {r.transcript for r in rows if r.pos == 4} == {"T2"}
     wanted = spark.createDataFrame([("1", 4, "T", "A")], "chrom string, pos bigint, ref string, alt string")
     assert [r.paper_id for r in papers.lookup(index, wanted).collect()] == ["p1"]
-    rs = papers.rsid_alleles(got.limit(1).withColumn("var", F.expr("named_struct('mut_type','RSID','rsid','77')")), spark.createDataFrame([(77, "1", 9, 10, "A", "A/-")], "name bigint, chrom string, start bigint, end bigint, ref string, observed string"))
+    rs = routes.rsid_alleles(got.limit(1).withColumn("var", F.expr("named_struct('mut_type','RSID','rsid','77')")), spark.createDataFrame([(77, "1", 9, 10, "A", "A/-")], "name bigint, chrom string, start bigint, end bigint, ref string, observed string"))
     assert sorted((r.pos, r.ref, r.alt) for r in rs.collect()) == [(10, "A", ""), (10, "A", "A")]
 
 
@@ -140,3 +140,39 @@ def test_table_genes(spark):
     cap = spark.createDataFrame([("p", 0, 1, 6)], "paper_id string, file_idx int, table_idx int, gene_id int")
     body = spark.createDataFrame([("p", 0, 7, 1, "g"), ("p", 0, 7, 9, "g"), ("p", 0, 8, 2, "h")], "paper_id string, file_idx int, gene_id int, start int, gene string")
     assert {r.mention: r.gene_id for r in papers.assign_tables(v, g, cap, body).collect()} == {"m": 5, "n": 6, "o": 7, "x": 0}
+
+
+def _zip(files: dict) -> bytes:
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as z:
+        for name, body in files.items():
+            z.writestr(name, body)
+    return out.getvalue()
+
+
+def test_members_that_cannot_be_read_cost_no_other(spark):
+    locked = bytearray(_zip({"a.txt": "secret", "b.txt": "plain"}))
+    for mark, at in ((b"PK\x03\x04", 6), (b"PK\x01\x02", 8)):  # the flag of encryption, in both headers of the first member
+        locked[locked.find(mark) + at] |= 1
+    damaged = _zip({"a.txt": "words here", "b.txt": "kept"}).replace(b"words here", b"wordz here")
+    rows = [("p", 0, "one.zip", bytes(locked)), ("p", 1, "two.zip", damaged), ("p", 2, "three.zip", _zip({"in.zip": b"PK\x03\x04 no archive", "deep.zip": _zip({"c.txt": "deep"}), "d.txt": "beside", "e.bin": "x"})), ("q", 0, "four.zip", b"PK\x03\x04broken"), ("q", 1, "five.txt", None)]
+    df = spark.createDataFrame(rows, "paper_id string, file_idx int, filename string, content binary")
+    got = {(r["paper_id"], r["filename"]): (r["status"], r["body"]) for r in documents.parse(df).collect()}
+    assert got == {
+        ("p", "one.zip/a.txt"): ("failed: RuntimeError", ""), ("p", "one.zip/b.txt"): ("ok", "plain"), ("p", "two.zip/a.txt"): ("failed: BadZipFile", ""), ("p", "two.zip/b.txt"): ("ok", "kept"),
+        ("p", "three.zip/in.zip"): ("failed: BadZipFile", ""), ("p", "three.zip/deep.zip/c.txt"): ("ok", "deep"), ("p", "three.zip/d.txt"): ("ok", "beside"), ("p", "three.zip/e.bin"): ("unsupported", ""),
+        ("q", "four.zip"): ("failed: BadZipFile", ""), ("q", "five.txt"): ("unsupported", ""),
+    }
+    assert documents.parse(df.limit(0)).count() == 0
+
+
+def test_a_file_that_loops_is_told_and_costs_no_other(spark):
+    def slow(content):
+        while content == b"loop":
+            pass
+        return {"body": "read", "tables": []}
+
+    rows = [("p", i, f"{i}.txt", b"loop" if i % 3 == 1 else b"fine") for i in range(5)]
+    df = spark.createDataFrame(rows, "paper_id string, file_idx int, filename string, content binary")
+    got = documents.parse(df, {"txt": slow}, seconds=0.3).orderBy("file_idx").collect()
+    assert [(r["status"], r["body"]) for r in got] == [("ok", "read"), ("timeout", ""), ("ok", "read"), ("ok", "read"), ("timeout", "")]
