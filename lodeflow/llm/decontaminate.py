@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodeflow.llm.common import map_rows, session, settle, small
+from lodeflow.llm.common import free_name, map_rows, session, settle, small
 
 #: Words of a window.
 WINDOW = 8
@@ -231,11 +231,12 @@ def contaminated_rows(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW,
     without a shuffle; with several, the rows to go are joined. Edge rows as above: null and empty texts stay, and so
     does everything if the benchmark is empty; ``docs`` must be a repeatable plan such as a Parquet read.
     """
-    numbered = docs.withColumn("__row", F.monotonically_increasing_id())
-    hits, n = _all_hits(numbered.select(F.col("__row").alias("row"), "text"), benchmark, size, block_chars)
+    row = free_name(docs, "__row")
+    numbered = docs.withColumn(row, F.monotonically_increasing_id())
+    hits, n = _all_hits(numbered.select(F.col(row).alias("row"), "text"), benchmark, size, block_chars)
     if n > 1:
-        gone = settle(hits.where("size(longs) > 0 or size(array_distinct(items)) >= 2").select(F.col("row").alias("__row")))
-        return numbered.join(F.broadcast(gone) if small(gone, 1_000_000) else gone, "__row", "left_anti").drop("__row")
+        gone = settle(hits.where("size(longs) > 0 or size(array_distinct(items)) >= 2").select(F.col("row").alias(row)))
+        return numbered.join(F.broadcast(gone) if small(gone, 1_000_000) else gone, row, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
     block, sent, key = hits
     if not block:
         return docs

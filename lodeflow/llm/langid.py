@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodeflow.llm.common import map_rows, session, settle, small
+from lodeflow.llm.common import free_name, map_rows, session, settle, small
 
 #: Labelled rows per language that the text model is fitted on (a documented bound of the sample).
 FIT_ROWS = 400
@@ -211,7 +211,8 @@ def accepted_rows(docs: DataFrame) -> DataFrame:
     Rows are matched by a row number of the scan (``docs`` must be a repeatable plan such as a Parquet read),
     so null and repeated ids do no harm. Only rejected rows travel.
     """
-    numbered = docs.withColumn("__row", F.monotonically_increasing_id())
-    found = identify(numbered.select("__row", "text", "lang", "source"), ["__row"], "text", declared="lang", host="source")
-    gone = settle(found.where(~F.col("accepted")).select("__row"))
-    return numbered.join(F.broadcast(gone) if small(gone, 1_000_000) else gone, "__row", "left_anti").drop("__row")
+    row = free_name(docs, "__row")
+    numbered = docs.withColumn(row, F.monotonically_increasing_id())
+    found = identify(numbered.select(row, "text", "lang", "source"), [row], "text", declared="lang", host="source")
+    gone = settle(found.where(~F.col("accepted")).select(row))
+    return numbered.join(F.broadcast(gone) if small(gone, 1_000_000) else gone, row, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

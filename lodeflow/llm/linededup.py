@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodeflow.llm.common import map_rows, settle, small
+from lodeflow.llm.common import free_name, map_rows, settle, small
 from lodeflow.llm.rolling import Words, least_places, scramble
 
 #: Lines that the rolling hash looks back over, and the mean number of lines in a chunk.
@@ -303,21 +303,33 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     number of the scan, so null or repeated ids do no harm; ``docs`` must be a repeatable plan such as a Parquet
     read. An empty table gives no rows.
     """
-    return _stripped(docs).select(*[F.length("__new").cast(dict(docs.dtypes)[c]).alias(c) if c == "n_chars" else F.col("__new").alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns])
+    stripped, cut = _stripped(docs)
+    new = F.col(f"{cut}.text")
+    return stripped.select(*[F.length(new).cast(dict(docs.dtypes)[c]).alias(c) if c == "n_chars" else new.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns])
 
 
-def _stripped(docs: DataFrame) -> DataFrame:
-    numbered = docs.withColumn("__row", F.monotonically_increasing_id())
+def _stripped(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with one more column, and its name: a struct of gone, runs, copy and the text that stays."""
+    row, out = free_name(docs, "__row"), free_name(docs, "__cut")
+    numbered = docs.withColumn(row, F.monotonically_increasing_id())
     order = "doc_id" if "doc_id" in docs.columns else None
-    gone = settle(repeats(numbered.select("__row", "text", *([order] if order else [])), "__row", order=order))
+    rows = numbered.select(F.col(row).alias("row"), "text", *([order] if order else []))
+    gone = settle(repeats(rows, "row", order=order).select(F.col("row").alias(row), F.struct("gone", "runs", "copy").alias(out)))
 
     @F.pandas_udf("string")
     def cut(text: pd.Series, gone: pd.Series, runs: pd.Series, copy: pd.Series) -> pd.Series:
         return pd.Series([strip(t, None if g is None else list(g), None if r is None else [(x["a"], x["b"]) for x in r], bool(c)) for t, g, r, c in zip(text, gone, runs, copy, strict=True)], dtype=object)
 
-    joined = numbered.join(F.broadcast(gone) if small(gone, BROADCAST_ROWS // 10) else gone, "__row", "left")
-    none: Column = F.col("copy").isNull()
-    return joined.withColumn("__new", F.when(none, F.col("text")).otherwise(cut(F.when(~none, F.col("text")), "gone", "runs", "copy")))
+    joined = numbered.join(F.broadcast(gone) if _few_bytes(gone, out) else gone, row, "left")
+    none: Column = F.col(out).isNull()
+    new = F.when(none, F.col("text")).otherwise(cut(F.when(~none, F.col("text")), f"{out}.gone", f"{out}.runs", f"{out}.copy"))
+    return joined.select(*[F.col(f"`{c}`") for c in docs.columns], F.struct(f"{out}.gone", f"{out}.runs", f"{out}.copy", new.alias("text")).alias(out)), out
+
+
+def _few_bytes(gone: DataFrame, cut: str) -> bool:
+    """Whether a table of what goes is small enough to broadcast: by rows, and by the elements of all its arrays."""
+    size = F.lit(4) + F.greatest(F.size(f"{cut}.gone"), F.lit(0)) + 2 * F.greatest(F.size(f"{cut}.runs"), F.lit(0))
+    return small(gone, BROADCAST_ROWS // 10) and (gone.agg(F.sum(size)).first()[0] or 0) <= BROADCAST_ROWS
 
 
 def line_report(docs: DataFrame) -> DataFrame:
@@ -326,6 +338,6 @@ def line_report(docs: DataFrame) -> DataFrame:
     ``n_lines`` counts the lines before it; a copy of an earlier text has no counts of its own (0). Null texts have
     null lines; null ids stay; repeated rows give a row each; an empty table gives no rows; other columns are not read.
     """
-    base = _stripped(docs.select("doc_id", "text"))
-    words = F.aggregate("runs", F.lit(0), lambda n, x: n + x["b"] - x["a"])
-    return base.select("doc_id", F.size(F.split("text", "\n")).alias("n_lines"), F.coalesce(F.greatest(F.size("gone"), F.lit(0)), F.lit(0)).alias("n_removed_chunks"), F.coalesce(words, F.lit(0)).alias("n_removed_words"), F.coalesce("copy", F.lit(False)).alias("is_copy"), F.col("__new").alias("text"))
+    base, cut = _stripped(docs.select("doc_id", "text"))
+    words = F.aggregate(f"{cut}.runs", F.lit(0), lambda n, x: n + x["b"] - x["a"])
+    return base.select("doc_id", F.size(F.split("text", "\n")).alias("n_lines"), F.coalesce(F.greatest(F.size(f"{cut}.gone"), F.lit(0)), F.lit(0)).alias("n_removed_chunks"), F.coalesce(words, F.lit(0)).alias("n_removed_words"), F.coalesce(f"{cut}.copy", F.lit(False)).alias("is_copy"), F.col(f"{cut}.text").alias("text"))

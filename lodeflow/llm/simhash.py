@@ -9,7 +9,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodeflow.llm.common import map_rows, settle, small
+from lodeflow.llm.common import free_name, map_rows, settle, sized_join, small
 from lodeflow.llm.components import connected_components
 
 #: Fingerprints of one block of a hot key; a task compares two blocks at most.
@@ -660,13 +660,18 @@ def near_duplicates(docs: DataFrame, id_col: str, size: int = 5, block: int = BL
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each group of near duplicates (the first by scan order); columns unchanged.
+    """``docs`` with one document of each group of near duplicates (the first by ``doc_id``, nulls first, then by scan order); columns unchanged.
 
     Linked are fingerprints at 3 or fewer differing bits, as in ``components``, and sets of shingles at 0.8 or more.
     Texts without words are one group. Rows are told apart by a row number of the scan, so null or repeated
-    ids do no harm; ``docs`` must be a repeatable plan such as a Parquet read. An empty table gives no rows.
+    ids do no harm; ``docs`` must be a repeatable plan such as a Parquet read. An empty table gives no rows; without a ``doc_id`` the scan's order counts. Other columns may have any names.
     """
-    numbered = docs.withColumn("__row", F.monotonically_increasing_id())
-    groups = near_duplicates(numbered.select("__row", "text"), "__row", tau=3)
-    gone = settle(groups.where("__row <> root").select("__row"))
-    return numbered.join(F.broadcast(gone) if small(gone, 1_000_000) else gone, "__row", "left_anti").drop("__row")
+    row = free_name(docs, "__row")
+    numbered = docs.withColumn(row, F.monotonically_increasing_id())
+    ids = numbered.select(F.col(row).alias("row"), (F.col("doc_id") if "doc_id" in docs.columns else F.lit(None).cast("bigint")).alias("doc_id"))
+    groups = settle(near_duplicates(numbered.select(F.col(row).alias("row"), "text"), "row", tau=3))
+    several = settle(groups.where("row <> root").select("root").distinct())
+    members = settle(sized_join(groups, several, ["root"], "left_semi", 1_000_000).join(ids, "row").select("row", "root", "doc_id"))
+    kept = settle(members.groupBy("root").agg(F.min(F.struct("doc_id", "row")).alias("first")).select("root", "first.row").withColumnRenamed("row", "kept"))
+    gone = settle(sized_join(members, kept, ["root"], "inner", 1_000_000).where("row <> kept").select(F.col("row").alias(row)))
+    return numbered.join(F.broadcast(gone) if small(gone, 1_000_000) else gone, row, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
