@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lodeflow.operators import windows
+from lodeflow.session import settle
 
 SIDES = ("x1", "y1", "x2", "y2")
 
@@ -162,20 +165,82 @@ def nms_arrays(box: np.ndarray, order: np.ndarray, threshold: float) -> list[int
     return keep
 
 
-def nms(dets: DataFrame, by: list[str], score: str, key: str, threshold: float, top: int | None = None, keep: int | None = None) -> DataFrame:
+#: Boxes of a group that one task holds at most; larger groups are settled by rounds of joins.
+GROUP_BOXES = 20_000
+
+
+def nms(dets: DataFrame, by: list[str], score: str, key: str, threshold: float, top: int | None = None, keep: int | None = None, most: int = GROUP_BOXES) -> DataFrame:
     """Non-maximum suppression within each group: by falling score, then key. ``top`` rows before it, ``keep`` after it.
 
-    The order-bound part runs once per (image, class), a group that the detector bounds.
+    One window ranks the boxes of each group, and a pass over its sorted rows cuts the groups, so tens of thousands of small groups cost no call each.
+    Groups of more than ``most`` boxes (told by grouped counts) don't go to a task: see ``dominance``. Both give the same rows. Groups with a null in ``by`` are kept apart like any other.
     """
+    ranked = dets.withColumn("__r", F.row_number().over(Window.partitionBy(*by).orderBy(F.desc(score), key)))
     if top is not None:
-        dets = dets.withColumn("__r", F.row_number().over(Window.partitionBy(*by).orderBy(F.desc(score), key))).where(F.col("__r") <= top).drop("__r")
-
-    def run(g: pd.DataFrame) -> pd.DataFrame:
-        order = np.lexsort((g[key].to_numpy(), -g[score].to_numpy()))
-        kept = nms_arrays(g[list(SIDES)].to_numpy(dtype=float), order, threshold)
-        return g.iloc[kept[:keep] if keep is not None else kept]
-
-    return dets.groupBy(*by).applyInPandas(run, dets.schema)
+        ranked = ranked.where(F.col("__r") <= top)
+    sized = settle(ranked.groupBy(*by).agg(F.count("*").alias("__n")).where(F.col("__n") > most)) if top is None or top > most else None
+    large = sized is not None and not sized.isEmpty()
+    names, at = ranked.columns, ranked.columns.index("__r")
+    sides = [names.index(c) for c in SIDES]
+
+    def run(batches):
+        held = None
+
+        def kept(table: pa.Table, start: int, end: int) -> list[int]:
+            part = table.slice(start, end - start)
+            got = nms_arrays(np.stack([part.column(c).to_numpy().astype(float) for c in sides], axis=1), np.arange(end - start), threshold)
+            return [start + i for i in (got[:keep] if keep is not None else got)]
+
+        def out(table: pa.Table, cuts: list[int]):
+            rows = [i for a, b in zip(cuts, cuts[1:], strict=False) for i in kept(table, a, b)]
+            yield from table.take(pa.array(rows, pa.int64())).combine_chunks().to_batches()
+
+        for batch in batches:
+            table = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+            starts = np.flatnonzero(table.column(at).to_numpy() == 1).tolist()
+            yield from out(table, starts)
+            held = table.slice(starts[-1]).combine_chunks() if starts else table
+        if held is not None and held.num_rows:
+            yield from out(held, [0, held.num_rows])
+
+    small = ranked.join(F.broadcast(sized) if sized.limit(10_001).count() <= 10_000 else sized, by, "left_anti").select(*names) if large else ranked
+    if large:  # a join may disturb the order of the window's rows
+        small = small.repartition(*by).sortWithinPartitions(*by, "__r")
+    done = small.mapInArrow(run, ranked.schema).drop("__r")
+    if not large:
+        return done
+    return done.unionByName(dominance(ranked.join(sized.select(*by), by, "left_semi").select(*names), by, "__r", threshold, keep).drop("__r"))
+
+
+def dominance(ranked: DataFrame, by: list[str], rank: str, threshold: float, keep: int | None = None) -> DataFrame:
+    """Greedy suppression of groups of any size, in the order of ``rank`` (unique in a group).
+
+    Pairs that overlap by more than ``threshold`` meet on tiles, once. In each round a box that no better open neighbour has is kept, and its
+    worse neighbours go, until none is open. That is the greedy order's result, as a box's fate depends on its better neighbours alone;
+    there are as many rounds as the longest chain of neighbours that decide on each other.
+    """
+    rows = settle(ranked)
+    wide = rows.select(*by, rank, "x1", "y1", (F.col("x2") + 1).alias("x2"), (F.col("y2") + 1).alias("y2"))
+    size = rows.agg(F.avg(F.greatest(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")))).first()[0] or 0.0
+    pairs = overlap_join(wide, wide, by, max(1.0, 2.0 * size)).where(F.col(f"a_{rank}") < F.col(f"b_{rank}"))
+    edges = settle(pairs.where(iou_plain("a_", "b_") > threshold).select(*by, F.col(f"a_{rank}").alias("__a"), F.col(f"b_{rank}").alias("__b")))
+    open_, kept = settle(edges.select(*by, F.col("__a").alias(rank)).unionByName(edges.select(*by, F.col("__b").alias(rank))).distinct()), []
+    alone = rows.join(open_, [*by, rank], "left_anti").select(*by, rank)
+    while True:
+        beaten = edges.select(*by, F.col("__b").alias(rank)).distinct()
+        won = settle(open_.join(beaten, [*by, rank], "left_anti"))
+        if won.isEmpty():
+            break
+        kept.append(won)
+        gone = edges.join(won.select(*by, F.col(rank).alias("__a")), [*by, "__a"], "left_semi").select(*by, F.col("__b").alias(rank)).distinct()
+        open_ = settle(open_.join(won, [*by, rank], "left_anti").join(gone, [*by, rank], "left_anti").select(*by, rank))
+        still = open_.select(*by, rank)
+        edges = settle(edges.join(still.withColumnRenamed(rank, "__a"), [*by, "__a"], "left_semi").join(still.withColumnRenamed(rank, "__b"), [*by, "__b"], "left_semi").select(*by, "__a", "__b"))
+    ranks = reduce(DataFrame.unionByName, [alone, *kept])
+    out = rows.join(ranks, [*by, rank], "left_semi").select(*ranked.columns)
+    if keep is not None:
+        out = out.withColumn("__k", F.row_number().over(Window.partitionBy(*by).orderBy(rank))).where(F.col("__k") <= keep).drop("__k")
+    return out
 
 
 def label_anchors(anchors: DataFrame, truths: DataFrame, by: list[str], key: str, size: float, positive: float = 0.7, negative: float = 0.3) -> DataFrame:

@@ -11,7 +11,9 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from lodeflow.functions import text as T
+from lodeflow.functions.once import once
 from lodeflow.operators import asof
+from lodeflow.session import settle
 
 #: Words that don't count as tokens of a name in the first and the second bag.
 STOP_FIRST = ["", "of", "the"]
@@ -163,36 +165,28 @@ def resolve_names(mentions: DataFrame, names: DataFrame, gene_tokens: DataFrame,
     several, and mentions without any option, take the gene of a neighbour nearer than ``gap`` characters;
     else several options stay (``options``, ``gene_id`` the smallest) and none gives null.
     """
-    keyed = mentions.withColumn("name_key", T.name_key(F.col("mention"))).withColumn("words", F.split(T.name_words(F.col("mention")), " +"))
-    # each stage is settled: what later stages read is a table, not the plan of all stages before
-    uniq = keyed.select("name_key", "words").where("name_key is not null").dropDuplicates(["name_key"]).checkpoint()
-    left, done, doubt = uniq, [], []
-
-    def close(candidates: DataFrame, step: int):
-        """Single candidates resolve, several are put by."""
-        nonlocal left
-        n = candidates.distinct().withColumn("__n", F.count("*").over(Window.partitionBy("name_key"))).checkpoint()
-        done.append(n.where("__n = 1").select("name_key", "gene_id", F.lit(step).alias("step")))
-        doubt.append(n.where("__n > 1").select("name_key", "gene_id", F.lit(step).alias("step")))
-        left = left.join(n.select("name_key").distinct(), "name_key", "left_anti").checkpoint()
-
-    def found_in(own: DataFrame) -> DataFrame:
-        """Entries under the whole name, or where there is none under the name without a leading h."""
-        direct = left.select("name_key").join(own, "name_key")
-        bare = left.join(direct, "name_key", "left_anti").select("name_key", T.without_h(F.col("name_key")).alias("__h")).join(own.withColumnRenamed("name_key", "__h"), "__h")
-        return direct.select("name_key", "gene_id").unionByName(bare.select("name_key", "gene_id"))
-
-    close(found_in(names.where("kind = 'symbol'").groupBy("name_key").agg(F.max("gene_id").alias("gene_id"))), 2)
+    keyed = settle(once(mentions.select("block", "start", "end", "mention"), {"name_key": T.name_key(F.col("mention")), "words": F.split(T.name_words(F.col("mention")), " +")}))
+    uniq = keyed.select("name_key", "words").where("name_key is not null").dropDuplicates(["name_key"])
+
+    # steps 2 to 4 at once: of all entries under a name, or under it without a leading h, those of the first step that has any count
+    by_step = names.where("kind = 'symbol'").groupBy("name_key").agg(F.max("gene_id").alias("gene_id")).withColumn("step", F.lit(2))
     for kind, step in (("synonym", 3), ("other", 4)):
-        close(found_in(names.where(F.col("kind") == kind).select("name_key", "gene_id")), step)
-    bagged = bag_candidates(left, gene_tokens, "name_key", "words", "gene_id", "token").checkpoint()
-    named = name_winners(left, name_tokens, bagged, "name_key", "words", "gene_id", "name", "token").checkpoint()
-    single = bagged.withColumn("__n", F.count("*").over(Window.partitionBy("name_key"))).where("__n = 1").select("name_key", "gene_id")
-    rest = named.join(single, "name_key", "left_anti").withColumn("__n", F.count("*").over(Window.partitionBy("name_key")))
-    done += [single.withColumn("step", F.lit(5)), rest.where("__n = 1").select("name_key", "gene_id", F.lit(6).alias("step"))]
-    open_ = bagged.join(single, "name_key", "left_anti").join(rest.where("__n = 1").select("name_key"), "name_key", "left_anti")
-    doubt.append(open_.select("name_key", "gene_id", F.lit(6).alias("step")))
-    sure, unsure = reduce(DataFrame.unionByName, done).checkpoint(), reduce(DataFrame.unionByName, doubt).checkpoint()
+        by_step = by_step.unionByName(names.where(F.col("kind") == kind).select("name_key", "gene_id", F.lit(step).alias("step")))
+    tries = uniq.select("name_key", F.explode(F.array(F.struct(F.lit(0).alias("bare"), F.col("name_key").alias("__k")), F.struct(F.lit(1).alias("bare"), T.without_h(F.col("name_key")).alias("__k")))).alias("x")).select("name_key", "x.*")
+    hits = tries.join(by_step.withColumnRenamed("name_key", "__k"), "__k")
+    first = hits.withColumn("__first", F.min(F.struct("step", "bare")).over(Window.partitionBy("name_key"))).where(F.struct("step", "bare") == F.col("__first"))
+    exact = settle(first.select("name_key", "gene_id", "step").distinct().withColumn("__n", F.count("*").over(Window.partitionBy("name_key"))))
+    # steps 5 and 6 for names without an entry
+    left = settle(uniq.join(exact.select("name_key").distinct(), "name_key", "left_anti"))
+    bagged = settle(bag_candidates(left, gene_tokens, "name_key", "words", "gene_id", "token").withColumn("__n", F.count("*").over(Window.partitionBy("name_key"))))
+    several = bagged.where("__n > 1").select("name_key", "gene_id")
+    named = name_winners(left, name_tokens, several, "name_key", "words", "gene_id", "name", "token").withColumn("__one", F.count("*").over(Window.partitionBy("name_key")) == 1).where("__one").select("name_key", F.col("gene_id").alias("best"))
+    closed = settle(
+        exact.select("name_key", "gene_id", "step", (F.col("__n") == 1).alias("sure"))
+        .unionByName(bagged.where("__n = 1").select("name_key", "gene_id", F.lit(5).alias("step"), F.lit(True).alias("sure")))
+        .unionByName(several.join(named, "name_key", "left").where("best is null or best = gene_id").select("name_key", "gene_id", F.lit(6).alias("step"), F.col("best").isNotNull().alias("sure")))
+    )
+    sure, unsure = closed.where("sure").select("name_key", "gene_id", "step"), closed.where("not sure").select("name_key", "gene_id", "step")
 
     place = ["block", "start", "end"]
     spots = keyed.select(*place, "mention", "name_key")
@@ -203,7 +197,8 @@ def resolve_names(mentions: DataFrame, names: DataFrame, gene_tokens: DataFrame,
     open7 = options.join(seven.select(*place).distinct(), place, "left_anti")
     common = open7.join(gene_tokens.distinct(), "gene_id").join(articles.where(~F.col("token").isin(STOP_FIRST)).distinct(), ["block", "token"]).groupBy(*place, "mention", "name_key", "gene_id").agg(F.countDistinct("token").alias("n"))
     eight = common.withColumn("m", F.max("n").over(Window.partitionBy(*place))).where("n = m").withColumn("step", F.lit(8))
-    kept = seven.select(found.columns).unionByName(eight.select(found.columns)).groupBy(*place, "mention", "name_key", "step").agg(F.array_sort(F.collect_set("gene_id")).alias("options")).checkpoint()
+    kept = seven.select(found.columns).unionByName(eight.select(found.columns)).groupBy(*place, "mention", "name_key", "step").agg(F.array_sort(F.collect_set("gene_id")).alias("options"))
+    kept = settle(kept)
     one = kept.where("size(options) = 1").select("name_key", *place, "mention", F.col("options")[0].alias("gene_id"), "step")
     resolved = found.unionByName(one.select(found.columns)).groupBy("block", "name_key").agg(F.min("gene_id").alias("gene_id"), F.min("step").alias("step"))
     # a name that was resolved in one place of a block is so in all of it

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodeflow.operators import boxes, windows
+from lodeflow.session import settle
 
 
 def rank_flags(dets: DataFrame, truths: DataFrame, by: list[str], image: str, det: str, gt: str, score: str, size: float, threshold: float = 0.5) -> DataFrame:
@@ -125,19 +126,23 @@ def match_images(dets: DataFrame, truths: DataFrame, image: str, category: str,
 
 def accumulate(matched: DataFrame, category: str, image: str, most: list[int] = MAX_DETS) -> DataFrame:
     """Mean precision at 101 recalls and highest recall, per category, area, IoU and most detections; -1 without truths."""
-    spark, matched = matched.sparkSession, matched.checkpoint()
+    matched = settle(matched)
     key = [category, "area", "iou", "max_det"]
     wide = matched.withColumn("max_det", F.explode(F.array(*[F.lit(m) for m in most]))).where(F.col("rank") <= F.col("max_det"))
     npos = wide.groupBy(*key).agg(F.sum("npos").alias("npos"))
     order = [F.desc("score"), F.col(image), F.col("rank")]
     parts = windows.ranged(wide.where("rank > 0").drop("npos").join(npos, key).where("npos > 0").select(*key, "npos", "score", image, "rank", "tp", "fp"), key, order)
     run = windows.running(parts, key, order, {"r": F.lit(1), "ctp": F.col("tp"), "cfp": F.col("fp")})
-    scored = run.select(*key, "__range", "r", (F.col("ctp") / F.col("npos")).alias("recall"), (F.col("ctp") / (F.col("ctp") + F.col("cfp"))).alias("p"))
-    pts = windows.highest_ahead(scored, key, [F.desc("r")], "p", "env")
-    at = spark.createDataFrame([(r,) for r in RECALLS], "t double")
-    first = pts.join(F.broadcast(at), pts.recall >= at.t - 1e-12).groupBy(*key, "t").agg(F.max("env").alias("env"))
+    scored = run.select(*key, (F.col("ctp") / F.col("npos")).alias("recall"), (F.col("ctp") / (F.col("ctp") + F.col("cfp"))).alias("p"))
+    # recall never falls, so the best precision from the first point that reaches a recall on is the best of all points that reach it: the best of
+    # each of 101 steps of recall is taken first, partly in the tasks, and steps are added up from what is left
+    low = F.floor(F.col("recall") * 100).cast("int")
+    reached = lambda i: F.col("recall") >= F.element_at(F.array(*[F.lit(r - 1e-12) for r in RECALLS]), F.least(i, F.lit(100)) + 1)
+    step = F.when(reached(low + 1), F.least(low + 1, F.lit(100))).when(reached(low), low).otherwise(low - 1)
+    best = settle(scored.groupBy(*key, step.alias("step")).agg(F.max("p").alias("p"), F.max("recall").alias("recall")))
+    first = best.select(*key, "p", F.explode(F.sequence(F.lit(0), "step")).alias("t")).groupBy(*key, "t").agg(F.max("p").alias("env"))
     prec = first.groupBy(*key).agg((F.sum("env") / len(RECALLS)).alias("precision"))
-    rec = pts.groupBy(*key).agg(F.max("recall").alias("recall"))
+    rec = best.groupBy(*key).agg(F.max("recall").alias("recall"))
     none = F.when(F.col("npos") > 0, F.lit(0.0)).otherwise(F.lit(-1.0))
     return npos.join(prec, key, "left").join(rec, key, "left").select(*key, "npos", F.coalesce("precision", none).alias("precision"), F.coalesce("recall", none).alias("recall"))
 

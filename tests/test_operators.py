@@ -228,3 +228,26 @@ def test_layout_of_spans_without_width_ends():
     for _ in range(300):
         k = rng.randint(1, 12)
         assert layout.page_tables(box(rng.randint(1, 4)), box(k), np.array(rng.choices([0, 1], k=k)), 40.0).shape[1] == 4
+
+
+def test_suppression_of_any_group_is_the_greedy_one(spark):
+    rng = random.Random(5)
+    rows = []
+    for img in range(30):
+        for i in range(rng.choice([1, 2, 7, 40]) if img else 900):
+            x, y = rng.randint(0, 120), rng.randint(0, 120)
+            rows.append((img if img != 3 else None, rng.choice("ab"), i, float(rng.randint(0, 50)), float(x), float(y), float(x + rng.randint(0, 40)), float(y + rng.randint(0, 40)), f"t{i}"))
+    df = spark.createDataFrame(rows, "img int, cls string, id int, score double, x1 double, y1 double, x2 double, y2 double, note string").repartition(3)
+    want = set()
+    for key in {(r[0], r[1]) for r in rows}:
+        group = sorted((r for r in rows if (r[0], r[1]) == key), key=lambda r: (-r[3], r[2]))
+        kept = boxes.nms_arrays(np.array([r[4:8] for r in group]), np.arange(len(group)), 0.3)
+        want |= {(*key, group[i][2]) for i in kept}
+    for most in (10**6, 300):
+        got = boxes.nms(df.where("img is not null"), ["img", "cls"], "score", "id", 0.3, most=most)
+        assert got.columns == df.columns and all(r["note"] == f"t{r['id']}" for r in got.collect())
+        assert {(r["img"], r["cls"], r["id"]) for r in got.collect()} == {w for w in want if w[0] is not None}
+    few = boxes.nms(df.where("img = 0"), ["img", "cls"], "score", "id", 0.3, keep=2, most=100).collect()
+    assert {(r["cls"], r["id"]) for r in few} == {(r["cls"], r["id"]) for r in boxes.nms(df.where("img = 0"), ["img", "cls"], "score", "id", 0.3, keep=2).collect()} and len(few) == 4
+    assert {(r["img"], r["cls"], r["id"]) for r in boxes.nms(df, ["img", "cls"], "score", "id", 0.3).collect()} == want
+    assert boxes.nms(df.limit(0), ["img", "cls"], "score", "id", 0.3).count() == 0

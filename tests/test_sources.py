@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lodeflow.operators import coordinates
 from lodeflow.plans import papers, routes
-from lodeflow.sources import documents, reference, sinks
+from lodeflow.sources import buckets, documents, reference, sinks
 from lodeflow.streaming import ingest
 
 XML = b"""<article><front><article-title>On genes</article-title></front><body><p>First one. Second one.</p>
@@ -59,7 +59,7 @@ def test_parse_and_stream(spark, tmp_path):
     assert documents.cells(documents.parse(documents.files(spark, f"{tmp_path}/in"))).where("paper_id = 'p1'").count() == 5
     for _ in range(2):
         ingest.ingest(spark, f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/cp").awaitTermination(120)
-    assert spark.read.parquet(f"{tmp_path}/out").count() == 6
+    assert buckets.read(spark, f"{tmp_path}/out").count() == 6
 
 
 def test_replace_and_report(spark, tmp_path):
