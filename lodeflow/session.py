@@ -11,7 +11,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Rows and bytes of an Arrow batch at most; whole texts and files make wide rows.
+#: Rows of an Arrow batch at most, as whole texts make wide rows, and bytes of one of whole files.
 BATCH_ROWS = 1000
 BATCH_BYTES = 64 << 20
 _shipped: set[str] = set()
@@ -28,13 +28,17 @@ def prepare(spark: SparkSession) -> SparkSession:
     _ship(sc)
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    if not 0 < _bytes(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= BATCH_BYTES:
-        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     if not sc._jsc.sc().getCheckpointDir().isDefined():
         sc.setCheckpointDir(checkpoint_dir(spark))
     return spark
 
 
+def limit_batches(spark: SparkSession, most: int = BATCH_BYTES) -> None:
+    """From now on an Arrow batch of this session holds ``most`` bytes at most, or one row: for rows of whole files."""
+    if not 0 < _bytes(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= most:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(most))
+
+
 def _bytes(size: str) -> int:
     """Plain numbers of bytes; a size with a unit is someone's choice and counts as small enough."""
     digits = size.lower().removesuffix("b")

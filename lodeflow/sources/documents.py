@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lodeflow.session import limit_batches
+
 #: Schema of a parsed file: body text and tables with a caption and a grid of cell texts.
 PARSED = "status string, body string, tables array<struct<label:string,caption:string,cells:array<array<string>>>>"
 #: Characters of a body at most.
@@ -288,6 +290,7 @@ def parse(found: DataFrame, readers: dict[str, Callable[[bytes], dict]] | None =
     A file that no reader takes, that can't be read or that takes more than ``seconds`` (status ``timeout``) keeps its row with an empty body and
     its status; the numbers of files count them. Bodies are cut at ``MOST_BODY`` characters. A file without contents (null) has no kind.
     """
+    limit_batches(found.sparkSession)
     readers = READERS | (readers or {})
 
     def one(kind, content):
