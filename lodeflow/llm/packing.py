@@ -19,7 +19,7 @@ from lodeflow.llm.common import map_rows, session, settle, sized_join
 
 CAPACITY = 4096
 #: Words whose ids a worker remembers.
-CACHE = 300_000
+CACHE = 150_000
 #: Separators that the str.split of Python knows and the tokenizer's \\s doesn't.
 _ODD_SPACE = ("\x1c", "\x1d", "\x1e", "\x1f")
 END_ID = 1

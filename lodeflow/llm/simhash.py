@@ -669,9 +669,8 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     row = free_name(docs, "__row")
     numbered = docs.withColumn(row, F.monotonically_increasing_id())
     ids = numbered.select(F.col(row).alias("row"), (F.col("doc_id") if "doc_id" in docs.columns else F.lit(None).cast("bigint")).alias("doc_id"))
-    groups = settle(near_duplicates(numbered.select(F.col(row).alias("row"), "text"), "row", tau=3))
-    several = settle(groups.where("row <> root").select("root").distinct())
-    members = settle(sized_join(groups, several, ["root"], "left_semi", 1_000_000).join(ids, "row").select("row", "root", "doc_id"))
-    kept = settle(members.groupBy("root").agg(F.min(F.struct("doc_id", "row")).alias("first")).select("root", "first.row").withColumnRenamed("row", "kept"))
-    gone = settle(sized_join(members, kept, ["root"], "inner", 1_000_000).where("row <> kept").select(F.col("row").alias(row)))
+    groups = near_duplicates(numbered.select(F.col(row).alias("row"), "text"), "row", tau=3)
+    first = groups.join(ids, "row").groupBy("root").agg(F.min(F.struct("doc_id", "row")).alias("first"), F.count("*").alias("members"))
+    kept = settle(first.where("members > 1").select("root", F.col("first.row").alias("kept")))
+    gone = settle(sized_join(groups, kept, ["root"], "inner", 1_000_000).where("row <> kept").select(F.col("row").alias(row)))
     return numbered.join(F.broadcast(gone) if small(gone, 1_000_000) else gone, row, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
