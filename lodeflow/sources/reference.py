@@ -66,13 +66,24 @@ def transcripts(rows: list[DataFrame], maps: list[DataFrame]) -> DataFrame:
 
 
 def fasta(spark: SparkSession, path: str, name: str = "chrom") -> DataFrame:
-    """chrom, start0, line of a sequence file: the header above each line by a running maximum of line numbers per file."""
-    raw = spark.read.text(path, wholetext=False).withColumn("file", F.input_file_name()).withColumn("n", F.monotonically_increasing_id())
-    order = Window.partitionBy("file").orderBy("n")
-    head = F.last(F.when(F.col("value").startswith(">"), F.regexp_extract("value", r"^>(\S+)", 1)), True).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    lines = raw.select("file", "n", head.alias(name), F.trim("value").alias("line")).where(~F.col("line").startswith(">") & (F.col("line") != ""))
-    before = Window.partitionBy("file", name).orderBy("n").rowsBetween(Window.unboundedPreceding, -1)
-    return lines.select(name, F.coalesce(F.sum(F.length("line")).over(before), F.lit(0)).alias("start0"), "line")
+    """chrom, start0, line of sequence files. Lines are numbered within each split of a file; only one row for each split (its last header, its bases) meets in one place to carry on.
+
+    ``sequence.sequence_chunks`` reads ranges of one file without going through all of it.
+    """
+    raw = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")).withColumn("n", F.monotonically_increasing_id())
+    is_head, line = F.col("value").startswith(">"), F.trim("value")
+    lines = raw.select("file", "block", "n", F.when(is_head, F.regexp_extract("value", r"^>(\S+)", 1)).alias("head"), line.alias("line"), F.when(is_head, 0).otherwise(F.length(line)).alias("size"))
+    own = Window.partitionBy("file", "block").orderBy("n")
+    lines = lines.withColumn("before", F.coalesce(F.sum("size").over(own.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    mark = F.last(F.when(F.col("head").isNotNull(), F.struct("head", "before")), True).over(own.rowsBetween(Window.unboundedPreceding, 0))
+    lines = lines.withColumn("mark", mark)
+    splits = lines.groupBy("file", "block").agg(F.sum("size").alias("total"), F.max_by("mark", "n").alias("last"))
+    order = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.withColumn("base", F.coalesce(F.sum("total").over(order), F.lit(0))).withColumn("at", F.when(F.col("last").isNotNull(), F.struct(F.col("last.head").alias("head"), (F.col("base") + F.col("last.before")).alias("place"))))
+    carried = splits.select("file", "block", "base", F.last("at", True).over(order).alias("carried"))
+    told = lines.join(carried, ["file", "block"]).where("head is null and line <> ''")
+    start = F.when(F.col("mark").isNotNull(), F.col("before") - F.col("mark.before")).otherwise(F.col("base") + F.col("before") - F.col("carried.place"))
+    return told.select(F.coalesce("mark.head", "carried.head").alias(name), start.alias("start0"), "line")
 
 
 def name_dictionary(spark: SparkSession, path: str) -> dict[str, DataFrame]:
