@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from lodeflow.operators import coordinates
 from lodeflow.plans import papers, routes
 from lodeflow.registry import query
-from lodeflow.session import table
-from lodeflow.sources import documents
+from lodeflow.session import shared_path, table
+from lodeflow.sources import buckets, documents, sinks
 
 
 @query("s4_pages_parsed", "select page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) <> '' as titled from pages")
@@ -53,3 +53,38 @@ def m2_variant_index(spark, d):
     sizes = spark.createDataFrame([("1", 400)], "chrom string, chrom_size bigint")
     index = papers.index_rows(coordinates.normalise_alleles(routes.coding_alleles(got, tx, chunks, 200), chunks, 200, sizes))
     return index.select(F.substring("paper_id", F.lit(2), F.length("paper_id")).cast("bigint").alias("p_partkey"), "pos", "ref", "alt")
+
+
+@query("p8_zone_lookup", """select l_orderkey, l_linenumber, l_partkey, l_suppkey from lineitem where (l_partkey, l_suppkey) in (select distinct l_partkey, l_suppkey from lineitem where l_orderkey % 1000 = 7)""")
+def p8_zone_lookup(spark, d):
+    """Lines by the part and supplier of some orders, from a table sorted by both whose files are chosen by their ranges of keys."""
+    lines = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    path, key = shared_path(spark, "zones"), ["l_partkey", "l_suppkey"]
+    sinks.index_load(lines, path, key, 16)
+    return sinks.index_lookup(lines.where("l_orderkey % 1000 = 7"), path, key).select(*lines.columns)
+
+
+@query("k1_bucket_upsert", "select user_id, event_id, case when user_id % 10 = 3 then 'new' else 'old' end as state from events where (user_id % 10 <> 3 or event_type = 'view')")
+def k1_bucket_upsert(spark, d):
+    """Users' events in a bucketed table; a second batch replaces some users, and a batch that comes again changes nothing."""
+    e = table(spark, d, "events").select("user_id", "event_id", "event_type")
+    path, some = shared_path(spark, "buckets"), e.where("user_id % 10 = 3")
+    buckets.upsert(e.select("user_id", "event_id", F.lit("old").alias("state")), path, "user_id", "first", buckets=16)
+    for _ in range(2):
+        buckets.upsert(some.where("event_type = 'view'").select("user_id", "event_id", F.lit("new").alias("state")), path, "user_id", "second", keys=some.select("user_id"))
+    return buckets.read(spark, path)
+
+
+@query("f13_pattern_scan", """with m as (select l_orderkey, l_linenumber, l_partkey, l_partkey % 7 as form, case l_partkey % 7 when 0 then 'c.' || l_partkey || 'A>G' when 1 then 'p.Arg' || l_partkey || 'Gln' when 2 then 'c.' || l_partkey || '_' || (l_partkey + 2) || 'del' when 3 then 'rs' || (l_partkey + 100) when 4 then 'c.' || l_partkey || 'insACG' when 5 then 'c.' || l_partkey || 'dupT' else 'none here' end as mention from lineitem)
+select l_orderkey, l_linenumber, case when form = 1 then 'protein' when form = 3 then 'listed' else 'dna' end as kind, cast(case when form in (2, 4, 5) then 0 when form = 0 then 1 else 0 end as integer) as place, mention, 5 as start, cast(5 + len(mention) as integer) as "end", true as kept from m where form <> 6
+union all select l_orderkey, l_linenumber, 'dna', 2, 'c.' || l_partkey, 5, cast(7 + len(cast(l_partkey as varchar)) as integer), false from m where form in (0, 2, 4, 5)""")
+def f13_pattern_scan(spark, d):
+    """Mentions by a table of patterns, in the order of the lists: spans of a group, and which ones an earlier pattern has taken."""
+    from lodeflow.operators import patterns
+    from lodeflow.plans.catalog_text import mention_column
+
+    front, back = r"([^0-9a-zA-Z])", r"(?=[^0-9a-zA-Z])"
+    lists = {"protein": [rf"{front}(p\.[A-Z][a-z]+[0-9]+[A-Z][a-z]+)(){back}"], "dna": [rf"{front}(c\.[0-9_]+(del|ins|dup)[ACGT]*){back}", rf"{front}(c\.[0-9]+[ACGT]>[ACGT])(){back}", rf"{front}(c\.[0-9]+)()"], "listed": [rf"{front}(rs[0-9]+){back}"]}
+    tables = {k: spark.createDataFrame(list(enumerate(v)), "place int, line string") for k, v in lists.items()}
+    x = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.concat(F.lit("with "), mention_column(), F.lit(" seen")).alias("text"))
+    return patterns.scan(x, patterns.pattern_table(tables), ["l_orderkey", "l_linenumber"], "text")

@@ -22,6 +22,33 @@ def bulk_load(df: DataFrame, path: str, sort: list[str], files: int | None = Non
     (df.repartitionByRange(files, *sort) if files else df.repartitionByRange(*sort)).sortWithinPartitions(*sort).write.mode("overwrite").parquet(path)
 
 
+def index_load(df: DataFrame, path: str, key: list[str], files: int | None = None) -> None:
+    """A table for lookups by ``key``: ranges of the key to files, and beside them a table of each file's least and greatest key (columns with nulls are sorted first)."""
+    bulk_load(df, path, key, files)
+    spark = df.sparkSession
+    whole = spark.read.parquet(path)
+    zones = whole.groupBy(F.input_file_name().alias("file")).agg(F.min(F.struct(*key)).alias("low"), F.max(F.struct(*key)).alias("high"), F.count("*").alias("rows"))
+    zones.coalesce(1).write.mode("overwrite").parquet(f"{path}/_zones")  # one row a file; a reader of the table passes over names like this
+
+
+def index_files(wanted: DataFrame, path: str, key: list[str]) -> list[str]:
+    """The files whose range of keys holds any of the ``wanted`` keys; a list as long as the table has such files."""
+    zones = wanted.sparkSession.read.parquet(f"{path}/_zones")
+    asked = wanted.select(F.struct(*key).alias("k"))
+    return sorted(r[0] for r in zones.join(asked, (F.col("k") >= F.col("low")) & (F.col("k") <= F.col("high")), "left_semi").select("file").collect())
+
+
+def index_lookup(wanted: DataFrame, path: str, key: list[str], few: int = 1000) -> DataFrame:
+    """Rows of the table at ``path`` with a wanted key. At most ``few`` keys (counted) choose the files, so one lookup reads one file, or two where a key lies on a border; more are joined with the whole table."""
+    spark, keys = wanted.sparkSession, wanted.select(*key).distinct()
+    schema = spark.read.parquet(path).schema
+    if keys.limit(few + 1).count() > few:
+        return spark.read.parquet(path).join(keys, key, "left_semi")
+    found = index_files(keys, path, key)
+    table = spark.read.schema(schema).parquet(*found) if found else spark.createDataFrame([], schema)
+    return table.join(F.broadcast(keys), key, "left_semi")  # at most ``few`` rows
+
+
 def truncate(df: DataFrame, path: str) -> None:
     df.limit(0).write.mode("overwrite").parquet(path)
 
