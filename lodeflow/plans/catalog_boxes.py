@@ -86,15 +86,27 @@ def n3_clip(spark, d):
     return base(spark, d).select("id", *[c.alias(n) for n, c in boxes.clip(F.lit(200.0), F.lit(150.0)).items()])
 
 
-@query("n4_anchors", "select * from (values (0, -84.0, -40.0, 99.0, 55.0), (3, -56.0, -56.0, 71.0, 71.0), (6, -36.0, -80.0, 51.0, 95.0)) t(anchor, x1, y1, x2, y2)")
+_ANCHORS = """sides as (select r, s, round(sqrt(256 / r)) as w, round(round(sqrt(256 / r)) * r) as h from (values (0.5), (1.0), (2.0)) a(r), (values (8), (16), (32)) b(s)),
+anchor as (select cast(row_number() over (order by r, s) - 1 as integer) as anchor, 7.5 - (w * s - 1) / 2 as x1, 7.5 - (h * s - 1) / 2 as y1, 7.5 + (w * s - 1) / 2 as x2, 7.5 + (h * s - 1) / 2 as y2 from sides)"""
+
+
+@query("n4_anchors", f"with {_ANCHORS} select p_partkey, anchor, x1 + p_size * 16 as x1, y1 + p_size as y1, x2 + p_size * 16 as x2, y2 + p_size as y2 from part, anchor")
 def n4_anchors(spark, d):
-    return boxes.anchors(spark).where("anchor in (0, 3, 6)")
+    """The nine anchors around each part's place."""
+    p = table(spark, d, "part").select("p_partkey", "p_size").crossJoin(F.broadcast(boxes.anchors(spark)))  # nine rows
+    return p.select("p_partkey", "anchor", *[(F.col(s) + F.col("p_size") * (16 if s[0] == "x" else 1)).alias(s) for s in boxes.SIDES])
 
 
-@query("n5_anchor_grid", "select count(*) as n, sum(gx) as sx, max(x2) as mx from (select gx, 99.0 + gx * 16 as x2 from range(10) t(gx), range(6) u(gy), range(9) a(k))")
+@query("n5_anchor_grid", f"""with {_ANCHORS}, g as (select gx, gy, anchor, x1 + gx * 16 as x1, y1 + gy * 16 as y1, x2 + gx * 16 as x2, y2 + gy * 16 as y2 from anchor, range(10) t(gx), range(6) u(gy))
+select p_partkey, count(anchor) as n, cast(coalesce(sum(gx), 0) as bigint) as sx from part left join g on g.x1 >= -p_size and g.y1 >= -p_size and g.x2 < p_size * 8 and g.y2 < p_size * 8 group by 1""")
 def n5_anchor_grid(spark, d):
+    """Anchors of a grid that lie within an image of each part's size."""
     g = boxes.anchor_grid(boxes.anchors(spark), 10, 6, 16)
-    return g.agg(F.count("*").alias("n"), F.sum("gx").alias("sx"), F.max(F.when(F.col("anchor") == 0, F.col("x2"))).alias("mx"))
+    p = table(spark, d, "part").select("p_partkey", "p_size")
+    sizes = p.select("p_size").distinct()
+    fits = (F.col("x1") >= -F.col("p_size")) & (F.col("y1") >= -F.col("p_size")) & (F.col("x2") < F.col("p_size") * 8) & (F.col("y2") < F.col("p_size") * 8)
+    counted = sizes.join(F.broadcast(g), fits, "left").groupBy("p_size").agg(F.count("anchor").alias("n"), F.coalesce(F.sum("gx"), F.lit(0)).alias("sx"))  # 540 rows of a grid
+    return p.join(counted, "p_size").select("p_partkey", "n", "sx")
 
 
 _KEPT = "struct_pack(id := rk.id, x1 := rk.x1, y1 := rk.y1, x2 := rk.x2, y2 := rk.y2)"

@@ -101,10 +101,12 @@ def v15_revcomp(spark, d):
     return table(spark, d, "part").select("p_partkey", C.revcomp(dna()).alias("rc"))
 
 
-@query("v16_codons", "select case when aa = 'X' then 'stop' else 'aa' end as kind, count(*) as n from (select unnest(string_split('FFLLSSSSYYXXCCXWLLLLPPPPHHQQRRRRIIIMTTTTNNKKSSRRVVVVAAAADDEEGGGG', '')) as aa) group by 1")
+@query("v16_codons", f"""with c as (select p_partkey, i, substr({_DNA}, 3 * i + 1, 3) as codon from part, range(10) r(i))
+select p_partkey, string_agg(substr('FFLLSSSSYYXXCCXWLLLLPPPPHHQQRRRRIIIMTTTTNNKKSSRRVVVVAAAADDEEGGGG', cast(16 * (position(codon[1] in 'TCAG') - 1) + 4 * (position(codon[2] in 'TCAG') - 1) + position(codon[3] in 'TCAG') as bigint), 1), '' order by i) as protein from c group by 1""")
 def v16_codons(spark, d):
-    m = spark.range(1).select(F.explode(C.codon_map()).alias("codon", "aa"))
-    return m.groupBy(F.when(F.col("aa") == "X", "stop").otherwise("aa").alias("kind")).agg(F.count("*").alias("n"))
+    """The residues of each part's first ten codons."""
+    codon = F.transform(F.sequence(F.lit(0), F.lit(9)), lambda i: F.substring(dna(), i * 3 + 1, F.lit(3)))
+    return table(spark, d, "part").select("p_partkey", F.array_join(F.transform(codon, lambda c: F.try_element_at(C.codon_map(), c)), "").alias("protein"))
 
 
 @query("v11_synonymous", "select p_partkey, case p_size % 3 when 0 then 6 when 1 then 1 else 3 end as n from part")

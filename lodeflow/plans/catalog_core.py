@@ -343,7 +343,12 @@ def a4_best_name(spark, d):
     return dictionary.name_winners(q, n, cand, "q", "w", "gene", "name", "t")
 
 
-@query("j5_longest_match")
+@query("j5_longest_match", """with recursive keys as (select key, min(v) as value from (select lower(p_name) as key, p_partkey as v from part union all select unnest(string_split(lower(p_name), ' ')), p_partkey from part) group by 1),
+sizes as (select distinct len(string_split(key, ' ')) as n from keys),
+d as materialized (select p_partkey as id, regexp_extract_all(lower(p_type || ' ' || p_name || ' ' || p_brand || ' ' || p_name), '[a-z]+|[0-9]+') as t from part),
+m as materialized (select id, i, arg_max(struct_pack(n := n, key := key, value := value), n) as x from (select id, t, unnest(range(1, len(t) + 1)) as i from d), sizes, keys where i + n - 1 <= len(t) and key = array_to_string(t[i : i + n - 1], ' ') group by 1, 2),
+walk as (select id, cast(1 as bigint) as i from d union all select w.id, w.i + coalesce(m.x.n, 1) from walk w join d on d.id = w.id left join m on m.id = w.id and m.i = w.i where w.i < len(d.t))
+select w.id, cast(w.i - 1 as integer) as first, cast(w.i + m.x.n - 2 as integer) as last, m.x.key as key, m.x.value as value from walk w join m on m.id = w.id and m.i = w.i""")
 def j5_longest_match(spark, d):
     p = table(spark, d, "part")
     words = p.select(F.lower("p_name").alias("key"), "p_partkey").groupBy("key").agg(F.min("p_partkey").alias("value"))
