@@ -95,33 +95,32 @@ def match_images(dets: DataFrame, truths: DataFrame, image: str, category: str,
     areas = areas or AREAS
     both = dets.select(image, category, F.col(score).cast("double").alias("score"), *[F.col(s).cast("double") for s in boxes.SIDES], F.lit(0).alias("crowd"), F.lit(False).alias("is_gt")).unionByName(truths.select(image, category, F.lit(0.0).alias("score"), *[F.col(s).cast("double") for s in boxes.SIDES], F.col("crowd").cast("int"), F.lit(True).alias("is_gt")))
 
-    def run(g: pd.DataFrame) -> pd.DataFrame:
-        gt, dt = g[g["is_gt"]], g[~g["is_gt"]].sort_values(["score", "x1", "y1", "x2", "y2"], ascending=[False, True, True, True, True]).head(most)
-        a, b = dt[list(boxes.SIDES)].to_numpy(), gt[list(boxes.SIDES)].sort_values(list(boxes.SIDES)).to_numpy()
-        crowd = gt.sort_values(list(boxes.SIDES))["crowd"].to_numpy().astype(bool)
+    def each(c: dict, start: int, end: int) -> list[np.ndarray]:
+        split = start + int(np.searchsorted(c["is_gt"][start:end], True))  # detections first
+        a, b = (np.stack([c[s][lo:hi] for s in boxes.SIDES], axis=1) for lo, hi in ((start, min(split, start + most)), (split, end)))
+        crowd, score_of = c["crowd"][split:end].astype(bool), c["score"][start : start + len(a)]
         size_a, size_b = (a[:, 2] - a[:, 0]) * (a[:, 3] - a[:, 1]), (b[:, 2] - b[:, 0]) * (b[:, 3] - b[:, 1])
         w = np.minimum(a[:, None, 2], b[None, :, 2]) - np.maximum(a[:, None, 0], b[None, :, 0])
         h = np.minimum(a[:, None, 3], b[None, :, 3]) - np.maximum(a[:, None, 1], b[None, :, 1])
         inter = np.maximum(w, 0) * np.maximum(h, 0)
         over = np.where(crowd[None, :], size_a[:, None], size_a[:, None] + size_b[None, :] - inter)
         iou = np.divide(inter, over, out=np.zeros_like(inter), where=over > 0)
-        frames, score_of = [], dt["score"].to_numpy()
+        out: list[list[np.ndarray]] = [[] for _ in range(7)]
+        limit, k = np.array(ious), len(ious)
         for name, (lo, hi) in areas.items():
             ignore = crowd | (size_b < lo) | (size_b > hi)
             outside = (size_a < lo) | (size_a > hi)
             at = matched_truths(iou, crowd, ignore, ious)
-            counts = np.where(at >= 0, ~np.append(ignore, False)[at], ~outside[None, :])
-            t, i = np.nonzero(counts)
-            hit = at[t, i] >= 0
-            frames.append(pd.DataFrame({"area": name, "iou": np.array(ious)[t], "rank": i + 1, "score": score_of[i], "tp": hit.astype(int), "fp": (~hit).astype(int), "npos": 0}))
-            frames.append(pd.DataFrame({"area": name, "iou": ious, "rank": 0, "score": 0.0, "tp": 0, "fp": 0, "npos": int((~ignore).sum())}))
-        out = pd.concat(frames, ignore_index=True)[["area", "iou", "rank", "score", "tp", "fp", "npos"]]
-        out.insert(0, category, g[category].iloc[0])
-        out.insert(0, image, g[image].iloc[0])
-        return out
-
-    kinds = dict(both.dtypes)
-    return both.groupBy(image, category).applyInPandas(run, f"`{image}` {kinds[image]}, `{category}` {kinds[category]}, area string, iou double, rank int, score double, tp int, fp int, npos int")
+            t, i = np.nonzero(np.where(at >= 0, ~np.append(ignore, False)[at], ~outside[None, :]))
+            hit = (at[t, i] >= 0).astype(np.int32)
+            none = np.zeros(k, dtype=np.int32)
+            rows = [np.full(len(t) + k, name, dtype=object), np.concatenate([limit[t], limit]), np.concatenate([i + 1, none]).astype(np.int32), np.concatenate([score_of[i], none]), np.concatenate([hit, none]), np.concatenate([1 - hit, none]), np.concatenate([np.zeros(len(t), dtype=np.int32), none + np.int32((~ignore).sum())])]
+            for o, x in zip(out, rows, strict=True):
+                o.append(x)
+        return [np.concatenate(o) for o in out]
+
+    order = ["is_gt", F.desc("score"), *boxes.SIDES]
+    return windows.sorted_groups(both, [image, category], order, each, [("area", "string"), ("iou", "double"), ("rank", "int"), ("score", "double"), ("tp", "int"), ("fp", "int"), ("npos", "int")])
 
 
 def accumulate(matched: DataFrame, category: str, image: str, most: list[int] = MAX_DETS) -> DataFrame:

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def _to_now(by: list[str], *order: str) -> WindowSpec:
@@ -88,3 +91,40 @@ def highest_ahead(parts: DataFrame, by: list[str], order: list[Column], value: s
     carry = parts.groupBy(*by, "__range").agg(F.max(value).alias("__m")).select(*by, "__range", F.max("__m").over(after).alias("__c"))
     own = parts.withColumn(out, F.max(value).over(here)).join(carry, [*by, "__range"])
     return own.select(*parts.columns, F.greatest(out, "__c").alias(out))
+
+
+def sorted_groups(df: DataFrame, by: list[str], order: list, each, fields: list[tuple[str, str]]) -> DataFrame:
+    """Python over each group's rows in order, without a call of its own for each group: ``by`` and the ``fields`` (name, type) that ``each`` gives.
+
+    ``each(columns, a, b)`` gets the columns of many groups as arrays, and one group's rows as the range a to b; it returns one array for each field.
+    A window numbers the rows of each group, and a pass over its sorted output cuts groups where the number is 1; a group must fit a task.
+    """
+    from pyspark.sql.types import StructField, StructType, _parse_datatype_string
+
+    kinds = _parse_datatype_string(", ".join(f"{n} {t}" for n, t in fields))
+    schema = StructType([*[StructField(c, df.schema[c].dataType) for c in by], *kinds.fields])
+    ranked = df.withColumn("__r", F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
+    names, width = [n for n in df.columns if n not in by], len(fields)
+
+    def run(batches):
+        arrow = to_arrow_schema(schema)
+        held = None
+
+        def out(table: pa.Table, cuts: list[int]):
+            columns = {n: table.column(n).to_numpy() for n in names}
+            got = [(a, each(columns, a, b)) for a, b in zip(cuts, cuts[1:], strict=False)]
+            if got:
+                at = pa.array(np.repeat([a for a, _ in got], [len(x[0]) for _, x in got]), pa.int64())
+                keys = [table.column(c).take(at).combine_chunks() for c in by]
+                made = [pa.array(np.concatenate([x[i] for _, x in got]), arrow.field(len(by) + i).type) for i in range(width)]
+                yield from pa.Table.from_arrays([*[k.cast(arrow.field(i).type) for i, k in enumerate(keys)], *made], schema=arrow).to_batches()
+
+        for batch in batches:
+            table = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+            starts = np.flatnonzero(table.column("__r").to_numpy() == 1).tolist()
+            yield from out(table, starts)
+            held = table.slice(starts[-1]).combine_chunks() if starts else table
+        if held is not None and held.num_rows:
+            yield from out(held, [0, held.num_rows])
+
+    return ranked.mapInArrow(run, schema)
