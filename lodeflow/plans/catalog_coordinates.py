@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodeflow.functions.once import once
 from lodeflow.operators import coordinates as C
 from lodeflow.registry import query
 from lodeflow.session import table
@@ -42,8 +43,8 @@ def v1_to_chromosome(spark, d):
 def v2_from_chromosome(spark, d):
     t = C.Transcript()
     q = transcripts(spark, d).withColumn("n", F.explode(F.array(*[F.lit(x) for x in (1, 10, 30, 77)])))
-    at = q.withColumn("at", t.to_chromosome(F.col("n").cast("bigint"), F.lit(0).cast("bigint"), F.lit(False))).where("at is not null")
-    back = at.withColumn("p", t.from_chromosome(F.col("at")))
+    at = once(q, {"at": t.to_chromosome(F.col("n").cast("bigint"), F.lit(0).cast("bigint"), F.lit(False))}).where("at is not null")
+    back = once(at, {"p": t.from_chromosome(F.col("at"))})
     return back.where("p.offset = 0 and not p.utr3 and p.pos = n").select("tx", "n")
 
 
