@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType
 
 # Greek letters and their spelled names, in alphabetical order of the script (capital and small).
 GREEK = [
@@ -80,19 +78,15 @@ def prefix_sums(numbers: Column, step: int = 128) -> Column:
     return F.transform(F.array(F.struct(numbers.alias("n"), blocks.alias("b"))), before)[0]
 
 
-@F.pandas_udf(ArrayType(IntegerType()))
-def token_offsets(text: pd.Series, tokens: pd.Series) -> pd.Series:
-    """Start (from 0) of each token, found one after the other in the text: one pass by Arrow batches, as a search from an offset starts anew at the text's begin in SQL."""
+def token_offsets(text: Column, tokens: Column) -> Column:
+    """Start (from 0) of each token, found one after the other in the text. For short texts and any tokens; ``gene_token_spans`` has the offsets of whole bodies in one pass."""
+    start = F.array().cast("array<int>")
 
-    def find(t, parts):
-        at, out = 0, []
-        for p in parts:
-            i = t.find(p, at)
-            out.append(i)
-            at = i + len(p)
-        return out
+    def step(acc, token):
+        at = F.call_function("locate", token, text, acc["pos"])
+        return F.struct((at + F.length(token)).alias("pos"), F.concat(acc["at"], F.array(at - 1)).alias("at"))
 
-    return pd.Series([None if t is None or parts is None else find(t, parts) for t, parts in zip(text, tokens, strict=True)], dtype=object)
+    return F.aggregate(tokens, F.struct(F.lit(1).alias("pos"), start.alias("at")), step, lambda acc: acc["at"])
 
 
 def name_words(name: Column) -> Column:
