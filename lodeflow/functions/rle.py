@@ -13,8 +13,10 @@ def encode(pixels: DataFrame, by: list[str], order: str, value: str) -> DataFram
     w = Window.partitionBy(*by).orderBy(order)
     change = pixels.withColumn("__c", F.when(F.coalesce(F.lag(value).over(w), F.lit(0)) != F.col(value), 1).otherwise(0))
     runs = change.withColumn("__i", F.sum("__c").over(w.rowsBetween(Window.unboundedPreceding, 0))).groupBy(*by, "__i").agg(F.count("*").cast("int").alias("__n"))
-    held = runs.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("__i", "__n"))).alias("__m"), F.max("__i").alias("__top"))
-    return held.select(*by, F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("__top")), lambda i: F.coalesce(F.try_element_at("__m", i), F.lit(0))).alias("counts"))
+    # a look into a map is a walk through it, so the runs are sorted instead; they are numbered without a gap, from 1 if the first pixel is set
+    held = runs.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("__i", "__n"))).alias("__r"))
+    lead = F.when(F.col("__r")[0]["__i"] == 1, F.array(F.lit(0))).otherwise(F.array().cast("array<int>"))
+    return held.select(*by, F.concat(lead, F.col("__r")["__n"]).alias("counts"))
 
 
 def decode(counts: Column) -> Column:
