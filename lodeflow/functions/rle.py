@@ -31,7 +31,11 @@ def area(counts: Column) -> Column:
 
 def ends(counts: Column) -> Column:
     """Where each run ends, counted from the first pixel."""
-    return F.aggregate(counts, F.array().cast("array<bigint>"), lambda a, n: F.concat(a, F.array(F.coalesce(F.try_element_at(a, F.lit(-1)), F.lit(0)) + n)))
+    @F.pandas_udf("array<bigint>")
+    def run(c: pd.Series) -> pd.Series:
+        return c.map(lambda x: None if x is None else np.cumsum(x, dtype=np.int64))
+
+    return run(counts)
 
 
 def let(value: Column, body) -> Column:
@@ -40,16 +44,10 @@ def let(value: Column, body) -> Column:
 
 
 def runs_on(counts: Column) -> Column:
-    """Runs of set pixels as structs of begin and end (exclusive), in one pass over the counts."""
-    zero = F.lit(0).cast("bigint")
-
-    def step(acc, n):
-        end = acc["at"] + n
-        run = F.array(F.struct(acc["at"].alias("a"), end.alias("b")))
-        return F.struct(end.alias("at"), (~acc["on"]).alias("on"), F.when(acc["on"] & (n > 0), F.concat(acc["out"], run)).otherwise(acc["out"]).alias("out"))
-
-    start = F.struct(zero.alias("at"), F.lit(False).alias("on"), F.array().cast("array<struct<a:bigint,b:bigint>>").alias("out"))
-    return F.aggregate(counts, start, step, lambda acc: acc["out"])
+    """Runs of set pixels as structs of begin and end (exclusive)."""
+    at = ends(counts)
+    begins, stops = F.filter(at, lambda _, i: i % 2 == 0), F.filter(at, lambda _, i: i % 2 == 1)
+    return F.filter(F.zip_with(begins, stops, lambda a, b: F.struct(a.alias("a"), b.alias("b"))), lambda r: r["a"] < r["b"])
 
 
 def to_bbox(counts: Column, height: Column) -> Column:

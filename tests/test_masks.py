@@ -16,3 +16,17 @@ def test_encode_of_many_runs(spark):
     got = rle.encode(px, ["m"], "id", "v").select(F.size("counts").alias("n"), F.slice("counts", 1, 3).alias("first"), rle.area(F.col("counts")).alias("area")).first()
     assert (got.n, got["first"], got.area) == (RUNS + 1, [0, 1, 1], RUNS // 2)
     assert time.perf_counter() - start < SECONDS
+
+
+def test_bbox_of_many_runs(spark):
+    start = time.perf_counter()
+    counts = F.concat(F.array(F.lit(5)), F.array_repeat(F.lit(1), RUNS))
+    row = spark.range(1).select(counts.alias("c")).select(rle.to_bbox(F.col("c"), F.lit(20)).alias("b"), F.element_at(rle.ends(F.col("c")), -1).alias("e")).first()
+    assert (row.b.x, row.b.y, row.b.w, row.b.h, row.e) == (0, 1, (RUNS + 4) // 20 + 1, 19, RUNS + 5)  # every other pixel from the fifth on
+    assert time.perf_counter() - start < SECONDS
+
+
+def test_runs_on(spark):
+    rows = [([0, 6, 1],), ([2, 3, 1, 1],), ([4, 0, 2, 3, 5],), ([7],), ([],), (None,)]
+    got = [r[0] if r[0] is None else [tuple(x) for x in r[0]] for r in spark.createDataFrame(rows, "c array<int>").select(rle.runs_on(F.col("c"))).collect()]
+    assert got == [[(0, 6)], [(2, 5), (6, 7)], [(6, 9)], [], [], None]
