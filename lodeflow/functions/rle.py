@@ -86,7 +86,9 @@ def merge(masks: DataFrame, by: list[str], counts: str, size: str, intersect: bo
     turn = lit.withColumn("p", F.coalesce(F.lag("v").over(w), F.lit(0))).where("v <> p").groupBy(*by).agg(F.array_sort(F.collect_list("at")).alias("t"))
     full = total.join(turn, by, "left").withColumn("t", F.coalesce("t", F.array().cast("array<bigint>")))
     stops = F.filter(F.concat("t", F.array(F.col("size").cast("bigint"))), lambda x, i: (x > 0) | (i == 0))
-    return full.select(*by, F.transform(stops, lambda x, i: (x - F.when(i > 0, F.element_at(stops, F.greatest(i, F.lit(1)))).otherwise(F.lit(0))).cast("int")).alias("counts"))
+    # beside each stop the one before it, as a lambda that names the stops would make them anew for each
+    before = F.slice(F.concat(F.array(F.lit(0).cast("bigint")), stops), F.lit(1), F.size(stops))
+    return full.select(*by, F.zip_with(stops, before, lambda x, b: (x - b).cast("int")).alias("counts"))
 
 
 def iou(pairs: DataFrame, a: str, b: str, crowd: Column | None = None) -> DataFrame:

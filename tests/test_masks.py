@@ -30,3 +30,18 @@ def test_runs_on(spark):
     rows = [([0, 6, 1],), ([2, 3, 1, 1],), ([4, 0, 2, 3, 5],), ([7],), ([],), (None,)]
     got = [r[0] if r[0] is None else [tuple(x) for x in r[0]] for r in spark.createDataFrame(rows, "c array<int>").select(rle.runs_on(F.col("c"))).collect()]
     assert got == [[(0, 6)], [(2, 5), (6, 7)], [(6, 9)], [], [], None]
+
+
+def test_merge_of_many_runs(spark):
+    start = time.perf_counter()
+    a, b = F.array_repeat(F.lit(1), RUNS), F.concat(F.array(F.lit(0)), F.array_repeat(F.lit(1), RUNS))
+    m = spark.range(2).select(F.lit(1).alias("img"), F.when(F.col("id") == 0, a).otherwise(b).alias("counts"), F.lit(RUNS).alias("size"))
+    got = [rle.merge(m, ["img"], "counts", "size", both).select(rle.area(F.col("counts"))).first()[0] for both in (False, True)]
+    assert got == [RUNS, 0] and time.perf_counter() - start < SECONDS
+
+
+def test_merge_of_edges(spark):
+    rows = [(1, [0, 4, 2], 6), (1, [2, 2, 2], 6), (2, [6], 6), (2, [6], 6), (3, [0, 6], 6), (3, [0, 6], 6)]
+    m = spark.createDataFrame(rows, "img int, counts array<int>, size int")
+    got = [{r.img: r.counts for r in rle.merge(m, ["img"], "counts", "size", both).collect()} for both in (False, True)]
+    assert got == [{1: [0, 4, 2], 2: [6], 3: [0, 6]}, {1: [2, 2, 2], 2: [6], 3: [0, 6]}]
