@@ -91,14 +91,30 @@ def merge(masks: DataFrame, by: list[str], counts: str, size: str, intersect: bo
     return full.select(*by, F.zip_with(stops, before, lambda x, b: (x - b).cast("int")).alias("counts"))
 
 
+def common(a: list[int], b: list[int]) -> int:
+    """Number of pixels that two masks both set, by one merge of their switches."""
+    own, other = np.cumsum(a, dtype=np.int64), np.cumsum(b, dtype=np.int64)
+    stop = np.union1d(own, other)
+    start = np.concatenate(([0], stop))[:-1]
+    run, against = np.searchsorted(own, start, side="right"), np.searchsorted(other, start, side="right")
+    both = (run % 2 == 1) & (run < len(own)) & (against % 2 == 1) & (against < len(other))
+    return int((stop - start)[both].sum())
+
+
+def common_area(a: Column, b: Column) -> Column:
+    @F.pandas_udf("bigint")
+    def run(x: pd.Series, y: pd.Series) -> pd.Series:
+        return pd.Series([None if p is None or q is None else common(p, q) for p, q in zip(x, y, strict=True)], dtype="Int64")
+
+    return run(a, b)
+
+
 def iou(pairs: DataFrame, a: str, b: str, crowd: Column | None = None) -> DataFrame:
     """Adds ``iou`` of two masks; if the second is a crowd, over the first one's area."""
-    both = pairs.withColumn("__ra", runs_on(F.col(a))).withColumn("__rb", runs_on(F.col(b)))
-    inter = F.aggregate("__ra", F.lit(0).cast("bigint"), lambda s, r: s + F.aggregate("__rb", F.lit(0).cast("bigint"), lambda t, q: t + F.greatest(F.least(r["b"], q["b"]) - F.greatest(r["a"], q["a"]), F.lit(0))))
-    sized = both.withColumn("__i", inter)
+    sized = pairs.withColumn("__i", common_area(F.col(a), F.col(b)))
     union = area(F.col(a)) + area(F.col(b)) - F.col("__i")
     under = union if crowd is None else F.when(crowd, area(F.col(a))).otherwise(union)
-    return sized.withColumn("iou", F.coalesce(F.try_divide(F.col("__i"), under), F.lit(0.0))).drop("__ra", "__rb", "__i")
+    return sized.withColumn("iou", F.coalesce(F.try_divide(F.col("__i"), under), F.lit(0.0))).drop("__i")
 
 
 def from_bbox(x: Column, y: Column, w: Column, h: Column, height: Column, width: Column) -> Column:

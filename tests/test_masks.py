@@ -45,3 +45,16 @@ def test_merge_of_edges(spark):
     m = spark.createDataFrame(rows, "img int, counts array<int>, size int")
     got = [{r.img: r.counts for r in rle.merge(m, ["img"], "counts", "size", both).collect()} for both in (False, True)]
     assert got == [{1: [0, 4, 2], 2: [6], 3: [0, 6]}, {1: [2, 2, 2], 2: [6], 3: [0, 6]}]
+
+
+def test_iou_of_many_runs(spark):
+    start = time.perf_counter()
+    a, b = F.array_repeat(F.lit(1), RUNS), F.concat(F.array(F.lit(0)), F.array_repeat(F.lit(2), RUNS // 2))
+    got = rle.iou(spark.range(1).select(a.alias("a"), b.alias("b")), "a", "b").first()
+    assert got.iou == (RUNS // 4) / (RUNS // 2 + RUNS // 2 - RUNS // 4) and time.perf_counter() - start < SECONDS
+
+
+def test_common_equals_pixels():
+    for a, b in (([0, 3, 2], [1, 1, 1, 2]), ([5], [0, 5]), ([2, 0, 1, 2], [0, 1, 0, 4]), ([0, 4], [0, 9]), ([], [0, 2])):
+        px = [[i % 2 for i, n in enumerate(c) for _ in range(n)] for c in (a, b)]
+        assert rle.common(a, b) == sum(x * y for x, y in zip(*px, strict=False))
