@@ -83,11 +83,12 @@ def report(hits: DataFrame, gene: str, variant: str) -> DataFrame:
 
 
 def histogram(df: DataFrame, value: str, bins: int = 1000) -> DataFrame:
-    """Equal bins between the extremes, with the moments on each row: bin, n, low, high, total, squares."""
+    """Equal bins between the extremes (the last holds the highest value, also where all are equal), with the moments on each row: bin, n, low, high, total, squares."""
     m = df.agg(F.min(value).alias("low"), F.max(value).alias("high"), F.sum(value).alias("total"), F.sum(F.col(value) * F.col(value)).alias("squares"))
-    b = F.least(F.width_bucket(F.col(value), F.col("low"), F.col("high"), F.lit(bins)), F.lit(bins).cast("bigint"))
+    # the order of the steps decides where a value on the edge of two bins is rounded to: the share of the range first, then the bins
+    b = F.when(F.col(value) >= F.col("high"), F.lit(bins).cast("bigint")).otherwise(F.floor((F.col(value) - F.col("low")) / (F.col("high") - F.col("low")) * bins) + 1)
     wide = df.crossJoin(F.broadcast(m))  # one row of extremes
-    return wide.groupBy(F.when(F.col("low") == F.col("high"), F.lit(1).cast("bigint")).otherwise(b).alias("bin"), "low", "high", "total", "squares").agg(F.count("*").alias("n"))
+    return wide.groupBy(b.alias("bin"), "low", "high", "total", "squares").agg(F.count("*").alias("n"))
 
 
 def path_of(name: Column) -> Column:
