@@ -100,8 +100,8 @@ class Transcript:
         end = F.aggregate(self.exons, state, walk)
         # upstream: position 0 is the base before the first; the frame has none, so -1 is next to the first base
         up = F.when(minus, self.tx1 + 1 - n).otherwise(self.tx0 + n)
-        past = F.when(minus, self.tx0 + 1 - end["left"]).otherwise(self.tx1 + end["left"])
-        found = F.when(n < 1, up).when(end["at"].isNotNull(), end["at"]).when(utr3, past)
+        past = lambda left: F.when(minus, self.tx0 + 1 - left).otherwise(self.tx1 + left)
+        found = F.transform(F.array(end), lambda e: F.when(n < 1, up).when(e["at"].isNotNull(), e["at"]).when(utr3, past(e["left"])))[0]
         return found + offset * self.strand
 
     def from_chromosome(self, at: Column) -> Column:
@@ -115,9 +115,13 @@ class Transcript:
             return F.struct(F.when(inside, F.lit(0).cast("bigint")).otherwise(F.abs(a0 - near)).alias("d"), near.alias("near"))
 
         best = F.array_min(F.transform(self.exons, each))
-        near = best["near"]
-        n = exonic_before(self.exons, near, self.strand)
-        ordinal = F.when(minus, exonic_before(self.exons, near + 1, self.strand) + 1).otherwise(n + 1)
+        # a lambda reads the boundary, and another its ordinal, so that neither walk over the exons is repeated for each use or each exon
+        ordinal = lambda near: F.when(minus, exonic_before(self.exons, near + 1, self.strand) + 1).otherwise(exonic_before(self.exons, near, self.strand) + 1)
+        placed = F.transform(F.array(best), lambda s: F.struct(s["near"].alias("near"), ordinal(s["near"]).alias("n")))
+        return F.transform(placed, lambda s: self._place(a0, s["near"], s["n"]))[0]
+
+    def _place(self, a0: Column, near: Column, ordinal: Column) -> Column:
+        """Position, offset and side of a place whose nearest exonic base, the ``ordinal``-th, is at ``near``."""
         offset = (a0 - near) * self.strand
         pos = F.when(ordinal > self.base3, ordinal - self.base3).when(ordinal <= self.utr5, ordinal - self.utr5 - 1).otherwise(ordinal - self.utr5)
         return F.struct(pos.alias("pos"), offset.alias("offset"), (ordinal > self.base3).alias("utr3"))

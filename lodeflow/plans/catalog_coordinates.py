@@ -41,8 +41,8 @@ def v1_to_chromosome(spark, d):
 
 @query("v2_from_chromosome", f"with {_TX} select tx, n from (select tx, sum(len) as total from exons group by 1), (select unnest([1, 10, 30, 77]) as n) where n <= total")
 def v2_from_chromosome(spark, d):
-    t = C.Transcript()
-    q = transcripts(spark, d).withColumn("n", F.explode(F.array(*[F.lit(x) for x in (1, 10, 30, 77)])))
+    tx, t = C.Transcript.attach(transcripts(spark, d))
+    q = tx.withColumn("n", F.explode(F.array(*[F.lit(x) for x in (1, 10, 30, 77)])))
     at = once(q, {"at": t.to_chromosome(F.col("n").cast("bigint"), F.lit(0).cast("bigint"), F.lit(False))}).where("at is not null")
     back = once(at, {"p": t.from_chromosome(F.col("at"))})
     return back.where("p.offset = 0 and not p.utr3 and p.pos = n").select("tx", "n")
