@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from lodeflow.operators import coordinates
 from lodeflow.plans import papers, routes
 from lodeflow.registry import query
-from lodeflow.session import shared_path, table
+from lodeflow.session import shared_path, spread, table
 from lodeflow.sources import buckets, documents, sinks
 
 
@@ -26,7 +26,7 @@ def s9_text_bodies(spark, d):
 
 def _papers(spark, d):
     """Bodies built from part rows: a gene symbol and a coding variant of it in one sentence, another gene in the next."""
-    p = table(spark, d, "part")
+    p = spread(table(spark, d, "part"))
     gene = F.concat(F.lit("GEN"), (F.col("p_size") % 7).cast("string"))
     other = F.concat(F.lit("GEN"), ((F.col("p_size") + 1) % 7).cast("string"))
     body = F.concat(F.lit("The "), gene, F.lit(" change c."), (F.col("p_size") + 1).cast("string"), F.lit("delA was seen.\nLater "), other, F.lit(" was too."))
