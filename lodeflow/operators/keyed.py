@@ -65,3 +65,15 @@ def in_all(df: DataFrame, item: str, group: str, groups: list) -> DataFrame:
 def first_n(df: DataFrame, order: list[Column], n: int) -> DataFrame:
     """The first n rows of a table; each task keeps n at most."""
     return df.orderBy(*order).limit(n)
+
+
+def expanded(left: DataFrame, right: DataFrame, key: str, value: str, slices: int = 64, chunk: int = 50_000) -> DataFrame:
+    """Every row of ``left`` with every ``value`` of the rows of ``right`` under its key: an inner join for few keys with many rows on both sides.
+
+    Its result may be far larger than both tables, which shuffles and files judge by their own bytes. So the rows of a key on the left are dealt out to
+    ``slices``, and the values of a key on the right go to each slice as lists of at most ``chunk``: no task has a whole key, and nothing goes through the driver.
+    """
+    lists = right.where(F.col(key).isNotNull() & F.col(value).isNotNull()).groupBy(key, F.floor(F.monotonically_increasing_id() / chunk).alias("__c")).agg(F.collect_list(value).alias("__v"))
+    dealt = lists.select(key, "__v", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("__s"))
+    rows = left.withColumn("__s", F.pmod(F.xxhash64(*left.columns), F.lit(slices)).cast("int")).repartition(4 * left.sparkSession.sparkContext.defaultParallelism, key, "__s")
+    return rows.join(dealt.hint("merge"), [key, "__s"]).select(*left.columns, F.explode("__v").alias(value))
