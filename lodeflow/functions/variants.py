@@ -215,7 +215,8 @@ def parse_position(text: Column) -> Column:
     intron = r"^(?i:IVS|intron)\s?-?([0-9]+)([+-][0-9]+)$"
     number = lambda p, i: F.coalesce(F.try_to_number(F.nullif(F.regexp_replace(F.regexp_extract(text, p, i), r"^\+", ""), F.lit("")), F.lit("S999999999999")).cast("bigint"), F.lit(0).cast("bigint"))
     none = F.lit(None).cast("bigint")
-    return F.when(text.contains("?"), F.lit(None)).when(text.rlike(plain), F.struct(number(plain, 2).alias("pos"), number(plain, 3).alias("offset"), (F.regexp_extract(text, plain, 1) == "*").alias("utr3"), none.alias("intron"))).when(text.rlike(intron), F.struct(none.alias("pos"), number(intron, 2).alias("offset"), F.lit(False).alias("utr3"), number(intron, 1).alias("intron")))
+    digits = F.struct(text.try_cast("bigint").alias("pos"), F.lit(0).cast("bigint").alias("offset"), F.lit(False).alias("utr3"), none.alias("intron"))
+    return F.when(text.rlike(r"\A[0-9]{1,12}\z"), digits).when(text.contains("?"), F.lit(None)).when(text.rlike(plain), F.struct(number(plain, 2).alias("pos"), number(plain, 3).alias("offset"), (F.regexp_extract(text, plain, 1) == "*").alias("utr3"), none.alias("intron"))).when(text.rlike(intron), F.struct(none.alias("pos"), number(intron, 2).alias("offset"), F.lit(False).alias("utr3"), number(intron, 1).alias("intron")))
 
 
 def drop_look_alikes(df: DataFrame, tokens: str) -> DataFrame:

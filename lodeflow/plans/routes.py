@@ -54,13 +54,14 @@ def _written(df: DataFrame, columns: list[str], chunks: DataFrame, size: int, tr
 
     A stated reference that the genome doesn't have drops the row, and so does a change without any base.
     """
-    g = C.genome_slice(df.withColumn("__n", F.col("__hi") - F.col("__lo") + 1), chunks, size, "__lo", "__n", "__bases").withColumn("__bases", F.upper("__bases"))
-    k = F.col("__kind")
+    ranges = settle(df.withColumn("__n", F.col("__hi") - F.col("__lo") + 1).select(*columns, "chrom", "__lo", "__n", "__kind", "__ref", "__alt", "__copies", transcript.alias("transcript"), strand.alias("__strand")))  # read for the slices and again for the rows
+    g = C.genome_slice(ranges, chunks, size, "__lo", "__n", "__bases").withColumn("__bases", F.upper("__bases"))
+    k, strand = F.col("__kind"), F.col("__strand")
     turn = lambda c: F.when(strand < 0, C.revcomp(F.col(c))).otherwise(F.col(c))
     ref = F.when(k.isin("DEL", "INDEL"), F.col("__bases")).when(k == "DUP", F.lit("")).otherwise(turn("__ref"))
     alt = F.when(k == "DUP", F.repeat(F.col("__bases"), F.col("__copies") - 1)).otherwise(turn("__alt"))
     kept = g.where((F.col("__ref") == "") | (turn("__ref") == F.col("__bases")))
-    return kept.select(*columns, transcript.alias("transcript"), "chrom", F.col("__lo").alias("pos"), ref.alias("ref"), alt.alias("alt")).where("ref <> '' or alt <> ''")
+    return kept.select(*columns, "transcript", "chrom", F.col("__lo").alias("pos"), ref.alias("ref"), alt.alias("alt")).where("ref <> '' or alt <> ''")
 
 
 def coding_alleles(found: DataFrame, transcripts: DataFrame, chunks: DataFrame, size: int) -> DataFrame:
@@ -116,7 +117,7 @@ def protein_alleles(found: DataFrame, transcripts: DataFrame, chunks: DataFrame,
     zero, no = F.lit(0).cast("bigint"), F.lit(False)
     turned = F.col("t_strand") < 0
     j = once(v.join(tx, "gene_id"), {"__lo": t.to_chromosome(F.when(turned, F.col("__i") * 3).otherwise(F.col("__i") * 3 - 2), zero, no)}).where("__lo > 0").withColumn("__n", F.lit(3)).withColumn("chrom", F.col("t_chrom"))
-    g = C.genome_slice(j, chunks, size, "__lo", "__n", "__bases").withColumn("__bases", F.upper("__bases"))
+    g = C.genome_slice(settle(j.select(*found.columns, "t_name", "t_strand", "chrom", "__lo", "__n", "__old", "__new")), chunks, size, "__lo", "__n", "__bases").withColumn("__bases", F.upper("__bases"))
     codon = F.when(turned, C.revcomp(F.col("__bases"))).otherwise(F.col("__bases"))
     alts = g.where(F.try_element_at(C.codon_map(), codon) == F.col("__old")).withColumn("__c", F.explode(C.synonymous(F.col("__new"))))
     return alts.select(*found.columns, F.col("t_name").alias("transcript"), "chrom", F.col("__lo").alias("pos"), F.col("__bases").alias("ref"), F.when(turned, C.revcomp(F.col("__c"))).otherwise(F.col("__c")).alias("alt"))
@@ -167,7 +168,8 @@ def alleles(found: DataFrame, by: list[str], genes: DataFrame, transcripts: Data
     ]
     told_side = reduce(DataFrame.unionByName, sided).withColumn("__listed", F.lit(False))
     listed_side = rsid_alleles(base, rsids).withColumn("__listed", F.lit(True))
-    flat = settle(C.normalise_alleles(told_side.unionByName(listed_side), chunks, size, sizes))
+    sides = settle(told_side.unionByName(listed_side))  # read for the distinct alleles and again for the rows
+    flat = settle(C.normalise_alleles(sides, chunks, size, sizes))
     both = field(flat, "mut_type").startswith(BOTH)
     wanted = flat.where(both & F.col("__listed")).select(*told_by, "chrom", "pos", "ref", "alt").distinct()
     joint = flat.where(both & ~F.col("__listed")).join(wanted, [*told_by, "chrom", "pos", "ref", "alt"], "left_semi").select(*flat.columns)

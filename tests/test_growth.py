@@ -19,3 +19,37 @@ def test_synonyms_of_a_small_file_take_all_cores(spark):
 
     got = queries()["j7_synonym_expansion"](spark, "/root/testdata/sf0.001")
     assert got.select(F.spark_partition_id().alias("t")).distinct().count() > 4
+
+
+def test_suffixes_against_plain_loops(spark):
+    from lodeflow.operators import coordinates as C
+
+    texts = ["", "A", "CA", "ACGTACG", "CCGTACG", "TACGTACGT", "AACGTACGT", "A" * 40, "C" + "A" * 39, "ACGTACGTAC", "GCGTACGTAC"]
+    rows = [(a, b, m) for a in texts for b in texts for m in (-1, 0, 3, 7, 8, 9, 200) if m <= min(len(a), len(b))]
+    plain = lambda a, b, m: max(k for k in range(max(m, 0) + 1) if a[len(a) - k:] == b[len(b) - k:])
+    got = spark.createDataFrame(rows, "a string, b string, m int").select("a", "b", "m", C.common_suffix(F.col("a"), F.col("b"), F.col("m")).alias("k")).collect()
+    assert [r.k for r in got] == [plain(r.a, r.b, r.m) for r in got]
+
+
+def test_routes_are_walked_once(spark, monkeypatch):
+    """Places on transcripts are read for their slices and for their rows, alleles for their leftmost forms and for their rows: both are settled before."""
+    from __spark_entry__ import queries
+    from lodeflow.operators import coordinates as C
+
+    seen = []
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    slices, leftmost = C.genome_slice, C.normalise_alleles
+    monkeypatch.setattr(C, "genome_slice", lambda df, *a, **k: seen.append(plan(df)) or slices(df, *a, **k))
+    monkeypatch.setattr(C, "normalise_alleles", lambda df, *a, **k: seen.append(plan(df)) or leftmost(df, *a, **k))
+    queries()["p20_alleles"](spark, "/root/testdata/sf0.001")
+    mentions = [p for p in seen if "__lo#" in p or "__listed#" in p]
+    assert len(mentions) > 4 and not any("Join" in p or "Generate" in p for p in mentions)
+
+
+def test_plain_positions_read_like_the_others(spark):
+    from lodeflow.functions import variants as V
+
+    texts = ["7", "007", "999999999999", "1234567890123", "-7", "+7", "7+2", "*7", "7\n", "", "?", "7?", None, "IVS3-2"]
+    p = spark.createDataFrame([(t,) for t in texts], "t string").select(V.parse_position(F.col("t")).alias("p")).collect()
+    want = [(7, 0, False, None), (7, 0, False, None), (999999999999, 0, False, None), (0, 0, False, None), (-7, 0, False, None), None, (7, 2, False, None), (7, 0, True, None)]
+    assert [r.p and tuple(r.p) for r in p[:8]] == want and [r.p and tuple(r.p) for r in p[9:]] == [None, None, None, None, (None, -2, False, 3)]
