@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodeflow.functions.once import once
+from lodeflow.functions.once import bound, once
 from lodeflow.functions.text import prefix_sums
 
 # Amino acids, three-letter and one-letter names; X and Ter mean stop.
@@ -36,10 +39,12 @@ _MENTION = r"\brs[0-9]{2,}\b|\b[cgmnpr]\s?\.\s?\(?[A-Za-z0-9*+>_-]+\)?|\b(?:" +
 
 def mention_spans(text: Column) -> Column:
     """Candidate mentions of a text with their offsets, as structs of start, end and body."""
-    pieces = F.split(F.regexp_replace(text, _MENTION, "\u0002$0\u0002"), "\u0002")
-    before = prefix_sums(F.transform(pieces, lambda p: F.length(p)))
-    spans = F.zip_with(pieces, before, lambda p, at: F.struct(at.alias("start"), (at + F.length(p)).alias("end"), p.alias("body")))
-    return F.filter(spans, lambda s, i: i % 2 == 1)
+    def spans(pieces: Column) -> Column:
+        before = prefix_sums(F.transform(pieces, lambda p: F.length(p)))
+        each = F.zip_with(pieces, before, lambda p, at: F.struct(at.alias("start"), (at + F.length(p)).alias("end"), p.alias("body")))
+        return F.filter(each, lambda s, i: i % 2 == 1)
+
+    return bound(F.split(F.regexp_replace(text, _MENTION, "\u0002$0\u0002"), "\u0002"), spans)
 
 
 def one_letter(residue: Column) -> Column:
@@ -74,13 +79,17 @@ def sequence_types(text: Column) -> Column:
 def types_by_size(position: Column) -> Column:
     """Sequence types that a position of this size may belong to: none without a number, coding ones in introns and behind the stop; limits by the leading number."""
     kinds = lambda *k: F.array(*[F.lit(x) for x in k])
+
+    def sized(v: Column) -> Column:
+        first, n = v["first"], v["n"]
+        return (
+            F.when(first.startswith("*"), kinds("c", "n")).when(first == "", F.when(position.rlike(r"^(?i:IVS|INTRON)"), kinds("c", "n")).otherwise(F.array().cast("array<string>")))
+            .when(n.isNull() & ~first.startswith("-"), kinds("chr")).when(n > MOST_CODING, kinds("chr")).when(n > MOST_PROTEIN, kinds("g", "chr"))
+            .when(n > MOST_PROTEIN // 3, kinds("c", "n", "g", "chr")).otherwise(kinds("p", "c", "n", "g", "chr"))
+        )
+
     first = F.regexp_extract(position, r"^([*+-]?[0-9]+)", 1)
-    n = F.regexp_replace(first, r"^\+", "").try_cast("bigint")
-    return (
-        F.when(position.rlike(r"^(?i:IVS|INTRON)") | first.startswith("*"), kinds("c", "n")).when(first == "", F.array().cast("array<string>"))
-        .when(n.isNull() & ~first.startswith("-"), kinds("chr")).when(n > MOST_CODING, kinds("chr")).when(n > MOST_PROTEIN, kinds("g", "chr"))
-        .when(n > MOST_PROTEIN // 3, kinds("c", "n", "g", "chr")).otherwise(kinds("p", "c", "n", "g", "chr"))
-    )
+    return bound(first, lambda f: bound(F.struct(f.alias("first"), F.regexp_replace(f, r"^\+", "").try_cast("bigint").alias("n")), sized))
 
 
 #: Sequence types in the order of preference; the first set that is allowed as a whole is taken.
@@ -93,16 +102,17 @@ def possible_types(kind: Column, wild_type: Column, mutant: Column, start: Colum
     odd = lambda c: F.coalesce(c, F.lit("")).rlike("[^ACGT0-9]")
     first = F.when(odd(wild_type) | odd(mutant) | (kind == "FS"), kinds("p")).otherwise(kinds("p", "c", "n", "g", "chr"))
     size = lambda c: types_by_size(F.coalesce(c, F.lit("")))
-    allowed = F.array_intersect(F.array_intersect(first, size(start)), size(end))
+    placed = bound(size(start), lambda s: F.when(start.eqNullSafe(end), s).otherwise(F.array_intersect(s, size(end))))
+    allowed = F.array_intersect(first, placed)
     none = F.array().cast("array<string>")
 
     def pick(a: Column) -> Column:
         out = F.when(protein_form & F.array_contains(a, "p"), kinds("p"))
         for k in PREFERRED:
-            out = out.when(F.size(F.array_intersect(a, kinds(*k))) == len(k), kinds(*k))
+            out = out.when(reduce(Column.__and__, [F.array_contains(a, x) for x in k]), kinds(*k))
         return out.otherwise(none)
 
-    return F.transform(F.array(allowed), pick)[0]
+    return bound(allowed, pick)
 
 
 def _struct(kind, seq, start, end, wild, mutant, rsid=None, frame=None, dup=None):
@@ -120,26 +130,29 @@ def parse_mention(text: Column) -> Column:
     Only explicit sequence types are filled in (see ``typed``). The expression holds every pattern, so it should be evaluated once, behind ``parsed``.
     """
     none = F.lit("")
-    out = None
-    for name, pattern in PATTERNS:
-        def g(i, pattern=pattern):
-            return F.regexp_extract(text, pattern, i)
 
+    def fields(name: str, g: Column) -> Column:
         if name == "RSID":
-            got = _struct("RSID", none, none, none, none, none, rsid=g(1))
-        elif name == "FS":
-            got = _struct("FS", F.lit("p"), g(2), none, one_letter(g(1)), none, frame=g(3))
-        elif name == "SUB_DNA":
-            got = _struct("SUB", g(1), g(2), none, g(3), g(4))
-        elif name == "SUB_PROT":
-            got = _struct("SUB", F.lit("p"), g(3), none, one_letter(g(2)), one_letter(g(4)))
-        elif name == "DEL":
-            got = _struct("DEL", g(1), g(2), g(3), g(4), none)
-        elif name == "DUP":
-            got = _struct("DUP", g(1), g(2), g(3), g(4), none, dup=g(5))
-        else:
-            got = _struct("INDEL" if name == "DELINS" else "INS", g(1), g(2), g(3), none, g(4))
+            return _struct("RSID", none, none, none, none, none, rsid=g[0])
+        if name == "FS":
+            return _struct("FS", F.lit("p"), g[1], none, one_letter(g[0]), none, frame=g[2])
+        if name == "SUB_DNA":
+            return _struct("SUB", g[0], g[1], none, g[2], g[3])
+        if name == "SUB_PROT":
+            return bound(F.struct(one_letter(g[1]).alias("w"), one_letter(g[3]).alias("m")), lambda r: _struct("SUB", F.lit("p"), g[2], none, r["w"], r["m"]))
+        if name == "DEL":
+            return _struct("DEL", g[0], g[1], g[2], g[3], none)
+        if name == "DUP":
+            return _struct("DUP", g[0], g[1], g[2], g[3], none, dup=g[4])
+        return _struct("INDEL" if name == "DELINS" else "INS", g[0], g[1], g[2], none, g[3])
+
+    out = None
+    for name, pattern in PATTERNS:
+        groups = re.compile(pattern).groups
+        # the text around the first match goes and its groups stay, so one search reads them all; none of them can hold the mark
+        marked = F.regexp_replace(text, rf"(?s)\A.*?(?:{pattern}).*\z", "\u0001".join(f"${i + 1}" for i in range(groups)))
         there = text.rlike(pattern)
+        got = bound(F.split(marked, "\u0001"), lambda g: fields(name, g))  # noqa: B023
         out = F.when(there, got) if out is None else out.when(there, got)
     return out
 

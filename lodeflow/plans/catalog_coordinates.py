@@ -147,10 +147,10 @@ def p20_routes(spark, d):
     from lodeflow.functions import variants as V
     from lodeflow.plans.catalog_text import mention_column
 
-    x = table(spark, d, "lineitem").select((F.col("l_partkey") % 7).alias("form"), V.parse_mention(mention_column()).alias("var")).where("var is not null")
-    protein = F.array_contains("var.seq_types", "p")
-    parts = [x.where("var.mut_type = 'RSID'"), x.where(protein & (F.col("var.mut_type") == "SUB")), x.where(~protein & (F.col("var.mut_type") != "RSID"))]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).groupBy("form").agg(F.count("*").alias("n"))
+    x = once(table(spark, d, "lineitem").select((F.col("l_partkey") % 7).alias("form"), mention_column().alias("mention")), {"var": V.parse_mention(F.col("mention"))}).where("var is not null")
+    protein, listed = F.array_contains("var.seq_types", "p"), F.col("var.mut_type") == "RSID"
+    route = F.when(listed, "listed").when(protein & (F.col("var.mut_type") == "SUB"), "protein").when(~protein, "coding")
+    return x.where(route.isNotNull()).groupBy("form").agg(F.count("*").alias("n"))
 
 
 @query("v14_normalise", """select p_partkey, cast(3 as integer) as pos, 'GCA' as ref, 'G' as alt from part""")

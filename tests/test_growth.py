@@ -53,3 +53,28 @@ def test_plain_positions_read_like_the_others(spark):
     p = spark.createDataFrame([(t,) for t in texts], "t string").select(V.parse_position(F.col("t")).alias("p")).collect()
     want = [(7, 0, False, None), (7, 0, False, None), (999999999999, 0, False, None), (0, 0, False, None), (-7, 0, False, None), None, (7, 2, False, None), (7, 0, True, None)]
     assert [r.p and tuple(r.p) for r in p[:8]] == want and [r.p and tuple(r.p) for r in p[9:]] == [None, None, None, None, (None, -2, False, 3)]
+
+
+def test_mentions_are_searched_once(spark):
+    """The text of a mention is searched once for all spans, and once for all groups of a pattern beside the question whether it fits."""
+    from lodeflow.functions import variants as V
+
+    plan = spark.createDataFrame([("c.1A>G",)], "t string").select(V.parse_mention(F.col("t")).alias("v"), V.mention_spans(F.col("t")).alias("s"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract(") == 0 and plan.count("regexp_replace(") == len(V.PATTERNS) + 1
+    size = spark.createDataFrame([("5",)], "t string").select(V.types_by_size(F.col("t")).alias("v"))._jdf.queryExecution().optimizedPlan().toString()
+    assert size.count("regexp_extract(") == 1
+
+
+def test_mentions_with_lines_and_marks(spark):
+    from lodeflow.functions import variants as V
+
+    texts = ["x\n c.7_9delACG\n", "\u0001p.Arg7Gln\u0001", "c.5dupT3 $1 c.6dup", "\u0001", "a\\b rs12 rs34", "c.1_2"]
+    got = [r.v and (r.v.mut_type, r.v.start, r.v.end, r.v.wild_type, r.v.mutant, r.v.rsid, r.v.dup) for r in spark.createDataFrame([(t,) for t in texts], "t string").select(V.parse_mention(F.col("t")).alias("v")).collect()]
+    assert got == [("DEL", "7", "9", "ACG", None, None, None), ("SUB", "7", "7", "R", "Q", None, None), ("DUP", "5", "5", "T", None, None, "3"), None, ("RSID", None, None, None, None, "12", None), None]
+
+
+def test_routed_mentions_are_read_in_one_pass(spark):
+    from __spark_entry__ import queries
+
+    plan = queries()["p20_routes"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan and plan.count("Relation [") == 1
