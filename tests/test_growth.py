@@ -78,3 +78,21 @@ def test_routed_mentions_are_read_in_one_pass(spark):
 
     plan = queries()["p20_routes"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert "Union" not in plan and plan.count("Relation [") == 1
+
+
+def test_groups_are_suppressed_side_by_side(spark):
+    import numpy as np
+
+    from lodeflow.operators import boxes
+
+    r = np.random.default_rng(4)
+    lengths = [1, 30, 2, 1, 60, 7]
+    at = r.integers(0, 60, (sum(lengths), 2)).astype(float)
+    box = np.concatenate([at, at + r.integers(-2, 40, at.shape)], axis=1)
+    box[5, 2] = np.nan
+    starts = np.cumsum([0, *lengths[:-1]])
+    for keep in (None, 0, 1, 4):
+        with np.errstate(all="ignore"):
+            want = [int(a) + i for a, n in zip(starts, lengths, strict=True) for i in boxes.nms_arrays(box[a : a + n], np.arange(n), 0.3)[:keep]]
+            assert boxes.nms_groups(box, starts, 0.3, keep).tolist() == want
+    assert boxes.nms_groups(box[:0], starts[:0], 0.3).tolist() == []
