@@ -21,3 +21,14 @@ def test_doubt_is_settled_once_a_block_and_name(spark):
     row = got.where("start = 0").first()
     assert row.options == list(range(10, GENES + 1, 10)) and (row.gene_id, row.step) == (10, 9)
     assert got.drop("options").distinct().count() == MENTIONS and time.perf_counter() - start < 90
+
+
+def test_no_table_goes_to_the_driver(spark, monkeypatch):
+    """Estimates of the tables' sizes go by their files, so no join may broadcast a side because it seems small."""
+    from __spark_entry__ import queries
+
+    plans, settle = [], dictionary.settle
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(dictionary, "settle", lambda df: plans.append(plan(df)) or settle(df))
+    plans.append(plan(queries()["g17_name_cascade"](spark, "/root/testdata/sf0.001")))
+    assert len(plans) > 5 and sum("Join" in p for p in plans) > 5 and not any("Broadcast" in p for p in plans)
