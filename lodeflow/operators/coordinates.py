@@ -7,7 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodeflow.session import settle
+from lodeflow.functions.once import once
+from lodeflow.session import few, settle, shuffled, tidy
 
 #: Bases in the order of the codon table's rule.
 _BASES = "TCAG"
@@ -208,9 +209,26 @@ def genome_chunks(lines: DataFrame, size: int) -> DataFrame:
 def genome_slice(points: DataFrame, chunks: DataFrame, size: int, start: str, length: str, out: str = "bases") -> DataFrame:
     """Adds the bases from ``start`` (1-based) over ``length``, through as many chunks as it takes, clamped at the chromosome's ends.
 
-    Distinct ranges are dealt out to their chunks, cut there and joined up again in order, so a range that many rows ask for is read once.
+    Ranges of at most ``size`` bases lie in one chunk and the next: their rows meet the two side by side, and are shuffled once.
+    Longer ones are made distinct, dealt out to their chunks, cut there and joined up again in order, so a range that many rows ask for is read once.
     A range without bases, or on a chromosome that isn't there, gives an empty text; a null range gives null.
     """
+    kept = [c for c in points.columns if c != out]
+    known = F.col(start).isNotNull() & F.col(length).isNotNull() & F.col("chrom").isNotNull()
+    low, long = F.greatest(F.col(start).cast("bigint"), F.lit(1)), F.coalesce(F.col(length) > size, F.lit(False))
+    none = F.lit(None).cast("string")
+    two = chunks.select("chrom", F.col("chunk").cast("bigint").alias("__chunk"), F.col("seq").alias("__own"), none.alias("__next")).unionByName(chunks.select("chrom", (F.col("chunk") - 1).cast("bigint").alias("__chunk"), none.alias("__own"), F.col("seq").alias("__next")))
+    two = two.groupBy("chrom", "__chunk").agg(F.max("__own").alias("__own"), F.max("__next").alias("__next"))
+    begin, end = low - F.col("__chunk") * size, F.col(start) + F.col(length) - 1 - F.col("__chunk") * size
+    cut = lambda text, a, b: F.coalesce(F.when(b >= a, F.substring(text, a.cast("int"), (b - a + 1).cast("int"))), F.lit(""))
+    own, behind = cut("__own", begin, F.least(end, F.lit(size))), cut("__next", F.lit(1), end - size)
+    # rows without bases have no chunk, and meet none
+    short = points.where(~long).withColumn("__chunk", F.when(known & (F.col(length) > 0) & (F.col(start) + F.col(length) > 1), F.floor((low - 1) / size)))
+    short = short.join(shuffled(two), ["chrom", "__chunk"], "left").select(*kept, F.when(known, F.concat(own, behind)).alias(out))
+    return short.unionByName(_long_slice(points.where(long), chunks, size, start, length, out))
+
+
+def _long_slice(points: DataFrame, chunks: DataFrame, size: int, start: str, length: str, out: str) -> DataFrame:
     lo, hi = F.greatest(F.col("__s"), F.lit(1)), F.col("__s") + F.col("__n") - 1
     want = points.select("chrom", F.col(start).cast("bigint").alias("__s"), F.col(length).cast("bigint").alias("__n")).where("__n > 0").distinct()
     last = chunks.groupBy("chrom").agg(F.max("chunk").alias("__last"))
@@ -251,33 +269,41 @@ def normalise_alleles(alleles: DataFrame, chunks: DataFrame, size: int, sizes: D
     Common suffixes go first. Where that leaves one allele empty, it may lie anywhere in a repeat: it moves left as long as the bases before it
     continue the repeat, which is the common suffix of what stands before it and the same text moved on by the allele's length.
     A round reads ``back`` bases before each allele; only alleles that moved through all of them go on to a round with twice as many, so there is no
-    limit, and the rounds grow with the logarithm of the longest repeat. Equal alleles are worked on once, and all of it is column expressions.
+    limit, and the rounds grow with the logarithm of the longest repeat. Alleles with bases on both sides need no genome and stay in their rows; of
+    the others equal ones are worked on once, and what a round leaves has no windows in it. All of it is column expressions.
     Defined results: alleles off the chromosome (position zero or less, or up to its end) stay as they are, those made of N alone aren't shortened; chromosomes without a size go.
     """
     key = ["chrom", "pos", "ref", "alt"]
     n = lambda c: F.length(c).cast("bigint")
-    d = alleles.select(*key).distinct().join(sizes.select("chrom", "chrom_size"), "chrom")
     inside = (F.col("pos") > 0) & (F.col("pos") + n("ref") - 1 < F.col("chrom_size"))
     fewest = F.least(n("ref"), n("alt"))
     still = ((n("ref") == 1) & (n("alt") == 1)) | (F.concat("ref", "alt").rlike("^N+$") & (fewest > 0))
     cut = F.when(still | (fewest == 0), F.lit(0)).otherwise(common_suffix(F.col("ref"), F.col("alt"), fewest - F.when(F.col("pos") > 1, 0).otherwise(1)))
-    d = settle(d.withColumn("__in", inside).withColumn("__c", cut).selectExpr(*key, "__in", "left(ref, length(ref) - __c) as __r", "left(alt, length(alt) - __c) as __a"))
+    ends = few(sizes.select("chrom", "chrom_size"))
+
+    def trimmed(df: DataFrame) -> DataFrame:
+        return once(df.join(ends, "chrom"), {"__in": inside, "__c": cut}).selectExpr(*[f"`{c}`" for c in df.columns], "__in", "left(ref, length(ref) - __c) as __r", "left(alt, length(alt) - __c) as __a")
+
+    rows = trimmed(alleles.dropna(subset=key))
     open_ = F.col("__in") & ((F.col("__r") == "") | (F.col("__a") == ""))
     ahead = common_prefix(F.col("__r"), F.col("__a"), F.least(n("__r"), n("__a")) - 1).cast("bigint")
-    shut = d.where(~open_).withColumn("__l", F.when(F.col("__in"), ahead).otherwise(F.lit(0)))
-    shut = shut.selectExpr(*key, "pos + __l as __pos", "case when __in then substring(__r, int(__l) + 1) else ref end as __ref", "case when __in then substring(__a, int(__l) + 1) else alt end as __alt")
+    shut = once(rows.where(~open_), {"__l": F.when(F.col("__in"), ahead).otherwise(F.lit(0))})
+    shut = shut.selectExpr(*[f"`{c}`" for c in alleles.columns], "pos + __l as __pos", "case when __in then substring(__r, int(__l) + 1) else ref end as __ref", "case when __in then substring(__a, int(__l) + 1) else alt end as __alt")
+    d = trimmed(settle(rows.where(open_).select(*key).distinct()))
     # at the first base nothing stands before; the base behind is added instead
     edge = genome_slice(d.where(open_ & (F.col("pos") == 1)).withColumn("__at", F.col("pos") + n("__r")).withColumn("__one", F.lit(1)), chunks, size, "__at", "__one", "__b")
     edge = edge.selectExpr(*key, "pos as __pos", "concat(__r, upper(__b)) as __ref", "concat(__a, upper(__b)) as __alt")
-    done = [shut, edge]
+    done = [edge]
     state = d.where(open_ & (F.col("pos") > 1)).selectExpr(*key, "cast(pos as bigint) as __p", "concat(__r, __a) as __s", "__r <> '' as __gone")
     while True:
         w = state.withColumn("__w0", F.when(F.col("__p") - back <= 2, F.lit(1)).otherwise(F.col("__p") - back)).withColumn("__wn", F.col("__p") - F.col("__w0"))
         g = genome_slice(w, chunks, size, "__w0", "__wn", "__w").withColumn("__x", F.concat(F.lpad(F.upper("__w"), F.col("__wn").cast("int"), F.lit("N")), "__s"))
         most = F.col("__p") - F.greatest("__w0", F.lit(2))
         moves = F.when((F.col("__s") == "") | F.col("__s").rlike("^N+$"), F.lit(0)).otherwise(common_suffix(F.left("__x", F.col("__wn").cast("int")), F.right("__x", F.col("__wn").cast("int")), most)).cast("bigint")
-        g = settle(g.withColumn("__k", moves).withColumn("__t", F.substring("__x", (F.col("__wn") - F.col("__k") + 1).cast("int"), F.length("__s"))).withColumn("__b", F.substring("__x", (F.col("__wn") - F.col("__k")).cast("int"), F.lit(1))))
-        more = (F.col("__k") == most) & (F.col("__w0") > 1)
+        g = once(g, {"__k": moves}).withColumn("__t", F.substring("__x", (F.col("__wn") - F.col("__k") + 1).cast("int"), F.length("__s"))).withColumn("__b", F.substring("__x", (F.col("__wn") - F.col("__k")).cast("int"), F.lit(1)))
+        g = settle(g.select(*key, "__p", "__k", "__t", "__b", "__gone", ((F.col("__k") == most) & (F.col("__w0") > 1)).alias("__more")))
+        tidy(g.sparkSession)
+        more = F.col("__more")
         done.append(g.where(~more).selectExpr(*key, "__p - 1 - __k as __pos", "if(__gone, concat(__b, __t), __b) as __ref", "if(__gone, __b, concat(__b, __t)) as __alt"))
         state = g.where(more).selectExpr(*key, "__p - __k as __p", "__t as __s", "__gone")
         if state.isEmpty():
@@ -285,4 +311,5 @@ def normalise_alleles(alleles: DataFrame, chunks: DataFrame, size: int, sizes: D
         back *= 2
     fixed = reduce(DataFrame.unionByName, done)
     put = {"pos": F.col("__pos").cast(alleles.schema["pos"].dataType), "ref": F.col("__ref"), "alt": F.col("__alt")}
-    return alleles.join(fixed, key).select(*[put[c].alias(c) if c in put else F.col(c) for c in alleles.columns])
+    placed = [put[c].alias(c) if c in put else F.col(f"`{c}`") for c in alleles.columns]
+    return shut.select(*placed).unionByName(rows.where(open_).select(*[f"`{c}`" for c in alleles.columns]).join(fixed, key).select(*placed))

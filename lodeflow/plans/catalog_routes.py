@@ -95,11 +95,11 @@ def p20_alleles(spark, d):
     chunks, sizes = genome(spark, d)
     bases = table(spark, d, "part").count() * 32
     tx, genes = transcripts(spark, d, bases)
-    found = settle(mentions(spark, d))
+    found = mentions(spark, d)
     at = F.col("tx_start") + F.col("p")
     spot = F.when(F.col("strand") > 0, at).otherwise(F.col("tx_end") + 1 - F.col("p"))
     both = found.where("form = 10").select("gene_id", "p").distinct().join(tx, "gene_id").select((10_000_000 + F.col("gene_id") * 1000 + F.col("p")).alias("name"), F.lit("1").alias("chrom"), spot.alias("at"), F.lit(1).alias("n"))
     both = C.genome_slice(both, chunks, SIZE, "at", "n").select("name", "chrom", (F.col("at") - 1).alias("start"), F.col("bases").alias("ref"), F.concat("bases", F.lit("/T")).alias("observed"))
     alone = table(spark, d, "part").select(F.col("p_partkey").alias("name"), F.lit("1").alias("chrom"), ((F.col("p_partkey") * 7) % (bases - 1) + 1).alias("start"), F.lit("-").alias("ref"), F.lit("A/C").alias("observed"))
-    got = routes.alleles(found, ["l_orderkey", "l_linenumber"], genes, tx, alone.unionByName(both), chunks, SIZE, sizes)
+    got = routes.alleles(found, ["l_orderkey", "l_linenumber"], genes, tx, alone.unionByName(both), chunks, SIZE, sizes, ["l_orderkey", "l_linenumber"], cheap=True)
     return got.select("l_orderkey", "l_linenumber", "transcript", "chrom", "pos", "ref", "alt")

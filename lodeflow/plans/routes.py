@@ -10,13 +10,15 @@ from pyspark.sql import functions as F
 from lodeflow.functions import variants as V
 from lodeflow.functions.once import once
 from lodeflow.operators import coordinates as C
-from lodeflow.session import settle
+from lodeflow.session import settle, tidy
 
 #: The chromosome of mitochondrial genes, that of their sequence, and what stands for a transcript.
 MT_GENES, MT_SEQUENCE, MT_TRANSCRIPT = "MT", "chrM", "Mitochondrial"
 #: Types that have alleles, and the mark of a mention that also names a listed variation.
 KINDS = ("SUB", "DEL", "INS", "DUP", "INDEL")
 BOTH = "RSID+"
+#: Bases before an allele that the first round reads: few alleles move further, and those go on.
+NEAR = 16
 ALLELE = ["transcript", "chrom", "pos", "ref", "alt"]
 
 
@@ -64,8 +66,8 @@ def _written(df: DataFrame, columns: list[str], chunks: DataFrame, size: int, tr
     return kept.select(*columns, "transcript", "chrom", F.col("__lo").alias("pos"), ref.alias("ref"), alt.alias("alt")).where("ref <> '' or alt <> ''")
 
 
-def coding_alleles(found: DataFrame, transcripts: DataFrame, chunks: DataFrame, size: int) -> DataFrame:
-    """Changes told on c, n or r positions through every transcript of their gene: adds transcript, chrom, pos, ref, alt, not yet normalised.
+def coding_alleles(found: DataFrame, transcripts: DataFrame, chunks: DataFrame, size: int, kept: list[str] | None = None) -> DataFrame:
+    """Changes told on c, n or r positions through every transcript of their gene: adds transcript, chrom, pos, ref, alt, not yet normalised, to the columns ``kept`` (here and below: all).
 
     Repairs by the transcript: one position with a negative offset that can't be an intron's is a range (``34-36``); the end of a
     substitution or deletion follows from its reference's length; an insertion lies before the base behind its start. On the minus strand alleles turn round.
@@ -89,26 +91,26 @@ def coding_alleles(found: DataFrame, transcripts: DataFrame, chunks: DataFrame,
     turned = strand < 0
     low, high = F.when(turned, F.col("__to")).otherwise(F.col("__from")), F.when(turned, F.col("__from")).otherwise(F.col("__to"))
     j = j.withColumn("__hi", high).withColumn("__lo", F.when(F.col("__kind") == "INS", high).otherwise(low)).where("__lo > 0")
-    return _written(j.withColumn("chrom", F.col("t_chrom")), found.columns, chunks, size, F.col("t_name"), strand)
+    return _written(j.withColumn("chrom", F.col("t_chrom")), kept or found.columns, chunks, size, F.col("t_name"), strand)
 
 
-def mitochondrial_alleles(found: DataFrame, chunks: DataFrame, size: int) -> DataFrame:
+def mitochondrial_alleles(found: DataFrame, chunks: DataFrame, size: int, kept: list[str] | None = None) -> DataFrame:
     """Changes told on the mitochondrial sequence itself, whatever their gene: no transcript is looked up."""
     v = _parts(found.where(~(is_type(found, "p") & (kind(found) == "SUB")))).withColumn("chrom", F.lit(MT_SEQUENCE))
     v = once(v, {"__from": V.parse_position(F.col("var.start"))["pos"], "__e": V.parse_position(F.col("var.end"))["pos"]}).withColumn("__to", F.coalesce("__e", "__from")).where("__from is not null")
     end = F.when(F.col("__kind").isin("SUB", "DEL") & F.col("__size").isNotNull(), F.col("__from") + F.col("__size") - 1).when(F.col("__kind") == "INS", F.col("__from") + 1).otherwise(F.col("__to"))
     v = v.withColumn("__hi", end).withColumn("__lo", F.when(F.col("__kind") == "INS", F.col("__hi")).otherwise(F.col("__from"))).where("__lo > 0")
-    return _written(v, found.columns, chunks, size, F.lit(MT_TRANSCRIPT), F.lit(1))
+    return _written(v, kept or found.columns, chunks, size, F.lit(MT_TRANSCRIPT), F.lit(1))
 
 
-def rna_alleles(found: DataFrame, genes: DataFrame, transcripts: DataFrame, chunks: DataFrame, size: int) -> DataFrame:
+def rna_alleles(found: DataFrame, genes: DataFrame, transcripts: DataFrame, chunks: DataFrame, size: int, kept: list[str] | None = None) -> DataFrame:
     """c, n and r: those of mitochondrial genes (``genes``: gene_id, chrom) on the sequence itself, the others through transcripts."""
     mt = genes.where(F.col("chrom") == MT_GENES).select("gene_id").distinct()
     coded = found.where(is_type(found, "c", "n", "r"))
-    return coding_alleles(coded.join(mt, "gene_id", "left_anti").select(*found.columns), transcripts, chunks, size).unionByName(mitochondrial_alleles(coded.join(mt, "gene_id", "left_semi").select(*found.columns), chunks, size))
+    return coding_alleles(coded.join(mt, "gene_id", "left_anti").select(*found.columns), transcripts, chunks, size, kept).unionByName(mitochondrial_alleles(coded.join(mt, "gene_id", "left_semi").select(*found.columns), chunks, size, kept))
 
 
-def protein_alleles(found: DataFrame, transcripts: DataFrame, chunks: DataFrame, size: int) -> DataFrame:
+def protein_alleles(found: DataFrame, transcripts: DataFrame, chunks: DataFrame, size: int, kept: list[str] | None = None) -> DataFrame:
     """Protein substitutions to every codon of the new residue (``=`` means the old one), where the three bases from the codon's first on give the stated residue."""
     v = found.where(is_type(found, "p") & (kind(found) == "SUB") & F.col("var.start").rlike("^[0-9]{1,9}$")).withColumn("__i", F.col("var.start").cast("bigint"))
     old = V.one_letter(F.upper("var.wild_type"))
@@ -117,31 +119,34 @@ def protein_alleles(found: DataFrame, transcripts: DataFrame, chunks: DataFrame,
     zero, no = F.lit(0).cast("bigint"), F.lit(False)
     turned = F.col("t_strand") < 0
     j = once(v.join(tx, "gene_id"), {"__lo": t.to_chromosome(F.when(turned, F.col("__i") * 3).otherwise(F.col("__i") * 3 - 2), zero, no)}).where("__lo > 0").withColumn("__n", F.lit(3)).withColumn("chrom", F.col("t_chrom"))
-    g = C.genome_slice(settle(j.select(*found.columns, "t_name", "t_strand", "chrom", "__lo", "__n", "__old", "__new")), chunks, size, "__lo", "__n", "__bases").withColumn("__bases", F.upper("__bases"))
+    g = C.genome_slice(settle(j.select(*(kept or found.columns), "t_name", "t_strand", "chrom", "__lo", "__n", "__old", "__new")), chunks, size, "__lo", "__n", "__bases").withColumn("__bases", F.upper("__bases"))
     codon = F.when(turned, C.revcomp(F.col("__bases"))).otherwise(F.col("__bases"))
     alts = g.where(F.try_element_at(C.codon_map(), codon) == F.col("__old")).withColumn("__c", F.explode(C.synonymous(F.col("__new"))))
-    return alts.select(*found.columns, F.col("t_name").alias("transcript"), "chrom", F.col("__lo").alias("pos"), F.col("__bases").alias("ref"), F.when(turned, C.revcomp(F.col("__c"))).otherwise(F.col("__c")).alias("alt"))
+    return alts.select(*(kept or found.columns), F.col("t_name").alias("transcript"), "chrom", F.col("__lo").alias("pos"), F.col("__bases").alias("ref"), F.when(turned, C.revcomp(F.col("__c"))).otherwise(F.col("__c")).alias("alt"))
 
 
-def rsid_alleles(found: DataFrame, rsids: DataFrame, drop_reference: bool = False) -> DataFrame:
+def rsid_alleles(found: DataFrame, rsids: DataFrame, drop_reference: bool = False, kept: list[str] | None = None) -> DataFrame:
     """Listed variations to each of their alleles, the reference's own among them."""
     marked = (kind(found) == "RSID") | field(found, "mut_type").startswith(BOTH)
     v = found.where(marked).withColumn("__name", F.regexp_replace(F.col("var.rsid"), "^(?i:rs)", "").try_cast("bigint"))
     listed = rsids.select(F.col("name").alias("__name"), "chrom", F.col("start").alias("__s"), F.col("ref").alias("__ref"), "observed")
     j = v.join(listed, "__name").withColumn("alt", F.explode(C.observed_alleles(F.col("observed"))))
-    out = j.select(*found.columns, F.lit("").alias("transcript"), "chrom", (F.col("__s") + 1).alias("pos"), F.when(F.col("__ref") == "-", "").otherwise(F.col("__ref")).alias("ref"), "alt")
+    out = j.select(*(kept or found.columns), F.lit("").alias("transcript"), "chrom", (F.col("__s") + 1).alias("pos"), F.when(F.col("__ref") == "-", "").otherwise(F.col("__ref")).alias("ref"), "alt")
     return out.where("ref <> alt") if drop_reference else out
 
 
-def given_alleles(found: DataFrame) -> DataFrame:
+def given_alleles(found: DataFrame, kept: list[str] | None = None) -> DataFrame:
     """Variants that are alleles already (type VCF with chrom, position, ref, alt)."""
     v = found.where(field(found, "mut_type") == "VCF")
-    return v.select(*found.columns, F.lit("").alias("transcript"), field(found, "chrom").alias("chrom"), field(found, "position").cast("bigint").alias("pos"), *[F.coalesce(field(found, c), F.lit("")).alias(c) for c in ("ref", "alt")])
+    return v.select(*(kept or found.columns), F.lit("").alias("transcript"), field(found, "chrom").alias("chrom"), field(found, "position").cast("bigint").alias("pos"), *[F.coalesce(field(found, c), F.lit("")).alias(c) for c in ("ref", "alt")])
 
 
-def alleles(found: DataFrame, by: list[str], genes: DataFrame, transcripts: DataFrame, rsids: DataFrame, chunks: DataFrame, size: int, sizes: DataFrame) -> DataFrame:
+def alleles(found: DataFrame, by: list[str], genes: DataFrame, transcripts: DataFrame, rsids: DataFrame, chunks: DataFrame, size: int, sizes: DataFrame, kept: list[str] | None = None, cheap: bool = False) -> DataFrame:
     """Every mention's normalised alleles: ``found`` (with gene_id and var; ``by`` tells mentions apart and has no nulls) with transcript, chrom, pos, ref, alt.
 
+    Of the mention's columns only ``kept`` are carried through the routes and stay in the result, which spares disk; all, unless told.
+    Each route reads the mentions: they are settled before, unless it is told that making them again is cheap (files and plain expressions).
+
     ======================= ===========================================================
     mention                 route
     ======================= ===========================================================
@@ -156,22 +161,30 @@ def alleles(found: DataFrame, by: list[str], genes: DataFrame, transcripts: Data
 
     The first route that fits is taken. A mention without a sequence type has none.
     """
-    found = settle(found)
+    kept = kept or found.columns
+    found = found.select(*dict.fromkeys([*kept, *by, "gene_id", "var"]))
+    found = found if cheap else settle(found)
     told = {c: f"__own_{c}" for c in ALLELE if c in found.columns}  # a mention's own columns of these names
     base = found.withColumnsRenamed(told)
+    base = base.withColumn("__both", field(base, "mut_type").startswith(BOTH))
     told_by = [told.get(c, c) for c in by]
+    carried = list(dict.fromkeys([*[told.get(c, c) for c in kept], *told_by, "__both"]))
     protein = is_type(base, "p") & (kind(base) == "SUB")
     coded = ~protein & is_type(base, "c", "n", "r")
     sided = [
-        protein_alleles(base.where(protein), transcripts, chunks, size), rna_alleles(base.where(coded), genes, transcripts, chunks, size),
-        mitochondrial_alleles(base.where(~protein & ~coded & is_type(base, "m")), chunks, size),
+        protein_alleles(base.where(protein), transcripts, chunks, size, carried), rna_alleles(base.where(coded), genes, transcripts, chunks, size, carried),
+        mitochondrial_alleles(base.where(~protein & ~coded & is_type(base, "m")), chunks, size, carried),
     ]
     told_side = reduce(DataFrame.unionByName, sided).withColumn("__listed", F.lit(False))
-    listed_side = rsid_alleles(base, rsids).withColumn("__listed", F.lit(True))
+    listed_side = rsid_alleles(base, rsids, kept=carried).withColumn("__listed", F.lit(True))
     sides = settle(told_side.unionByName(listed_side))  # read for the distinct alleles and again for the rows
-    flat = settle(C.normalise_alleles(sides, chunks, size, sizes))
-    both = field(flat, "mut_type").startswith(BOTH)
+    del sided, told_side, listed_side
+    tidy(sides.sparkSession)
+    flat = settle(C.normalise_alleles(sides, chunks, size, sizes, NEAR))
+    del sides
+    tidy(flat.sparkSession)
+    both = F.col("__both")
     wanted = flat.where(both & F.col("__listed")).select(*told_by, "chrom", "pos", "ref", "alt").distinct()
     joint = flat.where(both & ~F.col("__listed")).join(wanted, [*told_by, "chrom", "pos", "ref", "alt"], "left_semi").select(*flat.columns)
-    out = flat.where(~both).unionByName(joint).drop("__listed").unionByName(given_alleles(base))
-    return out.select(*[F.col(told.get(c, c)).alias(f"mention_{c}" if c in told else c) for c in found.columns], *ALLELE)
+    out = flat.where(~both).unionByName(joint).drop("__listed").unionByName(given_alleles(base, carried))
+    return out.select(*[F.col(told.get(c, c)).alias(f"mention_{c}" if c in told else c) for c in kept], *ALLELE)

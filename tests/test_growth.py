@@ -96,3 +96,28 @@ def test_groups_are_suppressed_side_by_side(spark):
             want = [int(a) + i for a, n in zip(starts, lengths, strict=True) for i in boxes.nms_arrays(box[a : a + n], np.arange(n), 0.3)[:keep]]
             assert boxes.nms_groups(box, starts, 0.3, keep).tolist() == want
     assert boxes.nms_groups(box[:0], starts[:0], 0.3).tolist() == []
+
+
+def test_routes_settle_no_more_than_they_need(spark, monkeypatch):
+    """Neither the mentions' own columns nor the bases around an allele are written down between the steps."""
+    from __spark_entry__ import queries
+    from lodeflow.operators import coordinates as C
+    from lodeflow.plans import catalog_routes, routes
+
+    seen, settle = [], C.settle
+    for module in (C, routes, catalog_routes):
+        monkeypatch.setattr(module, "settle", lambda df: seen.append(df.columns) or settle(df))
+    got = queries()["p20_alleles"](spark, "/root/testdata/sf0.001")
+    assert got.columns == ["l_orderkey", "l_linenumber", "transcript", "chrom", "pos", "ref", "alt"]
+    assert len(seen) > 6 and not any({"var", "gene_id", "__w", "__x"} & set(columns) for columns in seen)
+
+
+def test_short_slices_are_those_of_any_length(spark):
+    """Ranges in a chunk and the next, over missing and short chunks and a chromosome's ends, as the way of long ranges gives them."""
+    from lodeflow.operators import coordinates as C
+
+    chunks = spark.createDataFrame([("a", 0, "ACGTA"), ("a", 1, "CCGGT"), ("a", 3, "TTACG"), ("a", 4, "GAT"), ("b", 0, "AC"), ("b", 1, "G")], "chrom string, chunk int, seq string")
+    points = spark.createDataFrame([(c, s, n) for c in ("a", "b", "c") for s in range(-6, 30) for n in range(0, 6)] * 2, "chrom string, s int, n int")
+    rows = lambda df: sorted(map(tuple, df.select("chrom", "s", "n", "bases").collect()))
+    short = C.genome_slice(points, chunks, 5, "s", "n")
+    assert rows(short) == rows(C._long_slice(points, chunks, 5, "s", "n", "bases"))
