@@ -171,15 +171,16 @@ def alleles(found: DataFrame, by: list[str], genes: DataFrame, transcripts: Data
     carried = list(dict.fromkeys([*[told.get(c, c) for c in kept], *told_by, "__both"]))
     protein = is_type(base, "p") & (kind(base) == "SUB")
     coded = ~protein & is_type(base, "c", "n", "r")
-    sided = [
-        protein_alleles(base.where(protein), transcripts, chunks, size, carried), rna_alleles(base.where(coded), genes, transcripts, chunks, size, carried),
-        mitochondrial_alleles(base.where(~protein & ~coded & is_type(base, "m")), chunks, size, carried),
+    routes = [
+        lambda: protein_alleles(base.where(protein), transcripts, chunks, size, carried), lambda: rna_alleles(base.where(coded), genes, transcripts, chunks, size, carried),
+        lambda: mitochondrial_alleles(base.where(~protein & ~coded & is_type(base, "m")), chunks, size, carried), lambda: rsid_alleles(base, rsids, kept=carried),
     ]
-    told_side = reduce(DataFrame.unionByName, sided).withColumn("__listed", F.lit(False))
-    listed_side = rsid_alleles(base, rsids, kept=carried).withColumn("__listed", F.lit(True))
-    sides = settle(told_side.unionByName(listed_side))  # read for the distinct alleles and again for the rows
-    del sided, told_side, listed_side
-    tidy(sides.sparkSession)
+    sided = []
+    for i, route in enumerate(routes):  # one after the other, so that only one route's shuffles are on disk at a time
+        sided.append(settle(route().withColumn("__listed", F.lit(i == len(routes) - 1))))  # read for the distinct alleles and again for the rows
+        tidy(found.sparkSession)
+    sides = reduce(DataFrame.unionByName, sided)
+    del sided
     flat = settle(C.normalise_alleles(sides, chunks, size, sizes, NEAR))
     del sides
     tidy(flat.sparkSession)
